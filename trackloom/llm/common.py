@@ -61,6 +61,8 @@ class Words:
     """The words of a run of texts: byte offsets, owning text and 64-bit hash of each, in order."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray):
+        #: The bytes themselves, and where each text begins in them.
+        self.data, self.offsets = data, offsets
         data = LOWER[data]
         inside = word_bytes[data]
         first = np.zeros(len(data) + 1, bool)

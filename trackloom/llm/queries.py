@@ -7,27 +7,73 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackloom.llm import chat_format, decontaminate, language_id, personal_data
 from trackloom.llm.common import read_table
+from trackloom.llm.html_text import extract_text
 from trackloom.llm.jaccard_join import jaccard_components
+from trackloom.llm.mixing import mix_sources
 from trackloom.llm.near_vectors import near_vectors
+from trackloom.llm.secrets import scan_secrets
+from trackloom.llm.url_filter import filter_urls
+
+#: (verdict, host, start of the path).
+URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
+CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
 def op1_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id", "embedding", 0.95).withColumnRenamed("id", "vec_id")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read_table(spark, sf_dir, "documents", "doc_id", "text"), read_table(spark, sf_dir, "benchmark", "item_id", "text"), width=10)
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(read_table(spark, sf_dir, "documents", "doc_id", "text", "source"), weights=(5, 2, 1), share=1.5, repeats=2).drop("finish", "source")
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(read_table(spark, sf_dir, "pages", "page_id", "url", "html"), URL_RULES)
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    out = language_id.held_out(F.col("doc_id"))
+    model = language_id.train(docs.where(~out), F.col("text"), F.col("lang"))
+    return language_id.identify(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").withColumn("turn", F.col("turn").cast("long"))
+    extra = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], "conv_id long, turn long, role string, text string")
+    records = turns.unionByName(extra).select("conv_id", "turn", F.to_json(F.struct("role", "text"), {"ignoreNullFields": "false"}).alias("record"))
+    return chat_format.read_back(chat_format.format_turns(chat_format.canonical_turns(records, "conv_id", "turn", "record")))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", width=3, percent=90)
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    found = personal_data.find_personal_data(docs, personal_data.train(docs))
+    return found.select("doc_id", *(f"n_{k}" for k in personal_data.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op1_near_vectors": op1_near_vectors,
-        "op8_jaccard_join": op8_jaccard_join,
-    }
+    named = (op1_near_vectors, op2_decontamination, op3_html_text, op4_mixing, op5_url_filter, op6_language_id, op7_chat_format, op8_jaccard_join, op9_personal_data, op10_secret_scan)
+    return {q.__name__: q for q in named}
 
 
-#: Components are closed by repeated least labels; a link graph deeper than the unrolled steps needs the recursion.
 _OP1 = """
 WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
 ok AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS len FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND list_max(list_transform(e, lambda x: abs(x))) > 0),
@@ -37,8 +83,74 @@ SELECT v.vec_id, coalesce((SELECT count(*) FROM links l WHERE l.a = v.vec_id), 0
 FROM v JOIN (SELECT id, min(node) AS component_id FROM reach GROUP BY id) c ON c.id = v.vec_id
 """
 
-_OP8 = r"""
-WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_OP2 = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS p FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+place AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS p FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+hit AS (SELECT doc_id, i, place.n, item_id FROM place JOIN win ON place.p = win.p AND place.n = win.n),
+words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items.s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_OP4 = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS place FROM documents),
+s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS no, 2.0::DOUBLE * source_size AS most FROM s0),
+s2 AS (SELECT *, [5.0, 2.0, 1.0][((no - 1) % 3 + 1)::INT]::DOUBLE AS weight FROM s1),
+s3 AS (SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(most) OVER (ORDER BY most / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+  / (sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY most / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level FROM s2),
+s4 AS (SELECT source, no, source_size, least(most, coalesce(weight * (SELECT arg_min(level, (most / weight, no)) FROM s3 WHERE level < most / weight), most)) AS target FROM s3),
+q AS (SELECT d.doc_id, d.size, s4.source_size, s4.target, sum(size) OVER (PARTITION BY s4.no ORDER BY place, doc_id, size ROWS UNBOUNDED PRECEDING) AS cum FROM d JOIN s4 ON d.source IS NOT DISTINCT FROM s4.source),
+c AS (SELECT doc_id, size, source_size, target, (e * source_size + cum)::DOUBLE / target AS finish FROM q, (SELECT unnest([0, 1]) AS e) WHERE size > 0),
+r AS (SELECT *, sum(size) OVER (ORDER BY finish RANGE UNBOUNDED PRECEDING) AS upto FROM c),
+t AS (SELECT doc_id, sum(size)::BIGINT AS taken FROM r WHERE upto <= 1.5::DOUBLE * (SELECT sum(size) FROM d) GROUP BY doc_id)
+SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(t.taken, 0)::BIGINT AS taken FROM q LEFT JOIN t USING (doc_id)
+"""
+
+
+def _op5(damping: float = 0.85, rounds: int = 9, margin: float = 0.01) -> str:
+    """The rounds of both ranks, unrolled."""
+    low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+    steps = ["r0 AS (SELECT kind, node, own AS rank, 0.0::DOUBLE AS got FROM seed)"]
+    for k in range(rounds):
+        steps.append(
+            f"r{k + 1} AS (SELECT coalesce(g.kind, s.kind) AS kind, coalesce(g.node, s.node) AS node, coalesce(g.got, 0) + coalesce(s.own, 0) AS rank, coalesce(g.got, 0) AS got FROM "
+            f"(SELECT e.kind, e.t AS node, sum(r.rank * e.part) AS got FROM r{k} r JOIN edge e ON e.kind = r.kind AND e.f = r.node GROUP BY ALL) g FULL JOIN seed s ON s.kind = g.kind AND s.node = g.node)"
+        )
+    return rf"""
+WITH rule(v, h, p) AS (VALUES {rules}),
+page AS (SELECT page_id, {low.format("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} AS host, coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, html, row_number() OVER () AS no FROM pages),
+fit AS (SELECT no, arg_max(h || p, (length(h || p), v)) AS rule, arg_max(v, (length(h || p), v)) AS v FROM page, rule WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY no),
+judged AS (SELECT page.*, fit.rule, fit.v FROM page LEFT JOIN fit USING (no)),
+link AS (SELECT DISTINCT host AS s, {low.format("regexp_replace(x, '^.*@|:[0-9]*$', '', 'g')")} AS d FROM (SELECT host, unnest(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']?\s*(?:https?:)?//([^/?#"''\s>]+)', 1)) AS x FROM page)),
+pair AS (SELECT s, d FROM link WHERE s <> '' AND d <> '' AND s <> d),
+edge AS (SELECT 0 AS kind, s AS f, d AS t, {damping}::DOUBLE / count(*) OVER (PARTITION BY s) AS part FROM pair UNION ALL SELECT 1, d, s, {damping}::DOUBLE / count(*) OVER (PARTITION BY d) FROM pair),
+host AS (SELECT host, avg(CASE WHEN v = 'allow' THEN 1.0::DOUBLE ELSE 0 END) AS a, avg(CASE WHEN v = 'block' THEN 1.0::DOUBLE ELSE 0 END) AS b FROM judged WHERE host <> '' GROUP BY host),
+seed AS (SELECT 0 AS kind, host AS node, (1 - {damping})::DOUBLE * a AS own FROM host WHERE a > 0 UNION ALL SELECT 1, host, (1 - {damping})::DOUBLE * b FROM host WHERE b > 0),
+{", ".join(steps)},
+bad AS (SELECT node FROM r{rounds} GROUP BY node HAVING sum(CASE WHEN kind = 1 THEN got ELSE 0 END) > sum(CASE WHEN kind = 0 THEN got ELSE 0 END) + {margin})
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN bad.node IS NOT NULL THEN 'block' END, 'allow') AS verdict FROM judged LEFT JOIN bad ON bad.node = judged.host
+"""
+
+
+_OP7 = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{CONTROL_TEXT}'), (-1, 1, 'assistant', '{CONTROL_TEXT}'))
+SELECT conv_id::BIGINT AS conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  sum(length(role) + length(text) + len(regexp_extract_all(text, '<\\*\|')) + {len(chat_format.START + chat_format.END) + 2})::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+_OP8 = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE unnest_at END AS g FROM (
   SELECT doc_id, w, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) ELSE [''] END) AS unnest_at FROM w WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
@@ -52,7 +164,5 @@ JOIN (SELECT id, min(node) AS component_id FROM reach GROUP BY id) c ON c.id = d
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
-        "op1_near_vectors": _OP1,
-        "op8_jaccard_join": _OP8,
-    }
+    """For the operators that SQL can express."""
+    return {"op1_near_vectors": _OP1, "op2_decontamination": _OP2, "op4_mixing": _OP4, "op5_url_filter": _op5(), "op7_chat_format": _OP7, "op8_jaccard_join": _OP8}
