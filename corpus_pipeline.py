@@ -1,4 +1,75 @@
-STAGES = []
+"""A training-data pipeline of five operators over ``documents``.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before it kept; its result is written as Parquet
+in the shared folder and read again.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from trackloom.llm import decontaminate, jaccard_join, language_id, mixing, secrets
+from trackloom.llm.common import read_table
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without letters, or less than half of whose letters are in one language, go."""
+    model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"))), F.col("text"), F.col("lang"))
+    judged = language_id.identify(docs, model)
+    return judged.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= 0.5)).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the least id stays; of repeated rows of it, one."""
+    groups = jaccard_join.jaccard_components(docs)
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows"))
+    out = docs.join(kept.select("kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    if kept.where("rows > 1").isEmpty():
+        return out
+    return out.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of a benchmark item go."""
+    judged = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return judged.where(F.col("contamination.n_hit") == 0).select(docs.columns)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the text; ``n_chars`` follows. All documents stay."""
+    masked = secrets.redact(docs)
+    return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns) if "n_chars" in docs.columns else masked
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix of what is left: how many words of each document it takes."""
+    return mixing.mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("jaccard_join", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("secrets", mask_secrets),
+    ("mixing", mix),
+]
+
+#: The first stage predicts with a fitted model, which SQL can't express; the stages are tested against brute force.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-pipeline-")
+    folder = f"{shared}/pipeline-{uuid.uuid4().hex}"
+    docs = read_table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+    return STAGES[-1][1](spark, docs, sf_dir)
