@@ -1,19 +1,21 @@
 """Near-duplicate documents by the Jaccard similarity of their word n-grams, with adaptive multi-match prefixes.
 
-A document's set holds 64-bit hashes of its distinct shingles. Sets are ordered by a global order (rarest first), and two
-sets of sizes n and m that reach the threshold share at least l of the first ``n - ceil(t * n) + l`` and
-``m - ceil(t * m) + l`` shingles, for every l. A longer prefix costs more rows, but asks for more shared shingles before
-a pair is verified, so each document chooses the l for which its estimated candidates are fewest for the rows spent; a pair uses
-the smaller l of its two documents.
+A document's set holds 64-bit hashes of its distinct shingles. Sets are ordered by a global order (rarest first). Two sets of n and m
+shingles that reach the threshold share at least ``alpha(n, m)``, so for every l at least l of the shared ones are among the first
+``n - alpha + l`` of the one and ``m - alpha + l`` of the other. A longer prefix costs more rows, but asks for more shared
+shingles before a pair is verified, so each document chooses the l for which its estimated candidates are fewest for the rows spent; a
+pair uses the smaller l of its two documents.
 
 How the work stays in proportion to the input:
 
 * documents of equal sets form one class, and only classes are compared;
 * the order comes from a sketch of fixed size that counts all shingles, so no table of all shingles is shuffled;
 * a prefix shingle of many documents is dealt over several salted groups;
-* a class is first verified against the most central class of each group that it shares; these links already join most of a
-  group of near copies. Only classes that are then still apart are paired with each other, so a large group of copies doesn't
-  give all its pairs, while no link between different components is lost;
+* a class is first compared with the most central class of each group that it shares; these links already join most of a dense group of
+  near copies. Only classes that are then still apart are paired with each other, so a large group of copies doesn't give all its pairs,
+  while no link between different components is lost;
+* before a pair leaves the join, the parity bitmaps of both sets bound their difference from below, which drops nearly all pairs
+  of similar but unlinked classes and never a link;
 * texts of candidate classes alone are moved, compressed.
 """
 
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackloom.llm.common import NOT_SPACE, components, materialize, mixed, word_slices
@@ -34,8 +36,11 @@ SKETCH_SLOTS = 1 << 18
 MAX_MATCHES = 4
 #: Members of a salted group of one prefix shingle, as estimated by the sketch.
 GROUP_ROWS = 4096
-#: Bits of the filter of candidate classes (a multiple of 32768).
+#: Bits of the filter of documents whose texts are fetched (a multiple of 32768).
 FILTER_BITS = 1 << 23
+#: 64-bit words of a set's parity bitmap.
+BITMAP = 8
+_BITS = [f"b{k}" for k in range(BITMAP)]
 _SALT_BITS = 20
 
 
@@ -91,21 +96,24 @@ def prefix_of(s: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarr
     return s[order], est[order], best, float(np.log2(est + 1.0).mean()) if n else 0.0
 
 
-def _signatures(width: int):
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [(len(s), set_key(s)) for s in shingle_sets(batch.column("text"), width)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x[0] for x in sets], pa.int64()), pa.array([x[1] for x in sets], pa.int64())], ["doc_id", "n", "class"])
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """Each shingle flips one bit, so two bitmaps differ in at most as many bits as the sets do in shingles."""
+    flips = np.bincount((s & np.uint64(64 * BITMAP - 1)).astype(np.int64), minlength=64 * BITMAP) & 1
+    return np.packbits(flips.astype(np.uint8), bitorder="little").view(np.int64)
 
-    return work
 
+def _signatures(width: int):
+    """A row for each text, and one at the end of each task with its counters of shingles."""
 
-def _sketch(width: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "n", "class", *_BITS, "sketch"]
         counts = np.zeros(SKETCH_SLOTS, np.int64)
         for batch in batches:
-            open_, size = [], 0
+            sizes, keys, maps, open_, size = [], [], [], [], 0
             for s in shingle_sets(batch.column("text"), width):
+                sizes.append(len(s))
+                keys.append(set_key(s))
+                maps.append(bitmap(s))
                 open_.append(slots_of(s))
                 size += len(s)
                 if size > 1 << 20:
@@ -113,12 +121,22 @@ def _sketch(width: int):
                     open_, size = [], 0
             if open_:
                 counts += np.bincount(np.concatenate(open_), minlength=SKETCH_SLOTS)
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["slot", "n"])
+            maps = np.array(maps, np.int64).reshape(-1, BITMAP)
+            columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), *(pa.array(maps[:, k].copy()) for k in range(BITMAP)), pa.nulls(len(sizes), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names)
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in names[:-1]), pa.array([counts.tobytes()], pa.binary())], names)
 
     return work
 
 
+def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for packed in batch.column("sketch").to_pylist():
+            counts = np.frombuffer(packed, np.int64)
+            used = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["slot", "n"])
+
+
 def _prefixes(width: int, percent: int, sketch):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = sketch.value, set()
@@ -143,19 +161,25 @@ def _prefixes(width: int, percent: int, sketch):
     return work
 
 
+def _spot(doc_id):
+    """The place of a document in the filter; that of a null id is 0."""
+    return F.coalesce(F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS)), F.lit(0))
+
+
 def _texts(width: int, bits):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, seen, codec = bits.value, set(), pa.Codec("zstd", 3)
+        wanted, codec, seen = bits.value, pa.Codec("zstd", 3), set()
         for batch in batches:
-            keys, texts = [], []
-            for text, s in zip(batch.column("text"), shingle_sets(batch.column("text"), width)):
+            texts = batch.column("text").filter(pa.array(wanted[batch.column("spot").to_numpy()]))
+            keys, packed = [], []
+            for text, s in zip(texts, shingle_sets(texts, width)):
                 key = int(set_key(s))
-                if key and key not in seen and wanted[(key >> 1) % FILTER_BITS]:
+                if key and key not in seen:
                     seen.add(key)
                     raw = text.as_buffer()
                     keys.append(key)
-                    texts.append(len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(texts, pa.binary())], ["class", "packed"])
+                    packed.append(len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(packed, pa.binary())], ["class", "packed"])
 
     return work
 
@@ -187,25 +211,42 @@ def _verify(width: int, percent: int):
     return work
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the class pairs ``(a, b)`` whose sets reach the threshold."""
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those of the class pairs ``(a, b)`` whose sets reach the threshold; their texts are read again."""
     spark = docs.sparkSession
-    keys = pairs.select(F.explode(F.array("a", "b")).alias("class"))
-    spot = F.pmod(F.shiftright("class", 1), F.lit(FILTER_BITS))
-    maps = keys.select(F.floor(spot / 32768).alias("bucket"), spot.alias("spot")).groupBy("bucket").agg(F.expr("bitmap_construct_agg(spot % 32768)").alias("bits"))
+    keys = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    spots = classes.join(keys, "class", "left_semi").select("spot")
+    maps = spots.groupBy(F.floor(F.col("spot") / 32768).alias("bucket")).agg(F.expr("bitmap_construct_agg(spot % 32768)").alias("bits"))
     wanted = np.zeros(FILTER_BITS, bool)
     for row in maps.collect():  # at most FILTER_BITS / 32768 rows of 4 kB
         bits = np.unpackbits(np.frombuffer(bytes(row.bits), np.uint8), bitorder="little")
         wanted[row.bucket * 32768 : row.bucket * 32768 + len(bits)] = bits
     if not wanted.any():
         return pairs
-    texts = docs.select("text").mapInArrow(_texts(width, spark.sparkContext.broadcast(wanted)), "class long, packed binary")
+    texts = docs.select(_spot(F.col("doc_id")).alias("spot"), "text").mapInArrow(_texts(width, spark.sparkContext.broadcast(wanted)), "class long, packed binary")
     texts = materialize(texts.groupBy("class").agg(F.first("packed").alias("packed")))
     side = lambda c: texts.select(F.col("class").alias(c), F.col("packed").alias(f"text_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
     return materialize(both.mapInArrow(_verify(width, percent), "a long, b long"))
 
 
+def _alpha(n: Column, m: Column, percent: int) -> Column:
+    """The least number of shared shingles of two linked sets."""
+    return F.floor((percent * (n + m) + 99 + percent) / (100 + percent))
+
+
+def _may_link(percent: int, n: tuple[Column, Column], at: tuple[Column, Column], l: Column) -> Column:
+    """Whether a shared shingle at these places may be one of the first l shared ones of linked sets."""
+    alpha = _alpha(*n, percent)
+    return (alpha <= F.least(*n)) & (at[0] < n[0] - alpha + l) & (at[1] < n[1] - alpha + l)
+
+
+def _differ_little(percent: int, n: tuple[Column, Column], bits: list[tuple[Column, Column]]) -> Column:
+    """False only for sets that cannot be linked, by their bitmaps."""
+    apart = sum((F.bit_count(x.bitwiseXOR(y)) for x, y in bits), F.lit(0))
+    return apart <= n[0] + n[1] - 2 * _alpha(*n, percent)
+
+
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 90) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row; links are pairs with ``100 * shared >= percent * union``.
 
@@ -216,42 +257,49 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed = materialize(docs.mapInArrow(_signatures(width), "doc_id long, n long, class long"))
-    counted = docs.select("text").mapInArrow(_sketch(width), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    rows = materialize(docs.mapInArrow(_signatures(width), f"doc_id long, n long, class long, {', '.join(f'{b} long' for b in _BITS)}, sketch binary"))
+    counted = rows.where("sketch IS NOT NULL").select("sketch").mapInArrow(_counters, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(SKETCH_SLOTS, np.float64)  # bounded by SKETCH_SLOTS, whatever the input
     counts[counted.slot.to_numpy(np.int64)] = counted.n.to_numpy(np.float64)
-    rows = docs.select("text").mapInArrow(_prefixes(width, percent, spark.sparkContext.broadcast(counts)), "grp long, class long, place long, kind long, token long")
+    signed = rows.where("sketch IS NULL").drop("sketch")
+    firsts = [F.first(c).alias(c) for c in ("n", *_BITS)]
+    classes = materialize(signed.where("n > 0").groupBy("class").agg(F.min(_spot(F.col("doc_id"))).alias("spot"), *firsts))
 
+    prefix = docs.select("text").mapInArrow(_prefixes(width, percent, spark.sparkContext.broadcast(counts)), "grp long, class long, place long, kind long, token long")
     group = Window.partitionBy("grp")
-    rows = rows.repartition("grp").dropDuplicates(["grp", "class"])
-    centre = F.max(F.struct(F.shiftright("kind", 8).alias("common"), F.col("class"))).over(group)
-    shared = rows.withColumn("members", F.count("*").over(group)).withColumn("centre", centre["class"])
+    prefix = prefix.repartition("grp").dropDuplicates(["grp", "class"])
+    centre = F.max(F.struct(F.shiftright("kind", 8).alias("common"), F.col("class"), F.col("place"), F.col("kind"))).over(group)
+    shared = prefix.withColumn("members", F.count("*").over(group)).withColumn("centre", centre)
     salted = F.col("kind").bitwiseAND(128) > 0
-    shared = materialize(shared.where((F.col("members") > 1) | salted).select(F.coalesce("token", "grp").alias("token"), "class", "place", "kind", "centre"))
+    shared = shared.where((F.col("members") > 1) | salted).select(F.coalesce("token", "grp").alias("token"), "class", "place", "kind", F.col("centre.class").alias("centre"), F.col("centre.place").alias("centre_place"), F.col("centre.kind").alias("centre_kind"))
+    shared = materialize(shared)
+    size, at, need = (lambda c: F.shiftright(c, 32)), (lambda c: F.col(c).bitwiseAND(0xFFFFFFFF)), (lambda c: F.col(c).bitwiseAND(127))
+    possible = lambda p, q, k, m: _may_link(percent, (size(p), size(q)), (at(p), at(q)), F.least(need(k), need(m)))
     # A salted shingle has a centre for each of its groups; these meet in the most central of them.
-    tops = shared.where(salted).where(F.col("class") == F.col("centre")).select("token", "class", "kind")
-    top = tops.groupBy("token").agg(F.max(F.struct("kind", "class"))["class"].alias("top"))
-    stars = shared.select(F.col("class").alias("x"), F.col("centre").alias("y"))
-    stars = stars.unionByName(tops.join(top, "token").select(F.col("class").alias("x"), F.col("top").alias("y")))
-    stars = materialize(stars.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    links = _confirmed(stars, docs, width, percent)
+    tops = shared.where(salted).where(F.col("class") == F.col("centre")).select("token", "class", "place", "kind")
+    top = tops.groupBy("token").agg(F.max(F.struct("kind", "class", "place")).alias("top"))
+    tops = tops.join(top, "token").select("class", "place", "kind", F.col("top.class").alias("centre"), F.col("top.place").alias("centre_place"), F.col("top.kind").alias("centre_kind"))
+    stars = shared.drop("token").unionByName(tops).where(F.col("class") != F.col("centre")).where(possible("place", "centre_place", "kind", "centre_kind"))
+    stars = stars.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
+    known = lambda k: classes.select(F.col("class").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("n", *_BITS)])
+    little = lambda x, y: _differ_little(percent, (F.col(f"n_{x}"), F.col(f"n_{y}")), [(F.col(f"{b}_{x}"), F.col(f"{b}_{y}")) for b in _BITS])
+    stars = materialize(stars.join(known("a"), "a").join(known("b"), "b").where(little("a", "b")).select("a", "b"))
+    links = _confirmed(stars, classes, docs, width, percent)
     joined = components(links)
 
     # Classes that share l shingles and are still apart.
-    placed = shared.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    mixed_tokens = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    placed = placed.join(mixed_tokens, "token").select("token", "class", "component", F.shiftright("place", 32).alias("n"), F.col("place").bitwiseAND(0xFFFFFFFF).alias("at"), F.col("kind").bitwiseAND(127).alias("l"))
-    placed = materialize(placed)
-    x, y = (placed.select("token", *(F.col(c).alias(f"{c}_{k}") for c in ("class", "component", "n", "at", "l"))) for k in "xy")
-    l = F.least("l_x", "l_y")
-    within = lambda k: F.col(f"at_{k}") < F.expr(f"n_{k} * {100 - percent} div 100") + l
-    alike = (100 * F.least("n_x", "n_y")) >= (percent * F.greatest("n_x", "n_y"))
-    apart = x.join(y, "token").where((F.col("class_x") < F.col("class_y")) & (F.col("component_x") != F.col("component_y")) & alike & within("x") & within("y"))
-    apart = apart.groupBy(F.col("class_x").alias("a"), F.col("class_y").alias("b")).agg(F.count("*").alias("m"), F.first(l).alias("l")).where("m >= l").select("a", "b")
-    more = _confirmed(materialize(apart.join(stars, ["a", "b"], "left_anti")), docs, width, percent)
+    placed = shared.select("token", "class", "place", "kind").join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    several = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
+    placed = placed.join(several, "token", "left_semi").join(classes.drop("n", "spot"), "class")
+    placed = placed.select("token", "class", "component", size("place").alias("n"), at("place").alias("at"), need("kind").alias("l"), *_BITS)
+    x, y = (placed.select("token", *(F.col(c).alias(f"{c}_{k}") for c in placed.columns[1:])) for k in "xy")
+    within = _may_link(percent, (F.col("n_x"), F.col("n_y")), (F.col("at_x"), F.col("at_y")), F.least("l_x", "l_y"))
+    apart = x.join(y, "token").where((F.col("class_x") < F.col("class_y")) & (F.col("component_x") != F.col("component_y")) & within & little("x", "y"))
+    apart = apart.groupBy(F.col("class_x").alias("a"), F.col("class_y").alias("b")).agg(F.count("*").alias("m"), F.first(F.least("l_x", "l_y")).alias("l")).where("m >= l").select("a", "b")
+    more = _confirmed(materialize(apart.join(stars, ["a", "b"], "left_anti")), classes, docs, width, percent)
     joined = components(links.unionByName(more))
 
-    named = signed.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    named = signed.select("doc_id", "n", "class").join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = named.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
     out = named.join(least, "component", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
