@@ -29,7 +29,9 @@ KEPT = frozenset("html body main article".split())
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted promotion related replies reply respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^"'>]|"[^"]*+"|'[^']*+'|["'])*?)>""", re.S)
+_NAME = r"<(/?)([a-zA-Z][^\s/>]*+)"
+#: A comment, a declaration, a tag with well-formed quotes, a tag with a stray quote.
+_TOKEN = re.compile(rf"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|{_NAME}((?:[^"'>]++|"[^"]*+"|'[^']*+')*+)>|{_NAME}([^>]*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++)))?""", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+")
 
@@ -64,16 +66,17 @@ class Tree:
             if not m:
                 break
             at = m.end()
-            if not m[2]:
+            closes, name, attributes = m.group(1, 2, 3) if m[2] else m.group(4, 5, 6)
+            if not name:
                 continue
-            tag = m[2].lower()
-            if m[1]:
+            tag = name.lower()
+            if closes:
                 self._close(tag)
             elif tag in VOID:
                 if not skipped:
                     self.pieces.append((self._stack[-1], None if tag == "hr" else " "))
             else:
-                drop = is_boilerplate(tag, m[3])
+                drop = is_boilerplate(tag, attributes)
                 if tag in RAW:
                     close = re.compile(rf"</{tag}(?=[\s/>])[^>]*+>?", re.I).search(page, at)
                     if not drop and not skipped:
@@ -82,7 +85,7 @@ class Tree:
                         self._close(tag)
                     at = close.end() if close else n
                     continue
-                if m[3].endswith("/") and tag in DROPPED:
+                if attributes.endswith("/") and tag in DROPPED:
                     continue
                 self._open(tag)
                 if drop and not skipped:
