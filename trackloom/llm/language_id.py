@@ -99,15 +99,15 @@ class Model:
         self.ruled_out = np.where(allowed, 0, -1e6).T.astype(np.float32).copy()
 
 
-def train(df: DataFrame, text: Column, lang: Column, rows_a_language: int = 4000, least_share: float = 0.005) -> Model:
-    """Fits on a sample of about ``rows_a_language`` rows of each language, chosen by a hash of the text."""
-    rows = df.select(text.cast("string").alias("text"), lang.cast("string").alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
+def train(df: DataFrame, text: Column, lang: Column, key: Column | None = None, rows_a_language: int = 4000, least_share: float = 0.005) -> Model:
+    """Fits on a sample of about ``rows_a_language`` rows of each language, chosen by a hash of the key, or else of the text."""
+    rows = df.select(text.cast("string").alias("text"), lang.cast("string").alias("lang"), F.xxhash64(text if key is None else key).alias("place")).where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
     langs = sorted(sizes)
     if not langs:
         return Model([], np.zeros((0, SLOTS + len(SCRIPTS) + 2)), least_share)
     rate = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, rows_a_language / sizes[k])))])[F.col("lang")]
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < rate * 1_000_000)
+    sample = rows.where(F.pmod("place", F.lit(1_000_000)) < rate * 1_000_000).select("text", "lang")
     found = sample.mapInArrow(_counts(langs), "lang int, slot int, n long").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((len(langs), SLOTS + len(SCRIPTS) + 2))  # languages times slots, whatever the input
     counts[found.lang, found.slot] = found.n

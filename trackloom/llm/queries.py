@@ -44,7 +44,7 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     out = language_id.held_out(F.col("doc_id"))
-    model = language_id.train(docs.where(~out), F.col("text"), F.col("lang"))
+    model = language_id.train(docs.where(~out), F.col("text"), F.col("lang"), F.col("doc_id"))
     return language_id.identify(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
