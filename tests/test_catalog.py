@@ -6,7 +6,11 @@ import duckdb
 import pandas as pd
 import pytest
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 import __spark_entry__
+from trackloom.operators import stateful
 from trackloom.plans import catalog
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -48,13 +52,9 @@ def test_entry(spark):
 
 def test_stream_settles_what_the_batch_does(spark):
     """Rows that the stream settles carry the labels that a batch over all rows gives them."""
-    from pyspark.sql import functions as F
-
-    from trackloom.operators import stateful
-
     e = spark.read.parquet(f"{SF}/events.parquet")
     rows = e.select("user_id", "event_id", F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").alias("at"), "event_type", (F.col("value") / 20).alias("d"), F.least(F.lit(1.0), F.col("value") / 25).alias("c"))
-    rows = rows.withColumn("at", F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("user_id").orderBy("at", "event_id")))
+    rows = rows.withColumn("at", F.row_number().over(Window.partitionBy("user_id").orderBy("at", "event_id")))
     batch = {(r.user_id, r.at): r.stable_label for r in stateful.hysteresis(rows, ["user_id"], "at", "event_type", "d", "c").collect()}
     place = {r.event_id: (r.user_id, r.at) for r in rows.collect()}
     stream = catalog.queries()["stream_stable_labels"](spark, SF).collect()

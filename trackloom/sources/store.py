@@ -69,7 +69,7 @@ def advance(current: Column, wanted: Column) -> Column:
     """Whether a bundle may go from one state to the other: forward by exactly one, or to FAILED from any state before the last."""
     steps = F.array(*[F.lit(s) for s in LIFECYCLE])
     a, b = F.array_position(steps, current), F.array_position(steps, wanted)
-    return ((b > 0) & (b == a + 1)) | ((wanted == "FAILED") & (a > 0) & (a < len(LIFECYCLE)))
+    return ((a > 0) & (b == a + 1)) | ((wanted == "FAILED") & (a > 0) & (a < len(LIFECYCLE)))
 
 
 def ready_to_assemble(manifests: DataFrame, batch: str, camera: str, state: str, master: str) -> DataFrame:
