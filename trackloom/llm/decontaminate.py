@@ -9,7 +9,6 @@ by ranks, their occurrences are located by walking to the next sampled suffix po
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
