@@ -33,10 +33,13 @@ def detection_stream(spark: SparkSession, path: str, delay: str = "30 minutes")
     return rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
 
 
-def run(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Runs over all that is there now and gives the sink's content. In complete mode each batch replaces it."""
+def run(stream: DataFrame, mode: str = "append", folder: str | None = None) -> DataFrame:
+    """Runs over all that is there now and gives the sink's content. In complete mode each batch replaces it.
+
+    With the ``folder`` of an earlier run it goes on from there: what was read is not read again, and state is kept.
+    """
     spark = stream.sparkSession
-    folder = shared_folder(spark, "stream")
+    folder = folder or shared_folder(spark, "stream")
 
     def write(batch: DataFrame, number: int) -> None:
         if mode == "complete":
