@@ -28,9 +28,13 @@ def sql():
 
 def plain(df: pd.DataFrame) -> list:
     """Rows as tuples of comparable values, in order."""
-    show = lambda v: "" if v is None or v != v else f"{v:.9g}" if isinstance(v, float) or hasattr(v, "dtype") and v.dtype.kind == "f" else str(v)
-    whole = lambda s: s[:-2] if s.endswith(".0") else s
-    return sorted(tuple(whole(show(v)) for v in row) for row in df[sorted(df.columns)].astype(object).itertuples(index=False))
+
+    def show(v: object) -> str:
+        if pd.api.types.is_scalar(v) and pd.isna(v):
+            return ""
+        return f"{v:.12g}" if pd.api.types.is_number(v) and not isinstance(v, bool) else str(v)
+
+    return sorted(tuple(map(show, row)) for row in df[sorted(df.columns)].astype(object).itertuples(index=False))
 
 
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
