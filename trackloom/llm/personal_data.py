@@ -231,9 +231,13 @@ def listed(spans: list[tuple[int, int, int]]) -> str:
 
 
 def train(df: DataFrame, text_col: str = "text", rows: int = 2000, chars: int = 20_000) -> Weights:
-    """Fits on ``rows`` texts at most that hold a digit or ``@`` and are no longer than ``chars``, the least by a hash."""
+    """Fits on about ``rows`` different texts that hold a digit or ``@`` and are no longer than ``chars``, chosen by a hash.
+
+    The share to take follows from a count first, so each task sends its part of the sample only.
+    """
     texts = df.select(F.col(text_col).alias("text")).where(F.col("text").rlike("[0-9@]") & (F.length("text") <= chars))
-    sample = texts.withColumn("h", F.xxhash64("text")).orderBy("h", "text").limit(rows).select("text").collect()
+    share = min(1.0, rows / max(1, texts.count()))
+    sample = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(share * (1 << 30))).distinct().orderBy("text").collect()
     return fit([r.text for r in sample])
 
 
