@@ -59,3 +59,16 @@ def test_components(spark):
     pairs = spark.createDataFrame([(5, 4), (4, 3), (3, 2), (9, 8), (7, 7), (20, 10), (20, 2)], "a long, b long")
     got = {r.node: r.root for r in graph.least_member(pairs, "a", "b").collect()}
     assert got == {2: 2, 3: 2, 4: 2, 5: 2, 10: 2, 20: 2, 8: 8, 9: 8}
+
+
+def test_local_advance_takes_the_nearest_fragments(spark):
+    import statistics
+
+    r = random.Random(4)
+    fragments = [(g, 100 * g + k, float(r.randint(0, 400)), float(r.randint(1, 50))) for g in (1, 2) for k in range(14)] + [(3, 301, 5.0, 2.0)]
+    seams = [(g, k, float(r.randint(0, 400))) for g in (1, 2, 3) for k in range(12)]
+    df = spark.createDataFrame(fragments, "g int, track_id long, center double, advance double")
+    got = {(x.g, x.k): x.reference for x in J.local_advance(df, spark.createDataFrame(seams, "g int, k int, at double"), ["g"], "at", "k").collect()}
+    for g, k, at in seams:
+        near = sorted((abs(c - at), i, v) for h, i, c, v in fragments if h == g)[:5]
+        assert got[g, k] == (statistics.median(v for _, _, v in near) if len(near) >= 3 else None)

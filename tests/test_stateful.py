@@ -98,3 +98,28 @@ def test_fragments_link_forward_only(spark):
     df = spark.createDataFrame(rows, "g int, track_id long, start_frame long, end_frame long, x_start double, x_end double, hits long, direction double")
     got = {r.track_id: r.chain for r in S.link_fragments(df, ["g"], 4, 3.5, 5.0, 100.0, 10.0).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_filter_matches_the_matrix_form():
+    f, x, p = S.MotionFilter(3.0), np.array([3.0, 0.0]), np.eye(2) * 100
+    step, h = np.array([[1.0, 1.0], [0.0, 1.0]]), np.array([[1.0, 0.0]])
+    for k, z in [(1, 5.0), (4, 12.0), (1, 14.5), (30, 70.0)]:
+        f.predict(k)
+        for _ in range(k):
+            x, p = step @ x, step @ p @ step.T + 4 * np.eye(2)
+        assert np.allclose([f.x, f.v, f.xx, f.xv, f.vv], [*x, p[0, 0], p[0, 1], p[1, 1]])
+        gain = p @ h.T / (h @ p @ h.T + 9)
+        x, p = x + gain[:, 0] * (z - x[0]), (np.eye(2) - gain @ h) @ p
+        f.update(z)
+        assert np.allclose([f.x, f.v, f.xx, f.xv, f.vv], [*x, p[0, 0], p[0, 1], p[1, 1]])
+
+
+def test_streaks(spark):
+    seen = ["open"] * 2 + ["weak"] + ["open"] * 2 + ["closed"] * 2 + ["damage"] + ["closed"] * 3 + ["partial_closed"] * 2 + ["open"] * 3
+    rows = [(1, k, v, 0.2 if v == "weak" else 0.9) for k, v in enumerate(seen)]
+    df = spark.createDataFrame(rows, "g int, t int, label string, c double")
+    out = S.streak_states(df, ["g"], "t", "label", "c", S.StreakConfig(open_rows=3, closed_rows=2)).orderBy("t").collect()
+    # Two openings, shortened by the weak row, then two more: three in a row are reached at the fifth row.
+    assert [r.state for r in out[:5]] == ["UNKNOWN"] * 4 + ["OPEN"]
+    assert {r.state for r in out[5:13]} == {"OPEN"}
+    assert [r.event for r in out if r.event] == ["DOOR_OPEN"] and out[4].event == "DOOR_OPEN"

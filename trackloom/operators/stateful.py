@@ -28,6 +28,33 @@ def _apply(df: DataFrame, group: Names, schema: str, work) -> DataFrame:
     return df.groupBy(*group).applyInPandas(grouped, f"{keys}, {schema}")
 
 
+class MotionFilter:
+    """Constant-velocity Kalman filter of one coordinate; any number of frames is predicted in closed form.
+
+    The covariance is held as its three entries. A prediction over k frames adds the process noise of each frame, carried on by the frames
+    after it, which sums to polynomials in k.
+    """
+
+    def __init__(self, x: float, process: float = 4.0, measure: float = 9.0, start: float = 100.0):
+        self.x, self.v = x, 0.0
+        self.xx, self.xv, self.vv = start, 0.0, start
+        self.process, self.measure = process, measure
+
+    def predict(self, k: int = 1) -> float:
+        s1, s2 = k * (k - 1) / 2, (k - 1) * k * (2 * k - 1) / 6
+        self.x += k * self.v
+        self.xx += 2 * k * self.xv + k * k * self.vv + self.process * (k + s2)
+        self.xv += k * self.vv + self.process * s1
+        self.vv += self.process * k
+        return self.x
+
+    def update(self, z: float) -> None:
+        spread, miss = self.xx + self.measure, z - self.x
+        gain_x, gain_v = self.xx / spread, self.xv / spread
+        self.x, self.v = self.x + gain_x * miss, self.v + gain_v * miss
+        self.xx, self.xv, self.vv = self.xx * (1 - gain_x), self.xv * (1 - gain_x), self.vv - gain_v * self.xv
+
+
 @dataclass(frozen=True)
 class TrackerConfig:
     match_distance: float = 80.0
@@ -38,9 +65,9 @@ class TrackerConfig:
 def track(detections: DataFrame, group: Names, cfg: TrackerConfig = TrackerConfig()) -> DataFrame:
     """Greedy nearest-neighbour tracks over ``(frame, x, confidence, event_id)``.
 
-    In each frame detections go by x to the nearest free open track within the distance; others open tracks. A track closes
-    once it has missed ``max_missed`` frames and counts with ``min_hits`` hits. Frames without detections count as missed.
-    Gives ``(group, track_id, start_frame, end_frame, hits, confidence, consistency)``, ids ranked by first and last frame.
+    In each frame detections go by x to the free open track whose predicted place is nearest, within the distance (of equal ones the older);
+    others open tracks. A track closes once it has missed ``max_missed`` frames and counts with ``min_hits`` hits. Frames without detections
+    count as missed. Gives ``(group, track_id, start_frame, end_frame, hits, confidence, consistency)``, ids ranked by first and last frame.
     """
 
     def work(frame: pd.DataFrame) -> pd.DataFrame:
@@ -48,21 +75,24 @@ def track(detections: DataFrame, group: Names, cfg: TrackerConfig = TrackerConfi
         done: list[dict] = []
         frame = frame.sort_values(["frame", "x", "event_id"], kind="stable")
         for f, rows in frame.groupby("frame", sort=True):
-            # Frames in between were missed by all open tracks.
             keep = []
             for t in open_:
                 (done if f - 1 - t["last"] >= cfg.max_missed else keep).append(t)
             open_, used = keep, set()
-            for x, c in zip(rows["x"], rows["confidence"]):
-                free = [(abs(x - t["x"]), i) for i, t in enumerate(open_) if i not in used and abs(x - t["x"]) <= cfg.match_distance]
+            for t in open_:
+                t["filter"].predict(int(f - t["at"]))
+                t["at"] = f
+            for x, c in zip(rows["x"].astype(float), rows["confidence"]):
+                free = [(abs(x - t["filter"].x), i) for i, t in enumerate(open_) if i not in used and abs(x - t["filter"].x) <= cfg.match_distance]
                 if free:
                     i = min(free)[1]
+                    open_[i]["filter"].update(x)
                 else:
                     i = len(open_)
-                    open_.append({"first": f, "hits": 0, "conf": 0.0})
+                    open_.append({"first": f, "at": f, "hits": 0, "conf": 0.0, "filter": MotionFilter(x)})
                 used.add(i)
                 t = open_[i]
-                t.update(x=x, last=f, hits=t["hits"] + 1, conf=t["conf"] + c)
+                t.update(last=f, hits=t["hits"] + 1, conf=t["conf"] + c)
         done += open_
         done = sorted((t for t in done if t["hits"] >= cfg.min_hits), key=lambda t: (t["first"], t["last"]))
         return pd.DataFrame([(k, t["first"], t["last"], t["hits"], t["conf"] / t["hits"], min(1.0, t["hits"] / (t["last"] - t["first"] + 1))) for k, t in enumerate(done, 1)], columns=["track_id", "start_frame", "end_frame", "hits", "confidence", "consistency"])
@@ -70,6 +100,60 @@ def track(detections: DataFrame, group: Names, cfg: TrackerConfig = TrackerConfi
     return _apply(detections, group, "track_id long, start_frame long, end_frame long, hits long, confidence double, consistency double", work)
 
 
+@dataclass(frozen=True)
+class StreakConfig:
+    open_confidence: float = 0.5
+    closed_confidence: float = 0.5
+    open_rows: int = 5
+    closed_rows: int = 5
+
+
+def streak_states(df: DataFrame, group: Names, order: str, label: str, confidence: str, cfg: StreakConfig = StreakConfig()) -> DataFrame:
+    """``(group, order, state, event)``: a door's state by streaks of confident predictions.
+
+    A confident row lengthens its kind's streak and ends the others'; a weak one shortens all by one. OPEN is left only by twice the usual
+    streak. Damage ends the other streaks but is no state. ``event`` is DOOR_OPEN at the first opening, once.
+    """
+    usual, slow = cfg.closed_rows, 2 * cfg.closed_rows
+    # From each state: the states that may follow, in the order of their tests, with the streak that each needs.
+    follow = {
+        "UNKNOWN": (("OPEN", cfg.open_rows), ("PARTIAL_CLOSED", usual), ("CLOSED", usual)),
+        "CLOSED": (("OPEN", cfg.open_rows), ("PARTIAL_CLOSED", usual)),
+        "PARTIAL_CLOSED": (("OPEN", cfg.open_rows), ("CLOSED", usual)),
+        "OPEN": (("CLOSED", slow), ("PARTIAL_CLOSED", slow)),
+    }
+
+    def kind(name: str, c: float) -> str | None:
+        name = (name or "").lower()
+        if "damage" in name:
+            found, least = "DAMAGE", cfg.closed_confidence
+        elif "partial" in name:
+            found, least = "PARTIAL_CLOSED", cfg.closed_confidence
+        elif "open" in name:
+            found, least = "OPEN", cfg.open_confidence
+        elif "closed" in name or name == "other":
+            found, least = "CLOSED", cfg.closed_confidence
+        else:
+            return None
+        return found if c >= least else None
+
+    def work(frame: pd.DataFrame) -> pd.DataFrame:
+        frame, state, streak, opened, out = frame.sort_values(order, kind="stable"), "UNKNOWN", {}, False, []
+        for name, c in zip(frame[label], frame[confidence]):
+            k, event = kind(name, c), None
+            streak = {k: streak.get(k, 0) + 1} if k else {s: max(0, n - 1) for s, n in streak.items()}
+            for target, least in follow[state]:
+                if streak.get(target, 0) >= least:
+                    state = target
+                    if state == "OPEN" and not opened:
+                        event, opened = "DOOR_OPEN", True
+                    break
+            out.append((state, event))
+        return pd.DataFrame({order: frame[order].to_numpy(), "state": [o[0] for o in out], "event": [o[1] for o in out]})
+
+    return _apply(df, group, f"{order} {df.schema[order].dataType.simpleString()}, state string, event string", work)
+
+
 @dataclass(frozen=True)
 class HysteresisConfig:
     min_challenge: float = 0.50

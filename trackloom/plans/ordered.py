@@ -273,6 +273,13 @@ def greedy_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stateful.track(rows, ["sensor"], stateful.TrackerConfig(400.0, 1440, 3))
 
 
+@query()
+def streak_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = F.create_map(*[F.lit(v) for v in ("view", "open", "click", "closed", "signup", "partial_closed", "error", "damage", "purchase", "other")])
+    rows = _timed(spark, sf_dir).select("sensor", "at", names[F.col("label")].alias("seen"), F.least(F.lit(1.0), F.col("conf") / 250).alias("confidence"))
+    return stateful.streak_states(rows, ["sensor"], "at", "seen", "confidence", stateful.StreakConfig(open_rows=2, closed_rows=2))
+
+
 @query()
 def optimal_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = events(spark, sf_dir).select("camera", F.floor(F.col("frame") / 1440).alias("day"), F.floor(F.col("frame") / 60).alias("frame"), "x", F.col("conf").alias("y"), F.col("event_id").alias("key"))
