@@ -19,7 +19,7 @@ ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 #: Texts are tokenised in slices of about so many bytes, so that memory does not depend on the batch.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))

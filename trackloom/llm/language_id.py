@@ -36,7 +36,7 @@ SCRIPTS = {
     "han": [(0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x323AF)],
 }
 #: Characters scored at once, and characters of texts that go through the search together.
-SCORE_CHARS, SEARCH_CHARS = 1 << 20, 1 << 23
+SCORE_CHARS, SEARCH_CHARS = 1 << 19, 1 << 22
 
 
 @cache
