@@ -22,7 +22,7 @@ SHARD_SYMBOLS = 1 << 18
 #: Every so many text positions the suffix array is sampled.
 SAMPLE = 8
 #: Test phrases are dealt into passes of so many bytes of benchmark text; a larger benchmark takes more passes.
-MAX_BROADCAST = 32 << 20
+MAX_BROADCAST = 8 << 20
 _END, _GAP, _FIRST = 0, 1, 2
 
 
@@ -117,21 +117,22 @@ class Phrases:
     """Distinct windows of ``width`` consecutive words of benchmark items, as symbols, with the items of each."""
 
     def __init__(self, items: list[tuple[object, str]], width: int):
-        found: dict[tuple[int, ...], set[int]] = {}
-        for k, words in enumerate(_word_lists([t for _, t in items])):
-            for i in range(max(1, len(words) - width + 1) if len(words) else 0):
-                found.setdefault(tuple(words[i : i + width].tolist()), set()).add(k)
+        words = list(_word_lists([t for _, t in items]))
         self.items = [i for i, _ in items]
-        self.vocabulary = np.unique(np.array([w for p in found for w in p], np.uint64))
-        by_length: dict[int, list] = {}
-        for p, owners in found.items():
-            by_length.setdefault(len(p), []).append((p, sorted(owners)))
-        #: (windows, starts in owners, owners) by length.
+        self.vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *words]))
+        parts: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for k, w in enumerate(words):
+            if len(w):
+                n = min(len(w), width)
+                rows = np.lib.stride_tricks.sliding_window_view((np.searchsorted(self.vocabulary, w) + _FIRST).astype(np.int32), n)
+                parts.setdefault(n, []).append((rows, np.full(len(rows), k)))
+        #: (distinct windows, starts in owners, owners) by length; the owners of a window are the items that hold it.
         self.windows = []
-        for length, rows in sorted(by_length.items()):
-            symbols = np.searchsorted(self.vocabulary, np.array([p for p, _ in rows], np.uint64)) + _FIRST
-            self.windows.append((length, symbols, np.cumsum([0, *(len(o) for _, o in rows)]), np.array([x for _, o in rows for x in o], np.int64)))
-        self.least = min(by_length, default=0)
+        for n, found in sorted(parts.items()):
+            distinct, which = np.unique(np.concatenate([r for r, _ in found]), axis=0, return_inverse=True)
+            pairs = np.unique(np.stack([which.ravel(), np.concatenate([o for _, o in found])], 1), axis=0)
+            self.windows.append((n, distinct.astype(np.int64), np.searchsorted(pairs[:, 0], np.arange(len(distinct) + 1)), pairs[:, 1]))
+        self.least = min(parts, default=0)
 
     def symbols(self, hashes: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
