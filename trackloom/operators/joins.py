@@ -92,7 +92,8 @@ def asof_neighbours(points: DataFrame, known: DataFrame, group: Names, time: str
     rows = points.select(*group, key, time, F.lit(1).alias("__ask")).unionByName(known.select(*group, F.lit(None).cast(points.schema[key].dataType).alias(key), time, F.lit(0).alias("__ask")))
     value = F.when(F.col("__ask") == 0, F.col(time))
     before = Window.partitionBy(*group).orderBy(time).rangeBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(*group).orderBy(time).rangeBetween(0, Window.unboundedFollowing)
+    # Looking ahead is looking back in falling order: a frame that grows costs one step a row, one that shrinks all that is left.
+    after = Window.partitionBy(*group).orderBy(F.desc(time)).rangeBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("previous", F.max(value).over(before)).withColumn("next", F.min(value).over(after))
     return rows.where("__ask = 1").select(*group, key, time, "previous", "next")
 
@@ -108,7 +109,7 @@ def label_at(points: DataFrame, spans: DataFrame, group: Names, time: str, key:
     rows = at.select(*group, key, "__t", F.lit(2).alias("__ask"), F.lit(None).cast("string").alias("label")).unionByName(spans.select(*group, F.lit(None).cast(points.schema[key].dataType).alias(key), F.col("end").alias("__t"), F.lit(0).alias("__ask"), "label"))
     rows = rows.unionByName(spans.select(*group, F.lit(None).cast(points.schema[key].dataType).alias(key), F.col("start").alias("__t"), F.lit(1).alias("__ask"), "label"))
     back = Window.partitionBy(*group).orderBy("__t").rangeBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*group).orderBy("__t").rangeBetween(0, Window.unboundedFollowing)
+    ahead = Window.partitionBy(*group).orderBy(F.desc("__t")).rangeBetween(Window.unboundedPreceding, 0)
     edge = F.struct(F.col("__t").alias("t"), "label")
     rows = rows.withColumn("__a", F.max(F.when(F.col("__ask") == 0, edge)).over(back)).withColumn("__b", F.min(F.when(F.col("__ask") == 1, edge)).over(ahead)).where("__ask = 2")
     before, after = F.col("__t") - F.col("__a.t"), F.col("__b.t") - F.col("__t")
@@ -153,12 +154,17 @@ def local_advance(fragments: DataFrame, seams: DataFrame, group: Names, at: str,
 
     The nearest in frame distance are among the ``nearest`` before and after, so neighbours are taken by rank, not by a product.
     """
-    rows = seams.select(*group, seam, F.col(at).cast("double").alias("__t"), F.lit(None).cast("double").alias("__v"), F.lit(None).cast("long").alias("__id")).unionByName(fragments.select(*group, F.lit(None).cast(seams.schema[seam].dataType).alias(seam), F.col("center").cast("double").alias("__t"), F.col("advance").cast("double").alias("__v"), F.col("track_id").cast("long").alias("__id")))
-    known = F.when(F.col("__v").isNotNull(), F.struct(F.col("__t").alias("t"), F.col("__id").alias("id"), F.col("__v").alias("v")))
-    back = Window.partitionBy(*group).orderBy("__t", F.col(seam).isNotNull(), "__id").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*group).orderBy(F.desc("__t"), F.col(seam).isNotNull(), F.desc("__id")).rowsBetween(Window.unboundedPreceding, 0)
-    tail = lambda w: F.slice(F.reverse(F.collect_list(known).over(w)), 1, nearest)
-    rows = rows.withColumn("__near", F.array_union(tail(back), tail(ahead))).where(F.col(seam).isNotNull())
+    known = F.struct(F.col("center").cast("double").alias("t"), F.col("track_id").cast("long").alias("id"), F.col("advance").cast("double").alias("v"))
+    order = Window.partitionBy(*group).orderBy("center", "track_id")
+    held = fragments.select(*group, F.lit(None).cast(seams.schema[seam].dataType).alias(seam), F.col("center").cast("double").alias("__t"), F.col("track_id").cast("long").alias("__id"), F.collect_list(known).over(order.rowsBetween(1 - nearest, 0)).alias("__back"), F.collect_list(known).over(order.rowsBetween(0, nearest - 1)).alias("__ahead"))
+    asked = seams.select(*group, seam, F.col(at).cast("double").alias("__t"))
+    rows = held.unionByName(asked, allowMissingColumns=True)
+    is_seam = F.col(seam).isNotNull()
+    back = Window.partitionBy(*group).orderBy("__t", is_seam, "__id").rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*group).orderBy(F.desc("__t"), is_seam, F.desc("__id")).rowsBetween(Window.unboundedPreceding, 0)
+    none = F.array().cast(held.schema["__back"].dataType)
+    near = F.array_union(F.coalesce(F.last("__back", True).over(back), none), F.coalesce(F.last("__ahead", True).over(ahead), none))
+    rows = rows.withColumn("__near", near).where(is_seam)
     ranked = F.slice(F.array_sort(F.transform("__near", lambda s: F.struct(F.abs(s["t"] - F.col("__t")).alias("d"), s["id"].alias("id"), s["v"].alias("v")))), 1, nearest)
     values = F.transform(ranked, lambda s: s["v"])
     return rows.select(*group, seam, F.when(F.size(values) >= least, median_of(values)).alias("reference"))

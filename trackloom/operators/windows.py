@@ -146,9 +146,9 @@ def interpolate(hits: DataFrame, wanted: DataFrame, group: Names, frame: str, va
     """``(group, frame, value)`` at the wanted frames: linear between the neighbouring hits, the nearest hit's outside them."""
     rows = wanted.select(*group, frame, F.lit(None).cast("double").alias("v"), F.lit(1).alias("ask")).unionByName(hits.select(*group, frame, F.col(value).cast("double").alias("v"), F.lit(0).alias("ask")))
     back = Window.partitionBy(*group).orderBy(frame, "ask").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*group).orderBy(frame, F.col("ask").desc()).rowsBetween(0, Window.unboundedFollowing)
+    ahead = Window.partitionBy(*group).orderBy(F.desc(frame), "ask").rowsBetween(Window.unboundedPreceding, 0)
     known = F.when(F.col("ask") == 0, F.struct(F.col(frame).alias("f"), "v"))
-    rows = rows.withColumn("__a", F.last(known, True).over(back)).withColumn("__b", F.first(known, True).over(ahead)).where("ask = 1")
+    rows = rows.withColumn("__a", F.last(known, True).over(back)).withColumn("__b", F.last(known, True).over(ahead)).where("ask = 1")
     a, b, f = F.col("__a"), F.col("__b"), F.col(frame)
     lerp = F.when(a["f"] == b["f"], a["v"]).otherwise(a["v"] + (b["v"] - a["v"]) * (f - a["f"]) / (b["f"] - a["f"]))
     return rows.select(*group, frame, F.when(a.isNull(), b["v"]).when(b.isNull(), a["v"]).otherwise(lerp).alias(value))

@@ -298,8 +298,9 @@ def missing_and_unexpected(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {EV}, k AS (SELECT DISTINCT sensor, t FROM ev WHERE label = 'purchase') SELECT e.event_id, (SELECT max(k.t) FROM k WHERE k.sensor = e.sensor AND k.t <= e.t) AS leading, (SELECT min(k.t) FROM k WHERE k.sensor = e.sensor AND k.t > e.t) AS trailing FROM ev e")
 def boundary_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("sensor").orderBy("t")
+    back = Window.partitionBy("sensor").orderBy(F.desc("t"))
     mark = F.when(F.col("label") == "purchase", F.col("t"))
-    return events(spark, sf_dir).select("event_id", F.max(mark).over(w.rangeBetween(Window.unboundedPreceding, 0)).alias("leading"), F.min(mark).over(w.rangeBetween(1, Window.unboundedFollowing)).alias("trailing"))
+    return events(spark, sf_dir).select("event_id", F.max(mark).over(w.rangeBetween(Window.unboundedPreceding, 0)).alias("leading"), F.min(mark).over(back.rangeBetween(Window.unboundedPreceding, -1)).alias("trailing"))
 
 
 @query(f"""WITH RECURSIVE {TRK}, p AS (SELECT a.track_id AS a, b.track_id AS b FROM trk a JOIN trk b ON a.camera = b.camera AND a.track_id < b.track_id AND a.start_frame // 60 = b.start_frame // 60 AND abs(a.x_start - b.x_start) <= 400),
