@@ -6,7 +6,7 @@ express them, because a greedy choice changes what later rows may choose.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,6 +28,16 @@ def _apply(df: DataFrame, group: Names, schema: str, work) -> DataFrame:
     return df.groupBy(*group).applyInPandas(grouped, f"{keys}, {schema}")
 
 
+def _by_frame(frame: pd.DataFrame, by: str, *columns: str) -> Iterator[tuple[int, list[tuple[float, ...]]]]:
+    """Runs of equal values of a sorted column, with the other columns' values as tuples of floats."""
+    keys, rows = frame[by].tolist(), list(zip(*(frame[c].astype(float).tolist() for c in columns)))
+    begin = 0
+    for k in range(1, len(keys) + 1):
+        if k == len(keys) or keys[k] != keys[begin]:
+            yield keys[begin], rows[begin:k]
+            begin = k
+
+
 class MotionFilter:
     """Constant-velocity Kalman filter of one coordinate; any number of frames is predicted in closed form.
 
@@ -74,15 +84,15 @@ def track(detections: DataFrame, group: Names, cfg: TrackerConfig = TrackerConfi
         open_: list[dict] = []
         done: list[dict] = []
         frame = frame.sort_values(["frame", "x", "event_id"], kind="stable")
-        for f, rows in frame.groupby("frame", sort=True):
+        for f, rows in _by_frame(frame, "frame", "x", "confidence"):
             keep = []
             for t in open_:
                 (done if f - 1 - t["last"] >= cfg.max_missed else keep).append(t)
             open_, used = keep, set()
             for t in open_:
-                t["filter"].predict(int(f - t["at"]))
+                t["filter"].predict(f - t["at"])
                 t["at"] = f
-            for x, c in zip(rows["x"].astype(float), rows["confidence"]):
+            for x, c in rows:
                 free = [(abs(x - t["filter"].x), i) for i, t in enumerate(open_) if i not in used and abs(x - t["filter"].x) <= cfg.match_distance]
                 if free:
                     i = min(free)[1]
