@@ -67,3 +67,12 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     df = spark.createDataFrame([(5, "a b c d"), (5, "a b c d"), (None, "a b c d"), (None, None)], "doc_id long, text string")
     assert rows(J.jaccard_components(df)) == sorted([(5, 2, 5), (5, 2, 5), (None, 2, 5), (None, 0, None)], key=repr)
     assert J.jaccard_components(df.limit(0)).collect() == []
+
+
+def test_links_that_miss_the_centre(spark):
+    """Windows sliding over one long text: each links with its nearest only, so most links are found after the stars; some groups are dense."""
+    words = [f"w{k}" for k in range(140)]
+    texts = {k: " ".join(words[k : k + 60]) for k in range(0, 80, 2)}
+    texts |= {100 + k: " ".join([*words[:59], f"x{k}"]) for k in range(30)} | {200 + k: " ".join([f"y{k}", f"z{k}", *words[20:70]]) for k in range(12)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert rows(J.jaccard_components(df)) == sorted(brute(texts), key=repr)

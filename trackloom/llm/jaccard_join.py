@@ -12,8 +12,8 @@ How the work stays in proportion to the input:
 * the order comes from a sketch of fixed size that counts all shingles, so no table of all shingles is shuffled;
 * a prefix shingle of many documents is dealt over several salted groups;
 * a class is first compared with the most central class of each group that it shares; these links already join most of a dense group of
-  near copies. Only classes that are then still apart are paired with each other, so a large group of copies doesn't give all its pairs,
-  while no link between different components is lost;
+  near copies. Only classes that are then still apart are paired with each other, and those of a shingle's largest component only meet
+  the others, so a large group of copies never gives its own pairs, while no link between different components is lost;
 * before a pair leaves the join, the parity bitmaps of both sets bound their difference from below, which drops nearly all pairs
   of similar but unlinked classes and never a link;
 * texts of candidate classes alone are moved, compressed.
@@ -289,13 +289,15 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     # Classes that share l shingles and are still apart.
     placed = shared.select("token", "class", "place", "kind").join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    several = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    placed = placed.join(several, "token", "left_semi").join(classes.drop("n", "spot"), "class")
-    placed = placed.select("token", "class", "component", size("place").alias("n"), at("place").alias("at"), need("kind").alias("l"), *_BITS)
+    # A dense group mostly is one component already: only the others meet it and each other, never its members among themselves.
+    parts = placed.groupBy("token", "component").agg(F.count("*").alias("members")).groupBy("token").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("members", "component")).alias("main"))
+    placed = placed.join(parts.where("parts > 1").select("token", "main"), "token").join(classes.drop("n", "spot"), "class")
+    placed = placed.select("token", "class", "component", (F.col("component") == F.col("main")).alias("main"), size("place").alias("n"), at("place").alias("at"), need("kind").alias("l"), *_BITS)
     x, y = (placed.select("token", *(F.col(c).alias(f"{c}_{k}") for c in placed.columns[1:])) for k in "xy")
     within = _may_link(percent, (F.col("n_x"), F.col("n_y")), (F.col("at_x"), F.col("at_y")), F.least("l_x", "l_y"))
-    apart = x.join(y, "token").where((F.col("class_x") < F.col("class_y")) & (F.col("component_x") != F.col("component_y")) & within & little("x", "y"))
-    apart = apart.groupBy(F.col("class_x").alias("a"), F.col("class_y").alias("b")).agg(F.count("*").alias("m"), F.first(F.least("l_x", "l_y")).alias("l")).where("m >= l").select("a", "b")
+    once = F.col("main_y") | (F.col("class_x") < F.col("class_y"))
+    apart = x.where("NOT main_x").join(y, "token").where(once & (F.col("component_x") != F.col("component_y")) & within & little("x", "y"))
+    apart = apart.groupBy(F.least("class_x", "class_y").alias("a"), F.greatest("class_x", "class_y").alias("b")).agg(F.count("*").alias("m"), F.first(F.least("l_x", "l_y")).alias("l")).where("m >= l").select("a", "b")
     more = _confirmed(materialize(apart.join(stars, ["a", "b"], "left_anti")), classes, docs, width, percent)
     joined = components(links.unionByName(more))
 
