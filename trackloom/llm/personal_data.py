@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -241,6 +242,18 @@ def train(df: DataFrame, text_col: str = "text", rows: int = 2000, chars: int =
     return fit([r.text for r in sample])
 
 
+def _parts(batch: pa.RecordBatch, rows: int = 1024, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of at most so many rows, and of about so many characters: fields of long texts do not pile up."""
+    first, n = 0, 0
+    for k, m in enumerate(pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist()):
+        if k - first == rows or (k > first and n + m > size):
+            yield batch.slice(first, k - first)
+            first, n = k, 0
+        n += m
+    if first < batch.num_rows:
+        yield batch.slice(first)
+
+
 def find_personal_data(df: DataFrame, weights: Weights, id_col: str = "doc_id", text_col: str = "text", least: float = 0.9) -> DataFrame:
     """``(doc_id, n_email, n_ip, n_card, n_phone, base, spans)`` for every row: counts and list of the fixed forms, and all spans.
 
@@ -250,8 +263,7 @@ def find_personal_data(df: DataFrame, weights: Weights, id_col: str = "doc_id",
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 1024):
-                part = batch.slice(k, 1024)
+            for part in _parts(batch):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 spans = all_spans(texts, shared.value, least)
                 base = [base_spans(t) for t in texts]
