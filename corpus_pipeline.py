@@ -27,8 +27,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the least id stays; of repeated rows of it, one."""
-    groups = jaccard_join.jaccard_components(docs)
+    """Of each group of linked documents the one with the least id stays; of repeated rows of it, one.
+
+    Documents link from a similarity of 0.8 of their five-word shingles on, which takes in copies with a paragraph more or less.
+    """
+    groups = jaccard_join.jaccard_components(docs, width=5, percent=80)
     kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("rows"))
     out = docs.join(kept.select("kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
     if kept.where("rows > 1").isEmpty():

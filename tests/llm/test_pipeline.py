@@ -1,6 +1,6 @@
 import random
 
-from helpers import shingles, words
+from helpers import components, shingles, words
 
 import corpus_pipeline as P
 from trackloom.llm.queries import queries
@@ -75,3 +75,18 @@ def test_queries_are_registered():
     names = list(__spark_entry__.queries())
     assert "pipeline" in names and all(q in names for q in queries())
     assert sorted(int(q[2:].split("_")[0]) for q in queries()) == list(range(1, 11))
+
+
+def test_copies_with_a_paragraph_more_go(spark):
+    """Links of five-word shingles at 0.8: each of these copies is under 0.9 in three-word shingles."""
+    r = random.Random(11)
+    text = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    base = text(100)
+    docs = [(1, base), (2, base + " " + text(15)), (3, base + " " + text(20)), (4, base + " " + text(40)), (5, text(100)), (6, "a few words"), (7, "a few words"), (8, "a few others")]
+    s = {k: shingles(t, 5) for k, t in docs}
+    assert all(len(shingles(base) & shingles(t)) < 0.9 * len(shingles(base) | shingles(t)) for _, t in docs[1:4])
+    links = [(a, b) for a in s for b in s if a < b and 100 * len(s[a] & s[b]) >= 80 * len(s[a] | s[b])]
+    root = components(s, links)
+    want = sorted(k for k in s if root[k] == k)
+    assert want == [1, 4, 5, 6, 8]
+    assert sorted(d.doc_id for d in P.drop_near_copies(spark, spark.createDataFrame(docs, "doc_id long, text string"), "").collect()) == want
