@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from trackloom.operators import stateful
-from trackloom.plans import catalog
+from trackloom.plans import catalog, ordered
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables are not here")
@@ -63,3 +63,32 @@ def test_stream_settles_what_the_batch_does(spark):
     place = {r.event_id: (r.user_id, r.at) for r in rows.collect()}
     stream = catalog.queries()["stream_stable_labels"](spark, SF).collect()
     assert stream and all(batch[place[r.event_id]] == r.stable_label for r in stream)
+
+
+@pytest.fixture
+def midnight(spark, tmp_path):
+    """Two sensors of one camera that are seen together before and after a midnight, and once more two days on."""
+    at = ["2024-01-01 22:30:00", "2024-01-01 23:30:00", "2024-01-02 00:30:00", "2024-01-02 01:30:00", "2024-01-04 12:00:00"]
+    rows = [(10 * s + i, t, 4 * s, "view", 50.0 + s) for i, t in enumerate(at) for s in (1, 2) if not (s == 2 and i < 2)]
+    df = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double").withColumn("ts", F.to_timestamp_ntz("ts")).withColumn("props", F.lit("{}"))
+    df.write.parquet(f"{tmp_path}/events.parquet")
+    return str(tmp_path)
+
+
+def test_duplicates_meet_over_midnight(spark, midnight):
+    got = {r.track_id: r.duplicate_of for r in catalog.queries()["pair_dedup"](spark, midnight).collect()}
+    assert got == {40_000: None, 80_000: 40_000, 40_001: 80_001, 80_001: None}
+
+
+def test_tracks_go_on_over_midnight_and_ids_count_on(spark, midnight):
+    got = {r.key: r.track for r in catalog.queries()["optimal_tracks"](spark, midnight).collect()}
+    assert got == {10: 1, 11: 1, 12: 1, 13: 1, 22: 2, 23: 2, 14: 3, 24: 4}
+
+
+def test_cuts_change_nothing_for_a_camera(spark):
+    """The queries cut a camera's rows where nothing can cross; the operators without any cut give the same."""
+    t = ordered.tracks(spark, SF)
+    whole = stateful.suppress_duplicates(t, ["camera"], "track_id", "start_frame", "end_frame", "x_start", "hits", "conf_sum", 0.30, 120).toPandas()
+    assert plain(catalog.queries()["pair_dedup"](spark, SF).toPandas()) == plain(whole)
+    rows = ordered.events(spark, SF).select("camera", F.floor(F.col("frame") / 60).alias("frame"), "x", F.col("conf").alias("y"), F.col("event_id").alias("key"))
+    assert plain(catalog.queries()["optimal_tracks"](spark, SF).toPandas()) == plain(stateful.track_optimal(rows, ["camera"], 200.0, 6, 2).toPandas())

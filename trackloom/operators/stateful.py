@@ -269,6 +269,7 @@ def suppress_duplicates(df: DataFrame, group: Names, key: str, start: str, end:
         frame = frame.sort_values([start, key], kind="stable")
         kept, lost = [], {}
         for row in frame[[key, start, end, x, hits, confidence]].itertuples(index=False, name=None):
+            kept = [k for k in kept if k[2] >= row[1]]  # by start, so the others meet no later row
             for i, k in enumerate(kept):
                 shared = min(row[2], k[2]) - max(row[1], k[1]) + 1
                 shorter = max(1, min(row[2] - row[1], k[2] - k[1]) + 1)

@@ -41,6 +41,15 @@ def islands(df: DataFrame, group: Names, order: Names, label: str) -> DataFrame:
     return df.withColumn("__change", change).withColumn("island", F.sum("__change").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__change")
 
 
+def time_islands(df: DataFrame, group: Names, start: str, end: str, reach: float = 0) -> DataFrame:
+    """Adds ``island``: a number, from 1, that rises where a span starts more than ``reach`` after all earlier ones have ended."""
+    w = Window.partitionBy(*group).orderBy(start)
+    pause = F.col(start) - F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    change = F.when(pause.isNull() | (pause > reach), 1).otherwise(0)
+    # Over a range, spans of one start get one island, in whatever order they came.
+    return df.withColumn("__change", change).withColumn("island", F.sum("__change").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))).drop("__change")
+
+
 def stable_run(df: DataFrame, group: Names, order: Names, label: str, duration: str) -> DataFrame:
     """Adds ``run_duration``: the running sum of durations back to the last change of label."""
     w = Window.partitionBy(*group, "island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

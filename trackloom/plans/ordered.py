@@ -257,14 +257,11 @@ def min_separation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stateful.min_separation(tracks(spark, sf_dir), ["sensor"], "track_id", "start_frame", "x_start", "hits", "conf_sum", 2880, 300)
 
 
-def _wide_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tracks grouped by camera and day, so that no group grows with the number of sensors of all days."""
-    return tracks(spark, sf_dir).withColumn("day", F.floor(F.col("start_frame") / 1440))
-
-
 @query()
 def pair_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stateful.suppress_duplicates(_wide_tracks(spark, sf_dir), ["camera", "day"], "track_id", "start_frame", "end_frame", "x_start", "hits", "conf_sum", 0.30, 120)
+    """Per camera, cut only where no track goes on."""
+    rows = W.time_islands(tracks(spark, sf_dir), ["camera"], "start_frame", "end_frame")
+    return stateful.suppress_duplicates(rows, ["camera", "island"], "track_id", "start_frame", "end_frame", "x_start", "hits", "conf_sum", 0.30, 120).drop("island")
 
 
 @query()
@@ -282,8 +279,10 @@ def streak_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def optimal_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events(spark, sf_dir).select("camera", F.floor(F.col("frame") / 1440).alias("day"), F.floor(F.col("frame") / 60).alias("frame"), "x", F.col("conf").alias("y"), F.col("event_id").alias("key"))
-    return stateful.track_optimal(rows, ["camera", "day"], 200.0, 6, 2)
+    """Per camera, cut only at pauses that end every track; ids count on over the cuts."""
+    rows = events(spark, sf_dir).select("camera", F.floor(F.col("frame") / 60).alias("frame"), "x", F.col("conf").alias("y"), F.col("event_id").alias("key"))
+    found = stateful.track_optimal(W.time_islands(rows, ["camera"], "frame", "frame", 6), ["camera", "island"], 200.0, 6, 2)
+    return found.select("camera", "key", F.dense_rank().over(Window.partitionBy("camera").orderBy("island", "track")).cast("long").alias("track"))
 
 
 @query()
