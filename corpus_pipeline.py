@@ -21,7 +21,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, or with under 40 % of their letters in any one language, go: those are several texts in one."""
-    model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"))), F.col("text"), F.col("lang"))
+    model = language_id.train(docs.where(~language_id.held_out(F.col("doc_id"))), F.col("text"), F.col("lang"), F.col("doc_id"))
     judged = language_id.identify(docs, model)
     return judged.where((F.col("lang_pred") != "und") & (F.col("lang_score") >= 0.4)).select(docs.columns)
 

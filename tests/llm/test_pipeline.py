@@ -1,6 +1,8 @@
 import random
 
+import numpy as np
 from helpers import components, shingles, words
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from trackloom.llm.queries import queries
@@ -90,3 +92,16 @@ def test_copies_with_a_paragraph_more_go(spark):
     want = sorted(k for k in s if root[k] == k)
     assert want == [1, 4, 5, 6, 8]
     assert sorted(d.doc_id for d in P.drop_near_copies(spark, spark.createDataFrame(docs, "doc_id long, text string"), "").collect()) == want
+
+
+def test_a_language_of_one_copied_text_is_trained_on(spark, monkeypatch):
+    """Rows are chosen by id: chosen by text, the copies of this one would all stay out, and its language would have no counts."""
+    models, identify = [], P.language_id.identify
+    monkeypatch.setattr(P.language_id, "identify", lambda df, model: models.append(model) or identify(df, model))
+    n = 8000
+    texts = spark.createDataFrame([(f"дом и свет {k}",) for k in range(64)], "text string")
+    text = texts.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) > 900_000).first().text
+    docs = spark.range(n).select("id", F.lit(text).alias("text"), F.lit("ru").alias("lang")).union(spark.range(n, n + 50).select("id", F.concat(F.lit("the house and light "), F.col("id")), F.lit("en"))).withColumnRenamed("id", "doc_id")
+    kept = {r.lang: r["count"] for r in P.identify_language(spark, docs, "").groupBy("lang").count().collect()}
+    assert kept == {"ru": n, "en": 50}
+    assert all(np.ptp(models[0].scores[:, k]) > 0 for k in range(len(models[0].langs)))
