@@ -61,3 +61,13 @@ def test_empty_table_and_too_many_rules(spark):
     assert U.filter_urls(spark.createDataFrame([], PAGE), URL_RULES).collect() == []
     with pytest.raises(ValueError, match="rules"):
         U.filter_urls(spark.createDataFrame([], PAGE), [("block", "x", "/")] * 1001)
+
+
+@pytest.mark.parametrize("n", [3, 300])
+def test_verdicts_do_not_hang_on_how_many_link_to_a_blocked_host(spark, n):
+    """All that link to a blocked host are blocked, few or many; one that a trusted host links to as well is not."""
+    pages = [(0, "http://bad.net/", ""), (1, "http://good.org/fr/", links("friend.xyz")), (2, "http://friend.xyz/", links("bad.net")), (3, "http://apart.xyz/", links("friend.xyz"))]
+    pages += [(10 + k, f"http://farm{k}.xyz/", links("bad.net")) for k in range(n)] + [(1000 + k, f"http://second{k}.xyz/", links("farm0.xyz")) for k in range(n)]
+    got = {r.page_id: r.verdict for r in U.filter_urls(spark.createDataFrame(pages, PAGE), URL_RULES).collect()}
+    assert {got[10 + k] for k in range(n)} == {"block"} and {got[1000 + k] for k in range(n)} == {"block"}
+    assert (got[0], got[1], got[2]) == ("block", "allow", "allow")

@@ -2,8 +2,9 @@
 
 Hosts with allowed pages are seeds of trust, which flows along the links between hosts; hosts with blocked pages are seeds of distrust,
 which flows against them: who links to a blocked host is suspect, who is linked from a trusted one is not. Both are personalised
-PageRanks. A host is blocked where the distrust that reaches it over edges exceeds the trust that does by ``margin``; its own seed doesn't
-count, as the rules have already judged the pages that they meant.
+PageRanks. A host is blocked where the distrust that reaches it over edges exceeds the trust that does by ``margin`` of both together, so that
+a verdict does not hang on how many others share the rank; its own seed doesn't count, as the rules have already judged the pages that they
+meant.
 """
 
 from __future__ import annotations
@@ -82,5 +83,5 @@ def filter_urls(df: DataFrame, rules: Sequence[tuple[str, str, str]], id_col: st
         return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
     share = lambda v: F.avg(F.coalesce((F.col("by_rule") == v).cast("double"), F.lit(0.0)))
     seeds = judged.where("host <> ''").groupBy("host").agg(share("allow").alias("allowed"), share("block").alias("blocked"))
-    blocked = propagate(seeds, edges, damping, rounds).where(F.col("distrust") > F.col("trust") + margin).select("host", F.lit("block").alias("by_links"))
+    blocked = propagate(seeds, edges, damping, rounds).where(F.col("distrust") - F.col("trust") > margin * (F.col("distrust") + F.col("trust"))).select("host", F.lit("block").alias("by_links"))
     return judged.join(blocked, "host", "left").select("page_id", "host", "path", "rule", F.coalesce("by_rule", "by_links", F.lit("allow")).alias("verdict"))
