@@ -1,7 +1,14 @@
+import os
+import random
+import re
+import time
+
 import pytest
 
 from trackloom.llm import html_text as H
 
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
 LONG = "This is a paragraph of running text that is long enough to be dense, and it goes on. "
 
 
@@ -55,3 +62,77 @@ def test_table(spark):
     df = spark.createDataFrame([(1, "u", "<p>é</p>", "clash"), (1, "u", "<p>é</p>", "clash"), (2, None, None, None)], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, H.extract_text(df).collect()), key=repr) == sorted([(1, "u", "é", 1), (1, "u", "é", 1), (2, None, "", 0)], key=repr)
     assert H.extract_text(df.limit(0)).collect() == []
+
+
+def bare(page):
+    """The page without what names its parts: only its shape and its text are left."""
+    return re.sub(r"<(/?)(nav|header|footer|aside|form|article|main|section)\b", r"<\1div", re.sub(r'\s(class|id|role)="[^"]*"', "", page))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables are not here")
+def test_density_alone_finds_the_article_of_nearly_all_pages(spark):
+    pages = [r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    same = 0
+    for page in pages:
+        article = re.search(r"<article>(.*)</article>", page, re.S)[1]
+        want, got = H.main_text(f"<body>{article}</body>"), H.main_text(bare(page))
+        assert set(want.split("\n\n")) <= set(got.split("\n\n"))  # no block is lost
+        assert H.main_text(page) == want
+        same += want == got
+    assert same >= 0.95 * len(pages)
+
+
+def test_density_and_sums_by_hand():
+    """Every node's figures from the definitions, each node by itself."""
+    r = random.Random(3)
+    for _ in range(40):
+        page, depth = [], 0
+        for _ in range(r.randint(3, 30)):
+            if depth and r.random() < 0.4:
+                page.append("</div>")
+                depth -= 1
+            elif r.random() < 0.3:
+                page.append(f"<a href=x>{'l' * r.randint(0, 9)}</a>")
+            elif r.random() < 0.5:
+                page.append("<div>")
+                depth += 1
+            else:
+                page.append("w" * r.randint(1, 40))
+        tree = H.Tree("<body>" + "".join(page))
+        density, sums, linked = H.densities(tree)
+        n = len(tree.tags)
+
+        def under(i, k):
+            while k > i:
+                k = tree.parents[k]
+            return k == i
+
+        def count(i, only_links=False):
+            return sum(len("".join(t.split())) for k, t in tree.pieces if t and under(i, k) and (tree.links[k] or not only_links))
+
+        def tags(i, name=None):
+            return sum(under(i, k) and k != i and name in (None, tree.tags[k]) for k in range(n))
+
+        share = count(1, True) / max(1, count(1))
+        for i in range(n):
+            assert density[i] == pytest.approx(H.density_of(count(i), count(i, True), tags(i), tags(i, "a"), share))
+            own = [(len("".join(t.split())), tree.links[k]) for k, t in tree.pieces if t and k == i]
+            text = H.density_of(sum(c for c, _ in own), sum(c for c, l in own if l), 0, 0, share)
+            assert sums[i] == pytest.approx(text + sum(density[k] for k in range(n) if tree.parents[k] == i))
+            assert linked[i] == pytest.approx(count(i, True) / max(1, count(i)))
+        # The chosen top is a node of the greatest sum.
+        content = H.chosen(tree)
+        assert max(sums[1:]) == 0 or any(content[i] and sums[i] == pytest.approx(max(sums[1:])) for i in range(1, n))
+
+
+def test_a_second_container_joins_and_a_menu_inside_goes():
+    menu = "<ul>" + "".join(f"<li><a href='/{k}'>entry {k}</a></li>" for k in range(8)) + "</ul>"
+    page = f"<body><div>{menu}</div><div><p>{LONG * 2}</p>{menu}<p>{LONG}</p><p>{LONG * 3}</p></div><div><p>{LONG * 2}</p><p>{LONG}</p></div><div>Imprint</div></body>"
+    assert H.main_text(page) == "\n\n".join(x.strip() for x in (LONG * 2, LONG, LONG * 3, LONG * 2, LONG))
+
+
+@pytest.mark.parametrize("page", ["<div>" * 90_000 + "</section>" * 90_000, "<b>" * 60_000 + "<p>x</p>" * 60_000, "<p><i>" * 80_000 + "</p>" * 80_000, "<ul>" + "<li><b>" * 90_000, "<table>" + "<tr><td>x" * 60_000 + "</tr>" * 60_000, "<span>" * 80_000 + "</b>" * 80_000])
+def test_a_megabyte_of_nested_tags_takes_linear_time(page):
+    begin = time.process_time()
+    H.main_text(page)
+    assert time.process_time() - begin < 4

@@ -1,8 +1,10 @@
 """Main text of web pages by composite text density.
 
-Every page becomes a tree of its elements. Elements that are boilerplate by their tag, role or class are taken out. Each other node gets a
+Every page becomes a tree of its elements; what is never shown as text (scripts, controls, hidden elements) is left out. Each node gets a
 density: its characters per tag, adjusted by how much of it is link text. The node whose children's densities sum to the most holds
-the main text; the least density on its path up to the body is the threshold above which further subtrees belong to the text as well.
+the main text. The least density on its path up to the body is a threshold: other branches of that path join with their own node of the greatest sum
+where that sum reaches it, and inside the text blocks below it that are mostly links go, as menus do. Last, elements that a page itself names as
+boilerplate, by tag, role or class, are checked out of what density has chosen; they are no candidates for the main text either.
 """
 
 from __future__ import annotations
@@ -20,7 +22,10 @@ from pyspark.sql import functions as F
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
-DROPPED = frozenset("nav header footer aside form script style noscript template iframe head title button select textarea input option svg canvas object embed dialog menu xmp noembed noframes audio video".split())
+#: Elements whose content is never part of a page's text.
+SILENT = frozenset("script style noscript template iframe head title button select textarea input option svg canvas object embed dialog xmp noembed noframes audio video".split())
+#: Elements that are boilerplate by their tag.
+NAMED = frozenset("nav header footer aside form menu".split())
 #: A start tag that closes open ones, up to the nearest of the bounds.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 #: Elements that are kept whatever their class.
@@ -36,26 +41,29 @@ _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden|aria-hidden|style
 _PARTS = re.compile(r"[^a-z0-9]+")
 
 
-def is_boilerplate(tag: str, attributes: str) -> bool:
-    if tag in DROPPED:
-        return True
-    if tag in KEPT or not attributes:
-        return False
-    for name, *values in _ATTRIBUTE.findall(attributes):
+def standing(tag: str, attributes: str) -> int:
+    """0 for an ordinary element, 1 for one that names itself boilerplate, 2 for one that is never shown."""
+    if tag in SILENT:
+        return 2
+    found = int(tag in NAMED)
+    for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), "".join(values).lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value.strip() in ROLES) or (name == "style" and "display:none" in value.replace(" ", "")):
-            return True
-        if name in ("class", "id") and not MARKS.isdisjoint(_PARTS.split(value)):
-            return True
-    return False
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
+            return 0 if tag in KEPT else 2
+        if (name == "role" and value.strip() in ROLES) or (name in ("class", "id") and not MARKS.isdisjoint(_PARTS.split(value))):
+            found = 1
+    return 0 if tag in KEPT else found
 
 
 class Tree:
-    """Elements in page order; children come after parents, and ``pieces`` holds text and block breaks with their node."""
+    """Elements in page order; children come after parents, and ``pieces`` holds text and block breaks with their node.
+
+    Open elements are also listed by tag, and the open blocks by place, so that no start or end tag looks through the stack.
+    """
 
     def __init__(self, page: str):
-        self.tags, self.parents, self.pieces, self.links = ["#root"], [-1], [], [False]
-        self._stack = [0]
+        self.tags, self.parents, self.pieces, self.links, self.named = ["#root"], [-1], [], [False], [False]
+        self._stack, self._blocks, self._open_at = [0], [], {}
         at, n = 0, len(page)
         skipped = 0  # depth of the stack below which everything is dropped
         while at < n:
@@ -76,19 +84,15 @@ class Tree:
                 if not skipped:
                     self.pieces.append((self._stack[-1], None if tag == "hr" else " "))
             else:
-                drop = is_boilerplate(tag, attributes)
+                kind = standing(tag, attributes)
                 if tag in RAW:
                     close = re.compile(rf"</{tag}(?=[\s/>])[^>]*+>?", re.I).search(page, at)
-                    if not drop and not skipped:
-                        self._open(tag)
-                        self._text(page[at : close.start() if close else n])
-                        self._close(tag)
                     at = close.end() if close else n
                     continue
-                if attributes.endswith("/") and tag in DROPPED:
+                if attributes.endswith("/") and kind == 2:
                     continue
-                self._open(tag)
-                if drop and not skipped:
+                self._open(tag, kind == 1)
+                if kind == 2 and not skipped:
                     skipped = len(self._stack)
             if skipped and len(self._stack) < skipped:
                 skipped = 0
@@ -96,48 +100,60 @@ class Tree:
     def _text(self, raw: str) -> None:
         self.pieces.append((self._stack[-1], html.unescape(raw)))
 
-    def _open(self, tag: str) -> None:
+    def _cut(self, place: int) -> None:
+        """Closes the elements from a place of the stack on."""
+        while len(self._stack) > place:
+            self._open_at[self.tags[self._stack.pop()]].pop()
+        while self._blocks and self._blocks[-1] >= place:
+            self._blocks.pop()
+
+    def _nearest(self, tags: set[str]) -> int:
+        return max((self._open_at[t][-1] for t in tags if self._open_at.get(t)), default=0)
+
+    def _open(self, tag: str, named: bool = False) -> None:
         stack = self._stack
-        if tag in BLOCKS:
-            for k in range(len(stack) - 1, 0, -1):  # an open paragraph ends where a block begins
-                name = self.tags[stack[k]]
-                if name == "p":
-                    del stack[k:]
-                    break
-                if name in BLOCKS or name in ("button", "object"):
-                    break
+        if tag in BLOCKS and self._blocks and self.tags[stack[self._blocks[-1]]] == "p":
+            self._cut(self._blocks[-1])  # an open paragraph ends where a block begins
         if tag in CLOSES:
             closed, bounds = CLOSES[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                name = self.tags[stack[k]]
-                if name in bounds:
+            while (place := self._nearest(closed)) > self._nearest(bounds):
+                name = self.tags[stack[place]]
+                self._cut(place)
+                if tag != "tr" or name == "tr":
                     break
-                if name in closed:
-                    del stack[k:]
-                    if tag != "tr" or name == "tr":
-                        break
         self.links.append(tag == "a" or self.links[stack[-1]])
+        self.named.append(named or self.named[stack[-1]])
         self.tags.append(tag)
         self.parents.append(stack[-1])
+        self._open_at.setdefault(tag, []).append(len(stack))
+        if tag in BLOCKS or tag in ("button", "object"):
+            self._blocks.append(len(stack))
         stack.append(len(self.tags) - 1)
         if tag in BLOCKS:
             self.pieces.append((stack[-1], None))
 
     def _close(self, tag: str) -> None:
-        stack = self._stack
-        for k in range(len(stack) - 1, 0, -1):
-            name = self.tags[stack[k]]
-            if name == tag:
-                if tag in BLOCKS:
-                    self.pieces.append((stack[k], None))
-                del stack[k:]
-                return
-            if tag not in BLOCKS and name in BLOCKS:
-                return  # an inline end tag does not close blocks
-
-
-def densities(tree: Tree) -> tuple[list[float], list[float]]:
-    """Composite text density of each node, and the sum of its children's."""
+        places = self._open_at.get(tag)
+        if not places:
+            return
+        if tag in BLOCKS:
+            self.pieces.append((self._stack[places[-1]], None))
+        elif self._blocks and self._blocks[-1] > places[-1]:
+            return  # an inline end tag does not close blocks
+        self._cut(places[-1])
+
+
+def density_of(chars: int, link_chars: int, tags: int, link_tags: int, of_links: float) -> float:
+    """Characters per tag, times the logarithm of how little of them links are; ``of_links`` is the page's share of link text."""
+    if not chars:
+        return 0.0
+    base = math.log(chars / max(1, chars - link_chars) * link_chars + of_links * chars + math.e)
+    inner = chars / max(1, link_chars) * max(1, tags) / max(1, link_tags)
+    return chars / max(1, tags) * math.log(max(1.0, inner)) / max(1.0, math.log(base))
+
+
+def densities(tree: Tree) -> tuple[list[float], list[float], list[float]]:
+    """Of each node its composite density, the sum of its children's (its own text counts as a child), and its share of link text."""
     n = len(tree.tags)
     chars, link_chars, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     for node, text in tree.pieces:
@@ -146,59 +162,56 @@ def densities(tree: Tree) -> tuple[list[float], list[float]]:
             chars[node] += k
             if tree.links[node]:
                 link_chars[node] += k
-    body = tree.tags.index("body") if "body" in tree.tags else 0
+    own = list(zip(chars, link_chars))
     for i in range(n - 1, 0, -1):
         p = tree.parents[i]
         chars[p] += chars[i]
         link_chars[p] += link_chars[i]
         tags[p] += tags[i] + 1
         link_tags[p] += link_tags[i] + (tree.tags[i] == "a")
+    body = tree.tags.index("body") if "body" in tree.tags else 0
     of_links = link_chars[body] / max(1, chars[body])
-    density, sums = [0.0] * n, [0.0] * n
-    for i in range(n - 1, -1, -1):
-        c, t, lc, lt = chars[i], max(1, tags[i]), max(1, link_chars[i]), max(1, link_tags[i])
-        if c:
-            base = math.log(c / max(1, c - link_chars[i]) * link_chars[i] + of_links * c + math.e)
-            inner = c / lc * t / lt
-            density[i] = max(0.0, c / t * math.log(max(1.0, inner)) / math.log(max(math.e, base)) if base > 1 else c / t * math.log(max(1.0, inner)))
-        if i:
-            sums[tree.parents[i]] += density[i]
-    return density, sums
+    density = [density_of(chars[i], link_chars[i], tags[i], link_tags[i], of_links) for i in range(n)]
+    sums = [density_of(c, lc, 0, 0, of_links) for c, lc in own]
+    for i in range(1, n):
+        sums[tree.parents[i]] += density[i]
+    return density, sums, [lc / max(1, c) for c, lc in zip(chars, link_chars)]
 
 
-def main_text(page: str) -> str:
-    """Blocks of the main text in page order, joined by an empty line; the white space inside a block is single spaces."""
-    tree = Tree(page)
-    density, sums = densities(tree)
+def chosen(tree: Tree) -> list[bool]:
+    """Whether each node belongs to the main text: three passes over the nodes, in order."""
+    density, sums, linked = densities(tree)
     n = len(tree.tags)
     body = tree.tags.index("body") if "body" in tree.tags else 0
-    inside = [i == body for i in range(n)]
-    for i in range(1, n):
-        inside[i] = inside[i] or inside[tree.parents[i]]
-    # The densest sum in each node's subtree, the earliest node of equals.
-    best = list(range(n))
+    # The node of the greatest sum in each node's subtree, the earliest of equals.
+    best = [-1 if tree.named[i] else i for i in range(n)]
     for i in range(n - 1, 0, -1):
         p = tree.parents[i]
-        if sums[best[i]] > sums[best[p]] or (sums[best[i]] == sums[best[p]] and best[i] < best[p]):
+        if best[i] >= 0 and best[p] >= 0 and (-sums[best[i]], best[i]) < (-sums[best[p]], best[p]):
             best[p] = best[i]
     top = best[body]
-    threshold, i = density[body], top
-    while i not in (body, -1):
+    path, i = {body}, top
+    threshold = density[top]
+    while i not in path and i > 0:
+        path.add(i)
         threshold, i = min(threshold, density[i]), tree.parents[i]
     content = [False] * n
     for i in range(n):
-        above = tree.parents[i] >= 0 and content[tree.parents[i]]
-        content[i] = above or i == top
-    # Other subtrees that reach the threshold join with their own densest node; text of the body itself belongs as it stands.
-    for i in range(n):
-        if inside[i] and not content[i] and density[i] >= threshold > 0 and i != body:
-            k = best[i] if sums[best[i]] > 0 else i
-            if k > top or not _above(tree, i, top):
-                content[k] = True
-    for i in range(1, n):
-        content[i] = content[i] or content[tree.parents[i]]
-    if sums[top] == 0:
-        content = inside
+        p = tree.parents[i]
+        if i == top:
+            content[i] = True
+        elif p >= 0 and content[p]:
+            menu = tree.tags[i] in BLOCKS and linked[i] > 0.5 and density[i] < threshold
+            content[i] = not (menu or tree.named[i])
+        elif p in path and i not in path and best[i] >= 0 and sums[best[i]] >= threshold > 0:
+            content[best[i]] = True
+    return content
+
+
+def main_text(page: str) -> str:
+    """Blocks of the main text in page order, joined by an empty line; the white space inside a block is single spaces."""
+    tree = Tree(page)
+    content = chosen(tree)
     blocks, words = [], []
     for node, text in tree.pieces:
         if text is None:
@@ -211,12 +224,6 @@ def main_text(page: str) -> str:
     return "\n\n".join(b for b in (" ".join(b.split()) for b in blocks) if b)
 
 
-def _above(tree: Tree, node: int, below: int) -> bool:
-    while below > node:
-        below = tree.parents[below]
-    return below == node
-
-
 def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``(page_id, url, text, n_chars)`` for every row, from the whole page.
 
