@@ -1,35 +1,63 @@
-"""Components of pairs, for identity merges."""
+"""Components of pairs, for identity merges, and the checkpoints that cut an iteration's lineage."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+class NotConverged(RuntimeError):
+    """An iteration reached its bound on rounds before it settled; its state is no result."""
+
+
+def shared_root(spark: SparkSession, prefix: str) -> str:
+    """The folder of ``spark.checkpoint.dir``. Without that setting a temporary one, which only a local master's tasks all see."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix=prefix)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """A checkpoint in the shared folder of ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    """A checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        context.setCheckpointDir(shared_root(df.sparkSession, "spark-checkpoint-"))
     return df.checkpoint()
 
 
-def least_member(pairs: DataFrame, a: str, b: str, max_rounds: int = 50) -> DataFrame:
-    """``(node, root)``: the least node that each node reaches. Labels flow to neighbours and then jump to their label's label,
-    so the rounds grow with the logarithm of a component's width."""
-    edges = pairs.select(F.col(a).alias("u"), F.col(b).alias("v"))
-    edges = cut_lineage(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct())
-    roots = edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("root")).withColumnRenamed("u", "node")
-    seen = None
+def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+    """Connected components of ``edges(a, b)``: ``(node, component)`` with the least node of each.
+
+    Alternates the large-star and small-star steps, which contract a path of n nodes in about log n rounds. Every round is two partial
+    aggregations and two joins on narrow rows, and its result is checkpointed. Self loops and nulls are ignored; an empty input gives an empty
+    result. Raises ``NotConverged`` rather than give roots that are not settled.
+    """
+    pairs = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    state = None
     for _ in range(max_rounds):
-        near = edges.join(roots, edges.v == roots.node).groupBy("u").agg(F.min("root").alias("r"))
-        hooked = roots.join(near, roots.node == near.u, "left").select("node", F.least("root", F.coalesce("r", "root")).alias("root"))
-        up = hooked.select(F.col("node").alias("root"), F.col("root").alias("top"))
-        roots = cut_lineage(hooked.join(up, "root", "left").select("node", F.least("root", F.coalesce("top", "root")).alias("root")))
-        now = roots.agg(F.sum(F.col("root").cast("decimal(38,0)"))).first()[0]
-        if now == seen:
-            break
-        seen = now
-    return roots
+        # Large star: the larger neighbours of each node move to its least neighbour.
+        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # Small star: the smaller neighbours of each node move to the least of them.
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
+        pairs = cut_lineage(small)
+        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == state:
+            return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(pairs.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+        state = now
+    raise NotConverged(f"components are not settled after {max_rounds} rounds")
+
+
+def least_member(pairs: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataFrame:
+    """``(node, root)``: the least node that each node of a pair reaches; a node that is only paired with itself is its own root."""
+    edges = pairs.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
+    found = components(edges, max_rounds).withColumnRenamed("component", "root")
+    alone = edges.where("a = b").select(F.col("a").alias("node")).distinct().join(found, "node", "left_anti")
+    return found.unionByName(alone.withColumn("root", F.col("node")))

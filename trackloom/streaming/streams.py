@@ -5,7 +5,6 @@ Every stream runs with a watermark, so state is dropped as event time passes; a
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -14,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from trackloom.operators.graph import shared_root
 from trackloom.operators.stateful import Hysteresis, HysteresisConfig
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder that all executors see."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-streams-")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark, 'spark-streams-')}/{name}-{uuid.uuid4().hex}"
 
 
 def detection_stream(spark: SparkSession, path: str, delay: str = "30 minutes") -> DataFrame:
