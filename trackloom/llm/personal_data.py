@@ -1,13 +1,17 @@
 """Personal data: fixed forms, and a skip-chain conditional random field for what they miss.
 
 Tokens that hold a digit or an ``@`` are the nodes of a document's field. Neighbouring tokens share a chain potential, and tokens that repeat, or
-agree in their digits, share a skip potential wherever they stand, so an entity written once in a clear form lends its label to
-its other mentions. Loopy belief propagation runs over all documents of a batch at once. The weights are fitted here, factor by factor, on a bounded
-sample that the fixed forms label. Tokens whose marginal is high add spans; those of the fixed forms always stay.
+agree in their digits, share a skip potential wherever they stand. Tokens of a fixed form are observed: their label is given, and the first such
+mention of an entity shares a skip potential with every other one, so an entity written once in a clear form lends its label to all its
+mentions, however many and however far. Loopy belief propagation runs over all documents of a batch at once until the messages settle. The
+weights are fitted here, factor by factor, on a bounded sample that the fixed forms label. Tokens whose marginal is high add spans; those of the
+fixed forms always stay.
 """
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -73,6 +77,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 #: Features of a token; each is a small count, cut off.
 N_FEATURES = 40
+#: The potential, in nats, of a label that a fixed form gives: more than any number of mentions can outweigh.
+OBSERVED = 1e6
 
 
 def features(token: str) -> list[int]:
@@ -92,30 +98,38 @@ def digits_of(token: str) -> str:
 
 
 class Field:
-    """Nodes and edges of the fields of many texts: tokens, and pairs of them by kind of edge (0 chain, 1 skip)."""
+    """Nodes and edges of the fields of many texts: tokens, and pairs of them by kind of edge: 0 chain, 1 skip to the next mention, 2 skip from a clear one."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: list[str], known: list[list[tuple[int, int, int]]] | None = None):
+        """``known`` holds the texts' fixed forms; without it they are found here."""
         self.starts, self.ends, self.owner, self.rows, self.edges = [], [], [], [], []
+        #: Per node the kind of the fixed form that covers most of it, OTHER for none.
+        self.label: list[int] = []
         for k, text in enumerate(texts):
             if not _ANY.search(text):
                 continue
-            seen: dict[str, int] = {}
-            last = None
+            spans = base_spans(text) if known is None else known[k]
+            mentions: dict[str, list[int]] = {}
+            last, open_ = None, 0
             for m in _TOKEN.finditer(text):
                 token, node = m[0], len(self.starts)
+                while open_ < len(spans) and spans[open_][2] <= m.start():
+                    open_ += 1
                 self.starts.append(m.start())
                 self.ends.append(m.end())
                 self.owner.append(k)
                 self.rows.append(features(token))
+                self.label.append(_covering(spans, open_, m.start(), m.end()))
                 if last is not None and m.start() - last <= 2:
                     self.edges.append((node - 1, node, 0))
                 last = m.end()
-                # Repeats form a path through the document: their number stays that of the tokens.
                 number = digits_of(token)
-                for name in {"t" + token.lower().strip(".,;:!?()\"'"), *(("d" + number[-10:],) if len(number) >= 7 else ())}:
-                    if name in seen and seen[name] != node:
-                        self.edges.append((seen[name], node, 1))
-                    seen[name] = node
+                name = "d" + number[-10:] if len(number) >= 7 else "t" + token.lower().strip(".,;:!?()\"'")
+                mentions.setdefault(name, []).append(node)
+            # The mentions of a name hang on its first clear one; without one they form a path. Either way their edges are as many as they are.
+            for nodes in mentions.values():
+                clear = next((i for i in nodes if self.label[i] != OTHER), None) if len(nodes) > 1 else None
+                self.edges += zip(nodes, nodes[1:], itertools.repeat(1)) if clear is None else [(clear, i, 2) for i in nodes if self.label[i] == OTHER]
         self.n = len(self.starts)
 
     def unary(self, weights: np.ndarray) -> np.ndarray:
@@ -124,22 +138,24 @@ class Field:
         np.add.at(out, at, weights[np.concatenate(self.rows)] if self.n else weights[:0])
         return out
 
+    def observed(self) -> np.ndarray:
+        """A large potential for the labels that the fixed forms give."""
+        label = np.array(self.label, np.int64)
+        return OBSERVED * (np.eye(LABELS)[label] * (label != OTHER)[:, None]) if self.n else np.zeros((0, LABELS))
+
     def edge_array(self) -> np.ndarray:
         return np.array(self.edges, np.int64).reshape(-1, 3)
 
 
-def silver(field: Field, texts: list[str]) -> np.ndarray:
-    """Labels of the nodes by the fixed forms: the kind of the span that covers most of a token."""
-    label = np.full(field.n, OTHER)
-    spans: dict[int, list[tuple[int, int, int]]] = {}
-    for i in range(field.n):
-        k = field.owner[i]
-        if k not in spans:
-            spans[k] = base_spans(texts[k])
-        over = [(min(e, field.ends[i]) - max(s, field.starts[i]), -kind) for s, kind, e in spans[k] if s < field.ends[i] and field.starts[i] < e]
-        if over and max(over)[0] * 2 >= field.ends[i] - field.starts[i]:
-            label[i] = -max(over)[1]
-    return label
+def _covering(spans: list[tuple[int, int, int]], first: int, start: int, end: int) -> int:
+    """The kind of the span, from the ``first`` that may reach so far, that covers at least half of a token; OTHER without one."""
+    best = (0, 0)
+    for s, kind, e in spans[first:]:
+        if s >= end:
+            break
+        if s < end and start < e:
+            best = max(best, (min(e, end) - max(s, start), -kind))
+    return -best[1] if best[0] * 2 >= end - start else OTHER
 
 
 class Weights:
@@ -152,7 +168,7 @@ class Weights:
 def fit(texts: list[str], rounds: int = 300, rate: float = 1.0, decay: float = 1e-3) -> Weights:
     """Piecewise training: a multinomial logistic regression for the nodes, agreement log-odds for the edges."""
     field = Field(texts)
-    x, y = np.zeros((field.n, N_FEATURES)), silver(field, texts)
+    x, y = np.zeros((field.n, N_FEATURES)), np.array(field.label, np.int64)
     for i, row in enumerate(field.rows):
         x[i, row] = 1
     w = np.zeros((N_FEATURES, LABELS))
@@ -169,7 +185,7 @@ def fit(texts: list[str], rounds: int = 300, rate: float = 1.0, decay: float = 1
         e = edges[edges[:, 2] == kind]
         seen = np.full((LABELS, LABELS), 0.5)
         if kind:
-            seen += 5 * np.eye(LABELS)  # repeats agree, until the sample says otherwise
+            seen += 50 * np.eye(LABELS)  # repeats agree, until the sample says otherwise
         np.add.at(seen, (y[e[:, 0]], y[e[:, 1]]), 1)
         joint = seen / seen.sum()
         table = np.log(joint / np.outer(joint.sum(axis=1), joint.sum(axis=0)))
@@ -177,12 +193,17 @@ def fit(texts: list[str], rounds: int = 300, rate: float = 1.0, decay: float = 1
     return Weights(w, pairs)
 
 
-def marginals(field: Field, weights: Weights, rounds: int = 12, damping: float = 0.3) -> np.ndarray:
-    """Loopy belief propagation, damped, over all fields at once."""
-    unary, e = field.unary(weights.unary), field.edge_array()
+def marginals(field: Field, weights: Weights, rounds: int = 100, damping: float = 0.3, settled: float = 1e-4) -> np.ndarray:
+    """Loopy belief propagation, damped, over all fields at once, until no message changes by more than ``settled``.
+
+    Loops of disagreeing potentials may swing for ever; ``rounds`` ends those, and the damped messages are taken as they stand.
+    """
+    unary, e = field.unary(weights.unary) + field.observed(), field.edge_array()
     n = len(e)
     src, dst = np.concatenate([e[:, 0], e[:, 1]]), np.concatenate([e[:, 1], e[:, 0]])
-    tables = np.concatenate([weights.pairs[e[:, 2]], weights.pairs[e[:, 2]].transpose(0, 2, 1)])
+    # A clear mention is certain, so its potential weighs twice that between mentions that are not.
+    tables = weights.pairs[np.minimum(e[:, 2], 1)] * np.maximum(e[:, 2], 1)[:, None, None]
+    tables = np.concatenate([tables, tables.transpose(0, 2, 1)])
     back = np.concatenate([np.arange(n, 2 * n), np.arange(n)])
     messages = np.zeros((2 * n, LABELS))
     for _ in range(rounds if n else 0):
@@ -192,7 +213,10 @@ def marginals(field: Field, weights: Weights, rounds: int = 12, damping: float =
         top = z.max(axis=1, keepdims=True)
         new = np.log(np.exp(z - top).sum(axis=1)) + top[:, 0]
         new -= new.max(axis=1, keepdims=True)
-        messages = damping * messages + (1 - damping) * new
+        step = (1 - damping) * (new - messages)
+        messages += step
+        if np.abs(step).max(initial=0.0) <= settled:
+            break
     np.add.at(unary, dst, messages)
     p = np.exp(unary - unary.max(axis=1, keepdims=True)) if field.n else unary
     return p / p.sum(axis=1, keepdims=True) if field.n else p
@@ -200,17 +224,19 @@ def marginals(field: Field, weights: Weights, rounds: int = 12, damping: float =
 
 def all_spans(texts: list[str], weights: Weights, least: float = 0.9) -> list[list[tuple[int, int, int]]]:
     """Per text the fixed forms and, where they leave room, runs of neighbouring tokens with a likely kind."""
-    out = [base_spans(t) for t in texts]
-    field = Field(texts)
+    base = [base_spans(t) for t in texts]
+    field, added = Field(texts, base), [[] for _ in texts]
     p = marginals(field, weights)
-    i = 0
+    i, k = 0, -1
     while i < field.n:
         kind = int(p[i].argmax())
         j = i + 1
         if kind == OTHER or p[i, kind] < least:
             i = j
             continue
-        k = field.owner[i]
+        if field.owner[i] != k:
+            k = field.owner[i]
+            begins, furthest = [s for s, _, _ in base[k]], list(itertools.accumulate((e for _, _, e in base[k]), max))
         while j < field.n and field.owner[j] == k and field.starts[j] - field.ends[j - 1] <= 2 and p[j].argmax() == kind and p[j, kind] >= least:
             j += 1
         text, start, end = texts[k], field.starts[i], field.ends[j - 1]
@@ -220,11 +246,12 @@ def all_spans(texts: list[str], weights: Weights, least: float = 0.9) -> list[li
         while start < end and text[start] in ".,;:!?\"'":
             start += 1
         size = len(digits_of(text[start:end]))
-        # Half an entity is none: the run has to hold what its kind needs.
+        # Half an entity is none: the run has to hold what its kind needs. It is left out where a fixed form touches it.
         whole = {0: "@" in text[start:end], 1: size >= 4, 2: 14 <= size <= 19, 3: 7 <= size <= 15}[kind]
-        if whole and not any(s < end and start < e for s, _, e in out[k]):
-            out[k].append((start, kind, end))
-    return [sorted(s) for s in out]
+        before = bisect.bisect_left(begins, end)
+        if whole and not (before and furthest[before - 1] > start):
+            added[k].append((start, kind, end))
+    return [sorted(x + y) for x, y in zip(base, added)]
 
 
 def listed(spans: list[tuple[int, int, int]]) -> str:
