@@ -58,3 +58,19 @@ def test_digests_over_batches_and_repeats(spark):
         loss = "".join(x for _, r, x in mine if r == "assistant")
         assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
     assert rows(C.read_back(C.format_turns(df.limit(0)))) == []
+
+
+@pytest.mark.parametrize("role", ["human", "gpt", "bot", "model", "tool\nx"])
+def test_rows_of_turns_keep_their_roles(spark, role):
+    df = spark.createDataFrame([(1, 0, json.dumps({"role": role, "text": "a"}))], "c long, p long, r string")
+    turns = C.canonical_turns(df, "c", "p", "r")
+    assert [r.role for r in turns.collect()] == [role]
+    out = C.read_back(C.format_turns(turns)).first()
+    assert out.turns_sha256 == hashlib.sha256(f"{role}\na\n".encode()).hexdigest() and out.loss_chars == 0
+
+
+def test_clashing_columns_are_ignored(spark):
+    df = spark.createDataFrame([(1, 0, json.dumps({"role": "user", "text": "a"}), 9, "x", "y", "z")], "c long, p long, r string, turn long, role string, text string, layout string")
+    turns = C.canonical_turns(df, "c", "p", "r")
+    assert [tuple(x) for x in turns.collect()] == [(1, 0, 0, "user", "a", "turn")]
+    assert C.read_back(C.format_turns(turns.selectExpr("*", "1 AS formatted", "2 AS n_turns"))).first().n_turns == 1

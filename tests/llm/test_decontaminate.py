@@ -72,3 +72,9 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert rows(D.report(df, bench)) == brute([(1, "a b")], [])
     assert D.report(df.limit(0), bench).collect() == []
+
+
+def test_a_column_of_the_same_name_is_replaced(spark):
+    df = spark.createDataFrame([(1, "one two", "old")], "doc_id long, text string, contamination string")
+    out = D.contamination(df, spark.createDataFrame([(1, "ONE two")], "item_id long, text string"))
+    assert out.columns == ["doc_id", "text", "contamination"] and out.first().contamination.n_hit == 2

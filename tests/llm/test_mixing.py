@@ -57,3 +57,13 @@ def test_empty_tables_and_texts(spark):
     assert M.mix_sources(docs).collect() == []
     docs = spark.createDataFrame([(1, None, None), (2, "", "a")], "doc_id long, text string, source string")
     assert sorted((r.doc_id, r.size, r.target, r.taken) for r in M.mix_sources(docs).collect()) == [(1, 0, 0.0, 0), (2, 0, 0.0, 0)]
+
+
+def test_clashing_columns_and_null_ids(spark):
+    """Columns named like those that the mix adds are ignored; rows without an id are dealt over places by their text."""
+    docs = spark.createDataFrame([(None if k % 2 else k, "w " * (k % 5 + 1) + f"x{k}", "ab"[k % 2]) for k in range(60)], "doc_id long, text string, source string")
+    plain = rows(M.mix_sources(docs))
+    for name in ("size", "place", "name", "part", "ahead", "cum", "times", "target", "taken", "finish", "source_no", "source_size", "n_docs"):
+        docs = docs.selectExpr("*", f"'mine' AS `{name}`")
+    assert rows(M.mix_sources(docs)) == plain
+    assert sum(r[5] for r in plain) > 0 and len(plain) == 60

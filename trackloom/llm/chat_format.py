@@ -65,6 +65,8 @@ class Mapping:
     #: Fields that may be missing, and such as are ignored where they occur.
     optional: tuple[str, ...] = ()
     ignored: tuple[str, ...] = ()
+    #: Whether names of speakers are translated; rows that hold canonical turns already keep theirs.
+    renamed: bool = True
 
     def layouts(self) -> Iterator[set[str]]:
         if self.each is not None:
@@ -86,11 +88,11 @@ class Mapping:
             found = [(x[role], x[text]) for x in record[self.each]]
         else:
             found = [(record[r[1:]] if r.startswith("$") else r, record[t]) for r, t in self.turns if t in record and not (t in self.optional and not record[t])]
-        return [(ROLES.get(r or "", r or ""), t if isinstance(t, str) else "" if t is None else json.dumps(t)) for r, t in found]
+        return [(ROLES.get(r or "", r or "") if self.renamed else r or "", t if isinstance(t, str) else "" if t is None else json.dumps(t)) for r, t in found]
 
 
 MAPPINGS = (
-    Mapping("turn", (("$role", "text"),), ignored=("conv_id", "turn")),
+    Mapping("turn", (("$role", "text"),), ignored=("conv_id", "turn"), renamed=False),
     Mapping("messages", (("role", "content"),), each="messages", ignored=("id", "source")),
     Mapping("conversations", (("from", "value"),), each="conversations", ignored=("id", "source")),
     Mapping("instruction", (("system", "system"), ("user", "instruction"), ("user", "input"), ("assistant", "output")), optional=("system", "input"), ignored=("id",)),

@@ -1,14 +1,14 @@
-"""Session helpers, vectorised word hashing and connected components shared by the operators."""
+"""Session helpers and vectorised word hashing shared by the operators."""
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from trackloom.operators.graph import components, cut_lineage  # noqa: F401  components is used by the operators
 
 #: Word characters of the two tokenisations, by UTF-8 byte. Bytes from 0x80 belong to non-ASCII code points.
 NOT_SPACE = np.ones(256, bool)
@@ -31,13 +31,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Checkpoints ``df`` in the shared folder of ``spark.checkpoint.dir``; sets a temporary one only where none is set."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-    return df.checkpoint()
+#: Checkpoints in the shared folder of ``spark.checkpoint.dir``.
+materialize = cut_lineage
 
 
 def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -101,27 +96,3 @@ def word_slices(column: pa.Array, word_bytes: np.ndarray) -> Iterator[tuple[int,
         base = offsets[first]
         yield first, last, Words(data[base : offsets[last]], offsets[first : last + 1] - base, word_bytes)
         first = last
-
-
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """Connected components of ``edges(a, b)``: ``(node, component)`` with the least node of each.
-
-    Alternates the large-star and small-star steps: every round is two partial aggregations and two joins on narrow
-    rows, and its result is checkpointed. Self loops are ignored; an empty input gives an empty result.
-    """
-    pairs = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    state = None
-    for _ in range(max_rounds):
-        # Large star: the larger neighbours of each node move to its least neighbour.
-        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        # Small star: the smaller neighbours of each node move to the least of them.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u <> v").distinct()
-        pairs = materialize(small)
-        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
-    return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(pairs.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import ALNUM, word_slices
+from trackloom.llm.common import ALNUM, materialize, word_slices
 
 #: Symbols after which a shard is closed (at the end of a document).
 SHARD_SYMBOLS = 1 << 18
@@ -244,9 +244,11 @@ def contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "text", i
 
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. A window is ``width`` words of an item, or all of a
     shorter one. Null and empty texts, on either side, have no words; items with a null id are left out. Repeated rows are judged alike.
-    Other columns pass through untouched, unless they begin with two underscores. A benchmark of more than ``max_broadcast`` bytes of text is
-    dealt into as many passes as hold it, each bounded by that size (or by one item's).
+    Other columns pass through untouched, unless they begin with two underscores; a column ``contamination`` is replaced. A benchmark of more
+    than ``max_broadcast`` bytes of text is dealt into as many passes as hold it, each bounded by that size (or by one item's); passes are
+    parted by checkpoints, so that neither the driver nor a task ever holds the phrases of two.
     """
+    df = df.drop("contamination")
     spark = df.sparkSession
     kind = benchmark.schema[item_col].dataType.simpleString()
     arrow_kind = pa.int64() if kind in ("bigint", "int", "smallint", "tinyint") else pa.string()
@@ -259,7 +261,11 @@ def contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "text", i
     out = df.select("*", F.lit(None).cast("long").alias("__n_words"), *[F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias(c) for c in ("__words", "__spans")], F.lit(None).cast(f"array<{'bigint' if arrow_kind == pa.int64() else 'string'}>").alias("__items"))
     for k in range(passes):
         rows = tests.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == k).orderBy("item", "text").collect()
-        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(Phrases([(r.item, r.text) for r in rows], width)), text_col, arrow_kind), f"{fields}, {schema}")
+        phrases = spark.sparkContext.broadcast(Phrases([(r.item, r.text) for r in rows], width))
+        out = out.mapInArrow(_pass(phrases, text_col, arrow_kind), f"{fields}, {schema}")
+        if k < passes - 1:
+            out = materialize(out)
+            phrases.unpersist()
     n_hit = F.aggregate("__words", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return out.select(*df.columns, F.struct(F.col("__n_words").alias("n_words"), n_hit.alias("n_hit"), F.col("__items").alias("items"), F.col("__words").alias("words"), F.col("__spans").alias("spans")).alias("contamination"))
 

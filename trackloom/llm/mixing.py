@@ -97,10 +97,10 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
     ``share`` times all words are dealt to the sources by ``weights`` (repeating, sources by code point, null last); a target
     stops at ``repeats`` times its source. ``finish`` holds the virtual finish times of the copies that the mix takes and ``taken`` their
-    words. A null or empty text has size 0 and takes nothing; repeated rows queue one after the other; rows with a null id share a place.
+    words. A null or empty text has size 0 and takes nothing; repeated rows queue one after the other; rows with a null id are placed by their text.
     An empty table gives no rows. Extra columns are ignored.
     """
-    order = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+    order = F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit(""))))), 1, 15), 16, 10).cast("long")
     sized = materialize(df.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), order.alias("place")))
     targets = source_targets(sized, weights, share, repeats).withColumnRenamed("source", "name")
     parts = (F.floor(F.col("n_docs") / PART_ROWS) + 1).cast("long")

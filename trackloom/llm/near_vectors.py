@@ -24,7 +24,14 @@ from trackloom.llm.common import components, materialize
 
 #: Side of the sub-tiles that are multiplied at once.
 TILE = 1024
-_SLACK = 1e-6
+
+
+def slack_of(dim: int) -> float:
+    """A bound on what float32 adds to the error of a tile product of unit vectors: ``dim`` roundings of 2^-24 each, twice, and a few of the scales.
+
+    Up to 1040 components the products of the codes are exact sums; beyond, the bound grows with the dimension, so more pairs are computed again.
+    """
+    return max(1e-6, (2 * dim + 8) * 2.0**-24)
 
 
 def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -41,11 +48,12 @@ def linked(a: np.ndarray, b: np.ndarray, threshold: float, qa=None, qb=None) ->
     (ca, sa, la, ea), (cb, sb, lb, eb) = qa or quantise(a), qb or quantise(b)
     near = (ca @ cb.T) * sa.astype(np.float32)[:, None]
     near *= sb.astype(np.float32)[None, :]
-    worst = float((la.max() * eb.max()) + ea.max() * lb.max() + ea.max() * eb.max()) + _SLACK
-    hit = near >= np.float32(threshold - worst - _SLACK)
+    slack = slack_of(a.shape[1])
+    worst = float((la.max() * eb.max()) + ea.max() * lb.max() + ea.max() * eb.max()) + slack
+    hit = near >= np.float32(threshold - worst - slack)
     i, j = np.nonzero(hit)
     if len(i):
-        bound = la[i] * eb[j] + ea[i] * lb[j] + ea[i] * eb[j] + 4 * _SLACK
+        bound = la[i] * eb[j] + ea[i] * lb[j] + ea[i] * eb[j] + 4 * slack
         value = near[i, j].astype(np.float64)
         hit[i, j] = value - bound >= threshold
         open_ = np.flatnonzero((value + bound >= threshold) & (value - bound < threshold))

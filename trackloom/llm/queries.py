@@ -98,7 +98,7 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 _OP4 = r"""
-WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS place FROM documents),
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 15))::BIGINT AS place FROM documents),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 s1 AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS no, 2.0::DOUBLE * source_size AS most FROM s0),
 s2 AS (SELECT *, [5.0, 2.0, 1.0][((no - 1) % 3 + 1)::INT]::DOUBLE AS weight FROM s1),
@@ -113,8 +113,8 @@ SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(t.taken, 0)::BIGINT A
 """
 
 
-def _op5(damping: float = 0.85, rounds: int = 9, margin: float = 0.01) -> str:
-    """The rounds of both ranks, unrolled."""
+def _op5(damping: float = 0.85, rounds: int = 69, margin: float = 0.01) -> str:
+    """The rounds of both ranks, unrolled: as many as a tolerance of 1e-4 needs on any graph."""
     low = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
     steps = ["r0 AS (SELECT kind, node, own AS rank, 0.0::DOUBLE AS got FROM seed)"]
@@ -134,7 +134,7 @@ edge AS (SELECT 0 AS kind, s AS f, d AS t, {damping}::DOUBLE / count(*) OVER (PA
 host AS (SELECT host, avg(CASE WHEN v = 'allow' THEN 1.0::DOUBLE ELSE 0 END) AS a, avg(CASE WHEN v = 'block' THEN 1.0::DOUBLE ELSE 0 END) AS b FROM judged WHERE host <> '' GROUP BY host),
 seed AS (SELECT 0 AS kind, host AS node, (1 - {damping})::DOUBLE * a AS own FROM host WHERE a > 0 UNION ALL SELECT 1, host, (1 - {damping})::DOUBLE * b FROM host WHERE b > 0),
 {", ".join(steps)},
-bad AS (SELECT node FROM r{rounds} GROUP BY node HAVING sum(CASE WHEN kind = 1 THEN got ELSE 0 END) > sum(CASE WHEN kind = 0 THEN got ELSE 0 END) + {margin})
+bad AS (SELECT node FROM r{rounds} GROUP BY node HAVING sum(CASE WHEN kind = 1 THEN got ELSE -got END) > {margin} * sum(got))
 SELECT page_id, host, path, rule, coalesce(v, CASE WHEN bad.node IS NOT NULL THEN 'block' END, 'allow') AS verdict FROM judged LEFT JOIN bad ON bad.node = judged.host
 """
 
