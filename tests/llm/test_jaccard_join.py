@@ -30,9 +30,10 @@ def corpus(seed, n=160):
     return out | {n: None, n + 1: "", n + 2: " \t\n", n + 3: "one", n + 4: "ONE", n + 5: "one two", n + 6: "é ü", n + 7: "É ü"}
 
 
-@pytest.mark.parametrize(("seed", "group_rows"), [(1, 4096), (2, 8), (3, 4096)])
-def test_matches_brute_force(spark, monkeypatch, seed, group_rows):
+@pytest.mark.parametrize(("seed", "group_rows", "block_rows"), [(1, 4096, 4096), (2, 8, 3), (3, 4096, 2)])
+def test_matches_brute_force(spark, monkeypatch, seed, group_rows, block_rows):
     monkeypatch.setattr(J, "GROUP_ROWS", group_rows)
+    monkeypatch.setattr(J, "BLOCK_ROWS", block_rows)
     texts = corpus(seed)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("class", F.lit(1)).withColumn("token", F.lit("x"))
     assert rows(J.jaccard_components(df)) == sorted(brute(texts), key=repr)
@@ -76,3 +77,32 @@ def test_links_that_miss_the_centre(spark):
     texts |= {100 + k: " ".join([*words[:59], f"x{k}"]) for k in range(30)} | {200 + k: " ".join([f"y{k}", f"z{k}", *words[20:70]]) for k in range(12)}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert rows(J.jaccard_components(df)) == sorted(brute(texts), key=repr)
+
+
+def test_one_shingle_of_ten_thousand_unlinked_classes(spark, monkeypatch):
+    """Short texts that share a rare-looking phrase, and are apart otherwise: pairs are dealt over blocks, and the few links are found."""
+    monkeypatch.setattr(J, "BLOCK_ROWS", 1024)
+    n = 10_000
+    texts = {k: f"one common phrase a{k} b{k} c{k} d{k}" for k in range(n)}
+    texts |= {n + k: f"one common phrase a{k} b{k} c{k} d{k} one common phrase a{k}" for k in range(0, 50)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(df, percent=60).collect()}
+    s = {k: shingles(t) for k, t in texts.items()}
+    assert all(100 * len(s[k] & s[n + k]) >= 60 * len(s[k] | s[n + k]) for k in range(50))
+    assert got == {k: k if k < n else k - n for k in texts}
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a b c d"), (2, "a b c d")], "doc_id long, text string")
+    for name in ("n", "class", "spot", "least", "rows", "token", "grp", "component", "component_id", "n_shingles", "name", "sketch", "b0"):
+        df = df.selectExpr("*", f"'mine' AS `{name}`")
+    assert rows(J.jaccard_components(df)) == [(1, 2, 1), (2, 2, 1)]
+
+
+def test_kept_sets_are_bounded_in_bytes(monkeypatch):
+    monkeypatch.setattr(J, "KEPT_BYTES", 0)
+    pack = lambda t: len(t.encode()).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(t.encode(), asbytes=True)
+    x, y, z = "a b c d e f g h i j k", "a b c d e f g h i j l", "q r s t"
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 1, 2]), pa.array([1, 2, 3]), pa.array([pack(x), pack(x), pack(y)]), pa.array([pack(x), pack(y), pack(z)])], ["a", "b", "text_a", "text_b"])
+    (out,) = J._verify(3, 75)(iter([batch]))
+    assert out.to_pydict() == {"a": [1, 1], "b": [1, 2]}

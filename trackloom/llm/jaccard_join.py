@@ -13,7 +13,9 @@ How the work stays in proportion to the input:
 * a prefix shingle of many documents is dealt over several salted groups;
 * a class is first compared with the most central class of each group that it shares; these links already join most of a dense group of
   near copies. Only classes that are then still apart are paired with each other, and those of a shingle's largest component only meet
-  the others, so a large group of copies never gives its own pairs, while no link between different components is lost;
+  the others, so a large group of copies never gives its own pairs, while no link between different components is lost. A shingle of many
+  classes that stay apart is paired block by block, over as many tasks as that takes;
+* a pair, with a centre or not, has to share its l prefix shingles before it is verified;
 * before a pair leaves the join, the parity bitmaps of both sets bound their difference from below, which drops nearly all pairs
   of similar but unlinked classes and never a link;
 * texts of candidate classes alone are moved, compressed.
@@ -38,6 +40,12 @@ MAX_MATCHES = 4
 GROUP_ROWS = 4096
 #: Bits of the filter of documents whose texts are fetched (a multiple of 32768).
 FILTER_BITS = 1 << 23
+#: Classes on each side of a block of pairs.
+BLOCK_ROWS = 4096
+#: Bytes of shingle sets that a task keeps while it verifies pairs.
+KEPT_BYTES = 16 << 20
+#: Classes of more than this share of all rows are named in a broadcast, so at most as many are.
+HOT_SHARE = 4096
 #: 64-bit words of a set's parity bitmap.
 BITMAP = 8
 _BITS = [f"b{k}" for k in range(BITMAP)]
@@ -185,28 +193,33 @@ def _texts(width: int, bits):
 
 
 def _verify(width: int, percent: int):
-    def sets(column: pa.Array, kept: dict) -> list[np.ndarray]:
-        codec, out = pa.Codec("zstd"), []
-        for packed in column.to_pylist():
-            if packed not in kept:
-                if len(kept) > 512:
-                    kept.clear()
-                text = codec.decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True)
-                kept[packed] = next(shingle_sets(pa.array([text.decode()], pa.string()), width))
-            out.append(kept[packed])
-        return out
+    class Kept:
+        """The sets of the texts last seen, up to a bound in bytes; a single set may exceed it."""
+
+        def __init__(self):
+            self.sets, self.size, self.codec = {}, 0, pa.Codec("zstd")
+
+        def get(self, packed: bytes) -> np.ndarray:
+            if packed not in self.sets:
+                text = self.codec.decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True)
+                found = next(shingle_sets(pa.array([text.decode()], pa.string()), width))
+                if self.size > KEPT_BYTES:
+                    self.sets, self.size = {}, 0
+                self.sets[packed] = found
+                self.size += found.nbytes + len(packed)
+            return self.sets[packed]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: tuple[dict, dict] = ({}, {})
+        kept = Kept(), Kept()
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):  # bounds the decompressed texts
-                part, good = batch.slice(k, 256), []
-                for x, y in zip(sets(part.column("text_a"), kept[0]), sets(part.column("text_b"), kept[1])):
-                    small, large = (x, y) if len(x) <= len(y) else (y, x)
-                    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                    shared = int((large[at] == small).sum())
-                    good.append(100 * shared >= percent * (len(x) + len(y) - shared))
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+            good = []
+            for p, q in zip(batch.column("text_a"), batch.column("text_b")):
+                x, y = kept[0].get(p.as_py()), kept[1].get(q.as_py())
+                small, large = (x, y) if len(x) <= len(y) else (y, x)
+                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                shared = int((large[at] == small).sum())
+                good.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return work
 
@@ -263,7 +276,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     counts[counted.slot.to_numpy(np.int64)] = counted.n.to_numpy(np.float64)
     signed = rows.where("sketch IS NULL").drop("sketch")
     firsts = [F.first(c).alias(c) for c in ("n", *_BITS)]
-    classes = materialize(signed.where("n > 0").groupBy("class").agg(F.min(_spot(F.col("doc_id"))).alias("spot"), *firsts))
+    names = [F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.min(_spot(F.col("doc_id"))).alias("spot")]
+    classes = materialize(signed.where("n > 0").groupBy("class").agg(*names, *firsts))
 
     prefix = docs.select("text").mapInArrow(_prefixes(width, percent, spark.sparkContext.broadcast(counts)), "grp long, class long, place long, kind long, token long")
     group = Window.partitionBy("grp")
@@ -283,25 +297,49 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     stars = stars.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
     known = lambda k: classes.select(F.col("class").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("n", *_BITS)])
     little = lambda x, y: _differ_little(percent, (F.col(f"n_{x}"), F.col(f"n_{y}")), [(F.col(f"{b}_{x}"), F.col(f"{b}_{y}")) for b in _BITS])
-    stars = materialize(stars.join(known("a"), "a").join(known("b"), "b").where(little("a", "b")).select("a", "b"))
+    stars = stars.join(known("a"), "a").join(known("b"), "b").where(little("a", "b")).select("a", "b")
+    mine = shared.select("token", "class", "place", "kind")
+    both = stars.join(mine.withColumnsRenamed({"class": "a", "place": "place_a", "kind": "kind_a"}), "a").join(mine.withColumnsRenamed({"class": "b", "place": "place_b", "kind": "kind_b"}), ["b", "token"])
+    both = both.where(possible("place_a", "place_b", "kind_a", "kind_b"))
+    l = F.least(need("kind_a"), need("kind_b"))
+    stars = materialize(both.groupBy("a", "b").agg(F.count("*").alias("m"), F.first(l).alias("l")).where("m >= l").select("a", "b"))
     links = _confirmed(stars, classes, docs, width, percent)
     joined = components(links)
 
-    # Classes that share l shingles and are still apart.
-    placed = shared.select("token", "class", "place", "kind").join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    # Classes that share l shingles and are still apart. Most shingles are of one component, and go first.
+    placed = mine.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    several = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
+    placed = materialize(placed.join(several, "token", "left_semi"))
     # A dense group mostly is one component already: only the others meet it and each other, never its members among themselves.
-    parts = placed.groupBy("token", "component").agg(F.count("*").alias("members")).groupBy("token").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("members", "component")).alias("main"))
-    placed = placed.join(parts.where("parts > 1").select("token", "main"), "token").join(classes.drop("n", "spot"), "class")
-    placed = placed.select("token", "class", "component", (F.col("component") == F.col("main")).alias("main"), size("place").alias("n"), at("place").alias("at"), need("kind").alias("l"), *_BITS)
-    x, y = (placed.select("token", *(F.col(c).alias(f"{c}_{k}") for c in placed.columns[1:])) for k in "xy")
+    parts = placed.groupBy("token", "component").agg(F.count("*").alias("members"))
+    parts = parts.groupBy("token").agg(F.max_by("component", F.struct("members", "component")).alias("main"), F.sum("members").alias("all"), F.max("members").alias("most"))
+    blocks = lambda n: F.ceil(n / BLOCK_ROWS).cast("int")
+    parts = parts.select("token", "main", blocks(F.col("all") - F.col("most")).alias("blocks_x"), blocks(F.col("all")).alias("blocks_y"))
+    placed = placed.join(parts, "token").join(classes.drop("n", "spot", "least", "rows"), "class")
+    placed = placed.select("token", "class", "component", (F.col("component") == F.col("main")).alias("main"), size("place").alias("n"), at("place").alias("at"), need("kind").alias("l"), *_BITS, "blocks_x", "blocks_y")
+    fields = [c for c in placed.columns if c not in ("token", "blocks_x", "blocks_y")]
+    own = lambda n: F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    x = placed.where("NOT main").select("token", *(F.col(c).alias(f"{c}_x") for c in fields), own("blocks_x").alias("bx"), every("blocks_y").alias("by"))
+    y = placed.select("token", *(F.col(c).alias(f"{c}_y") for c in fields), own("blocks_y").alias("by"), every("blocks_x").alias("bx"))
     within = _may_link(percent, (F.col("n_x"), F.col("n_y")), (F.col("at_x"), F.col("at_y")), F.least("l_x", "l_y"))
     once = F.col("main_y") | (F.col("class_x") < F.col("class_y"))
-    apart = x.where("NOT main_x").join(y, "token").where(once & (F.col("component_x") != F.col("component_y")) & within & little("x", "y"))
+    apart = x.join(y, ["token", "bx", "by"]).where(once & (F.col("component_x") != F.col("component_y")) & within & little("x", "y"))
     apart = apart.groupBy(F.least("class_x", "class_y").alias("a"), F.greatest("class_x", "class_y").alias("b")).agg(F.count("*").alias("m"), F.first(F.least("l_x", "l_y")).alias("l")).where("m >= l").select("a", "b")
     more = _confirmed(materialize(apart.join(stars, ["a", "b"], "left_anti")), classes, docs, width, percent)
-    joined = components(links.unionByName(more))
 
-    named = signed.select("doc_id", "n", "class").join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    least = named.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
-    out = named.join(least, "component", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
+    # The last components are over the classes' least ids, so each is named by the least id of all; classes without one come last.
+    name = F.struct(F.col("least").isNull().cast("int").alias("none"), F.coalesce("least", "class").alias("id"))
+    named = classes.select("class", name.alias("name"))
+    edges = joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
+    edges = edges.join(named.withColumnsRenamed({"class": "a", "name": "name_a"}), "a").join(named.withColumnsRenamed({"class": "b", "name": "name_b"}), "b")
+    joined = components(edges.select(F.col("name_a").alias("a"), F.col("name_b").alias("b")))
+    least = classes.withColumn("name", name).join(joined.withColumnRenamed("node", "name"), "name", "left").withColumn("of", F.coalesce("component", "name"))
+    least = materialize(least.select("class", "rows", F.when(F.col("of.none") == 0, F.col("of.id")).alias("component_id")))
+    # A class of many copies is looked up in a broadcast of at most HOT_SHARE rows; the others are joined.
+    total = least.agg(F.sum("rows")).first()[0] or 0
+    hot = F.broadcast(least.where(F.col("rows") > max(1, total // HOT_SHARE)).drop("rows"))
+    full = signed.where("n > 0").select("doc_id", "n", "class")
+    out = full.join(hot, "class").unionByName(full.join(hot.select("class"), "class", "left_anti").join(least.drop("rows"), "class", "left"))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return out.unionByName(signed.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
