@@ -105,3 +105,23 @@ def test_a_language_of_one_copied_text_is_trained_on(spark, monkeypatch):
     kept = {r.lang: r["count"] for r in P.identify_language(spark, docs, "").groupBy("lang").count().collect()}
     assert kept == {"ru": n, "en": 50}
     assert all(np.ptp(models[0].scores[:, k]) > 0 for k in range(len(models[0].langs)))
+
+
+def test_columns_that_clash_with_the_operators_come_back(spark, tmp_path):
+    """Every stage returns its input's columns and their values, whatever they are called; nulls, empties and repeats pass as stated."""
+    text = "the house and the light of this and that word in the garden"
+    rows = [(1, text, "en", "a", 0), (1, text, "en", "a", 0), (2, None, "en", "a", 0), (3, "", None, None, 0), (4, "x" * 3_000_000 + " and the house", "en", "b", 0), (None, "another house with the light of that word", "en", "b", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("lang_pred", "lang_score", "__text", "contamination", "__n_words", "__words", "base_spans", "tested", "all_spans", "kept_id", "rows", "class", "component_id"):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{name} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))))
+    table(spark, tmp_path, [(1, "a benchmark item of some ten words or a few more words")], "item_id long, text string", "benchmark")
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert all(r[c] == f"{c} of {'none' if r.doc_id is None else r.doc_id}" for c in docs.columns[5:]), name
+        ids = sorted((r.doc_id for r in out.collect()), key=repr)
+        if name != "language_id":
+            assert ids == sorted([1, 2, 3, 4, None] if name == "jaccard_join" else [1, 1, 2, 3, 4, None], key=repr), name
+    mixed = P.mix(spark, docs, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.size) for r in mixed if r.doc_id) == [(1, 13), (1, 13), (2, 0), (3, 0), (4, 4)]

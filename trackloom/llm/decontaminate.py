@@ -191,6 +191,8 @@ def _occurrences(symbols: np.ndarray, bounds: np.ndarray, phrases: Phrases) -> I
         begin = end
 
 
+#: Columns that the passes hand on.
+_WORKING = ("__n_words", "__words", "__spans", "__items")
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _PASS = "__n_words long, __words array<struct<start:bigint,end:bigint>>, __spans array<struct<start:bigint,end:bigint>>, __items array<{}>"
 
@@ -227,7 +229,7 @@ def _pass(phrases, text_col: str, item_type: pa.DataType):
                 chars = np.concatenate([[0], np.cumsum((words.data[begin : words.offsets[i + 1]] & 0xC0) != 0x80)])
                 out_spans.append([{"start": int(chars[words.starts[base + a] - begin]), "end": int(chars[words.ends[base + b - 1] - begin])} for a, b in edge])
                 out_items.append(sorted({*(old_items[first + i].as_py() or []), *(p.items[k] for k in mine)}))
-        names = [c for c in batch.schema.names if not c.startswith("__")]
+        names = [c for c in batch.schema.names if c not in _WORKING]
         arrays = [batch.column(c) for c in names] + [pa.array(n_words, pa.int64()), pa.array(out_words, _SPANS), pa.array(out_spans, _SPANS), pa.array(out_items, pa.list_(item_type))]
         return pa.RecordBatch.from_arrays(arrays, [*names, "__n_words", "__words", "__spans", "__items"])
 
@@ -244,11 +246,11 @@ def contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "text", i
 
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. A window is ``width`` words of an item, or all of a
     shorter one. Null and empty texts, on either side, have no words; items with a null id are left out. Repeated rows are judged alike.
-    Other columns pass through untouched, unless they begin with two underscores; a column ``contamination`` is replaced. A benchmark of more
+    Other columns pass through untouched; a column ``contamination`` is replaced, and such as are called like the working columns are dropped. A benchmark of more
     than ``max_broadcast`` bytes of text is dealt into as many passes as hold it, each bounded by that size (or by one item's); passes are
     parted by checkpoints, so that neither the driver nor a task ever holds the phrases of two.
     """
-    df = df.drop("contamination")
+    df = df.drop("contamination", *_WORKING)
     spark = df.sparkSession
     kind = benchmark.schema[item_col].dataType.simpleString()
     arrow_kind = pa.int64() if kind in ("bigint", "int", "smallint", "tinyint") else pa.string()
