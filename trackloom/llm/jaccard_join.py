@@ -46,6 +46,8 @@ BLOCK_ROWS = 4096
 KEPT_BYTES = 16 << 20
 #: Classes of more than this share of all rows are named in a broadcast, so at most as many are.
 HOT_SHARE = 4096
+#: Rows of two numbers that may be broadcast (16 MB).
+SMALL_ROWS = 1_000_000
 #: 64-bit words of a set's parity bitmap.
 BITMAP = 8
 _BITS = [f"b{k}" for k in range(BITMAP)]
@@ -243,6 +245,11 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int
     return materialize(both.mapInArrow(_verify(width, percent), "a long, b long"))
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """Marked for a broadcast if it has at most SMALL_ROWS rows; beyond that the join is left to shuffle."""
+    return F.broadcast(df) if df.count() <= SMALL_ROWS else df
+
+
 def _alpha(n: Column, m: Column, percent: int) -> Column:
     """The least number of shared shingles of two linked sets."""
     return F.floor((percent * (n + m) + 99 + percent) / (100 + percent))
@@ -294,25 +301,20 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     top = tops.groupBy("token").agg(F.max(F.struct("kind", "class", "place")).alias("top"))
     tops = tops.join(top, "token").select("class", "place", "kind", F.col("top.class").alias("centre"), F.col("top.place").alias("centre_place"), F.col("top.kind").alias("centre_kind"))
     stars = shared.drop("token").unionByName(tops).where(F.col("class") != F.col("centre")).where(possible("place", "centre_place", "kind", "centre_kind"))
-    stars = stars.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
+    # A pair that has not l shingles in groups with this very centre is no loss: it is counted over all its shingles below.
+    l = F.least(need("kind"), need("centre_kind"))
+    stars = stars.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b"), l.alias("l")).groupBy("a", "b").agg(F.count("*").alias("m"), F.first("l").alias("l")).where("m >= l").select("a", "b")
     known = lambda k: classes.select(F.col("class").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("n", *_BITS)])
     little = lambda x, y: _differ_little(percent, (F.col(f"n_{x}"), F.col(f"n_{y}")), [(F.col(f"{b}_{x}"), F.col(f"{b}_{y}")) for b in _BITS])
-    stars = stars.join(known("a"), "a").join(known("b"), "b").where(little("a", "b")).select("a", "b")
-    mine = shared.select("token", "class", "place", "kind")
-    both = stars.join(mine.withColumnsRenamed({"class": "a", "place": "place_a", "kind": "kind_a"}), "a").join(mine.withColumnsRenamed({"class": "b", "place": "place_b", "kind": "kind_b"}), ["b", "token"])
-    both = both.where(possible("place_a", "place_b", "kind_a", "kind_b"))
-    l = F.least(need("kind_a"), need("kind_b"))
-    stars = materialize(both.groupBy("a", "b").agg(F.count("*").alias("m"), F.first(l).alias("l")).where("m >= l").select("a", "b"))
+    stars = materialize(stars.join(known("a"), "a").join(known("b"), "b").where(little("a", "b")).select("a", "b"))
     links = _confirmed(stars, classes, docs, width, percent)
     joined = components(links)
 
-    # Classes that share l shingles and are still apart. Most shingles are of one component, and go first.
-    placed = mine.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    several = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    placed = materialize(placed.join(several, "token", "left_semi"))
+    # Classes that share l shingles and are still apart.
+    placed = shared.select("token", "class", "place", "kind").join(_small(joined.withColumnRenamed("node", "class")), "class", "left").withColumn("component", F.coalesce("component", "class"))
     # A dense group mostly is one component already: only the others meet it and each other, never its members among themselves.
     parts = placed.groupBy("token", "component").agg(F.count("*").alias("members"))
-    parts = parts.groupBy("token").agg(F.max_by("component", F.struct("members", "component")).alias("main"), F.sum("members").alias("all"), F.max("members").alias("most"))
+    parts = parts.groupBy("token").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("members", "component")).alias("main"), F.sum("members").alias("all"), F.max("members").alias("most")).where("parts > 1")
     blocks = lambda n: F.ceil(n / BLOCK_ROWS).cast("int")
     parts = parts.select("token", "main", blocks(F.col("all") - F.col("most")).alias("blocks_x"), blocks(F.col("all")).alias("blocks_y"))
     placed = placed.join(parts, "token").join(classes.drop("n", "spot", "least", "rows"), "class")
