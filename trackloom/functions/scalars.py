@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Strengths of the evidence against a state (fixed values).
+VERIFIER = {"reflection": 0.30, "gap_trend": 0.25, "consistency": 0.20, "motion": 0.25}
 Box = tuple[Column, Column, Column, Column]
 
 
@@ -158,3 +160,24 @@ def snapshot_score(b: Box, confidence: Column, quality: Column, width: float, he
 
 def spatial_cell(x: Column, y: Column, size: float = 50.0) -> Column:
     return F.concat_ws(":", (x / size).cast("int").cast("string"), (y / size).cast("int").cast("string"))
+
+
+def spatial_similarity(distance: Column, reach: Column) -> Column:
+    """1 at the same place, falling evenly to 0 at ``reach``."""
+    return F.greatest(1 - distance / reach, F.lit(0.0))
+
+
+def temporal_similarity(s1: Column, e1: Column, s2: Column, e2: Column, max_gap: float) -> Column:
+    """Of inclusive spans: from 0.7 up to 1 by how much of the longer they share, or from 0.7 down to 0 by the gap between them."""
+    shared = (F.least(e1, e2) - F.greatest(s1, s2) + 1) / (F.greatest(e1 - s1, e2 - s2) + 1)
+    apart = F.greatest(1 - (F.greatest(s1, s2) - F.least(e1, e2)) / F.lit(float(max_gap)), F.lit(0.0))
+    return F.when((s1 <= e2) & (s2 <= e1), 0.7 + 0.3 * shared).otherwise(0.7 * apart)
+
+
+def verified(current: Column, evidence: Mapping[str, Column], confirms: Column, least: float = 0.7) -> Column:
+    """The state after a verifier: overridden where the strengths of the evidence against it sum to ``least``, unless something confirms it.
+
+    ``evidence`` holds booleans by the names of ``VERIFIER``.
+    """
+    strength = sum((F.when(evidence[k], w).otherwise(0.0) for k, w in VERIFIER.items() if k in evidence), F.lit(0.0))
+    return F.when(confirms, current).when(F.round(strength, 6) >= least, "REJECTED").otherwise(current)

@@ -58,6 +58,6 @@ def rejection_summary(df: DataFrame, camera: str, position: str, severity: str)
 
 def suppress_for_loaded(observations: DataFrame, loads: DataFrame, key: str, kind: str, state: str, suppressed: str = "floor_damage") -> DataFrame:
     """Drops observations of one kind for units whose load is LOADED; without load data they stay."""
-    loaded = loads.where(F.col(state) == "LOADED").select(key).distinct()
-    hidden = observations.where(F.col(kind) == suppressed).join(loaded, key, "left_semi")
-    return observations.where((F.col(kind) != suppressed) | F.col(kind).isNull()).unionByName(observations.where(F.col(kind) == suppressed).join(hidden.select(key).distinct(), key, "left_anti"))
+    loaded = loads.where(F.col(state) == "LOADED").select(key).distinct().withColumn("__loaded", F.lit(True))
+    hidden = F.coalesce((F.col(kind) == suppressed) & F.col("__loaded"), F.lit(False))
+    return observations.join(loaded, key, "left").where(~hidden).select(*observations.columns)

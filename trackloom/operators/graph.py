@@ -56,8 +56,5 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 
 
 def least_member(pairs: DataFrame, a: str, b: str, max_rounds: int = 100) -> DataFrame:
-    """``(node, root)``: the least node that each node of a pair reaches; a node that is only paired with itself is its own root."""
-    edges = pairs.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
-    found = components(edges, max_rounds).withColumnRenamed("component", "root")
-    alone = edges.where("a = b").select(F.col("a").alias("node")).distinct().join(found, "node", "left_anti")
-    return found.unionByName(alone.withColumn("root", F.col("node")))
+    """``(node, root)``: the least node that each node of a pair reaches; pairs of a node with itself, and nulls, give no row."""
+    return components(pairs.select(F.col(a).alias("a"), F.col(b).alias("b")), max_rounds).withColumnRenamed("component", "root")

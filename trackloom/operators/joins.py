@@ -141,12 +141,16 @@ def missing_and_unexpected(expected: DataFrame, found: DataFrame, key: str) -> D
     return missing.unionByName(found.select(key).distinct().join(expected.select(key), key, "left_anti").withColumn("problem", F.lit("unexpected")))
 
 
-def stalled_together(tracks: DataFrame, group: Names, start: str, end: str, key: str, width: float, least: int = 2) -> DataFrame:
-    """Tracks whose inclusive frame ranges overlap those of at least ``least - 1`` others: ``(group, key, together)``."""
-    a = tracks.select(*group, F.col(key), F.col(start).alias("a_start"), F.col(end).alias("a_end"))
-    b = tracks.select(*group, F.col(key).alias("other"), F.col(start).alias("b_start"), F.col(end).alias("b_end"))
-    pairs = overlap_pairs(a, b, group, ("a_start", "a_end"), ("b_start", "b_end"), width, inclusive=True)
-    return pairs.groupBy(*group, key).agg(F.count("*").alias("together")).where(F.col("together") >= least)
+def stalled_together(tracks: DataFrame, group: Names, start: str, end: str, key: str, least: int = 2) -> DataFrame:
+    """Tracks whose inclusive frame ranges overlap those of at least ``least - 1`` others: ``(group, key, together)``.
+
+    They are counted, not paired: those that have started up to a track's end, less those that had ended before its start.
+    """
+    edges = tracks.select(*group, key, F.explode(F.array(F.struct(F.col(start).alias("at"), F.lit(0).alias("ends")), F.struct(F.col(end).alias("at"), F.lit(1).alias("ends")))).alias("e")).select(*group, key, "e.*")
+    w = Window.partitionBy(*group).orderBy("at")
+    edges = edges.withColumn("__started", F.count_if(F.col("ends") == 0).over(w.rangeBetween(Window.unboundedPreceding, 0))).withColumn("__ended", F.coalesce(F.count_if(F.col("ends") == 1).over(w.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    together = F.max(F.when(F.col("ends") == 1, F.col("__started"))) - F.max(F.when(F.col("ends") == 0, F.col("__ended")))
+    return edges.groupBy(*group, key).agg(together.alias("together")).where(F.col("together") >= least)
 
 
 def local_advance(fragments: DataFrame, seams: DataFrame, group: Names, at: str, seam: str, nearest: int = 5, least: int = 3) -> DataFrame:

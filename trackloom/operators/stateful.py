@@ -1,41 +1,59 @@
-"""Operators whose rows depend on earlier decisions: grouped folds in Arrow-backed pandas.
+"""Operators whose rows depend on earlier decisions: folds over the rows of a group, in order.
 
-Each takes one sensor's (or unit's) rows as a group; the key should be fine enough that a group fits a task. A window or join cannot
-express them, because a greedy choice changes what later rows may choose.
+Spark deals the rows by group and sorts them; each task then walks its Arrow batches row by row, and holds the rows of one group at a time. A group
+is a sensor, or a camera of one batch: the key has to be fine enough that a group fits a task. A window or join cannot express these, because a
+greedy choice changes what later rows may choose.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import bisect
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
+from statistics import median
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 Names = Sequence[str]
+_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_()}
 
 
-def _apply(df: DataFrame, group: Names, schema: str, work) -> DataFrame:
-    keys = ", ".join(f"{g} {df.schema[g].dataType.simpleString()}" for g in group)
+def _fold(df: DataFrame, group: Names, order: Names, columns: Names, out: dict[str, str], work: Callable[[list[tuple]], Iterable[tuple]]) -> DataFrame:
+    """``(group, out)``: the rows that ``work`` gives for each group's rows, which it gets as tuples of ``columns`` in order."""
+    kinds = {g: df.schema[g].dataType.simpleString() for g in group} | out
+    names, types = list(kinds), [_ARROW[k] for k in kinds.values()]
 
-    def grouped(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        out = work(frame)
-        for name, value in reversed(list(zip(group, key))):
-            out.insert(0, name, value)
-        return out
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, done = None, [], []
+        for batch in batches:
+            values = [batch.column(c).to_pylist() for c in (*group, *columns)]
+            for row in zip(*values):
+                if row[: len(group)] != key:
+                    done += [(*key, *r) for r in work(held)] if held else []
+                    key, held = row[: len(group)], []
+                held.append(row[len(group) :])
+            if done:
+                yield packed(done)
+                done = []
+        if held:
+            done = [(*key, *r) for r in work(held)]
+            if done:
+                yield packed(done)
 
-    return df.groupBy(*group).applyInPandas(grouped, f"{keys}, {schema}")
+    dealt = df.select(*dict.fromkeys([*group, *order, *columns])).repartition(*group).sortWithinPartitions(*group, *order)
+    return dealt.mapInArrow(run, ", ".join(f"`{n}` {k}" for n, k in kinds.items()))
 
 
-def _by_frame(frame: pd.DataFrame, by: str, *columns: str) -> Iterator[tuple[int, list[tuple[float, ...]]]]:
-    """Runs of equal values of a sorted column, with the other columns' values as tuples of floats."""
-    keys, rows = frame[by].tolist(), list(zip(*(frame[c].astype(float).tolist() for c in columns)))
-    begin = 0
-    for k in range(1, len(keys) + 1):
-        if k == len(keys) or keys[k] != keys[begin]:
-            yield keys[begin], rows[begin:k]
-            begin = k
+def _kind(df: DataFrame, column: str) -> str:
+    return df.schema[column].dataType.simpleString()
 
 
 class MotionFilter:
@@ -80,11 +98,10 @@ def track(detections: DataFrame, group: Names, cfg: TrackerConfig = TrackerConfi
     count as missed. Gives ``(group, track_id, start_frame, end_frame, hits, confidence, consistency)``, ids ranked by first and last frame.
     """
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
+    def work(rows: list[tuple]) -> Iterator[tuple]:
         open_: list[dict] = []
         done: list[dict] = []
-        frame = frame.sort_values(["frame", "x", "event_id"], kind="stable")
-        for f, rows in _by_frame(frame, "frame", "x", "confidence"):
+        for f, seen in groupby(rows, itemgetter(0)):
             keep = []
             for t in open_:
                 (done if f - 1 - t["last"] >= cfg.max_missed else keep).append(t)
@@ -92,7 +109,7 @@ def track(detections: DataFrame, group: Names, cfg: TrackerConfig = TrackerConfi
             for t in open_:
                 t["filter"].predict(f - t["at"])
                 t["at"] = f
-            for x, c in rows:
+            for _, x, c in seen:
                 free = [(abs(x - t["filter"].x), i) for i, t in enumerate(open_) if i not in used and abs(x - t["filter"].x) <= cfg.match_distance]
                 if free:
                     i = min(free)[1]
@@ -103,11 +120,12 @@ def track(detections: DataFrame, group: Names, cfg: TrackerConfig = TrackerConfi
                 used.add(i)
                 t = open_[i]
                 t.update(last=f, hits=t["hits"] + 1, conf=t["conf"] + c)
-        done += open_
-        done = sorted((t for t in done if t["hits"] >= cfg.min_hits), key=lambda t: (t["first"], t["last"]))
-        return pd.DataFrame([(k, t["first"], t["last"], t["hits"], t["conf"] / t["hits"], min(1.0, t["hits"] / (t["last"] - t["first"] + 1))) for k, t in enumerate(done, 1)], columns=["track_id", "start_frame", "end_frame", "hits", "confidence", "consistency"])
+        done = sorted((t for t in done + open_ if t["hits"] >= cfg.min_hits), key=lambda t: (t["first"], t["last"]))
+        for k, t in enumerate(done, 1):
+            yield k, t["first"], t["last"], t["hits"], t["conf"] / t["hits"], min(1.0, t["hits"] / (t["last"] - t["first"] + 1))
 
-    return _apply(detections, group, "track_id long, start_frame long, end_frame long, hits long, confidence double, consistency double", work)
+    out = {"track_id": "bigint", "start_frame": "bigint", "end_frame": "bigint", "hits": "bigint", "confidence": "double", "consistency": "double"}
+    return _fold(detections, group, ["frame", "x", "event_id"], ["frame", "x", "confidence"], out, work)
 
 
 @dataclass(frozen=True)
@@ -118,7 +136,7 @@ class StreakConfig:
     closed_rows: int = 5
 
 
-def streak_states(df: DataFrame, group: Names, order: str, label: str, confidence: str, cfg: StreakConfig = StreakConfig()) -> DataFrame:
+def streak_states(df: DataFrame, group: Names, order: Names, label: str, confidence: str, cfg: StreakConfig = StreakConfig()) -> DataFrame:
     """``(group, order, state, event)``: a door's state by streaks of confident predictions.
 
     A confident row lengthens its kind's streak and ends the others'; a weak one shortens all by one. OPEN is left only by twice the usual
@@ -147,9 +165,9 @@ def streak_states(df: DataFrame, group: Names, order: str, label: str, confidenc
             return None
         return found if c >= least else None
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        frame, state, streak, opened, out = frame.sort_values(order, kind="stable"), "UNKNOWN", {}, False, []
-        for name, c in zip(frame[label], frame[confidence]):
+    def work(rows: list[tuple]) -> Iterator[tuple]:
+        state, streak, opened = "UNKNOWN", {}, False
+        for name, c, *at in rows:
             k, event = kind(name, c), None
             streak = {k: streak.get(k, 0) + 1} if k else {s: max(0, n - 1) for s, n in streak.items()}
             for target, least in follow[state]:
@@ -158,10 +176,9 @@ def streak_states(df: DataFrame, group: Names, order: str, label: str, confidenc
                     if state == "OPEN" and not opened:
                         event, opened = "DOOR_OPEN", True
                     break
-            out.append((state, event))
-        return pd.DataFrame({order: frame[order].to_numpy(), "state": [o[0] for o in out], "event": [o[1] for o in out]})
+            yield *at, state, event
 
-    return _apply(df, group, f"{order} {df.schema[order].dataType.simpleString()}, state string, event string", work)
+    return _fold(df, group, order, [label, confidence, *order], {o: _kind(df, o) for o in order} | {"state": "string", "event": "string"}, work)
 
 
 @dataclass(frozen=True)
@@ -211,52 +228,51 @@ class Hysteresis:
         return self._settle()
 
 
-def hysteresis(df: DataFrame, group: Names, order: str, label: str, duration: str, confidence: str, cfg: HysteresisConfig = HysteresisConfig()) -> DataFrame:
+def hysteresis(df: DataFrame, group: Names, order: Names, label: str, duration: str, confidence: str, cfg: HysteresisConfig = HysteresisConfig()) -> DataFrame:
     """``(group, order, raw_label, stable_label, held)`` for every row."""
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        frame, state, out = frame.sort_values(order, kind="stable"), Hysteresis(cfg), {}
-        for tag, (l, d, c) in enumerate(zip(frame[label], frame[duration], frame[confidence])):
+    def work(rows: list[tuple]) -> Iterator[tuple]:
+        state, out = Hysteresis(cfg), {}
+        for tag, (l, d, c, *_) in enumerate(rows):
             out.update((t, (s, h)) for t, s, h in state.feed(l, float(d), float(c), tag))
         out.update((t, (s, h)) for t, s, h in state.finish())
-        rows = [out[k] for k in range(len(frame))]
-        return pd.DataFrame({order: frame[order].to_numpy(), "raw_label": frame[label].to_numpy(), "stable_label": [r[0] for r in rows], "held": [r[1] for r in rows]})
+        for k, (l, _, _, *at) in enumerate(rows):
+            yield *at, l, *out[k]
 
-    return _apply(df, group, f"{order} {df.schema[order].dataType.simpleString()}, raw_label string, stable_label string, held boolean", work)
+    return _fold(df, group, order, [label, duration, confidence, *order], {o: _kind(df, o) for o in order} | {"raw_label": "string", "stable_label": "string", "held": "boolean"}, work)
 
 
 def running_mean_clusters(df: DataFrame, group: Names, order: Names, time: str, key: str, spread: float) -> DataFrame:
     """Sweep clusters ``(group, key, cluster)``: a row joins the current cluster within ``spread`` of its running mean, else opens the next."""
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        frame, ids, k, total, n = frame.sort_values(list(order), kind="stable"), [], 0, 0.0, 0
-        for t in frame[time].astype(float):
+    def work(rows: list[tuple]) -> Iterator[tuple]:
+        k, total, n = 0, 0.0, 0
+        for id_, t in rows:
             if n and abs(t - total / n) <= spread:
                 total, n = total + t, n + 1
             else:
-                k, total, n = k + 1, t, 1
-            ids.append(k)
-        return pd.DataFrame({key: frame[key].to_numpy(), "cluster": np.array(ids, np.int64)})
+                k, total, n = k + 1, float(t), 1
+            yield id_, k
 
-    return _apply(df, group, f"{key} {df.schema[key].dataType.simpleString()}, cluster long", work)
+    return _fold(df, group, order, [key, time], {key: _kind(df, key), "cluster": "bigint"}, work)
 
 
 def min_separation(df: DataFrame, group: Names, key: str, time: str, x: str, hits: str, confidence: str, least: float, near: float) -> DataFrame:
     """``(group, key, kept)``: against the last kept row, one closer than ``least`` in time and ``near`` in place loses to the better evidenced."""
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values([time, key], kind="stable")
+    def work(rows: list[tuple]) -> Iterator[tuple]:
         kept: list = []
-        for row in frame[[key, time, x, hits, confidence]].itertuples(index=False, name=None):
+        for row in rows:
             if kept and row[1] - kept[-1][1] < least and abs(row[2] - kept[-1][2]) <= near:
                 if (kept[-1][3], kept[-1][4]) < (row[3], row[4]):
                     kept[-1] = row
             else:
                 kept.append(row)
         ids = {r[0] for r in kept}
-        return pd.DataFrame({key: frame[key].to_numpy(), "kept": [k in ids for k in frame[key]]})
+        for r in rows:
+            yield r[0], r[0] in ids
 
-    return _apply(df, group, f"{key} {df.schema[key].dataType.simpleString()}, kept boolean", work)
+    return _fold(df, group, [time, key], [key, time, x, hits, confidence], {key: _kind(df, key), "kept": "boolean"}, work)
 
 
 def suppress_duplicates(df: DataFrame, group: Names, key: str, start: str, end: str, x: str, hits: str, confidence: str, least_overlap: float, near: float) -> DataFrame:
@@ -265,10 +281,9 @@ def suppress_duplicates(df: DataFrame, group: Names, key: str, start: str, end:
     Each row meets the kept set in order; the first clash decides, and a better newcomer takes that place's end of the line.
     """
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values([start, key], kind="stable")
+    def work(rows: list[tuple]) -> Iterator[tuple]:
         kept, lost = [], {}
-        for row in frame[[key, start, end, x, hits, confidence]].itertuples(index=False, name=None):
+        for row in rows:
             kept = [k for k in kept if k[2] >= row[1]]  # by start, so the others meet no later row
             for i, k in enumerate(kept):
                 shared = min(row[2], k[2]) - max(row[1], k[1]) + 1
@@ -283,9 +298,33 @@ def suppress_duplicates(df: DataFrame, group: Names, key: str, start: str, end:
                     break
             else:
                 kept.append(row)
-        return pd.DataFrame({key: frame[key].to_numpy(), "duplicate_of": pd.array([lost.get(k) for k in frame[key]], "Int64")})
+        for r in rows:
+            yield r[0], lost.get(r[0])
+
+    return _fold(df, group, [start, key], [key, start, end, x, hits, confidence], {key: "bigint", "duplicate_of": "bigint"}, work)
+
+
+def recover(accepted: DataFrame, candidates: DataFrame, group: Names, key: str, start: str, end: str, x: str, least: float, near: float) -> DataFrame:
+    """``(group, key, recovered)`` for every candidate, by start: one that clashes with an accepted track, or with one recovered before it, stays out.
+
+    Two tracks clash that start within ``near`` of each other in place and either overlap in time or have centres less than ``least`` frames
+    apart. Accepted tracks come first, whatever their place in the order.
+    """
 
-    return _apply(df, group, f"{key} long, duplicate_of long", work)
+    def work(rows: list[tuple]) -> Iterator[tuple]:
+        centre = lambda r: round((r[1] + r[2]) / 2)
+        live = [r for r in rows if r[4]]
+        for r in rows:
+            if r[4]:
+                continue
+            clash = any(abs(a[3] - r[3]) <= near and ((a[1] <= r[2] and r[1] <= a[2]) or abs(centre(a) - centre(r)) < least) for a in live)
+            if not clash:
+                live.append(r)
+            yield r[0], not clash
+
+    fields = [*group, key, start, end, x]
+    both = accepted.select(*fields, F.lit(True).alias("accepted")).unionByName(candidates.select(*fields, F.lit(False).alias("accepted")))
+    return _fold(both, group, [start, key], [key, start, end, x, "accepted"], {key: _kind(accepted, key), "recovered": "boolean"}, work)
 
 
 @dataclass(frozen=True)
@@ -311,30 +350,32 @@ def group_evidence(df: DataFrame, group: Names, cfg: EvidenceConfig = EvidenceCo
         union = sum(max(0.0, s[2] - s[0]) * max(0.0, s[3] - s[1]) for s in (a, b)) - inter
         return inter / union if union > 0 else 0.0
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.assign(__c=-frame["confidence"]).sort_values(["frame", "__c", "x1", "key"], kind="stable")
-        last, ids = [], []
-        for f, box in zip(frame["frame"], frame[["x1", "y1", "x2", "y2"]].itertuples(index=False, name=None)):
-            best, least = None, float("inf")
-            for i, (pf, pbox) in enumerate(last):
-                gap = f - pf
-                if gap <= 0 or max(1, gap // cfg.stride) > cfg.max_steps:
-                    continue
-                cost = 0.0
-                if iou(box, pbox) < cfg.min_iou:
-                    cost = abs((box[0] + box[2]) - (pbox[0] + pbox[2])) / 2 / cfg.width
-                    if cost > min(cfg.drift_per_frame * max(1, gap), cfg.total_drift):
+    def work(rows: list[tuple]) -> Iterator[tuple]:
+        last: list = []
+        alive: list[int] = []  # candidates that were seen recently enough to be met again
+        for f, seen in groupby(rows, itemgetter(0)):
+            alive = [i for i in alive if max(1, (f - last[i][0]) // cfg.stride) <= cfg.max_steps]
+            for _, _, *box, key in sorted(seen, key=lambda r: (-r[1], r[2], r[6])):
+                best, least = None, float("inf")
+                for i in alive:
+                    gap = f - last[i][0]
+                    if gap <= 0:
                         continue
-                if cost < least:
-                    best, least = i, cost
-            if best is None:
-                best = len(last)
-                last.append(None)
-            last[best] = (f, box)
-            ids.append(best + 1)
-        return pd.DataFrame({"key": frame["key"].to_numpy(), "candidate": np.array(ids, np.int64)})
-
-    return _apply(df, group, "key long, candidate long", work)
+                    cost = 0.0
+                    if iou(box, last[i][1]) < cfg.min_iou:
+                        cost = abs((box[0] + box[2]) - (last[i][1][0] + last[i][1][2])) / 2 / cfg.width
+                        if cost > min(cfg.drift_per_frame * max(1, gap), cfg.total_drift):
+                            continue
+                    if cost < least:
+                        best, least = i, cost
+                if best is None:
+                    best = len(last)
+                    last.append(None)
+                    alive.append(best)
+                last[best] = (f, box)
+                yield key, best + 1
+
+    return _fold(df, group, ["frame"], ["frame", "confidence", "x1", "y1", "x2", "y2", "key"], {"key": "bigint", "candidate": "bigint"}, work)
 
 
 @dataclass(frozen=True)
@@ -375,18 +416,24 @@ def align_sequences(mt: np.ndarray, mc: np.ndarray, st: np.ndarray, sc: np.ndarr
     return float(cost[n, m]), pairs[::-1]
 
 
+def _sides(rows: list[tuple]) -> tuple[tuple[np.ndarray, np.ndarray, list], ...]:
+    """Times, confidences and keys of the master and the support rows ``(side, time, confidence, key)``."""
+    parts = [[r[1:] for r in rows if r[0] == side] for side in "MS"]
+    return tuple((np.array([r[0] for r in p], float), np.array([r[1] for r in p], float), [r[2] for r in p]) for p in parts)
+
+
 def align(df: DataFrame, group: Names, cfg: AlignConfig = AlignConfig()) -> DataFrame:
     """Rows ``(side, time, confidence, key)``, side ``M`` or ``S``, become ``(group, op, master_key, support_key)``: MATCH, MISSING, EXTRA."""
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        m, s = (frame[frame["side"] == k].sort_values(["time", "key"], kind="stable") for k in "MS")
-        _, pairs = align_sequences(m["time"].to_numpy(float), m["confidence"].to_numpy(float), s["time"].to_numpy(float), s["confidence"].to_numpy(float), cfg)
-        mk, sk = m["key"].tolist(), s["key"].tolist()
+    def work(rows: list[tuple]) -> Iterator[tuple]:
+        (mt, mc, mk), (st, sc, sk) = _sides(rows)
+        _, pairs = align_sequences(mt, mc, st, sc, cfg)
         used_m, used_s = {i for i, _ in pairs}, {j for _, j in pairs}
-        rows = [("MATCH", mk[i], sk[j]) for i, j in pairs] + [("MISSING", k, None) for i, k in enumerate(mk) if i not in used_m] + [("EXTRA", None, k) for j, k in enumerate(sk) if j not in used_s]
-        return pd.DataFrame(rows, columns=["op", "master_key", "support_key"]).astype({"master_key": "Int64", "support_key": "Int64"})
+        yield from (("MATCH", mk[i], sk[j]) for i, j in pairs)
+        yield from (("MISSING", k, None) for i, k in enumerate(mk) if i not in used_m)
+        yield from (("EXTRA", None, k) for j, k in enumerate(sk) if j not in used_s)
 
-    return _apply(df, group, "op string, master_key long, support_key long", work)
+    return _fold(df, group, ["side", "time", "key"], ["side", "time", "confidence", "key"], {"op": "string", "master_key": "bigint", "support_key": "bigint"}, work)
 
 
 def offset_curve(df: DataFrame, group: Names, offset: str, cfg: AlignConfig = AlignConfig()) -> DataFrame:
@@ -395,19 +442,17 @@ def offset_curve(df: DataFrame, group: Names, offset: str, cfg: AlignConfig = Al
     ``df`` holds the rows of ``align`` once for each candidate in ``offset``, so that candidates spread over tasks.
     """
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        delta = float(frame[offset].iloc[0])
-        m, s = (frame[frame["side"] == k].sort_values(["time", "key"], kind="stable") for k in "MS")
-        mt, st = m["time"].to_numpy(float), s["time"].to_numpy(float)
-        cost, pairs = align_sequences(mt, m["confidence"].to_numpy(float), st + delta, s["confidence"].to_numpy(float), cfg)
+    def work(rows: list[tuple]) -> Iterator[tuple]:
+        (mt, mc, _), (st, sc, _) = _sides(rows)
+        cost, pairs = align_sequences(mt, mc, st + float(rows[0][4]), sc, cfg)
         penalty = 0.0
         for (i0, j0), (i1, j1) in zip(pairs, pairs[1:]):
             dm, ds = mt[i1] - mt[i0], st[j1] - st[j0]
             if dm > 0 and ds > 0:
                 penalty += abs(dm - ds) / max(dm, ds)
-        return pd.DataFrame({"score": [cost + cfg.pattern_weight * penalty], "n_match": [len(pairs)]})
+        yield float(cost + cfg.pattern_weight * penalty), len(pairs)
 
-    return _apply(df, [*group, offset], "score double, n_match long", work)
+    return _fold(df, [*group, offset], ["side", "time", "key"], ["side", "time", "confidence", "key", offset], {"score": "double", "n_match": "bigint"}, work)
 
 
 def assign_optimal(cost: np.ndarray) -> list[tuple[int, int]]:
@@ -446,59 +491,118 @@ def track_optimal(detections: DataFrame, group: Names, gate: float = 200.0, max_
     A track is tentative until ``min_hits`` hits, and then dies after ``tentative`` missed frames, a confirmed one after ``max_missed``.
     """
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        open_, keys, ids, new = [], [], [], 0
-        for f, rows in frame.sort_values(["frame", "x", "key"], kind="stable").groupby("frame", sort=True):
+    def work(rows: list[tuple]) -> Iterator[tuple]:
+        open_, new = [], 0
+        for f, seen in groupby(rows, itemgetter(0)):
+            seen = list(seen)
             open_ = [t for t in open_ if f - t["last"] - 1 < (max_missed if t["hits"] >= min_hits else tentative)]
-            at = rows[["x", "y"]].to_numpy(float)
-            cost = np.array([[np.hypot(*(a - t["at"])) for t in open_] for a in at]).reshape(len(at), len(open_))
+            cost = np.array([[float(np.hypot(x - t["at"][0], y - t["at"][1])) for t in open_] for _, x, y, _ in seen]).reshape(len(seen), len(open_))
             chosen = dict(assign_optimal(np.where(cost > gate, np.inf, cost))) if open_ else {}
-            for i, (a, key) in enumerate(zip(at, rows["key"])):
+            for i, (_, x, y, key) in enumerate(seen):
                 if i in chosen:
                     t = open_[chosen[i]]
                 else:
                     new += 1
                     t = {"id": new, "hits": 0}
                     open_.append(t)
-                t.update(at=a, last=f, hits=t["hits"] + 1)
-                keys.append(key)
-                ids.append(t["id"])
-        return pd.DataFrame({"key": keys, "track": np.array(ids, np.int64)})
+                t.update(at=(float(x), float(y)), last=f, hits=t["hits"] + 1)
+                yield key, t["id"]
+
+    return _fold(detections, group, ["frame", "x", "key"], ["frame", "x", "y", "key"], {"key": "bigint", "track": "bigint"}, work)
+
 
-    return _apply(detections, group, "key long, track long", work)
+@dataclass(frozen=True)
+class SeamConfig:
+    """In frames and pixels, already resolved for a camera."""
+
+    max_seam: int
+    tolerance: float = 3.5
+    floor: float = 10.0
+    cap: float = 300.0
+    min_hits: int = 2
+    reference_hits: int = 3
+    reference_tracks: int = 3
+    reference_window: int = 5
+
+
+#: Why two fragments are not one track, in the order of the tests (fixed values).
+SEAM_REASONS = ("TOO_FEW_HITS", "OVERLAP", "AGAINST_FLOW", "NOT_AHEAD", "NO_REFERENCE", "JUMP", "CAP")
+_FRAGMENT = ["track_id", "start_frame", "end_frame", "x_start", "x_end", "hits", "direction"]
 
 
-def link_fragments(df: DataFrame, group: Names, max_seam: int, tolerance: float, floor: float, cap: float, advance: float) -> DataFrame:
+class _Reference:
+    """Advance per frame near a place: the median over the nearest fragments that are long enough to be measured."""
+
+    def __init__(self, rows: list[tuple], cfg: SeamConfig):
+        self.cfg = cfg
+        pool = [((r[1] + r[2]) / 2, k, abs(r[4] - r[3]) / (r[2] - r[1])) for k, r in enumerate(rows) if r[5] >= cfg.reference_hits and r[2] > r[1] and r[4] != r[3]]
+        # Of equal distances the earlier fragment is nearer, so the list that is read backwards has them the other way round.
+        self.ahead, self.back = sorted(pool), sorted(pool, key=lambda p: (p[0], -p[1]))
+
+    def at(self, frame: float) -> float | None:
+        if len(self.ahead) < self.cfg.reference_tracks:
+            return None
+        n, cut = self.cfg.reference_window, bisect.bisect_left(self.ahead, (frame,))
+        near = self.back[max(0, cut - n) : cut] + self.ahead[cut : cut + n]
+        return median(v for _, _, v in sorted((abs(c - frame), k, v) for c, k, v in near)[:n])
+
+
+def _seams(rows: list[tuple], cfg: SeamConfig) -> tuple[dict[int, int], list[tuple]]:
+    """For each fragment, by start, the next one of its track; and the seams that were refused, with the reason."""
+    votes = sum(int(np.sign(r[6])) * r[5] for r in rows)
+    flow = int(np.sign(votes)) if len(rows) >= 3 else 0
+    reference, after, taken, refused = _Reference(rows, cfg), {}, set(), []
+
+    def verdict(a: tuple, b: tuple) -> str | None:
+        seam, jump = b[1] - a[2], b[3] - a[4]
+        if a[5] < cfg.min_hits or b[5] < cfg.min_hits:
+            return "TOO_FEW_HITS"
+        if seam < 1:
+            return "OVERLAP"
+        if np.sign(a[6]) != flow or np.sign(b[6]) != flow:
+            return "AGAINST_FLOW"
+        if jump == 0 or (jump > 0) != (flow > 0):
+            return "NOT_AHEAD"
+        advance = reference.at((a[2] + b[1]) / 2)
+        if advance is None:
+            return "NO_REFERENCE"
+        if abs(jump) > max(advance * seam, cfg.floor) * cfg.tolerance:
+            return "JUMP"
+        return "CAP" if abs(jump) > cfg.cap else None
+
+    for i, a in enumerate(rows) if flow else ():
+        for j in range(i + 1, len(rows)):
+            if rows[j][1] - a[2] > cfg.max_seam:
+                break  # by start, so no later one follows closely enough
+            if j in taken:
+                continue
+            reason = verdict(a, rows[j])
+            if reason is None:
+                after[i] = j
+                taken.add(j)
+                break
+            refused.append((a[0], rows[j][0], rows[j][1] - a[2], reason))
+    return after, refused
+
+
+def link_fragments(df: DataFrame, group: Names, cfg: SeamConfig) -> DataFrame:
     """Fragments ``(track_id, start_frame, end_frame, x_start, x_end, hits, direction)`` become chains ``(group, track_id, chain)``.
 
-    By start, each fragment takes the nearest later one that follows within the seam, moves with the group's dominant direction,
-    lies ahead, and is no farther than ``tolerance`` times what ``advance`` per frame predicts; each later one is taken once.
+    By start, each fragment takes the first later one that follows within the seam, moves with the group's dominant direction, lies ahead, and
+    is no farther than what the local advance predicts, with a tolerance and a cap; each later one is taken once.
     """
 
-    def work(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = frame.sort_values(["start_frame", "track_id"], kind="stable")[["track_id", "start_frame", "end_frame", "x_start", "x_end", "hits", "direction"]].to_numpy(float)
-        flow = np.sign((rows[:, 6] * rows[:, 5]).sum()) if len(rows) >= 3 else 0
-        taken, after = set(), {}
-        for i, a in enumerate(rows):
-            best = None
-            for j in range(i + 1, len(rows)):
-                b = rows[j]
-                seam, jump = b[1] - a[2], b[3] - a[4]
-                if j in taken or flow == 0 or not 1 <= seam <= max_seam or a[5] < 2 or b[5] < 2 or a[6] != flow or b[6] != flow or jump == 0 or (jump > 0) != (flow > 0):
-                    continue
-                if abs(jump) > min(max(advance * seam, floor) * tolerance, cap):
-                    continue
-                if best is None or (seam, j) < best:
-                    best = (seam, j)
-            if best:
-                after[i] = best[1]
-                taken.add(best[1])
-        chain = {}
-        for i in range(len(rows)):
-            head, k = chain.get(i, i), i
-            chain[i] = head
-            if k in after:
-                chain[after[k]] = head
-        return pd.DataFrame({"track_id": rows[:, 0].astype(np.int64), "chain": [int(rows[chain[i], 0]) for i in range(len(rows))]})
-
-    return _apply(df, group, "track_id long, chain long", work)
+    def work(rows: list[tuple]) -> Iterator[tuple]:
+        after, head = _seams(rows, cfg)[0], {}
+        for i, r in enumerate(rows):
+            head.setdefault(i, r[0])
+            if i in after:
+                head[after[i]] = head[i]
+            yield r[0], head[i]
+
+    return _fold(df, group, ["start_frame", "track_id"], _FRAGMENT, {"track_id": "bigint", "chain": "bigint"}, work)
+
+
+def refused_seams(df: DataFrame, group: Names, cfg: SeamConfig) -> DataFrame:
+    """``(group, track_id, other_id, seam, reason)``: pairs that ``link_fragments`` looked at and did not link."""
+    return _fold(df, group, ["start_frame", "track_id"], _FRAGMENT, {"track_id": "bigint", "other_id": "bigint", "seam": "bigint", "reason": "string"}, lambda rows: _seams(rows, cfg)[1])

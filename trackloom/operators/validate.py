@@ -1,17 +1,18 @@
 """The validation cascade: why a track is no boundary, which rejections are soft, and what may be recovered.
 
-Everything is a column expression or a window, except the greedy suppression of duplicates, which ``stateful`` does in groups.
+Everything is a column expression or a window, except the suppression of duplicates, the separation and the recovery, whose choices
+depend on earlier ones: ``stateful`` folds those in groups.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackloom.operators import joins, windows
+from trackloom.operators import graph, joins, stateful, windows
 
 Names = Sequence[str]
 
@@ -20,6 +21,11 @@ HARD = ("TOO_SHORT", "DETECTION_GAP", "STATIC", "WRONG_DIRECTION", "DUPLICATE",
 SOFT = ("LOW_CONFIDENCE", "LOW_MOTION", "IMPLAUSIBLE_SPEED", "INCONSISTENT_TRAJECTORY", "TRAIN_MOTION_MISMATCH")
 
 
+#: Thresholds in seconds, and in widths of the frame (speeds: widths a second); fixed values.
+SECONDS = {"min_track": 0.27, "max_missed": 1.33, "separation": 0.67}
+WIDTHS = {"static_motion": 0.0047, "min_motion": 0.0142, "min_speed": 0.0094, "max_speed": 2.36, "duplicate_distance": 0.1415}
+
+
 @dataclass(frozen=True)
 class Limits:
     """Thresholds in frames and pixels, already resolved for a camera."""
@@ -43,6 +49,24 @@ class Limits:
     recover_efficiency: float = 0.40
     recover_monotonic: float = 0.45
     recover_confidence: float = 0.30
+    duplicate_overlap: float = 0.30
+    duplicate_distance: float = 120.0
+    separation: int = 10
+
+    @classmethod
+    def resolve(cls, width: float, fps: float, overrides: Mapping[str, float] | None = None) -> Limits:
+        """Seconds and shares of the frame's width become frames and pixels; a camera without either is taken for 848 pixels at 15 a second.
+
+        ``overrides`` are absolute values, taken as they are; unknown names are refused.
+        """
+        w, f = (width if width and width > 0 else 848.0), (fps if fps and fps > 0 else 15.0)
+        frames = lambda seconds, least: max(least, round(seconds * f))
+        s = SECONDS
+        out = cls(min_track_frames=frames(s["min_track"], 2), max_missed=frames(s["max_missed"], 1), separation=frames(s["separation"], 1), static_motion=WIDTHS["static_motion"] * w, min_motion=WIDTHS["min_motion"] * w, min_speed=WIDTHS["min_speed"] * w, max_speed=WIDTHS["max_speed"] * w, duplicate_distance=WIDTHS["duplicate_distance"] * w)
+        unknown = sorted(set(overrides or {}) - {x.name for x in fields(cls)})
+        if unknown:
+            raise ValueError(f"unknown thresholds: {', '.join(unknown)}")
+        return replace(out, **{k: type(getattr(out, k))(v) for k, v in (overrides or {}).items() if v is not None})
 
 
 def first_reason(l: Limits, paused: Column) -> Column:
@@ -60,21 +84,21 @@ def first_reason(l: Limits, paused: Column) -> Column:
     )
 
 
-def paused_tracks(features: DataFrame, group: Names, key: str, l: Limits, width: float) -> DataFrame:
+def paused_tracks(features: DataFrame, group: Names, key: str, l: Limits) -> DataFrame:
     """Adds ``paused``: tracks far slower than their group's median that overlap another such track in time."""
     median = F.median(F.when(F.col("speed") > 0, F.col("speed"))).over(Window.partitionBy(*group))
     rows = features.withColumn("__stalled", F.coalesce(F.col("speed") <= median * l.stopped_fraction, F.lit(False)))
-    together = joins.stalled_together(rows.where("__stalled"), group, "start_frame", "end_frame", key, width, l.stop_tracks)
+    together = joins.stalled_together(rows.where("__stalled"), group, "start_frame", "end_frame", key, l.stop_tracks)
     return rows.join(together.withColumn("paused", F.lit(True)), [*group, key], "left").withColumn("paused", F.coalesce("paused", F.lit(False))).drop("__stalled", "together")
 
 
-def cascade(features: DataFrame, group: Names, key: str, l: Limits = Limits(), width: float = 240) -> DataFrame:
+def cascade(features: DataFrame, group: Names, key: str, l: Limits = Limits()) -> DataFrame:
     """Adds ``reason`` (null: accepted), ``severity`` and ``paused`` to motion features with a ``confidence``.
 
     After the tests of a track by itself come those against its group: a direction against the majority of at least ``least_tracks``
     survivors, and a speed outside the band around the local median of theirs, unless it is paused with others.
     """
-    rows = paused_tracks(features, group, key, l, width).withColumn("reason", first_reason(l, F.col("paused")))
+    rows = paused_tracks(features, group, key, l).withColumn("reason", first_reason(l, F.col("paused")))
     p = Window.partitionBy(*group)
     alive = F.col("reason").isNull()
     rows = rows.withColumn("__n", F.count_if(alive).over(p)).withColumn("__flow", F.signum(F.sum(F.when(alive, F.col("direction")).otherwise(0)).over(p)))
@@ -88,14 +112,38 @@ def cascade(features: DataFrame, group: Names, key: str, l: Limits = Limits(), w
     return out.withColumn("severity", F.when(F.col("reason").isin(*HARD), "HARD").when(F.col("reason").isin(*SOFT), "SOFT"))
 
 
-def recoverable(rejected: DataFrame, spans: DataFrame, group: Names, l: Limits = Limits()) -> DataFrame:
-    """Adds ``outcome`` to rejected tracks: OUTSIDE the group's active span ``(lo, hi)``, BLOCKED by a hard reason or a safety floor, or CANDIDATE."""
+def cascade_tail(judged: DataFrame, group: Names, key: str, l: Limits = Limits()) -> DataFrame:
+    """The last steps of the cascade, over what it left standing: of duplicates the better evidenced track stays, and so it does of two
+    that are too close in time and place. ``judged`` holds the rows of ``cascade`` with ``x_start``; reason and severity are filled in, with the
+    track that a row lost to in ``lost_to`` for duplicates. The judged rows are checkpointed, as they are read several times."""
+    judged = graph.cut_lineage(judged)
+    standing = judged.where("reason IS NULL")
+    first = stateful.suppress_duplicates(standing, group, key, "start_frame", "end_frame", "x_start", "hits", "confidence", l.duplicate_overlap, l.duplicate_distance).withColumnRenamed("duplicate_of", "lost_to")
+    standing = standing.join(first, [*group, key])
+    left = standing.where("lost_to IS NULL").withColumn("__centre", F.bround((F.col("start_frame") + F.col("end_frame")) / 2))
+    second = stateful.min_separation(left, group, key, "__centre", "x_start", "hits", "confidence", l.separation, l.duplicate_distance)
+    standing = standing.join(second, [*group, key], "left")
+    reason = F.when(F.col("lost_to").isNotNull(), "DUPLICATE").when(~F.col("kept"), "MIN_SEPARATION")
+    standing = standing.withColumn("reason", reason).withColumn("severity", F.when(reason.isNotNull(), "HARD")).drop("kept")
+    return standing.unionByName(judged.where("reason IS NOT NULL").withColumn("lost_to", F.lit(None).cast("long")))
+
+
+def no_trajectory(tracks: DataFrame, features: DataFrame, group: Names, key: str) -> DataFrame:
+    """Tracks without motion features, which a track of a single hit has none of: ``(group, key, reason, severity)``."""
+    return tracks.select(*group, key).join(features.select(*group, key), [*group, key], "left_anti").withColumns({"reason": F.lit("NO_TRAJECTORY"), "severity": F.lit("HARD")})
+
+
+def recoverable(rejected: DataFrame, spans: DataFrame | None, group: Names, l: Limits = Limits()) -> DataFrame:
+    """Adds ``outcome`` to rejected tracks: OUTSIDE the group's active span ``(lo, hi)``, BLOCKED by a hard reason or a safety floor, or CANDIDATE.
+
+    Without ``spans`` the rows hold ``lo`` and ``hi`` themselves. A candidate may still clash with accepted tracks, see ``stateful.recover``.
+    """
+    rejected = rejected if spans is None else rejected.join(spans, list(group), "left")
     centre = F.bround((F.col("start_frame") + F.col("end_frame")) / 2)
     steps = F.col("n_steps") >= l.min_steps
     floor = (F.abs(F.col("displacement")) <= l.static_motion) | (steps & (F.col("path_efficiency") < l.recover_efficiency)) | (steps & (F.col("monotonic") < l.recover_monotonic)) | (F.col("confidence") < l.recover_confidence) | (F.col("direction") == 0)
-    rows = rejected.join(spans, list(group), "left")
     outcome = F.when(F.col("lo").isNull() | ~centre.between(F.col("lo"), F.col("hi")), "OUTSIDE").when((F.col("severity") == "HARD") | floor, "BLOCKED").otherwise("CANDIDATE")
-    return rows.withColumn("outcome", outcome).drop("lo", "hi")
+    return rejected.withColumn("outcome", outcome).drop("lo", "hi")
 
 
 def position_of(frame: Column, lo: Column, hi: Column) -> Column:

@@ -41,13 +41,31 @@ def islands(df: DataFrame, group: Names, order: Names, label: str) -> DataFrame:
     return df.withColumn("__change", change).withColumn("island", F.sum("__change").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__change")
 
 
-def time_islands(df: DataFrame, group: Names, start: str, end: str, reach: float = 0) -> DataFrame:
-    """Adds ``island``: a number, from 1, that rises where a span starts more than ``reach`` after all earlier ones have ended."""
-    w = Window.partitionBy(*group).orderBy(start)
-    pause = F.col(start) - F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    change = F.when(pause.isNull() | (pause > reach), 1).otherwise(0)
+def time_islands(df: DataFrame, group: Names, start: str, end: str, reach: float = 0, width: float = 1440) -> DataFrame:
+    """Adds ``day`` and ``island``: the stretch of rows that a row belongs to, cut where a span starts more than ``reach`` after all earlier ones have ended.
+
+    A group's rows need not fit a task: they are judged within stretches of ``width`` of the start (days), and what goes on from earlier ones comes from a
+    small table with a row for each. A stretch is named by the day in which it begins and its number there.
+    """
+    day = F.floor(F.col(start) / width).cast("long")
+    rows = df.withColumn("__day", day)
+    past = Window.partitionBy(*group).orderBy("__day")
+    tops = rows.groupBy(*group, "__day").agg(F.max(end).alias("__top"))
+    tops = tops.select(*group, "__day", F.max("__top").over(past.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"))
+    rows = rows.join(tops, [*group, "__day"])
+    w = Window.partitionBy(*group, "__day").orderBy(start)
+    pause = F.col(start) - F.greatest(F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.col("__carry"))
+    rows = rows.withColumn("__change", F.when(pause.isNull() | (pause > reach), 1).otherwise(0))
     # Over a range, spans of one start get one island, in whatever order they came.
-    return df.withColumn("__change", change).withColumn("island", F.sum("__change").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow))).drop("__change")
+    rows = rows.withColumn("__n", F.sum("__change").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    # A row before its day's first cut belongs to the last stretch of the days before.
+    lasts = rows.groupBy(*group, "__day").agg(F.sum("__change").alias("__cuts"))
+    held = F.when(F.col("__cuts") > 0, F.struct("__day", "__cuts"))
+    lasts = lasts.select(*group, "__day", F.last(held, True).over(past.rowsBetween(Window.unboundedPreceding, -1)).alias("__last"))
+    rows = rows.join(lasts, [*group, "__day"])
+    own = F.col("__n") > 0
+    rows = rows.withColumn("day", F.when(own, F.col("__day")).otherwise(F.col("__last.__day"))).withColumn("island", F.when(own, F.col("__n")).otherwise(F.col("__last.__cuts")))
+    return rows.drop("__day", "__carry", "__change", "__n", "__last")
 
 
 def stable_run(df: DataFrame, group: Names, order: Names, label: str, duration: str) -> DataFrame:

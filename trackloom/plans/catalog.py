@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trackloom.plans import ordered, relational, streams  # noqa: F401  they register their queries
+from trackloom.plans import ordered, relational, reports, streams  # noqa: F401  they register their queries
 from trackloom.plans.stage import CATALOG
 
 

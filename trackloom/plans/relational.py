@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from trackloom.functions import scalars as S
 from trackloom.operators import aggregates as A
-from trackloom.operators import fuse, graph, joins, validate
-from trackloom.plans.ordered import _HITS, SEG, boundary_segments, hits
-from trackloom.plans.stage import EV, READ, SESS, TRK, events, query, readings, sessions, table, tracks
+from trackloom.operators import fuse, graph, joins, stateful, validate
+from trackloom.operators import reports as R
+from trackloom.plans.ordered import _HITS, GROUP, SEG, boundary_segments, hits
+from trackloom.plans.stage import BATCH, EV, READ, SESS, SESSIONS, TRK, events, query, readings, sessions, table, tracks
 
 STATES = ("error", "purchase", "signup", "click", "view")
 
@@ -87,7 +88,7 @@ def weighted_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.weighted_time(events(spark, sf_dir), ["sensor"], "t", "conf")
 
 
-_CHAIN = _HITS + """, ch AS (SELECT h.*, (h.track_id // 10000) * 1000 + (h.track_id % 10000) // 3 AS chain, n.hits, n.w FROM hit h JOIN (SELECT track_id, count(*) AS hits, max(conf) AS w FROM hit GROUP BY track_id) n USING (track_id))"""
+_CHAIN = _HITS + f""", ch AS (SELECT h.*, (h.track_id // {SESSIONS}) * {SESSIONS} + (h.track_id % {SESSIONS}) // 3 AS chain, n.hits, n.w FROM hit h JOIN (SELECT track_id, count(*) AS hits, max(conf) AS w FROM hit GROUP BY track_id) n USING (track_id))"""
 
 
 @query(f"""WITH {_CHAIN}, f AS (SELECT chain, frame, arg_min(x, track_id) AS x FROM ch GROUP BY ALL), p AS (SELECT DISTINCT chain, track_id, hits, w FROM ch),
@@ -96,7 +97,7 @@ SELECT m.*, (SELECT string_agg(frame::VARCHAR || ':' || x::VARCHAR, ',' ORDER BY
 def fragment_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = hits(spark, sf_dir)
     n = h.groupBy("track_id").agg(F.count("*").alias("hits"), F.max("conf").alias("w"))
-    rows = h.join(n, "track_id").withColumn("chain", F.floor(F.col("track_id") / 10_000) * 1000 + F.floor(F.col("track_id") % 10_000 / 3))
+    rows = h.join(n, "track_id").withColumn("chain", F.floor(F.col("track_id") / SESSIONS) * SESSIONS + F.floor(F.col("track_id") % SESSIONS / 3))
     merged = A.merge_fragments(rows, "chain", "track_id", "frame", "x", "w", "hits")
     return merged.select("chain", "track_id", "confidence", "fragments", F.array_join(F.zip_with("frames", "trajectory", lambda f, x: F.concat_ws(":", f, x)), ",").alias("path"))
 
@@ -160,46 +161,57 @@ def ordered_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.ordered_fingerprint(boundary_segments(spark, sf_dir), ["sensor"], "segment_index", [F.col(c).cast("string") for c in ("segment_index", "start_frame", "end_frame")])
 
 
-_QUORUM = EV + """, cl AS (SELECT *, t // 1800 AS cluster FROM ev WHERE label <> 'purchase')"""
+_QUORUM = EV + """, r AS (SELECT *, row_number() OVER (PARTITION BY batch ORDER BY t, event_id) AS i FROM ev WHERE label <> 'purchase'),
+cf(batch, i, cluster, total, n) AS (SELECT batch, i, 1, t, 1 FROM r WHERE i = 1
+  UNION ALL SELECT r.batch, r.i, CASE WHEN abs(r.t - c.total / c.n) <= 600 THEN c.cluster ELSE c.cluster + 1 END, CASE WHEN abs(r.t - c.total / c.n) <= 600 THEN c.total + r.t ELSE r.t END, CASE WHEN abs(r.t - c.total / c.n) <= 600 THEN c.n + 1 ELSE 1 END FROM cf c JOIN r ON r.batch = c.batch AND r.i = c.i + 1),
+cl AS (SELECT r.*, cf.cluster::BIGINT AS cluster FROM r JOIN cf USING (batch, i))"""
 
 
-@query(f"""WITH {_QUORUM}, m AS (SELECT DISTINCT t // 86400 AS day, t AS m FROM ev WHERE label = 'purchase'),
-q AS (SELECT t // 86400 AS day, cluster, count(DISTINCT camera) AS cameras, max(t) - min(t) AS spread, avg(conf) AS mean_weight, avg(t) AS center FROM cl GROUP BY ALL HAVING count(DISTINCT camera) >= 2 AND max(t) - min(t) <= 1200 AND avg(conf) >= 150)
-SELECT * FROM q WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.day = q.day AND abs(q.center - m.m) < 120)""")
+@query(f"""WITH RECURSIVE {_QUORUM}, m AS (SELECT DISTINCT batch, t AS m FROM ev WHERE label = 'purchase'),
+q AS (SELECT batch, cluster, count(DISTINCT camera) AS cameras, max(t) - min(t) AS spread, avg(conf) AS mean_weight, avg(t) AS center FROM cl GROUP BY ALL HAVING count(DISTINCT camera) >= 2 AND max(t) - min(t) <= 1200 AND avg(conf) >= 150)
+SELECT * FROM q WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.batch = q.batch AND abs(q.center - m.m) < 120)""")
 def cluster_quorum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir).withColumn("day", F.floor(F.col("t") / 86400)).withColumn("cluster", F.floor(F.col("t") / 1800))
-    masters = e.where("label = 'purchase'").select("day", "t").distinct()
-    return A.cluster_quorum(e.where("label <> 'purchase'"), ["day", "cluster"], "camera", "t", "conf", masters, ["day"], "t", 2, 1200, 150, 120)
+    """Sweep clusters of what all cameras of a batch saw beside its masters, if enough of them saw it and no master is near."""
+    e = events(spark, sf_dir)
+    seen = e.where("label <> 'purchase'")
+    clusters = stateful.running_mean_clusters(seen, ["batch"], ["t", "event_id"], "t", "event_id", 600)
+    masters = e.where("label = 'purchase'").select("batch", "t").distinct()
+    return A.cluster_quorum(seen.join(clusters, ["batch", "event_id"]), ["batch", "cluster"], "camera", "t", "conf", masters, ["batch"], "t", 2, 1200, 150, 120)
 
 
-_UNITS = SEG + """,
-loc AS (SELECT sensor, sensor % 4 AS camera, 'L_' || sensor || '_' || segment_index AS local_id, start_frame + f0 AS s, end_frame + f0 + 1 AS e FROM seg JOIN spans USING (sensor)),
-mas AS (SELECT DISTINCT camera, frame FROM ev WHERE label = 'purchase' AND sensor % 12 < 4), uni AS (SELECT camera, 'GW_' || row_number() OVER (PARTITION BY camera ORDER BY frame) AS unit_id, frame AS us, lead(frame) OVER (PARTITION BY camera ORDER BY frame) AS ue FROM mas),
+_UNITS = SEG + f""",
+lw AS (SELECT sensor, sensor % 4 AS camera, 'L_' || sensor || '_' || segment_index AS local_id, start_frame + f0 AS s, end_frame + f0 + 1 AS e FROM seg JOIN spans USING (sensor)),
+loc AS (SELECT batch, camera, local_id, greatest(s, batch * {BATCH}) AS s, least(e, (batch + 1) * {BATCH}) AS e FROM (SELECT *, unnest(range(s // {BATCH}, (e - 1) // {BATCH} + 1)) AS batch FROM lw)),
+mas AS (SELECT DISTINCT batch, camera, frame FROM ev WHERE label = 'purchase'), uni AS (SELECT batch, camera, 'GW_' || row_number() OVER (PARTITION BY batch, camera ORDER BY frame) AS unit_id, frame AS us, lead(frame) OVER (PARTITION BY batch, camera ORDER BY frame) AS ue FROM mas),
 units AS (SELECT * FROM uni WHERE ue IS NOT NULL)"""
 
 
 def local_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of every sensor on its camera's clock, cut where a batch ends, as its footage is."""
     f0 = events(spark, sf_dir).groupBy("sensor").agg(F.min("frame").alias("f0"))
     seg = boundary_segments(spark, sf_dir).join(f0, "sensor")
-    return seg.select((F.col("sensor") % 4).alias("camera"), S.local_id(F.col("sensor").cast("string"), F.col("segment_index")).alias("local_id"), (F.col("start_frame") + F.col("f0")).alias("start"), (F.col("end_frame") + F.col("f0") + 1).alias("end"))
+    seg = seg.select((F.col("sensor") % 4).alias("camera"), S.local_id(F.col("sensor").cast("string"), F.col("segment_index")).alias("local_id"), (F.col("start_frame") + F.col("f0")).alias("s"), (F.col("end_frame") + F.col("f0") + 1).alias("e"))
+    seg = seg.withColumn("batch", F.explode(F.sequence(F.floor(F.col("s") / BATCH), F.floor((F.col("e") - 1) / BATCH))))
+    return seg.select(*GROUP, "local_id", F.greatest(F.col("s"), F.col("batch") * BATCH).alias("start"), F.least(F.col("e"), (F.col("batch") + 1) * BATCH).alias("end"))
 
 
 def master_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("camera").orderBy("frame")
-    m = events(spark, sf_dir).where("label = 'purchase' AND sensor % 12 < 4").select("camera", "frame").distinct()
-    return m.select("camera", F.concat(F.lit("GW_"), F.row_number().over(w).cast("string")).alias("unit_id"), F.col("frame").alias("unit_start"), F.lead("frame").over(w).alias("unit_end")).where("unit_end IS NOT NULL")
+    """A camera's units in a batch: the spans between its purchases, all sensors' together."""
+    w = Window.partitionBy(*GROUP).orderBy("frame")
+    m = events(spark, sf_dir).where("label = 'purchase'").select(*GROUP, "frame").distinct()
+    return m.select(*GROUP, F.concat(F.lit("GW_"), F.row_number().over(w).cast("string")).alias("unit_id"), F.col("frame").alias("unit_start"), F.lead("frame").over(w).alias("unit_end")).where("unit_end IS NOT NULL")
 
 
 _MAP = _UNITS + """,
-pr AS (SELECT l.camera, local_id, unit_id, least(e, ue) - greatest(s, us) AS ov, (least(e, ue) - greatest(s, us))::DOUBLE / (e - s) AS fr FROM loc l JOIN units u ON u.camera = l.camera AND s < ue AND us < e),
-tp AS (SELECT camera, local_id, arg_min(unit_id, (-ov, unit_id)) AS unit_id, arg_min(ov, (-ov, unit_id)) AS overlap, arg_min(fr, (-ov, unit_id)) AS fraction, count(*) AS candidates, count(*) FILTER (fr >= 0.1) AS sig FROM pr GROUP BY ALL),
-mp AS (SELECT l.camera, l.local_id, s AS "start", e AS "end", unit_id, overlap, fraction, coalesce(candidates, 0) AS candidates, CASE WHEN unit_id IS NULL THEN 'UNMATCHED' WHEN sig > 1 THEN 'ONE_TO_MANY' ELSE 'EXACT' END AS k FROM loc l LEFT JOIN tp USING (camera, local_id)),
-mapped AS (SELECT * EXCLUDE (k), CASE WHEN k = 'EXACT' AND count(unit_id) OVER (PARTITION BY camera, unit_id) > 1 THEN 'MANY_TO_ONE' ELSE k END AS kind FROM mp)"""
+pr AS (SELECT l.batch, l.camera, local_id, unit_id, least(e, ue) - greatest(s, us) AS ov, (least(e, ue) - greatest(s, us))::DOUBLE / (e - s) AS fr FROM loc l JOIN units u ON u.batch = l.batch AND u.camera = l.camera AND s < ue AND us < e),
+tp AS (SELECT batch, camera, local_id, arg_min(unit_id, (-ov, unit_id)) AS unit_id, arg_min(ov, (-ov, unit_id)) AS overlap, arg_min(fr, (-ov, unit_id)) AS fraction, count(*) AS candidates, count(*) FILTER (fr >= 0.1) AS sig FROM pr GROUP BY ALL),
+mp AS (SELECT l.batch, l.camera, l.local_id, s AS "start", e AS "end", unit_id, overlap, fraction, coalesce(candidates, 0) AS candidates, CASE WHEN unit_id IS NULL THEN 'UNMATCHED' WHEN sig > 1 THEN 'ONE_TO_MANY' ELSE 'EXACT' END AS k FROM loc l LEFT JOIN tp USING (batch, camera, local_id)),
+mapped AS (SELECT * EXCLUDE (k), CASE WHEN k = 'EXACT' AND count(unit_id) OVER (PARTITION BY batch, camera, unit_id) > 1 THEN 'MANY_TO_ONE' ELSE k END AS kind FROM mp)"""
 
 
 @query(f"WITH {_MAP} SELECT * FROM mapped")
 def overlap_best_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.overlap_mapping(local_segments(spark, sf_dir), master_units(spark, sf_dir), ["camera"], 720)
+    return joins.overlap_mapping(local_segments(spark, sf_dir), master_units(spark, sf_dir), GROUP, 720)
 
 
 @query(f"WITH {_MAP} SELECT camera, kind, count(*) AS n, coalesce(sum(overlap), 0)::BIGINT AS overlap FROM mapped GROUP BY ALL")
@@ -207,69 +219,71 @@ def overlap_mapping_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap_best_match(spark, sf_dir).groupBy("camera", "kind").agg(F.count("*").alias("n"), F.coalesce(F.sum("overlap"), F.lit(0)).alias("overlap"))
 
 
-@query(f"WITH {_UNITS} SELECT event_id, ev.camera, frame, unit_id FROM ev JOIN units u ON u.camera = ev.camera AND frame BETWEEN us AND ue QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY us DESC, unit_id DESC) = 1")
+@query(f"WITH {_UNITS} SELECT event_id, ev.batch, ev.camera, frame, unit_id FROM ev JOIN units u ON u.batch = ev.batch AND u.camera = ev.camera AND frame BETWEEN us AND ue QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY us DESC, unit_id DESC) = 1")
 def range_bucket_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.assign_frames(events(spark, sf_dir).select("event_id", "camera", "frame"), master_units(spark, sf_dir), ["camera"], "frame", 720).select("event_id", "camera", "frame", "unit_id")
+    return joins.assign_frames(events(spark, sf_dir).select("event_id", *GROUP, "frame"), master_units(spark, sf_dir), GROUP, "frame", 720).select("event_id", *GROUP, "frame", "unit_id")
 
 
-@query(f"WITH {_UNITS} SELECT event_id, ev.camera, frame, unit_id FROM ev JOIN units u ON u.camera = ev.camera AND frame BETWEEN us AND ue QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY us, unit_id) = 1")
+@query(f"WITH {_UNITS} SELECT event_id, ev.batch, ev.camera, frame, unit_id FROM ev JOIN units u ON u.batch = ev.batch AND u.camera = ev.camera AND frame BETWEEN us AND ue QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY us, unit_id) = 1")
 def frame_claim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.assign_frames(events(spark, sf_dir).select("event_id", "camera", "frame"), master_units(spark, sf_dir), ["camera"], "frame", 720, keep="first").select("event_id", "camera", "frame", "unit_id")
+    return joins.assign_frames(events(spark, sf_dir).select("event_id", *GROUP, "frame"), master_units(spark, sf_dir), GROUP, "frame", 720, keep="first").select("event_id", *GROUP, "frame", "unit_id")
 
 
 _NEAR = TRK + """,
-su AS (SELECT camera, track_id AS support_id, start_frame AS s0, end_frame AS s1 FROM trk WHERE sensor % 3 <> 0), ma AS (SELECT camera, track_id AS master_id, start_frame AS m0, end_frame AS m1 FROM trk WHERE sensor % 3 = 0),
-pq AS (SELECT su.camera, support_id, master_id, m0, CASE WHEN s1 > s0 AND m1 > m0 THEN greatest(least(s1, m1) - greatest(s0, m0), 0)::DOUBLE / (greatest(s1, m1) - least(s0, m0)) ELSE 0 END AS iou, abs((s0 + s1) / 2 - (m0 + m1) / 2) AS dt FROM su JOIN ma ON su.camera = ma.camera),
+su AS (SELECT batch, camera, track_id AS support_id, start_frame AS s0, end_frame AS s1 FROM trk WHERE sensor % 3 <> 0), ma AS (SELECT batch, camera, track_id AS master_id, start_frame AS m0, end_frame AS m1 FROM trk WHERE sensor % 3 = 0),
+pq AS (SELECT su.batch, su.camera, support_id, master_id, m0, CASE WHEN s1 > s0 AND m1 > m0 THEN greatest(least(s1, m1) - greatest(s0, m0), 0)::DOUBLE / (greatest(s1, m1) - least(s0, m0)) ELSE 0 END AS iou, abs((s0 + s1) / 2 - (m0 + m1) / 2) AS dt FROM su JOIN ma ON su.batch = ma.batch AND su.camera = ma.camera),
 sc AS (SELECT *, greatest(iou, greatest(0.0, 1 - dt / 120)) AS score FROM pq WHERE iou >= 0.2 OR dt <= 120),
-nr AS (SELECT camera, support_id, arg_min(master_id, (-score, m0, master_id)) AS master_id, max(score) AS score FROM sc GROUP BY ALL)"""
+nr AS (SELECT batch, camera, support_id, arg_min(master_id, (-score, m0, master_id)) AS master_id, max(score) AS score FROM sc GROUP BY ALL)"""
 
 
 def _support_and_master(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     t = tracks(spark, sf_dir)
-    support = t.where("sensor % 3 <> 0").select("camera", F.col("track_id").alias("support_id"), F.col("start_frame").alias("s_start"), F.col("end_frame").alias("s_end"))
-    return support, t.where("sensor % 3 = 0").select("camera", F.col("track_id").alias("master_id"), F.col("start_frame").alias("m_start"), F.col("end_frame").alias("m_end"))
+    support = t.where("sensor % 3 <> 0").select(*GROUP, F.col("track_id").alias("support_id"), F.col("start_frame").alias("s_start"), F.col("end_frame").alias("s_end"))
+    return support, t.where("sensor % 3 = 0").select(*GROUP, F.col("track_id").alias("master_id"), F.col("start_frame").alias("m_start"), F.col("end_frame").alias("m_end"))
 
 
-@query(f"WITH {_NEAR} SELECT su.camera, su.support_id, master_id, score FROM su LEFT JOIN nr USING (camera, support_id)")
+@query(f"WITH {_NEAR} SELECT su.batch, su.camera, su.support_id, master_id, score FROM su LEFT JOIN nr USING (batch, camera, support_id)")
 def nearest_match_with_leftovers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return joins.nearest_match(*_support_and_master(spark, sf_dir), ["camera"], 120.0)
+    return joins.nearest_match(*_support_and_master(spark, sf_dir), GROUP, 120.0)
 
 
-@query(f"WITH {_NEAR} SELECT camera, count(*) FILTER (master_id IS NOT NULL) AS matched, count(*) FILTER (master_id IS NULL) AS leftover FROM (SELECT su.camera, master_id FROM su LEFT JOIN nr USING (camera, support_id)) GROUP BY camera")
+@query(f"WITH {_NEAR} SELECT camera, count(*) FILTER (master_id IS NOT NULL) AS matched, count(*) FILTER (master_id IS NULL) AS leftover FROM (SELECT su.camera, master_id FROM su LEFT JOIN nr USING (batch, camera, support_id)) GROUP BY camera")
 def match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("master_id")
     return nearest_match_with_leftovers(spark, sf_dir).groupBy("camera").agg(F.count_if(m.isNotNull()).alias("matched"), F.count_if(m.isNull()).alias("leftover"))
 
 
-@query(f"""WITH {_NEAR}, pp AS (SELECT camera, s0, m0, s0 - lag(s0) OVER w AS ds, m0 - lag(m0) OVER w AS dm FROM (SELECT n.camera, su.s0, ma.m0 FROM nr n JOIN su USING (camera, support_id) JOIN ma USING (camera, master_id)) WINDOW w AS (PARTITION BY camera ORDER BY m0, s0))
-SELECT camera, round(coalesce(sum(CASE WHEN ds > 0 AND dm > 0 THEN abs(dm - ds)::DOUBLE / greatest(dm, ds) END), 0), 4) AS penalty FROM pp GROUP BY camera""")
+@query(f"""WITH {_NEAR}, pp AS (SELECT batch, camera, s0, m0, s0 - lag(s0) OVER w AS ds, m0 - lag(m0) OVER w AS dm FROM (SELECT n.batch, n.camera, su.s0, ma.m0 FROM nr n JOIN su USING (batch, camera, support_id) JOIN ma USING (batch, camera, master_id)) WINDOW w AS (PARTITION BY batch, camera ORDER BY m0, s0))
+SELECT batch, camera, round(coalesce(sum(CASE WHEN ds > 0 AND dm > 0 THEN abs(dm - ds)::DOUBLE / greatest(dm, ds) END), 0), 4) AS penalty FROM pp GROUP BY ALL""")
 def pattern_penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
     support, master = _support_and_master(spark, sf_dir)
-    pairs = joins.nearest_match(support, master, ["camera"], 120.0).where("master_id IS NOT NULL").join(support, ["camera", "support_id"]).join(master, ["camera", "master_id"])
-    w = Window.partitionBy("camera").orderBy("m_start", "s_start")
+    pairs = joins.nearest_match(support, master, GROUP, 120.0).where("master_id IS NOT NULL").join(support, [*GROUP, "support_id"]).join(master, [*GROUP, "master_id"])
+    w = Window.partitionBy(*GROUP).orderBy("m_start", "s_start")
     pairs = pairs.withColumn("dm", F.col("m_start") - F.lag("m_start").over(w)).withColumn("ds", F.col("s_start") - F.lag("s_start").over(w))
     part = F.when((F.col("dm") > 0) & (F.col("ds") > 0), F.abs(F.col("dm") - F.col("ds")) / F.greatest("dm", "ds"))
-    return pairs.groupBy("camera").agg(F.round(F.coalesce(F.sum(part), F.lit(0.0)), 4).alias("penalty"))
+    return pairs.groupBy(*GROUP).agg(F.round(F.coalesce(F.sum(part), F.lit(0.0)), 4).alias("penalty"))
 
 
-@query(f"WITH {EV}, k AS (SELECT DISTINCT camera, t FROM ev WHERE label = 'purchase') SELECT e.camera, e.event_id, e.t, (SELECT max(k.t) FROM k WHERE k.camera = e.camera AND k.t < e.t) AS previous, (SELECT min(k.t) FROM k WHERE k.camera = e.camera AND k.t >= e.t) AS next FROM ev e WHERE label = 'error'")
+@query(f"WITH {EV}, k AS (SELECT DISTINCT batch, camera, t FROM ev WHERE label = 'purchase') SELECT e.batch, e.camera, e.event_id, e.t, (SELECT max(k.t) FROM k WHERE k.batch = e.batch AND k.camera = e.camera AND k.t < e.t) AS previous, (SELECT min(k.t) FROM k WHERE k.batch = e.batch AND k.camera = e.camera AND k.t >= e.t) AS next FROM ev e WHERE label = 'error'")
 def asof_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
-    return joins.asof_neighbours(e.where("label = 'error'"), e.where("label = 'purchase'").select("camera", "t"), ["camera"], "t", "event_id")
+    return joins.asof_neighbours(e.where("label = 'error'"), e.where("label = 'purchase'").select(*GROUP, "t"), GROUP, "t", "event_id")
 
 
-_SPANS_L = TRK + """, sl AS (SELECT camera, start_frame AS s, end_frame AS e, CASE track_id % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS label FROM trk WHERE hits >= 4 AND sensor % 4 = camera AND sensor % 8 < 4)"""
+_SPANS_L = TRK + f""", sl AS (SELECT batch, camera, greatest(start_frame, batch * {BATCH}) AS s, least(end_frame, (batch + 1) * {BATCH}) AS e, label FROM (SELECT camera, start_frame, end_frame, CASE track_id % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS label, unnest(range(start_frame // {BATCH}, end_frame // {BATCH} + 1)) AS batch FROM trk WHERE hits >= 4))"""
 
 
-@query(f"""WITH {_SPANS_L}, p AS (SELECT camera, event_id, frame FROM ev WHERE label = 'signup'),
-ins AS (SELECT p.event_id, arg_min(label, (s, e, label)) AS held FROM p JOIN sl ON sl.camera = p.camera AND s <= frame AND frame < e GROUP BY p.event_id),
-bf AS (SELECT p.event_id, max((e, label)) AS a FROM p JOIN sl ON sl.camera = p.camera AND e <= frame GROUP BY p.event_id), af AS (SELECT p.event_id, min((s, label)) AS b FROM p JOIN sl ON sl.camera = p.camera AND s >= frame GROUP BY p.event_id)
-SELECT p.camera, p.event_id, coalesce(held, CASE WHEN b IS NULL OR frame - a[1] <= b[1] - frame THEN a[2] ELSE b[2] END, 'UNKNOWN') AS label, CASE WHEN held IS NOT NULL THEN 'inside' WHEN a IS NOT NULL OR b IS NOT NULL THEN 'nearest' ELSE 'none' END AS how
+@query(f"""WITH {_SPANS_L}, p AS (SELECT batch, camera, event_id, frame FROM ev WHERE label = 'signup'), j AS (SELECT p.event_id, p.frame, s, e, label FROM p JOIN sl ON sl.batch = p.batch AND sl.camera = p.camera),
+ins AS (SELECT event_id, arg_min(label, (s, e, label)) AS held FROM j WHERE s <= frame AND frame < e GROUP BY event_id),
+bf AS (SELECT event_id, max((e, label)) AS a FROM j WHERE e <= frame GROUP BY event_id), af AS (SELECT event_id, min((s, label)) AS b FROM j WHERE s >= frame GROUP BY event_id)
+SELECT p.batch, p.camera, p.event_id, coalesce(held, CASE WHEN b IS NULL OR frame - a[1] <= b[1] - frame THEN a[2] ELSE b[2] END, 'UNKNOWN') AS label, CASE WHEN held IS NOT NULL THEN 'inside' WHEN a IS NOT NULL OR b IS NOT NULL THEN 'nearest' ELSE 'none' END AS how
 FROM p LEFT JOIN ins USING (event_id) LEFT JOIN bf USING (event_id) LEFT JOIN af USING (event_id)""")
 def point_in_interval_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signups by the tracks of their camera and batch; a track is cut where a batch ends."""
     name = F.when(F.col("track_id") % 3 == 0, "A").when(F.col("track_id") % 3 == 1, "B").otherwise("C")
-    held = tracks(spark, sf_dir).where("hits >= 4 AND sensor % 8 < 4").select("camera", F.col("start_frame").alias("start"), F.col("end_frame").alias("end"), name.alias("label"))
-    return joins.label_at(events(spark, sf_dir).where("label = 'signup'"), held, ["camera"], "frame", "event_id", 720)
+    held = tracks(spark, sf_dir).where("hits >= 4").select("camera", "start_frame", "end_frame", name.alias("label"), F.explode(F.sequence(F.floor(F.col("start_frame") / BATCH), F.floor(F.col("end_frame") / BATCH))).alias("batch"))
+    held = held.select(*GROUP, F.greatest(F.col("start_frame"), F.col("batch") * BATCH).alias("start"), F.least(F.col("end_frame"), (F.col("batch") + 1) * BATCH).alias("end"), "label")
+    return joins.label_at(events(spark, sf_dir).where("label = 'signup'"), held, GROUP, "frame", "event_id", 720)
 
 
 @query("""WITH q AS (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id), u AS (SELECT d.doc_id, d.source, l.quality, l.toxic, b.item_id FROM documents d LEFT JOIN (SELECT doc_id, (min((quality, toxic)))[1] AS quality, (min((quality, toxic)))[2] AS toxic FROM labels GROUP BY doc_id) l USING (doc_id) LEFT JOIN benchmark b ON b.item_id = d.doc_id)
@@ -303,14 +317,34 @@ def boundary_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select("event_id", F.max(mark).over(w.rangeBetween(Window.unboundedPreceding, 0)).alias("leading"), F.min(mark).over(back.rangeBetween(Window.unboundedPreceding, -1)).alias("trailing"))
 
 
-@query(f"""WITH RECURSIVE {TRK}, p AS (SELECT a.track_id AS a, b.track_id AS b FROM trk a JOIN trk b ON a.camera = b.camera AND a.track_id < b.track_id AND a.start_frame // 60 = b.start_frame // 60 AND abs(a.x_start - b.x_start) <= 400),
-e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p), r(node, root) AS (SELECT DISTINCT a, a FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.root)
-SELECT node, min(root) AS root FROM r GROUP BY node""")
+_SAME = TRK + """, p AS (SELECT a.track_id AS a, b.track_id AS b FROM trk a JOIN trk b ON a.camera = b.camera AND a.track_id < b.track_id AND abs(a.start_frame - b.start_frame) < 60 AND abs(a.x_start - b.x_start) <= 80
+  WHERE 0.5::DOUBLE * (1 - abs(a.x_start - b.x_start) / 80.0::DOUBLE) + 0.5::DOUBLE * CASE WHEN a.start_frame <= b.end_frame AND b.start_frame <= a.end_frame THEN 0.7::DOUBLE + 0.3::DOUBLE * (least(a.end_frame, b.end_frame) - greatest(a.start_frame, b.start_frame) + 1) / (greatest(a.end_frame - a.start_frame, b.end_frame - b.start_frame) + 1)
+    ELSE 0.7::DOUBLE * greatest(0, 1 - (greatest(a.start_frame, b.start_frame) - least(a.end_frame, b.end_frame)) / 60.0::DOUBLE) END >= 0.6),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p), r(node, root) AS (SELECT DISTINCT a, a FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.root), comp AS (SELECT node, min(root) AS root FROM r GROUP BY node)"""
+
+
+def identity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracks of a camera that begin within an hour of each other and are similar enough in place and time; hours meet their neighbours."""
+    t = tracks(spark, sf_dir).select("camera", "track_id", "start_frame", "end_frame", "x_start", F.floor(F.col("start_frame") / 60).alias("hour"))
+    names = {c: f"{c}_b" for c in ("track_id", "start_frame", "end_frame", "x_start")}
+    other = t.withColumn("hour", F.explode(F.array(F.col("hour") - 1, F.col("hour"), F.col("hour") + 1))).withColumnsRenamed(names)
+    near = (F.col("track_id") < F.col("track_id_b")) & (F.abs(F.col("start_frame") - F.col("start_frame_b")) < 60) & (F.abs(F.col("x_start") - F.col("x_start_b")) <= 80)
+    alike = 0.5 * S.spatial_similarity(F.abs(F.col("x_start") - F.col("x_start_b")), F.lit(80.0)) + 0.5 * S.temporal_similarity(F.col("start_frame"), F.col("end_frame"), F.col("start_frame_b"), F.col("end_frame_b"), 60)
+    return t.join(other, ["camera", "hour"]).where(near & (alike >= 0.6)).select("track_id", "track_id_b")
+
+
+@query(f"WITH RECURSIVE {_SAME} SELECT * FROM comp")
 def identity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = tracks(spark, sf_dir).select("camera", "track_id", F.floor(F.col("start_frame") / 60).alias("hour"), "x_start")
-    other = t.select("camera", "hour", F.col("track_id").alias("other"), F.col("x_start").alias("other_x"))
-    pairs = t.join(other, ["camera", "hour"]).where((F.col("track_id") < F.col("other")) & (F.abs(F.col("x_start") - F.col("other_x")) <= 400))
-    return graph.least_member(pairs, "track_id", "other")
+    return graph.least_member(identity_pairs(spark, sf_dir), "track_id", "track_id_b")
+
+
+@query(f"""WITH RECURSIVE {_SAME}, st AS (SELECT trk.*, coalesce(root, track_id) AS root, CASE WHEN x_end > 500 THEN 'OPEN' ELSE 'CLOSED' END AS state FROM trk LEFT JOIN comp ON node = track_id)
+SELECT root, count(*) AS merged, max(conf_sum) AS confidence, arg_min(track_id, (-hits, track_id)) AS snapshot_of, CASE WHEN bool_or(state = 'OPEN') THEN 'OPEN' ELSE arg_min(state, (-conf_sum, track_id)) END AS state FROM st GROUP BY root""")
+def merged_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each identity: the least id survives, with the best snapshot, OPEN where any track was, and the highest confidence."""
+    state = F.when(F.col("x_end") > 500, "OPEN").otherwise("CLOSED")
+    t = tracks(spark, sf_dir).withColumn("state", state).join(identity_components(spark, sf_dir).withColumnRenamed("node", "track_id"), "track_id", "left").withColumn("root", F.coalesce("root", "track_id"))
+    return R.merge_identities(t, "root", "track_id", "hits", "conf_sum", "state")
 
 
 @query(f"WITH {EV} SELECT camera, count(*) AS raw, count(*) FILTER (label <> 'view') AS by_class, count(*) FILTER (label <> 'view' AND conf >= 200) AS by_confidence, count(*) FILTER (label <> 'view' AND conf >= 200 AND x >= 300) AS by_size FROM ev GROUP BY camera")
@@ -411,20 +445,20 @@ def top_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select("camera", "event_id", "conf", "frame", F.row_number().over(w).alias("rank")).where("rank <= 5")
 
 
-@query(f"WITH {_UNITS}, n AS (SELECT camera, unit_id, regexp_extract(unit_id, '(\\d+)$', 1)::BIGINT AS k FROM units) SELECT camera, unit_id, row_number() OVER (PARTITION BY camera ORDER BY k) AS by_number, row_number() OVER (PARTITION BY camera ORDER BY unit_id) AS by_text FROM n")
+@query(f"WITH {_UNITS}, n AS (SELECT batch, camera, unit_id, regexp_extract(unit_id, '(\\d+)$', 1)::BIGINT AS k FROM units) SELECT batch, camera, unit_id, row_number() OVER (PARTITION BY batch, camera ORDER BY k) AS by_number, row_number() OVER (PARTITION BY batch, camera ORDER BY unit_id) AS by_text FROM n")
 def natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = Window.partitionBy("camera")
-    return master_units(spark, sf_dir).select("camera", "unit_id", F.row_number().over(p.orderBy(S.natural_key(F.col("unit_id")))).alias("by_number"), F.row_number().over(p.orderBy("unit_id")).alias("by_text"))
+    p = Window.partitionBy(*GROUP)
+    return master_units(spark, sf_dir).select(*GROUP, "unit_id", F.row_number().over(p.orderBy(S.natural_key(F.col("unit_id")))).alias("by_number"), F.row_number().over(p.orderBy("unit_id")).alias("by_text"))
 
 
-@query(f"""WITH {_UNITS}, r AS (SELECT camera, unit_id, row_number() OVER (PARTITION BY camera ORDER BY us) + CASE WHEN us % 50 = 0 THEN 1 ELSE 0 END AS ix, us AS s, ue AS e FROM units),
-c AS (SELECT *, row_number() OVER w AS pos, lag(e) OVER w AS pe FROM r WINDOW w AS (PARTITION BY camera ORDER BY ix, unit_id))
-SELECT camera, unit_id, unnest(list_filter([CASE WHEN unit_id <> 'GW_' || ix THEN 'id does not match the index' END, CASE WHEN ix <> pos THEN 'index is not the position' END, CASE WHEN e < s THEN 'span runs backwards' END, CASE WHEN s <= pe THEN 'span overlaps the one before' END], lambda x: x IS NOT NULL)) AS problem FROM c""")
+@query(f"""WITH {_UNITS}, r AS (SELECT batch, camera, unit_id, row_number() OVER (PARTITION BY batch, camera ORDER BY us) + CASE WHEN us % 50 = 0 THEN 1 ELSE 0 END AS ix, us AS s, ue AS e FROM units),
+c AS (SELECT *, row_number() OVER w AS pos, lag(e) OVER w AS pe FROM r WINDOW w AS (PARTITION BY batch, camera ORDER BY ix, unit_id))
+SELECT batch, camera, unit_id, unnest(list_filter([CASE WHEN unit_id <> 'GW_' || ix THEN 'id does not match the index' END, CASE WHEN ix <> pos THEN 'index is not the position' END, CASE WHEN e < s THEN 'span runs backwards' END, CASE WHEN s <= pe THEN 'span overlaps the one before' END], lambda x: x IS NOT NULL)) AS problem FROM c""")
 def roster_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = Window.partitionBy("camera").orderBy("unit_start")
+    w = Window.partitionBy(*GROUP).orderBy("unit_start")
     roster = master_units(spark, sf_dir).withColumn("unit_index", F.row_number().over(w) + F.when(F.col("unit_start") % 50 == 0, 1).otherwise(0))
     roster = roster.withColumnsRenamed({"unit_start": "start_frame", "unit_end": "end_frame"})
-    return validate.roster_problems(roster, ["camera"])
+    return validate.roster_problems(roster, GROUP)
 
 
 @query("WITH s AS (SELECT c.c_custkey, c.c_nationkey, count(o.o_orderkey) AS n FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY ALL) SELECT n.n_name AS nation, count(*) AS customers, sum(s.n)::BIGINT AS orders, count(*) FILTER (s.n = 0) AS idle, bool_or(s.n = 0) AS partial FROM s JOIN nation n ON n.n_nationkey = s.c_nationkey GROUP BY n.n_name")
