@@ -32,8 +32,10 @@ def detection_stream(spark: SparkSession, path: str, delay: str = "30 minutes")
     return rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
 
 
-def run(stream: DataFrame, mode: str = "append", folder: str | None = None) -> DataFrame:
-    """Runs over all that is there now and gives the sink's content. In complete mode each batch replaces it.
+def run(stream: DataFrame, mode: str = "append", folder: str | None = None, keys: list[str] | None = None) -> DataFrame:
+    """Runs over all that is there now and gives the sink's content. In append mode windows and sessions come when the watermark has passed them, and
+    their state goes; those still open stay in state. In update mode each batch adds the rows that changed, and the latest row of each of ``keys``
+    is given; in complete mode a batch replaces all, and all state is kept.
 
     With the ``folder`` of an earlier run it goes on from there: what was read is not read again, and state is kept.
     """
@@ -47,6 +49,10 @@ def run(stream: DataFrame, mode: str = "append", folder: str | None = None) -> D
             batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")  # a repeated batch replaces itself
 
     stream.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start().awaitTermination()
+    if mode == "update" and keys:
+        rows = spark.read.schema(stream.schema).parquet(f"{folder}/out")
+        latest = F.max_by(F.struct(*[c for c in stream.columns if c not in keys]), "batch").alias("latest")
+        return rows.groupBy(*keys).agg(latest).select(*keys, "latest.*").select(*stream.columns)
     return spark.read.schema(stream.schema).parquet(f"{folder}/out").select(*stream.columns)
 
 
@@ -61,15 +67,36 @@ def sessions(stream: DataFrame, gap: str) -> DataFrame:
     return stream.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("hits")).select("user_id", F.col("w.start").alias("first_ts"), "hits")
 
 
-def emit_once(stream: DataFrame, keys: list[str]) -> DataFrame:
-    """The first time that a key is seen, as a row of keys; later ones are dropped by state."""
-    return stream.select(*keys).dropDuplicates(keys)
+def emit_once(stream: DataFrame, keys: list[str], forget: str | None = None) -> DataFrame:
+    """The first time that a key is seen, as a row of keys; later ones are dropped by state.
+
+    With ``forget`` a key's state goes once the watermark is so far past its last sighting that was let through, and a key that comes again later is told again.
+    Without it every key is held: their number is that of the sensors and events, and does not grow with time.
+    """
+    if forget is None:
+        return stream.select(*keys).dropDuplicates(keys)
+
+    def work(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last = max(int(f["ts"].max().timestamp() * 1000) for f in frames)
+        seen = state.get[0] if state.exists else None
+        if seen is None:
+            yield pd.DataFrame([key], columns=keys)
+        state.update((max(last, seen or 0),))
+        state.setTimeoutTimestamp(max(state.getCurrentWatermarkMs() + 1, max(last, seen or 0) + hold))
+
+    hold = int(pd.Timedelta(forget).total_seconds() * 1000)
+    kinds = ", ".join(f"{k} {stream.schema[k].dataType.simpleString()}" for k in keys)
+    return stream.groupBy(*keys).applyInPandasWithState(work, kinds, "last long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def stable_labels(stream: DataFrame, cfg: HysteresisConfig = HysteresisConfig()) -> DataFrame:
     """``(user_id, event_id, stable_label, held)`` as rows are settled: a challenge is held in state until it is decided.
 
-    Rows of a batch are taken in event time; a sensor silent for a day gives up its open challenge and its state.
+    Rows of a batch are taken in event time; a sensor silent for a day gives up its open challenge and its state. What is open when the input ends is
+    held, not lost: it is emitted when the sensor's next rows or its silence decide it.
     """
 
     def work(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
