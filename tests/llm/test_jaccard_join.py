@@ -54,6 +54,7 @@ def test_prefixes_of_linked_sets_share_enough():
         py, _, ly, _ = J.prefix_of(y, counts, 90)
         l, alpha = min(lx, ly), (90 * (len(x) + len(y)) + 189) // 190
         assert len(np.intersect1d(px[: len(x) - alpha + l], py[: len(y) - alpha + l])) >= l
+        assert J.shared_in_prefix((px, lx, len(x)), (py, ly, len(y)), 90)
         ham = sum(int(v).bit_count() for v in (J.bitmap(x) ^ J.bitmap(y)).view(np.uint64))
         assert ham <= len(np.setxor1d(x, y)) <= len(x) + len(y) - 2 * alpha
 
@@ -104,5 +105,8 @@ def test_kept_sets_are_bounded_in_bytes(monkeypatch):
     pack = lambda t: len(t.encode()).to_bytes(8, "little") + pa.Codec("zstd", 3).compress(t.encode(), asbytes=True)
     x, y, z = "a b c d e f g h i j k", "a b c d e f g h i j l", "q r s t"
     batch = pa.RecordBatch.from_arrays([pa.array([1, 1, 2]), pa.array([1, 2, 3]), pa.array([pack(x), pack(x), pack(y)]), pa.array([pack(x), pack(y), pack(z)])], ["a", "b", "text_a", "text_b"])
-    (out,) = J._verify(3, 75)(iter([batch]))
+    class Sketch:
+        value = np.ones(J.SKETCH_SLOTS)
+
+    (out,) = J._verify(3, 75, Sketch)(iter([batch]))
     assert out.to_pydict() == {"a": [1, 1], "b": [1, 2]}

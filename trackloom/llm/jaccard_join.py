@@ -15,7 +15,8 @@ How the work stays in proportion to the input:
   near copies. Only classes that are then still apart are paired with each other, and those of a shingle's largest component only meet
   the others, so a large group of copies never gives its own pairs, while no link between different components is lost. A shingle of many
   classes that stay apart is paired block by block, over as many tasks as that takes;
-* a pair, with a centre or not, has to share its l prefix shingles before it is verified;
+* a pair has to share its l prefix shingles before its sets are compared: pairs of classes that stay apart are counted in the join, those with
+  a centre, which meet in one group, when their texts are at hand;
 * before a pair leaves the join, the parity bitmaps of both sets bound their difference from below, which drops nearly all pairs
   of similar but unlinked classes and never a link;
 * texts of candidate classes alone are moved, compressed.
@@ -194,21 +195,29 @@ def _texts(width: int, bits):
     return work
 
 
-def _verify(width: int, percent: int):
+def shared_in_prefix(x: tuple[np.ndarray, int, int], y: tuple[np.ndarray, int, int], percent: int) -> bool:
+    """Whether two sets, each given by its prefix in order, its l and its size, share l shingles where linked sets would."""
+    (px, lx, n), (py, ly, m), l = x, y, min(x[1], y[1])
+    alpha = (percent * (n + m) + 99 + percent) // (100 + percent)
+    return len(np.intersect1d(px[: max(0, n - alpha + l)], py[: max(0, m - alpha + l)], assume_unique=True)) >= l
+
+
+def _verify(width: int, percent: int, sketch):
     class Kept:
-        """The sets of the texts last seen, up to a bound in bytes; a single set may exceed it."""
+        """The sets and prefixes of the texts last seen, up to a bound in bytes; a single set may exceed it."""
 
         def __init__(self):
             self.sets, self.size, self.codec = {}, 0, pa.Codec("zstd")
 
-        def get(self, packed: bytes) -> np.ndarray:
+        def get(self, packed: bytes) -> tuple[np.ndarray, tuple[np.ndarray, int, int]]:
             if packed not in self.sets:
                 text = self.codec.decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True)
                 found = next(shingle_sets(pa.array([text.decode()], pa.string()), width))
                 if self.size > KEPT_BYTES:
                     self.sets, self.size = {}, 0
-                self.sets[packed] = found
-                self.size += found.nbytes + len(packed)
+                tokens, _, l, _ = prefix_of(found, sketch.value, percent)
+                self.sets[packed] = found, (tokens, l, len(found))
+                self.size += found.nbytes + tokens.nbytes + len(packed)
             return self.sets[packed]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +225,10 @@ def _verify(width: int, percent: int):
         for batch in batches:
             good = []
             for p, q in zip(batch.column("text_a"), batch.column("text_b")):
-                x, y = kept[0].get(p.as_py()), kept[1].get(q.as_py())
+                (x, prefix_x), (y, prefix_y) = kept[0].get(p.as_py()), kept[1].get(q.as_py())
+                if not shared_in_prefix(prefix_x, prefix_y, percent):
+                    good.append(False)
+                    continue
                 small, large = (x, y) if len(x) <= len(y) else (y, x)
                 at = np.minimum(np.searchsorted(large, small), len(large) - 1)
                 shared = int((large[at] == small).sum())
@@ -226,7 +238,7 @@ def _verify(width: int, percent: int):
     return work
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, sketch) -> DataFrame:
     """Those of the class pairs ``(a, b)`` whose sets reach the threshold; their texts are read again."""
     spark = docs.sparkSession
     keys = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
@@ -242,7 +254,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int
     texts = materialize(texts.groupBy("class").agg(F.first("packed").alias("packed")))
     side = lambda c: texts.select(F.col("class").alias(c), F.col("packed").alias(f"text_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b")
-    return materialize(both.mapInArrow(_verify(width, percent), "a long, b long"))
+    return materialize(both.mapInArrow(_verify(width, percent, sketch), "a long, b long"))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -286,7 +298,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     names = [F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.min(_spot(F.col("doc_id"))).alias("spot")]
     classes = materialize(signed.where("n > 0").groupBy("class").agg(*names, *firsts))
 
-    prefix = docs.select("text").mapInArrow(_prefixes(width, percent, spark.sparkContext.broadcast(counts)), "grp long, class long, place long, kind long, token long")
+    sketch = spark.sparkContext.broadcast(counts)
+    prefix = docs.select("text").mapInArrow(_prefixes(width, percent, sketch), "grp long, class long, place long, kind long, token long")
     group = Window.partitionBy("grp")
     prefix = prefix.repartition("grp").dropDuplicates(["grp", "class"])
     centre = F.max(F.struct(F.shiftright("kind", 8).alias("common"), F.col("class"), F.col("place"), F.col("kind"))).over(group)
@@ -301,13 +314,11 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     top = tops.groupBy("token").agg(F.max(F.struct("kind", "class", "place")).alias("top"))
     tops = tops.join(top, "token").select("class", "place", "kind", F.col("top.class").alias("centre"), F.col("top.place").alias("centre_place"), F.col("top.kind").alias("centre_kind"))
     stars = shared.drop("token").unionByName(tops).where(F.col("class") != F.col("centre")).where(possible("place", "centre_place", "kind", "centre_kind"))
-    # A pair that has not l shingles in groups with this very centre is no loss: it is counted over all its shingles below.
-    l = F.least(need("kind"), need("centre_kind"))
-    stars = stars.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b"), l.alias("l")).groupBy("a", "b").agg(F.count("*").alias("m"), F.first("l").alias("l")).where("m >= l").select("a", "b")
+    stars = stars.select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b")).distinct()
     known = lambda k: classes.select(F.col("class").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("n", *_BITS)])
     little = lambda x, y: _differ_little(percent, (F.col(f"n_{x}"), F.col(f"n_{y}")), [(F.col(f"{b}_{x}"), F.col(f"{b}_{y}")) for b in _BITS])
     stars = materialize(stars.join(known("a"), "a").join(known("b"), "b").where(little("a", "b")).select("a", "b"))
-    links = _confirmed(stars, classes, docs, width, percent)
+    links = _confirmed(stars, classes, docs, width, percent, sketch)
     joined = components(links)
 
     # Classes that share l shingles and are still apart.
@@ -328,7 +339,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     once = F.col("main_y") | (F.col("class_x") < F.col("class_y"))
     apart = x.join(y, ["token", "bx", "by"]).where(once & (F.col("component_x") != F.col("component_y")) & within & little("x", "y"))
     apart = apart.groupBy(F.least("class_x", "class_y").alias("a"), F.greatest("class_x", "class_y").alias("b")).agg(F.count("*").alias("m"), F.first(F.least("l_x", "l_y")).alias("l")).where("m >= l").select("a", "b")
-    more = _confirmed(materialize(apart.join(stars, ["a", "b"], "left_anti")), classes, docs, width, percent)
+    more = _confirmed(materialize(apart.join(stars, ["a", "b"], "left_anti")), classes, docs, width, percent, sketch)
 
     # The last components are over the classes' least ids, so each is named by the least id of all; classes without one come last.
     name = F.struct(F.col("least").isNull().cast("int").alias("none"), F.coalesce("least", "class").alias("id"))
