@@ -305,3 +305,18 @@ def test_streaks(spark):
     assert [r.state for r in out[:5]] == ["UNKNOWN"] * 4 + ["OPEN"]
     assert {r.state for r in out[5:13]} == {"OPEN"}
     assert [r.event for r in out if r.event] == ["DOOR_OPEN"] and out[4].event == "DOOR_OPEN"
+
+
+def test_tracks_come_back_and_new_ids_wait(spark):
+    """A new id needs three sightings; a track that was closed is revived by a box in its place that looks alike, and by no other."""
+    box = lambda x: (float(x), 0.0, float(x + 50), 50.0)
+    rows = [(1, f, *box(100 + f), 0.5, f) for f in range(4)]  # pending twice, new, matched
+    rows += [(1, 12, *box(104), 0.55, 12), (1, 13, *box(105), 0.55, 13)]  # closed at frame 7, revived at 12, matched
+    rows += [(1, 30, *box(105), 0.0, 30), (1, 32, *box(600), 0.5, 32), (1, 36, *box(600), 0.5, 36), (1, 37, *box(602), 0.5, 37), (1, 38, *box(604), 0.5, 38)]
+    df = spark.createDataFrame(rows, "g int, frame long, x1 double, y1 double, x2 double, y2 double, look double, key long")
+    cfg = S.MemoryConfig(gate=60.0, max_missed=3, revive_frames=20, min_iou=0.4, min_alike=0.6, pending_reach=100.0, pending_gap=2, sightings=3)
+    got = {r.key: (r.track, r.how) for r in S.track_remembering(df, ["g"], cfg).collect()}
+    assert got == {
+        0: (None, "PENDING"), 1: (None, "PENDING"), 2: (1, "NEW"), 3: (1, "MATCH"), 12: (1, "REVIVED"), 13: (1, "MATCH"),
+        30: (None, "PENDING"), 32: (None, "PENDING"), 36: (None, "PENDING"), 37: (None, "PENDING"), 38: (2, "NEW"),
+    }

@@ -44,3 +44,20 @@ def test_reports(spark, tmp_path):
     S.write_csv(df, f"{tmp_path}/c")
     assert spark.read.option("header", "true").csv(f"{tmp_path}/c").first().camera == "A"
     assert S.as_documents(df, "report.v1", "camera").first().document == '{"schema":"report.v1","camera":"A","n":1}'
+
+
+def test_files_become_batches(spark, tmp_path):
+    names = ["yard_20240101_120000_left.mp4", "yard_20240101_120000_right.mp4", "yard_20240102_080000_left.mp4", "yard_20240101_120000_left.txt", "odd.mp4", "yard_20240101_120000_roof.mp4"]
+    (tmp_path / "deep").mkdir()
+    for k, n in enumerate(names):
+        ((tmp_path / "deep" if k % 2 else tmp_path) / n).write_bytes(b"x" * (k + 1))
+    files = S.find_files(spark, str(tmp_path))
+    assert sorted((r.camera_id or "", r.batch_key or "", r.length) for r in files.collect()) == [("", "", 5), ("left", "20240101_120000", 1), ("left", "20240102_080000", 3), ("right", "20240101_120000", 2), ("roof", "20240101_120000", 6)]
+    got = {r.batch_key: (sorted(r.files), r.missing, r.complete) for r in S.local_batches(files, ["left", "right"]).collect()}
+    assert got == {"20240101_120000": (["left", "right"], [], True), "20240102_080000": (["left"], ["right"], False)}
+
+
+def test_json_lines_by_batch(spark, tmp_path):
+    df = spark.createDataFrame([("b1", "detect", 1.5), ("b1", "fuse", 0.5), ("b2", "detect", 2.0)], "batch string, stage string, seconds double")
+    S.write_json(df, f"{tmp_path}/t", "batch")
+    assert sorted((r.batch, r.stage, r.seconds) for r in spark.read.json(f"{tmp_path}/t").collect()) == [("b1", "detect", 1.5), ("b1", "fuse", 0.5), ("b2", "detect", 2.0)]

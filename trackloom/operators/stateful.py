@@ -511,6 +511,71 @@ def track_optimal(detections: DataFrame, group: Names, gate: float = 200.0, max_
     return _fold(detections, group, ["frame", "x", "key"], ["frame", "x", "y", "key"], {"key": "bigint", "track": "bigint"}, work)
 
 
+@dataclass(frozen=True)
+class MemoryConfig:
+    gate: float = 200.0
+    max_missed: int = 30
+    revive_frames: int = 60
+    min_iou: float = 0.40
+    min_alike: float = 0.60
+    pending_reach: float = 200.0
+    pending_gap: int = 2
+    sightings: int = 8
+
+
+def _iou(a: Sequence[float], b: Sequence[float]) -> float:
+    shared = max(0.0, min(a[2], b[2]) - max(a[0], b[0])) * max(0.0, min(a[3], b[3]) - max(a[1], b[1]))
+    union = sum(max(0.0, s[2] - s[0]) * max(0.0, s[3] - s[1]) for s in (a, b)) - shared
+    return shared / union if union > 0 else 0.0
+
+
+def track_remembering(detections: DataFrame, group: Names, cfg: MemoryConfig = MemoryConfig()) -> DataFrame:
+    """``(group, key, track, how)`` over ``(frame, x1, y1, x2, y2, look, key)``: tracks that come back keep their id, and new ids wait.
+
+    Each frame is assigned optimally to the open tracks by the distance of centres, within the gate (MATCH). What is left over revives the best track that
+    was closed a short while ago, if boxes overlap and looks, numbers from 0 to 1, are alike (REVIVED). Else it lengthens the nearest pending
+    sighting, or begins one (PENDING, without a track); after enough sightings it opens a track (NEW).
+    """
+
+    def work(rows: list[tuple]) -> Iterator[tuple]:
+        open_, gone, pending, new = [], [], [], 0
+        for f, seen in groupby(rows, itemgetter(0)):
+            seen = list(seen)
+            for t in open_:
+                if f - t["last"] - 1 >= cfg.max_missed:
+                    gone.append(t | {"closed": t["last"] + cfg.max_missed + 1})
+            open_ = [t for t in open_ if f - t["last"] - 1 < cfg.max_missed]
+            gone = [t for t in gone if f - t["closed"] <= cfg.revive_frames]
+            pending = [p for p in pending if f - p["last"] <= cfg.pending_gap + 1]
+            centre = lambda b: ((b[0] + b[2]) / 2, (b[1] + b[3]) / 2)
+            far = lambda a, b: float(np.hypot(a[0] - b[0], a[1] - b[1]))
+            cost = np.array([[far(centre(r[1:5]), centre(t["box"])) for t in open_] for r in seen]).reshape(len(seen), len(open_))
+            chosen = dict(assign_optimal(np.where(cost > cfg.gate, np.inf, cost))) if open_ else {}
+            matched = {i: open_[j] for i, j in chosen.items()}
+            for i, (_, *box, look, key) in enumerate(seen):
+                t, how = matched.get(i), "MATCH"
+                if t is None:
+                    alike = [(0.5 * _iou(box, g["box"]) + 0.5 * (1 - abs(look - g["look"])), -k) for k, g in enumerate(gone) if _iou(box, g["box"]) >= cfg.min_iou and 1 - abs(look - g["look"]) >= cfg.min_alike]
+                    if alike:
+                        t, how = gone.pop(-max(alike)[1]), "REVIVED"
+                        open_.append(t)
+                if t is None:
+                    near = [(far(centre(box), centre(p["box"])), k) for k, p in enumerate(pending) if far(centre(box), centre(p["box"])) < cfg.pending_reach]
+                    p = pending.pop(min(near)[1]) if near else None
+                    n = p["n"] + 1 if p and f - p["last"] <= cfg.pending_gap else 1
+                    if n < cfg.sightings:
+                        pending.append({"box": box, "last": f, "n": n})
+                        yield key, None, "PENDING"
+                        continue
+                    new += 1
+                    t, how = {"id": new}, "NEW"
+                    open_.append(t)
+                t.update(box=box, look=look, last=f)
+                yield key, t["id"], how
+
+    return _fold(detections, group, ["frame", "x1", "key"], ["frame", "x1", "y1", "x2", "y2", "look", "key"], {"key": "bigint", "track": "bigint", "how": "string"}, work)
+
+
 @dataclass(frozen=True)
 class SeamConfig:
     """In frames and pixels, already resolved for a camera."""

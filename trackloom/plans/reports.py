@@ -311,3 +311,19 @@ def local_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The local report's totals: segments of a camera's batch beside its units."""
     units_ = master_units(spark, sf_dir).groupBy(*GROUP).agg(F.count("*").alias("units"))
     return local_segments(spark, sf_dir).groupBy(*GROUP).agg(F.count("*").alias("local")).join(units_, GROUP, "left").select(*GROUP, "local", F.coalesce("units", F.lit(0)).alias("units"))
+
+
+@query()
+def revived_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How a sensor's detections come to tracks: matched, revived, new or pending."""
+    e = events(spark, sf_dir)
+    rows = e.select("sensor", F.floor(F.col("frame") / 360).alias("frame"), (F.col("x") % 848).cast("double").alias("x1"), F.lit(100.0).alias("y1"), (F.col("x") % 848 + 120).cast("double").alias("x2"), F.lit(300.0).alias("y2"), (F.col("conf") / 1000).alias("look"), F.col("event_id").alias("key"))
+    found = stateful.track_remembering(rows, ["sensor"], stateful.MemoryConfig(gate=150.0, max_missed=4, revive_frames=20, pending_gap=4, sightings=2))
+    return found.groupBy("sensor", "how").agg(F.count("*").alias("n"), F.countDistinct("track").alias("tracks"))
+
+
+@query(f"WITH {SESS} SELECT camera, frame, string_agg(DISTINCT track_id::VARCHAR, ',' ORDER BY track_id::VARCHAR) AS tracks, count(*) AS boxes FROM sess GROUP BY ALL")
+def overlay_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is drawn on each frame of a camera: its tracks there, and how many boxes."""
+    ids = F.array_sort(F.collect_set(F.col("track_id").cast("string")))
+    return sessions(spark, sf_dir).groupBy("camera", "frame").agg(F.array_join(ids, ",").alias("tracks"), F.count("*").alias("boxes"))

@@ -82,3 +82,27 @@ def ready_to_assemble(manifests: DataFrame, batch: str, camera: str, state: str,
 def feature_or_null(units: DataFrame, features: DataFrame, key: str) -> DataFrame:
     """Units with their feature row, null where it is missing: absence is data, not an error."""
     return units.join(features, key, "left")
+
+
+def find_files(spark: SparkSession, folder: str, pattern: str = "*.mp4") -> DataFrame:
+    """``(path, camera_id, batch_key, length, modified)`` of the files under a folder, their content unread; empty files are left out.
+
+    A name holds its batch as ``YYYYMMDD_HHMMSS`` and ends in its camera: ``<anything>_<batch>_<camera>.<suffix>``; what it lacks is null.
+    """
+    rows = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
+    name = F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1)
+    batch, camera = F.regexp_extract(name, r"(\d{8}_\d{6})", 1), F.regexp_extract(name, r"\d{8}_\d{6}_(.+)$", 1)
+    return rows.select("path", F.nullif(camera, F.lit("")).alias("camera_id"), F.nullif(batch, F.lit("")).alias("batch_key"), "length", F.col("modificationTime").alias("modified"))
+
+
+def local_batches(files: DataFrame, cameras: list[str]) -> DataFrame:
+    """``(batch_key, files, missing, complete)``: the latest file of each camera of a batch, and the cameras that lack one."""
+    wanted = F.array(*[F.lit(c) for c in sorted(cameras)])
+    latest = files.where(F.col("batch_key").isNotNull() & F.col("camera_id").isin(*cameras)).groupBy("batch_key", "camera_id").agg(F.max_by("path", F.struct("modified", "path")).alias("path"))
+    out = latest.groupBy("batch_key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("camera_id", "path")))).alias("files"))
+    return out.withColumn("missing", F.array_except(wanted, F.map_keys("files"))).withColumn("complete", F.size("missing") == 0)
+
+
+def write_json(df: DataFrame, path: str, *partitions: str) -> None:
+    """Evidence metadata or stage timings as JSON lines, one folder for each value of the partitions."""
+    df.write.mode("overwrite").partitionBy(*partitions).json(path)
