@@ -211,12 +211,13 @@ def usable_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracks(spark, sf_dir).select("track_id", R.usable_offset(F.col("x_start") / 100, status).alias("delta"))
 
 
-@query(f"""WITH {_UNITS}, fu AS (SELECT batch, camera, unit_id FROM units WHERE batch % 3 <> 0) SELECT batch, camera, unit_id, false AS fallback FROM fu
+@query(f"""WITH {_UNITS}, fu AS (SELECT batch, camera, unit_id FROM units QUALIFY count(*) OVER (PARTITION BY batch, camera) >= 5) SELECT batch, camera, unit_id, false AS fallback FROM fu
 UNION ALL SELECT batch, camera, unit_id, true FROM units WHERE NOT EXISTS (SELECT 1 FROM fu WHERE fu.batch = units.batch AND fu.camera = units.camera)""")
 def assembled_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every third batch has no fusion here, and falls back to its master's own units."""
+    """A camera's batch of at least five units counts as fused here; others fall back to the master's own."""
     master = master_units(spark, sf_dir).select(*GROUP, "unit_id")
-    return R.assembled_or_master(master.where("batch % 3 <> 0"), master, GROUP)
+    fused = master.withColumn("n", F.count("*").over(Window.partitionBy(*GROUP))).where("n >= 5").drop("n")
+    return R.assembled_or_master(fused, master, GROUP)
 
 
 @query("SELECT event_id, coalesce(CAST(json_extract(props, '$.window_start') AS BIGINT), CAST(json_extract(props, '$.start') AS BIGINT), CAST(json_extract(props, '$.k') AS BIGINT)) AS window_start FROM events")
