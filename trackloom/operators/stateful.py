@@ -136,12 +136,13 @@ class StreakConfig:
     closed_rows: int = 5
 
 
-def streak_states(df: DataFrame, group: Names, order: Names, label: str, confidence: str, cfg: StreakConfig = StreakConfig()) -> DataFrame:
+def streak_states(df: DataFrame, group: Names, order: str | Names, label: str, confidence: str, cfg: StreakConfig = StreakConfig()) -> DataFrame:
     """``(group, order, state, event)``: a door's state by streaks of confident predictions.
 
     A confident row lengthens its kind's streak and ends the others'; a weak one shortens all by one. OPEN is left only by twice the usual
     streak. Damage ends the other streaks but is no state. ``event`` is DOOR_OPEN at the first opening, once.
     """
+    order = [order] if isinstance(order, str) else order
     usual, slow = cfg.closed_rows, 2 * cfg.closed_rows
     # From each state: the states that may follow, in the order of their tests, with the streak that each needs.
     follow = {
@@ -228,8 +229,9 @@ class Hysteresis:
         return self._settle()
 
 
-def hysteresis(df: DataFrame, group: Names, order: Names, label: str, duration: str, confidence: str, cfg: HysteresisConfig = HysteresisConfig()) -> DataFrame:
+def hysteresis(df: DataFrame, group: Names, order: str | Names, label: str, duration: str, confidence: str, cfg: HysteresisConfig = HysteresisConfig()) -> DataFrame:
     """``(group, order, raw_label, stable_label, held)`` for every row."""
+    order = [order] if isinstance(order, str) else order
 
     def work(rows: list[tuple]) -> Iterator[tuple]:
         state, out = Hysteresis(cfg), {}
