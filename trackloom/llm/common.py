@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trackloom.operators.graph import components, cut_lineage  # noqa: F401  components is used by the operators
+from trackloom.operators.graph import components, cut_lineage, shared_root  # noqa: F401  components is used by the operators
 
 #: Word characters of the two tokenisations, by UTF-8 byte. Bytes from 0x80 belong to non-ASCII code points.
 NOT_SPACE = np.ones(256, bool)
@@ -35,6 +38,58 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
 materialize = cut_lineage
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet in the shared folder and read again, and where it lies."""
+    spark = df.sparkSession
+    folder = f"{shared_root(spark, 'spark-llm-')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder), folder
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    """Deletes a table of ``stored`` that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def usable(vector: Column, scale: float, bound: float) -> Column:
+    """Whether a vector is neither null nor empty and all its components are finite, with ``scale`` times each below ``bound`` in size."""
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double") * scale) >= bound))
+    return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & ~bad, F.lit(False))
+
+
+def usual_length(df: DataFrame, vector: str) -> int:
+    """The most frequent length of the vectors, the least of equally frequent ones; 0 without vectors."""
+    found = df.groupBy(F.size(vector).alias("length")).count().orderBy(F.desc("count"), "length").first()
+    return found.length if found else 0
+
+
+def matrix(column: pa.Array, width: int) -> np.ndarray:
+    """An Arrow list column of equally long rows as a matrix."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, on: Sequence[str], size: str, total: int, parts: int = 1000) -> DataFrame:
+    """``rows`` with the columns of ``groups``, of which each row of a key (nulls are equal) has one; ``size`` is a group's number of rows.
+
+    Groups that hold at least one ``parts``-th of the ``total`` rows are at most ``parts``, so they are broadcast; no key of the join of
+    the rest has more rows than that, so a key that holds a third of all rows loads no task. ``groups`` should be cheap to read.
+    """
+    names = {c: f"{c}_{uuid.uuid4().hex}" for c in on}
+    groups = groups.withColumnsRenamed(names)
+    hot = groups.where(F.col(size) * parts >= total)
+    cold = groups.where(F.col(size) * parts < total)
+    same = lambda: reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in names.items()])
+    some = [kind.isEmpty() for kind in (hot, cold)]
+    if some[0]:
+        return rows.join(cold, same()).drop(*names.values())
+    near = rows.join(F.broadcast(hot), same()).drop(*names.values())
+    if some[1]:
+        return near
+    rest = rows.join(F.broadcast(hot.select(*names.values())), same(), "left_anti")
+    return near.unionByName(rest.join(cold, same()).drop(*names.values()))
+
+
 def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply) over unsigned integers."""
     with np.errstate(over="ignore"):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,10 @@ from trackloom.llm.jaccard_join import jaccard_components
 from trackloom.llm.mixing import mix_sources
 from trackloom.llm.near_vectors import near_vectors
 from trackloom.llm.secrets import scan_secrets
+from trackloom.llm.token_counts import count_tokens, vocabulary
 from trackloom.llm.url_filter import filter_urls
+from trackloom.llm.vector_codes import code_report
+from trackloom.llm.whitening import whiten
 
 #: (verdict, host, start of the path).
 URL_RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -69,8 +73,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_report(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")).withColumnRenamed("id", "vec_id")
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read_table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding")).withColumnRenamed("id", "vec_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (op1_near_vectors, op2_decontamination, op3_html_text, op4_mixing, op5_url_filter, op6_language_id, op7_chat_format, op8_jaccard_join, op9_personal_data, op10_secret_scan)
+    named += (op11_vector_codes, op12_token_counts, op13_whitening)
     return {q.__name__: q for q in named}
 
 
@@ -163,6 +180,25 @@ JOIN (SELECT id, min(node) AS component_id FROM reach GROUP BY id) c ON c.id = d
 """
 
 
+def _op11(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """The rounds, unrolled. Sums of products of whole numbers are exact in doubles."""
+    steps = ["b0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS k, p AS e FROM p WHERE row IN (SELECT row FROM v ORDER BY vec_id LIMIT %d))" % entries]
+    for t in range(rounds + 1):
+        steps.append(f"a{t} AS MATERIALIZED (SELECT row, part, arg_min(k, (d, k)) AS k, min(d) AS d FROM (SELECT row, p.part, k, list_inner_product(p, p) - 2 * list_inner_product(p, e) + list_inner_product(e, e) AS d FROM p JOIN b{t} b ON p.part = b.part) GROUP BY ALL)")
+        if t < rounds:
+            steps.append(f"m{t} AS (SELECT part, k, list(floor(s / n) ORDER BY i) AS e FROM (SELECT part, k, i, sum(x) AS s, count(*) AS n FROM (SELECT a.part, a.k, unnest(p) AS x, generate_subscripts(p, 1) AS i FROM a{t} a JOIN p USING (row, part)) GROUP BY ALL) GROUP BY ALL)")
+            steps.append(f"b{t + 1} AS MATERIALIZED (SELECT b.part, b.k, coalesce(m.e, b.e) AS e FROM b{t} b LEFT JOIN m{t} m USING (part, k))")
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+p AS MATERIALIZED (SELECT row, vec_id, part, x[part * len(x) // {parts} + 1:(part + 1) * len(x) // {parts}] AS p FROM v, (SELECT unnest(range({parts})) AS part)),
+{", ".join(steps)},
+book AS (SELECT sha256(string_agg(array_to_string(list_transform(e, lambda x: x::BIGINT), ','), ',' ORDER BY part, k)) AS s FROM b{rounds}),
+r AS (SELECT row, lower(string_agg(lpad(to_hex(k), 2, '0'), '' ORDER BY part)) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY row)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT s FROM book) AS codebooks_sha256 FROM v JOIN r USING (row)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """For the operators that SQL can express."""
-    return {"op1_near_vectors": _OP1, "op2_decontamination": _OP2, "op4_mixing": _OP4, "op5_url_filter": _op5(), "op7_chat_format": _OP7, "op8_jaccard_join": _OP8}
+    return {"op1_near_vectors": _OP1, "op2_decontamination": _OP2, "op4_mixing": _OP4, "op5_url_filter": _op5(), "op7_chat_format": _OP7, "op8_jaccard_join": _OP8, "op11_vector_codes": _op11()}
