@@ -52,7 +52,7 @@ def test_any_text_counts_as_in_the_library(text):
 def test_slices_and_a_full_memory_change_nothing(vocabulary, monkeypatch):
     text = " ".join(f"word{k} it's, {k * 7}.\n\n  x" for k in range(3000)) + "z" * 5000
     assert "".join(T.slices(text, 100)) == text and len(list(T.slices(text, 100))) > 100
-    monkeypatch.setattr(T, "SLICE", 100)
+    monkeypatch.setattr(T, "PACKED", 3)
     monkeypatch.setattr(T, "REMEMBERED", 10)
     monkeypatch.setattr(T.slices, "__defaults__", (100,))
     assert T._Counts(vocabulary).of(text) == library(text)

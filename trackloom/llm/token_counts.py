@@ -7,11 +7,11 @@ rank. A piece has as many tokens as it had bytes, less the merges; no identifier
 
 from __future__ import annotations
 
-import heapq
 import json
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 
 #: Long texts are split in slices of about so many characters, cut where a piece ends anyway.
 SLICE = 1 << 20
-#: Counts of so many pieces, of at most so many characters each, are remembered by a task.
-REMEMBERED, SHORT = 1 << 17, 32
+#: Counts of so many pieces, of at most so many characters each, are remembered by a worker.
+REMEMBERED, SHORT = 1 << 19, 32
+#: Longer pieces keep their symbols in packed arrays.
+PACKED = 1 << 12
 _LOW = (1 << 32) - 1
 #: Between a printable ASCII character and a space or line break a piece always ends.
 _CUT = regex.compile(r"(?<=[!-~])[ \n]")
@@ -97,8 +99,10 @@ class Splitter:
         mine = _classes_of([c for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000])
         points = _doubtful(tokenizer, mine)
         theirs, mine = _class_probe(tokenizer, points), _classes_of(points)
-        odd = _ranges(sorted(set().union(*(theirs[k] ^ mine[k] for k in mine))))
-        self.odd = f"[{odd}]" if odd else None
+        self.odd = frozenset(map(chr, set().union(*(theirs[k] ^ mine[k] for k in mine))))
+        #: No text whose bytes are all below this one has an odd code point.
+        self.lead = min((c.encode()[0] for c in self.odd), default=0x100)
+        odd = _ranges(sorted(map(ord, self.odd)))
         own = {k: f"[{p}--[{odd}]]" if odd else p for k, p in _CLASSES.items()}
         for k in own:
             extra = _ranges(sorted(theirs[k] - mine[k]))
@@ -107,8 +111,8 @@ class Splitter:
         self.usual, self.exact = _SPLIT.format(**_CLASSES), "(?V1)" + _SPLIT.format(**own)
 
     def __call__(self, text: str) -> list[str]:
-        exact = self.odd and regex.search(self.odd, text)
-        return regex.findall(self.exact if exact else self.usual, text)
+        odd = not text.isascii() and max(text.encode()) >= self.lead and not self.odd.isdisjoint(text)
+        return regex.findall(self.exact if odd else self.usual, text)
 
 
 class Vocabulary:
@@ -137,42 +141,53 @@ class Vocabulary:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.pairs[vocab[a] << 32 | vocab[b]] = rank << 32 | vocab[a + b]
+        #: The same of the pairs of bytes, without the merged symbol.
+        byte_of = {symbol: b for b, symbol in enumerate(self.start)}
+        self.first = {}
+        for pair, found in self.pairs.items():
+            a, b = byte_of.get(pair >> 32), byte_of.get(pair & _LOW)
+            if a is not None and b is not None:
+                self.first[a << 8 | b] = found & ~_LOW
         self.split = Splitter(Tokenizer.from_file(path))
 
     def piece_tokens(self, piece: bytes) -> int:
-        """Symbols less merges. The lists and the heap take about 60 bytes for each byte of the piece."""
-        n, pairs = len(piece), self.pairs
-        ids = array("q", map(self.start.__getitem__, piece))
-        left, right = array("q", range(-1, n - 1)), array("q", range(1, n + 1))
-        heap = []
+        """Symbols less merges. The lists and the heap of a long piece take about 60 bytes for each of its bytes."""
+        n, start, pair_of = len(piece), self.start, self.pairs.get
+        ids, left, right = [start[b] for b in piece], range(-1, n - 1), range(1, n + 1)
+        if n < PACKED:
+            left, right = list(left), list(right)
+        else:
+            ids, left, right = array("q", ids), array("q", left), array("q", right)
+        heap, first = [], self.first.get
         for i in range(n - 1):
-            found = pairs.get(ids[i] << 32 | ids[i + 1])
+            found = first(piece[i] << 8 | piece[i + 1])
             if found is not None:
-                heap.append(found & ~_LOW | i)
-        heapq.heapify(heap)
+                heap.append(found | i)
+        heapify(heap)
         merges = 0
         while heap:
-            top = heapq.heappop(heap)
+            top = heappop(heap)
             i = top & _LOW
-            j = right[i]
-            if ids[i] < 0 or j == n:
+            j, symbol = right[i], ids[i]
+            if symbol < 0 or j == n:
                 continue
-            found = pairs.get(ids[i] << 32 | ids[j])
+            found = pair_of(symbol << 32 | ids[j])
             if found is None or found >> 32 != top >> 32:
                 continue  # the pair of this place is another by now
             merges += 1
-            ids[i], ids[j] = found & _LOW, -1
+            symbol = ids[i] = found & _LOW
+            ids[j] = -1
             after, before = right[j], left[i]
             right[i] = after
             if after < n:
                 left[after] = i
-                found = pairs.get(ids[i] << 32 | ids[after])
+                found = pair_of(symbol << 32 | ids[after])
                 if found is not None:
-                    heapq.heappush(heap, found & ~_LOW | i)
+                    heappush(heap, found & ~_LOW | i)
             if before >= 0:
-                found = pairs.get(ids[before] << 32 | ids[i])
+                found = pair_of(ids[before] << 32 | symbol)
                 if found is not None:
-                    heapq.heappush(heap, found & ~_LOW | before)
+                    heappush(heap, found & ~_LOW | before)
         return n - merges
 
 
@@ -188,16 +203,17 @@ def slices(text: str, size: int = SLICE) -> Iterator[str]:
 
 
 class _Counts(dict):
-    """Tokens of pieces, as they are asked for. Long pieces are rare and not kept; a full memory starts anew."""
+    """Tokens of pieces, as they are asked for, in two generations: a full one becomes the old one, and what is asked for again comes back."""
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.old = vocabulary, {}
 
     def __missing__(self, piece: str) -> int:
-        n = self.vocabulary.piece_tokens(piece.encode())
+        n = self.old.get(piece) or self.vocabulary.piece_tokens(piece.encode())
         if len(piece) <= SHORT:
-            if len(self) >= REMEMBERED:
+            if 2 * len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
             self[piece] = n
         return n
@@ -214,6 +230,16 @@ class _Counts(dict):
         return total
 
 
+#: What a worker's last task remembered; the vocabulary of a broadcast is one object for all tasks of a worker.
+_last: list[_Counts] = []
+
+
+def _counts_of(words: Vocabulary) -> _Counts:
+    if not _last or _last[0].vocabulary is not words:
+        _last[:] = [_Counts(words)]
+    return _last[0]
+
+
 @lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
     """The vocabulary of a file, read once by a driver."""
@@ -232,7 +258,7 @@ def count_tokens(df: DataFrame, words: Vocabulary, id_col: str = "doc_id", text_
     shared = df.sparkSession.sparkContext.broadcast(words)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = _Counts(shared.value)
+        counts = _counts_of(shared.value)
         for batch in batches:
             n = pa.array([counts.of(t.as_py()) for t in batch.column("text")], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), n], ["doc_id", "n_bytes", "n_tokens"])
