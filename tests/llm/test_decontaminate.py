@@ -1,7 +1,10 @@
 import hashlib
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import rows, words
 from pyspark.sql import functions as F
@@ -78,3 +81,33 @@ def test_a_column_of_the_same_name_is_replaced(spark):
     df = spark.createDataFrame([(1, "one two", "old")], "doc_id long, text string, contamination string")
     out = D.contamination(df, spark.createDataFrame([(1, "ONE two")], "item_id long, text string"))
     assert out.columns == ["doc_id", "text", "contamination"] and out.first().contamination.n_hit == 2
+
+
+def test_a_line_of_all_items_in_all_texts_takes_bounded_memory():
+    n, line = 5000, "answer the following question with one of the given letters and nothing else"
+    phrases = D.Phrases([(k, f"{line} item{k}") for k in range(n)], 10)
+    assert len(phrases.sets) <= n + 1  # the windows of the line share one set
+    names = {c: c for c in D._WORKING}
+    texts = pa.array([f"{line} text{k}" for k in range(n)])
+    none = [pa.nulls(n, pa.int64()), pa.nulls(n, D._SPANS), pa.nulls(n, D._SPANS), pa.nulls(n, pa.list_(pa.int64()))]
+    batch = pa.RecordBatch.from_arrays([texts, *none], ["text", *D._WORKING])
+    tracemalloc.start()
+    seen = listed = most = 0
+    for out in D._pass(SimpleNamespace(value=phrases), "text", pa.int64(), names)(iter([batch])):
+        seen, listed, most = seen + out.num_rows, listed + len(out["items"].flatten()), max(most, out.nbytes)
+        assert all(len(w.as_py()) == 1 for w in out["words"])
+    assert (seen, listed) == (n, n * n) and most < 20 << 20
+    assert tracemalloc.get_traced_memory()[1] < 150 << 20
+    tracemalloc.stop()
+
+
+def test_many_items_and_passes_match_brute_force_with_text_ids(spark):
+    line = "answer the following question with one of the letters"
+    items = [(f"i{k}", f"{line} {k % 7} {k}") for k in range(40)] + [("i3", "other words of the same item")]
+    docs = [(k, f"x {line} {k % 9} {k} the other words of the same item") for k in range(30)] + [(99, line)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("__items", F.lit("kept")).withColumn("__words", F.lit(1))
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    for limit in (1 << 20, 400):
+        assert rows(D.report(df, bench, max_broadcast=limit)) == brute(docs, items)
+        out = D.contamination(df, bench, max_broadcast=limit)
+        assert out.columns == ["doc_id", "text", "__items", "__words", "contamination"] and {r[0] for r in out.select("__items").collect()} == {"kept"}

@@ -8,6 +8,7 @@ by ranks, their occurrences are located by walking to the next sampled suffix po
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,14 +127,27 @@ class Phrases:
                 n = min(len(w), width)
                 rows = np.lib.stride_tricks.sliding_window_view((np.searchsorted(self.vocabulary, w) + _FIRST).astype(np.int32), n)
                 parts.setdefault(n, []).append((rows, np.full(len(rows), k)))
-        #: (distinct windows, starts in owners, owners) by length; the owners of a window are the items that hold it.
-        self.windows = []
+        #: (length, distinct windows, the owner set of each). A window's owners are the items that hold it; windows of equal owners share a set.
+        self.windows, self._sets = [], {}
         for n, found in sorted(parts.items()):
             distinct, which = np.unique(np.concatenate([r for r, _ in found]), axis=0, return_inverse=True)
             pairs = np.unique(np.stack([which.ravel(), np.concatenate([o for _, o in found])], 1), axis=0)
-            self.windows.append((n, distinct.astype(np.int64), np.searchsorted(pairs[:, 0], np.arange(len(distinct) + 1)), pairs[:, 1]))
+            starts = np.searchsorted(pairs[:, 0], np.arange(len(distinct) + 1))
+            sets = [self._sets.setdefault(pairs[a:b, 1].astype(np.int32).tobytes(), len(self._sets)) for a, b in zip(starts, starts[1:])]
+            self.windows.append((n, distinct.astype(np.int64), np.array(sets, np.int64)))
+        self.sets = [np.frombuffer(owners, np.int32) for owners in self._sets]
+        del self._sets
         self.least = min(parts, default=0)
 
+    def owners(self, sets: np.ndarray) -> np.ndarray:
+        """The numbers of the items of some owner sets together, in order."""
+        if len(sets) == 1:
+            return self.sets[sets[0]]
+        found = np.zeros(len(self.items), bool)
+        for k in sets:
+            found[self.sets[k]] = True
+        return np.flatnonzero(found)
+
     def symbols(self, hashes: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
         return np.where(self.vocabulary[at] == hashes, at + _FIRST, _GAP)
@@ -160,7 +174,7 @@ def _stretches(symbols: np.ndarray, bounds: np.ndarray, least: int) -> np.ndarra
 
 
 def _occurrences(symbols: np.ndarray, bounds: np.ndarray, phrases: Phrases) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
-    """``(first words, length, items)`` of all occurrences in a run of texts, shard by shard."""
+    """``(first words, length, owner sets)`` of all occurrences in a run of texts, shard by shard; each occurrence is one row, whoever owns it."""
     words = _stretches(symbols, bounds, phrases.least)
     owner = np.searchsorted(bounds, words, "right")
     begin = 0
@@ -179,63 +193,84 @@ def _occurrences(symbols: np.ndarray, bounds: np.ndarray, phrases: Phrases) -> I
         word_at = np.zeros(len(text), np.int64)
         word_at[place] = part
         index = FMIndex(text, len(phrases.vocabulary) + _FIRST)
-        for length, windows, starts, owners in phrases.windows:
+        for length, windows, sets in phrases.windows:
             phrase, low, high = index.search(windows)
             if len(phrase):
                 rows = np.repeat(low - np.concatenate([[0], np.cumsum(high - low)[:-1]]), high - low) + np.arange((high - low).sum())
                 first = word_at[index.locate(rows)]
-                which = np.repeat(phrase, high - low)
-                n = starts[which + 1] - starts[which]
-                at = np.repeat(starts[which] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                yield np.repeat(first, n), length, owners[at]
+                yield first, length, np.repeat(sets[phrase], high - low)
         begin = end
 
 
-#: Columns that the passes hand on.
-_WORKING = ("__n_words", "__words", "__spans", "__items")
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-_PASS = "__n_words long, __words array<struct<start:bigint,end:bigint>>, __spans array<struct<start:bigint,end:bigint>>, __items array<{}>"
+#: Columns that the passes hand on; their names get a suffix of their own.
+_WORKING = {"n_words": "long", "words": "array<struct<start:bigint,end:bigint>>", "spans": "array<struct<start:bigint,end:bigint>>", "items": "array<{}>"}
+#: A batch of results ends once it lists so many items.
+MAX_LISTED = 1 << 20
+
+
+def _pass(phrases, text_col: str, item_type: pa.DataType, names: dict[str, str]):
+    """``names`` has the working columns' names."""
 
+    def results(batch: pa.RecordBatch, first: int, n_words: list, words: list, spans: list, items: list) -> pa.RecordBatch:
+        part = batch.slice(first, len(n_words))
+        kept = [c for c in batch.schema.names if c not in names.values()]
+        listed = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(i) for i in items])]), pa.int32()), pa.array(np.concatenate(items) if items else [], item_type))
+        arrays = [part.column(c) for c in kept] + [pa.array(n_words, pa.int64()), pa.array(words, _SPANS), pa.array(spans, _SPANS), listed]
+        return pa.RecordBatch.from_arrays(arrays, [*kept, *(names[c] for c in _WORKING)])
 
-def _pass(phrases, text_col: str, item_type: pa.DataType):
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def judged(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         p: Phrases = phrases.value
-        column, old_words, old_items = batch.column(text_col), batch.column("__words"), batch.column("__items")
-        n_words, out_words, out_spans, out_items = [], [], [], []
+        ids = np.array(p.items, object if item_type == pa.string() else np.int64)
+        none = ids[:0]
+        column, old_words, old_items = batch.column(text_col), batch.column(names["words"]), batch.column(names["items"])
         for first, last, words in word_slices(column, ALNUM):
             bounds = words.bounds
-            n_words += np.diff(bounds).tolist()
             cover = np.zeros(len(words.hashes) + 1, np.int64)
             pairs = [np.zeros((0, 2), np.int64)]
             if len(words.hashes) and len(p.vocabulary):
-                for at, length, items in _occurrences(p.symbols(words.hashes), bounds, p):
+                for at, length, sets in _occurrences(p.symbols(words.hashes), bounds, p):
                     np.add.at(cover, at, 1)
                     np.add.at(cover, at + length, -1)
-                    pairs.append(np.unique(np.stack([np.searchsorted(bounds, at, "right") - 1, items], 1), axis=0))
+                    pairs.append(np.unique(np.stack([np.searchsorted(bounds, at, "right") - 1, sets], 1), axis=0))
+            covered = np.cumsum(cover) > 0
             pairs = np.unique(np.concatenate(pairs), axis=0)
+            cuts = np.searchsorted(pairs[:, 0], np.arange(last - first + 1))
+            known_sets: dict[bytes, np.ndarray] = {}  # texts of equal sets share one array of items
+            begin, listed, out = first, 0, ([], [], [], [])
             for i in range(last - first):
-                known = old_words[first + i].as_py() or []
-                mine = pairs[np.searchsorted(pairs[:, 0], i) : np.searchsorted(pairs[:, 0], i, "right"), 1] if len(pairs) else []
-                if not known and not len(mine):
-                    out_words.append([]), out_spans.append([]), out_items.append([])
-                    continue
-                base, n = bounds[i], bounds[i + 1] - bounds[i]
-                hit = np.concatenate([[False], np.cumsum(cover)[base : base + n] > 0, [False]])
-                for s in known:
-                    hit[s["start"] + 1 : s["end"] + 1] = True
-                edge = np.flatnonzero(hit[1:] != hit[:-1]).reshape(-1, 2)
-                out_words.append([{"start": int(a), "end": int(b)} for a, b in edge])
-                begin = words.offsets[i]
-                chars = np.concatenate([[0], np.cumsum((words.data[begin : words.offsets[i + 1]] & 0xC0) != 0x80)])
-                out_spans.append([{"start": int(chars[words.starts[base + a] - begin]), "end": int(chars[words.ends[base + b - 1] - begin])} for a, b in edge])
-                out_items.append(sorted({*(old_items[first + i].as_py() or []), *(p.items[k] for k in mine)}))
-        names = [c for c in batch.schema.names if c not in _WORKING]
-        arrays = [batch.column(c) for c in names] + [pa.array(n_words, pa.int64()), pa.array(out_words, _SPANS), pa.array(out_spans, _SPANS), pa.array(out_items, pa.list_(item_type))]
-        return pa.RecordBatch.from_arrays(arrays, [*names, "__n_words", "__words", "__spans", "__items"])
+                known, mine = old_words[first + i].as_py() or [], pairs[cuts[i] : cuts[i + 1], 1]
+                items = none
+                if len(mine):
+                    key = mine.tobytes()
+                    if key not in known_sets:
+                        known_sets[key] = np.unique(ids[p.owners(mine)])
+                    items = known_sets[key]
+                if known:
+                    before = np.array(old_items[first + i].as_py(), ids.dtype)
+                    items = np.unique(np.concatenate([before, items])) if len(items) else before
+                edge = char_edge = np.zeros((0, 2), np.int64)
+                if known or len(mine):
+                    base, n = bounds[i], bounds[i + 1] - bounds[i]
+                    hit = np.concatenate([[False], covered[base : base + n], [False]])
+                    for s in known:
+                        hit[s["start"] + 1 : s["end"] + 1] = True
+                    edge = np.flatnonzero(hit[1:] != hit[:-1]).reshape(-1, 2)
+                    start = words.offsets[i]
+                    chars = np.concatenate([[0], np.cumsum((words.data[start : words.offsets[i + 1]] & 0xC0) != 0x80)])
+                    char_edge = np.stack([chars[words.starts[base + edge[:, 0]] - start], chars[words.ends[base + edge[:, 1] - 1] - start]], 1)
+                for column_, value in zip(out, (int(bounds[i + 1] - bounds[i]), [{"start": a, "end": b} for a, b in edge.tolist()], [{"start": a, "end": b} for a, b in char_edge.tolist()], items)):
+                    column_.append(value)
+                listed += len(items)
+                if listed >= MAX_LISTED:
+                    yield results(batch, begin, *out)
+                    begin, listed, out = first + i + 1, 0, ([], [], [], [])
+            if out[0]:
+                yield results(batch, begin, *out)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield one(batch)
+            yield from judged(batch)
 
     return work
 
@@ -246,11 +281,13 @@ def contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "text", i
 
     Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. A window is ``width`` words of an item, or all of a
     shorter one. Null and empty texts, on either side, have no words; items with a null id are left out. Repeated rows are judged alike.
-    Other columns pass through untouched; a column ``contamination`` is replaced, and such as are called like the working columns are dropped. A benchmark of more
+    Other columns pass through untouched, whatever their names; a column ``contamination`` is replaced. A benchmark of more
     than ``max_broadcast`` bytes of text is dealt into as many passes as hold it, each bounded by that size (or by one item's); passes are
     parted by checkpoints, so that neither the driver nor a task ever holds the phrases of two.
     """
-    df = df.drop("contamination", *_WORKING)
+    df = df.drop("contamination")
+    suffix = uuid.uuid4().hex
+    names = {c: f"{c}_{suffix}" for c in _WORKING}
     spark = df.sparkSession
     kind = benchmark.schema[item_col].dataType.simpleString()
     arrow_kind = pa.int64() if kind in ("bigint", "int", "smallint", "tinyint") else pa.string()
@@ -258,18 +295,20 @@ def contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "text", i
     tests = benchmark.where(F.col(item_col).isNotNull() & F.col(item_text_col).isNotNull()).select(item.alias("item"), F.col(item_text_col).alias("text"))
     bytes_ = tests.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = max(1, -(-bytes_ // max_broadcast))
-    schema = _PASS.format("bigint" if arrow_kind == pa.int64() else "string")
+    types = {c: t.format("bigint" if arrow_kind == pa.int64() else "string") for c, t in _WORKING.items()}
+    schema = ", ".join(f"{names[c]} {t}" for c, t in types.items())
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    out = df.select("*", F.lit(None).cast("long").alias("__n_words"), *[F.lit(None).cast("array<struct<start:bigint,end:bigint>>").alias(c) for c in ("__words", "__spans")], F.lit(None).cast(f"array<{'bigint' if arrow_kind == pa.int64() else 'string'}>").alias("__items"))
+    out = df.select("*", *[F.lit(None).cast(t).alias(names[c]) for c, t in types.items()])
     for k in range(passes):
         rows = tests.where(F.pmod(F.xxhash64("item"), F.lit(passes)) == k).orderBy("item", "text").collect()
         phrases = spark.sparkContext.broadcast(Phrases([(r.item, r.text) for r in rows], width))
-        out = out.mapInArrow(_pass(phrases, text_col, arrow_kind), f"{fields}, {schema}")
+        out = out.mapInArrow(_pass(phrases, text_col, arrow_kind, names), f"{fields}, {schema}")
         if k < passes - 1:
             out = materialize(out)
             phrases.unpersist()
-    n_hit = F.aggregate("__words", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
-    return out.select(*df.columns, F.struct(F.col("__n_words").alias("n_words"), n_hit.alias("n_hit"), F.col("__items").alias("items"), F.col("__words").alias("words"), F.col("__spans").alias("spans")).alias("contamination"))
+    n_hit = F.aggregate(names["words"], F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    found = F.struct(F.col(names["n_words"]).alias("n_words"), n_hit.alias("n_hit"), *(F.col(names[c]).alias(c) for c in ("items", "words", "spans")))
+    return out.select(*df.columns, found.alias("contamination"))
 
 
 def without_spans(text: Column, spans: Column) -> Column:
