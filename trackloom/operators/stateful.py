@@ -1,8 +1,9 @@
 """Operators whose rows depend on earlier decisions: folds over the rows of a group, in order.
 
-Spark deals the rows by group and sorts them; each task then walks its Arrow batches row by row, and holds the rows of one group at a time. A group
-is a sensor, or a camera of one batch: the key has to be fine enough that a group fits a task. A window or join cannot express these, because a
-greedy choice changes what later rows may choose.
+Spark deals the rows by group and sorts them; each task then walks its Arrow batches row by row. A group is a sensor, or a camera of one batch. Most folds
+hold only what is open (tracks, a challenge, a stretch without a pause), however long the group is; ``recover``, ``track_remembering`` and the chains of
+fragments hold their group, so there the key has to be fine enough. A window or join cannot express these, because a greedy choice changes
+what later rows may choose.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import bisect
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import groupby, islice
 from operator import itemgetter
 from statistics import median
 
@@ -23,30 +24,31 @@ Names = Sequence[str]
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_()}
 
 
-def _fold(df: DataFrame, group: Names, order: Names, columns: Names, out: dict[str, str], work: Callable[[list[tuple]], Iterable[tuple]]) -> DataFrame:
-    """``(group, out)``: the rows that ``work`` gives for each group's rows, which it gets as tuples of ``columns`` in order."""
+#: Rows of a batch that a fold gives.
+PIECE = 8192
+
+
+def _fold(df: DataFrame, group: Names, order: Names, columns: Names, out: dict[str, str], work: Callable[[Iterator[tuple]], Iterable[tuple]]) -> DataFrame:
+    """``(group, out)``: the rows that ``work`` gives for each group's rows, which it gets as tuples of ``columns`` in order, one by one.
+
+    Neither the rows of a group nor what it gives are held here: a fold's memory is what ``work`` keeps.
+    """
     kinds = {g: df.schema[g].dataType.simpleString() for g in group} | out
-    names, types = list(kinds), [_ARROW[k] for k in kinds.values()]
+    names, types, width = list(kinds), [_ARROW[k] for k in kinds.values()], len(group)
 
     def packed(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
+    def results(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        rows = (row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in (*group, *columns))))
+        for key, mine in groupby(rows, lambda row: row[:width]):
+            for row in work(r[width:] for r in mine):
+                yield (*key, *row)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, done = None, [], []
-        for batch in batches:
-            values = [batch.column(c).to_pylist() for c in (*group, *columns)]
-            for row in zip(*values):
-                if row[: len(group)] != key:
-                    done += [(*key, *r) for r in work(held)] if held else []
-                    key, held = row[: len(group)], []
-                held.append(row[len(group) :])
-            if done:
-                yield packed(done)
-                done = []
-        if held:
-            done = [(*key, *r) for r in work(held)]
-            if done:
-                yield packed(done)
+        found = results(batches)
+        while piece := list(islice(found, PIECE)):
+            yield packed(piece)
 
     dealt = df.select(*dict.fromkeys([*group, *order, *columns])).repartition(*group).sortWithinPartitions(*group, *order)
     return dealt.mapInArrow(run, ", ".join(f"`{n}` {k}" for n, k in kinds.items()))
@@ -98,13 +100,24 @@ def track(detections: DataFrame, group: Names, cfg: TrackerConfig = TrackerConfi
     count as missed. Gives ``(group, track_id, start_frame, end_frame, hits, confidence, consistency)``, ids ranked by first and last frame.
     """
 
-    def work(rows: list[tuple]) -> Iterator[tuple]:
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         open_: list[dict] = []
-        done: list[dict] = []
+        done: list[tuple] = []
+        number = 0
         for f, seen in groupby(rows, itemgetter(0)):
             keep = []
             for t in open_:
-                (done if f - 1 - t["last"] >= cfg.max_missed else keep).append(t)
+                if f - 1 - t["last"] < cfg.max_missed:
+                    keep.append(t)
+                elif t["hits"] >= cfg.min_hits:
+                    done.append((t["first"], t["last"], t["hits"], t["conf"]))
+            if done and len(keep) < len(open_):  # closed tracks that began before all open ones have their numbers
+                since = min((t["first"] for t in keep), default=f)
+                done.sort(key=itemgetter(0, 1))
+                ready = bisect.bisect_left(done, since, key=itemgetter(0))
+                for number, t in enumerate(done[:ready], number + 1):
+                    yield number, *t[:3], t[3] / t[2], min(1.0, t[2] / (t[1] - t[0] + 1))
+                done = done[ready:]
             open_, used = keep, set()
             for t in open_:
                 t["filter"].predict(f - t["at"])
@@ -120,9 +133,9 @@ def track(detections: DataFrame, group: Names, cfg: TrackerConfig = TrackerConfi
                 used.add(i)
                 t = open_[i]
                 t.update(last=f, hits=t["hits"] + 1, conf=t["conf"] + c)
-        done = sorted((t for t in done + open_ if t["hits"] >= cfg.min_hits), key=lambda t: (t["first"], t["last"]))
-        for k, t in enumerate(done, 1):
-            yield k, t["first"], t["last"], t["hits"], t["conf"] / t["hits"], min(1.0, t["hits"] / (t["last"] - t["first"] + 1))
+        done += [(t["first"], t["last"], t["hits"], t["conf"]) for t in open_ if t["hits"] >= cfg.min_hits]
+        for number, t in enumerate(sorted(done, key=itemgetter(0, 1)), number + 1):
+            yield number, *t[:3], t[3] / t[2], min(1.0, t[2] / (t[1] - t[0] + 1))
 
     out = {"track_id": "bigint", "start_frame": "bigint", "end_frame": "bigint", "hits": "bigint", "confidence": "double", "consistency": "double"}
     return _fold(detections, group, ["frame", "x", "event_id"], ["frame", "x", "confidence"], out, work)
@@ -166,7 +179,7 @@ def streak_states(df: DataFrame, group: Names, order: str | Names, label: str, c
             return None
         return found if c >= least else None
 
-    def work(rows: list[tuple]) -> Iterator[tuple]:
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         state, streak, opened = "UNKNOWN", {}, False
         for name, c, *at in rows:
             k, event = kind(name, c), None
@@ -233,13 +246,13 @@ def hysteresis(df: DataFrame, group: Names, order: str | Names, label: str, dura
     """``(group, order, raw_label, stable_label, held)`` for every row."""
     order = [order] if isinstance(order, str) else order
 
-    def work(rows: list[tuple]) -> Iterator[tuple]:
-        state, out = Hysteresis(cfg), {}
-        for tag, (l, d, c, *_) in enumerate(rows):
-            out.update((t, (s, h)) for t, s, h in state.feed(l, float(d), float(c), tag))
-        out.update((t, (s, h)) for t, s, h in state.finish())
-        for k, (l, _, _, *at) in enumerate(rows):
-            yield *at, l, *out[k]
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
+        state = Hysteresis(cfg)
+        for l, d, c, *at in rows:
+            for (at_, raw), stable, held in state.feed(l, float(d), float(c), (at, l)):
+                yield *at_, raw, stable, held
+        for (at_, raw), stable, held in state.finish():
+            yield *at_, raw, stable, held
 
     return _fold(df, group, order, [label, duration, confidence, *order], {o: _kind(df, o) for o in order} | {"raw_label": "string", "stable_label": "string", "held": "boolean"}, work)
 
@@ -247,7 +260,7 @@ def hysteresis(df: DataFrame, group: Names, order: str | Names, label: str, dura
 def running_mean_clusters(df: DataFrame, group: Names, order: Names, time: str, key: str, spread: float) -> DataFrame:
     """Sweep clusters ``(group, key, cluster)``: a row joins the current cluster within ``spread`` of its running mean, else opens the next."""
 
-    def work(rows: list[tuple]) -> Iterator[tuple]:
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         k, total, n = 0, 0.0, 0
         for id_, t in rows:
             if n and abs(t - total / n) <= spread:
@@ -262,17 +275,20 @@ def running_mean_clusters(df: DataFrame, group: Names, order: Names, time: str,
 def min_separation(df: DataFrame, group: Names, key: str, time: str, x: str, hits: str, confidence: str, least: float, near: float) -> DataFrame:
     """``(group, key, kept)``: against the last kept row, one closer than ``least`` in time and ``near`` in place loses to the better evidenced."""
 
-    def work(rows: list[tuple]) -> Iterator[tuple]:
-        kept: list = []
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
+        last = None
         for row in rows:
-            if kept and row[1] - kept[-1][1] < least and abs(row[2] - kept[-1][2]) <= near:
-                if (kept[-1][3], kept[-1][4]) < (row[3], row[4]):
-                    kept[-1] = row
+            if last and row[1] - last[1] < least and abs(row[2] - last[2]) <= near:
+                lost = row
+                if (last[3], last[4]) < (row[3], row[4]):
+                    lost, last = last, row
+                yield lost[0], False
             else:
-                kept.append(row)
-        ids = {r[0] for r in kept}
-        for r in rows:
-            yield r[0], r[0] in ids
+                if last:
+                    yield last[0], True
+                last = row
+        if last:
+            yield last[0], True
 
     return _fold(df, group, [time, key], [key, time, x, hits, confidence], {key: _kind(df, key), "kept": "boolean"}, work)
 
@@ -283,25 +299,26 @@ def suppress_duplicates(df: DataFrame, group: Names, key: str, start: str, end:
     Each row meets the kept set in order; the first clash decides, and a better newcomer takes that place's end of the line.
     """
 
-    def work(rows: list[tuple]) -> Iterator[tuple]:
-        kept, lost = [], {}
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
+        kept: list = []
         for row in rows:
-            kept = [k for k in kept if k[2] >= row[1]]  # by start, so the others meet no later row
+            if any(k[2] < row[1] for k in kept):  # by start, so these meet no later row
+                yield from ((k[0], None) for k in kept if k[2] < row[1])
+                kept = [k for k in kept if k[2] >= row[1]]
             for i, k in enumerate(kept):
                 shared = min(row[2], k[2]) - max(row[1], k[1]) + 1
                 shorter = max(1, min(row[2] - row[1], k[2] - k[1]) + 1)
                 if shared > 0 and shared / shorter >= least_overlap and abs(row[3] - k[3]) <= near:
                     if (row[4], row[5]) > (k[4], k[5]):
-                        lost[k[0]] = row[0]
+                        yield k[0], row[0]
                         del kept[i]
                         kept.append(row)
                     else:
-                        lost[row[0]] = k[0]
+                        yield row[0], k[0]
                     break
             else:
                 kept.append(row)
-        for r in rows:
-            yield r[0], lost.get(r[0])
+        yield from ((k[0], None) for k in kept)
 
     return _fold(df, group, [start, key], [key, start, end, x, hits, confidence], {key: "bigint", "duplicate_of": "bigint"}, work)
 
@@ -313,8 +330,9 @@ def recover(accepted: DataFrame, candidates: DataFrame, group: Names, key: str,
     apart. Accepted tracks come first, whatever their place in the order.
     """
 
-    def work(rows: list[tuple]) -> Iterator[tuple]:
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         centre = lambda r: round((r[1] + r[2]) / 2)
+        rows = list(rows)
         live = [r for r in rows if r[4]]
         for r in rows:
             if r[4]:
@@ -352,14 +370,14 @@ def group_evidence(df: DataFrame, group: Names, cfg: EvidenceConfig = EvidenceCo
         union = sum(max(0.0, s[2] - s[0]) * max(0.0, s[3] - s[1]) for s in (a, b)) - inter
         return inter / union if union > 0 else 0.0
 
-    def work(rows: list[tuple]) -> Iterator[tuple]:
-        last: list = []
-        alive: list[int] = []  # candidates that were seen recently enough to be met again
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
+        last: dict[int, tuple] = {}  # candidates that were seen recently enough to be met again, in the order of their numbers
+        number = 0
         for f, seen in groupby(rows, itemgetter(0)):
-            alive = [i for i in alive if max(1, (f - last[i][0]) // cfg.stride) <= cfg.max_steps]
+            last = {i: at for i, at in last.items() if max(1, (f - at[0]) // cfg.stride) <= cfg.max_steps}
             for _, _, *box, key in sorted(seen, key=lambda r: (-r[1], r[2], r[6])):
                 best, least = None, float("inf")
-                for i in alive:
+                for i in last:
                     gap = f - last[i][0]
                     if gap <= 0:
                         continue
@@ -371,11 +389,10 @@ def group_evidence(df: DataFrame, group: Names, cfg: EvidenceConfig = EvidenceCo
                     if cost < least:
                         best, least = i, cost
                 if best is None:
-                    best = len(last)
-                    last.append(None)
-                    alive.append(best)
+                    number += 1
+                    best = number
                 last[best] = (f, box)
-                yield key, best + 1
+                yield key, best
 
     return _fold(df, group, ["frame"], ["frame", "confidence", "x1", "y1", "x2", "y2", "key"], {"key": "bigint", "candidate": "bigint"}, work)
 
@@ -390,71 +407,120 @@ class AlignConfig:
     pattern_weight: float = 1.0
 
 
-def align_sequences(mt: np.ndarray, mc: np.ndarray, st: np.ndarray, sc: np.ndarray, cfg: AlignConfig) -> tuple[float, list[tuple[int, int]]]:
+def pair_cost(d: float, mc: float, sc: float, cfg: AlignConfig) -> float:
+    return d / max(cfg.tolerance, 1e-9) * (1 + cfg.confidence_weight * max(0.0, 1 - (mc + sc) / 2))
+
+
+def align_sequences(mt: Sequence[float], mc: Sequence[float], st: Sequence[float], sc: Sequence[float], cfg: AlignConfig) -> tuple[float, list[tuple[int, int]]]:
     """Cheapest order-preserving pairing of two rising sequences. Of equal costs a missing master comes before an extra support, and that
-    before a match."""
+    before a match.
+
+    Costs are counted from that of no pair at all, so they only change inside the gate: each master visits the supports within it, and the values of
+    the last master's stretch (the frontier) are all that is needed of the masters before. To the left of a stretch values stay, to the right they
+    are its last one.
+    """
     n, m = len(mt), len(st)
-    cost = np.full((n + 1, m + 1), np.inf)
-    cost[:, 0], cost[0, :] = np.arange(n + 1) * cfg.missing, np.arange(m + 1) * cfg.extra
-    d = np.abs(mt[:, None] - st[None, :])
-    pair = np.where(d > cfg.gate, np.inf, d / max(cfg.tolerance, 1e-9) * (1 + cfg.confidence_weight * np.maximum(0, 1 - (mc[:, None] + sc[None, :]) / 2)))
-    step = np.zeros((n + 1, m + 1), np.int8)  # 0 missing, 1 extra, 2 match
-    step[0, 1:] = 1
-    for i in range(1, n + 1):
-        above, row = cost[i - 1], cost[i]
-        for j in range(1, m + 1):
-            best, op = above[j] + cfg.missing, 0
-            if row[j - 1] + cfg.extra < best:
-                best, op = row[j - 1] + cfg.extra, 1
-            if above[j - 1] + pair[i - 1, j - 1] < best:
-                best, op = above[j - 1] + pair[i - 1, j - 1], 2
-            row[j], step[i, j] = best, op
+    none = cfg.missing + cfg.extra
+    front, at = [0.0], 0  # values for the first ``at``, at + 1, ... supports after the masters so far
+    value = lambda j: front[min(max(j - at, 0), len(front) - 1)]
+    lows, steps, ends = [], [], [0.0]
+    low = high = 0
+    for i in range(n):
+        while low < m and st[low] < mt[i] - cfg.gate:
+            low += 1
+        high = max(high, low)
+        while high < m and st[high] <= mt[i] + cfg.gate:
+            high += 1
+        row, ops = [value(low)], bytearray()
+        for j in range(low, high):
+            best, op = value(j + 1), 0
+            if row[-1] < best:
+                best, op = row[-1], 1
+            matched = value(j) + pair_cost(abs(mt[i] - st[j]), mc[i], sc[j], cfg) - none
+            if matched < best:
+                best, op = matched, 2
+            row.append(best)
+            ops.append(op)
+        front, at = row, low
+        lows.append(low)
+        steps.append(ops)
+        ends.append(row[-1])
     pairs, i, j = [], n, m
-    while i or j:
-        op = step[i, j] if i and j else (0 if i else 1)
+    while i and j:
+        low, ops = lows[i - 1], steps[i - 1]
+        if j > low + len(ops):  # beyond the stretch both values are the last ones of their masters
+            op = 0 if ends[i - 1] == ends[i] else 1
+        else:
+            op = ops[j - 1 - low] if j > low else 0
         if op == 2:
             pairs.append((i - 1, j - 1))
         i, j = i - (op != 1), j - (op != 0)
-    return float(cost[n, m]), pairs[::-1]
+    return float(n * cfg.missing + m * cfg.extra + ends[n]), pairs[::-1]
 
 
-def _sides(rows: list[tuple]) -> tuple[tuple[np.ndarray, np.ndarray, list], ...]:
-    """Times, confidences and keys of the master and the support rows ``(side, time, confidence, key)``."""
-    parts = [[r[1:] for r in rows if r[0] == side] for side in "MS"]
-    return tuple((np.array([r[0] for r in p], float), np.array([r[1] for r in p], float), [r[2] for r in p]) for p in parts)
+def _aligned(rows: Iterator[tuple], cfg: AlignConfig) -> Iterator[tuple[float, list[tuple], list[tuple], list[tuple[int, int]]]]:
+    """``(cost, masters, supports, pairs)`` of each stretch of rows ``(time, side, ...)``, in order of time: no pair reaches over a pause longer than the gate."""
+
+    def solved(masters: list[tuple], supports: list[tuple]) -> tuple:
+        cost, pairs = align_sequences([r[0] for r in masters], [r[2] for r in masters], [r[0] for r in supports], [r[2] for r in supports], cfg)
+        return cost, masters, supports, pairs
+
+    held: dict[str, list[tuple]] = {"M": [], "S": []}
+    last = None
+    for row in rows:
+        if last is not None and row[0] - last > cfg.gate:
+            yield solved(held["M"], held["S"])
+            held = {"M": [], "S": []}
+        held[row[1]].append(row)
+        last = row[0]
+    if last is not None:
+        yield solved(held["M"], held["S"])
 
 
 def align(df: DataFrame, group: Names, cfg: AlignConfig = AlignConfig()) -> DataFrame:
-    """Rows ``(side, time, confidence, key)``, side ``M`` or ``S``, become ``(group, op, master_key, support_key)``: MATCH, MISSING, EXTRA."""
+    """Rows ``(side, time, confidence, key)``, side ``M`` or ``S``, become ``(group, op, master_key, support_key, residual)``: MATCH, MISSING, EXTRA.
 
-    def work(rows: list[tuple]) -> Iterator[tuple]:
-        (mt, mc, mk), (st, sc, sk) = _sides(rows)
-        _, pairs = align_sequences(mt, mc, st, sc, cfg)
-        used_m, used_s = {i for i, _ in pairs}, {j for _, j in pairs}
-        yield from (("MATCH", mk[i], sk[j]) for i, j in pairs)
-        yield from (("MISSING", k, None) for i, k in enumerate(mk) if i not in used_m)
-        yield from (("EXTRA", None, k) for j, k in enumerate(sk) if j not in used_s)
+    ``residual`` is the support's time less the master's. A group is solved stretch by stretch, so it may be of any length.
+    """
 
-    return _fold(df, group, ["side", "time", "key"], ["side", "time", "confidence", "key"], {"op": "string", "master_key": "bigint", "support_key": "bigint"}, work)
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for _, masters, supports, pairs in _aligned(rows, cfg):
+            used_m, used_s = {i for i, _ in pairs}, {j for _, j in pairs}
+            yield from (("MATCH", masters[i][3], supports[j][3], supports[j][0] - masters[i][0]) for i, j in pairs)
+            yield from (("MISSING", r[3], None, None) for i, r in enumerate(masters) if i not in used_m)
+            yield from (("EXTRA", None, r[3], None) for j, r in enumerate(supports) if j not in used_s)
+
+    kinds = {"op": "string", "master_key": "bigint", "support_key": "bigint", "residual": "double"}
+    rows = df.withColumn("time", F.col("time").cast("double"))
+    return _fold(rows, group, ["time", "side", "key"], ["time", "side", "confidence", "key"], kinds, work)
 
 
 def offset_curve(df: DataFrame, group: Names, offset: str, cfg: AlignConfig = AlignConfig()) -> DataFrame:
     """Score of each candidate clock offset: alignment cost plus how much the spacings of matched pairs disagree.
 
-    ``df`` holds the rows of ``align`` once for each candidate in ``offset``, so that candidates spread over tasks.
+    ``df`` holds the rows of ``align`` once for each candidate in ``offset``, so that candidates spread over tasks. Gives ``(group, offset, score, n_match,
+    n_missing, n_extra)``.
     """
 
-    def work(rows: list[tuple]) -> Iterator[tuple]:
-        (mt, mc, _), (st, sc, _) = _sides(rows)
-        cost, pairs = align_sequences(mt, mc, st + float(rows[0][4]), sc, cfg)
-        penalty = 0.0
-        for (i0, j0), (i1, j1) in zip(pairs, pairs[1:]):
-            dm, ds = mt[i1] - mt[i0], st[j1] - st[j0]
-            if dm > 0 and ds > 0:
-                penalty += abs(dm - ds) / max(dm, ds)
-        yield float(cost + cfg.pattern_weight * penalty), len(pairs)
-
-    return _fold(df, [*group, offset], ["side", "time", "key"], ["side", "time", "confidence", "key", offset], {"score": "double", "n_match": "bigint"}, work)
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
+        cost = penalty = 0.0
+        n_match = n_missing = n_extra = 0
+        last = None
+        for part, masters, supports, pairs in _aligned(rows, cfg):
+            cost += part
+            n_match, n_missing, n_extra = n_match + len(pairs), n_missing + len(masters) - len(pairs), n_extra + len(supports) - len(pairs)
+            for i, j in pairs:
+                here = masters[i][0], supports[j][3]
+                if last:
+                    dm, ds = here[0] - last[0], here[1] - last[1]
+                    if dm > 0 and ds > 0:
+                        penalty += abs(dm - ds) / max(dm, ds)
+                last = here
+        yield float(cost + cfg.pattern_weight * penalty), n_match, n_missing, n_extra
+
+    kinds = {"score": "double", "n_match": "bigint", "n_missing": "bigint", "n_extra": "bigint"}
+    shifted = df.withColumn("__at", F.col("time").cast("double") + F.when(F.col("side") == "S", F.col(offset).cast("double")).otherwise(0.0))
+    return _fold(shifted, [*group, offset], ["__at", "side", "key"], ["__at", "side", "confidence", "time"], kinds, work)
 
 
 def assign_optimal(cost: np.ndarray) -> list[tuple[int, int]]:
@@ -493,7 +559,7 @@ def track_optimal(detections: DataFrame, group: Names, gate: float = 200.0, max_
     A track is tentative until ``min_hits`` hits, and then dies after ``tentative`` missed frames, a confirmed one after ``max_missed``.
     """
 
-    def work(rows: list[tuple]) -> Iterator[tuple]:
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         open_, new = [], 0
         for f, seen in groupby(rows, itemgetter(0)):
             seen = list(seen)
@@ -539,7 +605,7 @@ def track_remembering(detections: DataFrame, group: Names, cfg: MemoryConfig = M
     sighting, or begins one (PENDING, without a track); after enough sightings it opens a track (NEW).
     """
 
-    def work(rows: list[tuple]) -> Iterator[tuple]:
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         open_, gone, pending, new = [], [], [], 0
         for f, seen in groupby(rows, itemgetter(0)):
             seen = list(seen)
@@ -659,7 +725,8 @@ def link_fragments(df: DataFrame, group: Names, cfg: SeamConfig) -> DataFrame:
     is no farther than what the local advance predicts, with a tolerance and a cap; each later one is taken once.
     """
 
-    def work(rows: list[tuple]) -> Iterator[tuple]:
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
+        rows = list(rows)
         after, head = _seams(rows, cfg)[0], {}
         for i, r in enumerate(rows):
             head.setdefault(i, r[0])
@@ -672,4 +739,4 @@ def link_fragments(df: DataFrame, group: Names, cfg: SeamConfig) -> DataFrame:
 
 def refused_seams(df: DataFrame, group: Names, cfg: SeamConfig) -> DataFrame:
     """``(group, track_id, other_id, seam, reason)``: pairs that ``link_fragments`` looked at and did not link."""
-    return _fold(df, group, ["start_frame", "track_id"], _FRAGMENT, {"track_id": "bigint", "other_id": "bigint", "seam": "bigint", "reason": "string"}, lambda rows: _seams(rows, cfg)[1])
+    return _fold(df, group, ["start_frame", "track_id"], _FRAGMENT, {"track_id": "bigint", "other_id": "bigint", "seam": "bigint", "reason": "string"}, lambda rows: _seams(list(rows), cfg)[1])
