@@ -397,38 +397,3 @@ def fragment_chains(spark: SparkSession, sf_dir: str) -> DataFrame:
 def refused_seams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many pairs of fragments were looked at and refused, by reason."""
     return stateful.refused_seams(_fragments(spark, sf_dir), ["sensor"], SEAMS).groupBy("sensor", "reason").agg(F.count("*").alias("n"))
-
-
-def _sides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each sensor its purchases as the master sequence and its signups as the support, in hours."""
-    e = events(spark, sf_dir).where("label IN ('purchase', 'signup')")
-    return e.select("sensor", F.when(F.col("label") == "purchase", "M").otherwise("S").alias("side"), (F.col("t") / 3600).alias("time"), (F.col("conf") / 1000).alias("confidence"), F.col("event_id").alias("key"))
-
-
-ALIGN = stateful.AlignConfig(gate=12.0, tolerance=12.0)
-
-
-@query()
-def sequence_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stateful.align(_sides(spark, sf_dir), ["sensor"], ALIGN)
-
-
-@query()
-def offset_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best of 17 candidate offsets of each sensor, by score and then by the least shift, and the runner-up's margin."""
-    rows = _sides(spark, sf_dir).withColumn("offset", F.explode(F.sequence(F.lit(-8), F.lit(8))))
-    curve = stateful.offset_curve(rows, ["sensor"], "offset", ALIGN)
-    by = Window.partitionBy("sensor").orderBy("score", F.abs("offset"), "offset")
-    return curve.withColumn("rank", F.row_number().over(by)).withColumn("margin", F.lead("score").over(by) - F.col("score")).where("rank = 1").drop("rank")
-
-
-@query()
-def alias_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The best offset of the sweep against itself shifted by one unit's spacing either way: a camera may be off by exactly one."""
-    sides, best = _sides(spark, sf_dir), offset_sweep(spark, sf_dir).select("sensor", F.col("offset").alias("base"))
-    masters = sides.where("side = 'M'")
-    period = A.median_spacing(masters, ["sensor"], "time").where("spacing > 0")
-    shifts = best.join(period, "sensor").select("sensor", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("k"), (F.col("base") + F.col("k") * F.col("spacing")).alias("offset"))
-    curve = stateful.offset_curve(sides.join(shifts.select("sensor", "offset").distinct(), "sensor"), ["sensor"], "offset", ALIGN).join(shifts, ["sensor", "offset"])
-    place = F.row_number().over(Window.partitionBy("sensor").orderBy("score", F.abs("k"), "k"))
-    return curve.select("sensor", "k", "offset", "score", "n_match", place.alias("place"))
