@@ -149,48 +149,61 @@ class StreakConfig:
     closed_rows: int = 5
 
 
-def streak_states(df: DataFrame, group: Names, order: str | Names, label: str, confidence: str, cfg: StreakConfig = StreakConfig()) -> DataFrame:
-    """``(group, order, state, event)``: a door's state by streaks of confident predictions.
+class Streaks:
+    """A door's state by streaks of confident predictions, one prediction at a time; ``state``, ``streak`` and ``opened`` are all there is to store.
 
-    A confident row lengthens its kind's streak and ends the others'; a weak one shortens all by one. OPEN is left only by twice the usual
-    streak. Damage ends the other streaks but is no state. ``event`` is DOOR_OPEN at the first opening, once.
+    A confident row lengthens its kind's streak and ends the others'; a weak one, or one of no kind, shortens all by one. OPEN is left only by twice the usual
+    streak. Damage ends the other streaks but is no state.
     """
-    order = [order] if isinstance(order, str) else order
-    usual, slow = cfg.closed_rows, 2 * cfg.closed_rows
-    # From each state: the states that may follow, in the order of their tests, with the streak that each needs.
-    follow = {
-        "UNKNOWN": (("OPEN", cfg.open_rows), ("PARTIAL_CLOSED", usual), ("CLOSED", usual)),
-        "CLOSED": (("OPEN", cfg.open_rows), ("PARTIAL_CLOSED", usual)),
-        "PARTIAL_CLOSED": (("OPEN", cfg.open_rows), ("CLOSED", usual)),
-        "OPEN": (("CLOSED", slow), ("PARTIAL_CLOSED", slow)),
-    }
-
-    def kind(name: str, c: float) -> str | None:
+
+    def __init__(self, cfg: StreakConfig = StreakConfig(), state: str = "UNKNOWN", streak: dict[str, int] | None = None, opened: bool = False):
+        self.cfg, self.state, self.streak, self.opened = cfg, state, streak or {}, opened
+        usual, slow = cfg.closed_rows, 2 * cfg.closed_rows
+        # From each state: the states that may follow, in the order of their tests, with the streak that each needs.
+        self.follow = {
+            "UNKNOWN": (("OPEN", cfg.open_rows), ("PARTIAL_CLOSED", usual), ("CLOSED", usual)),
+            "CLOSED": (("OPEN", cfg.open_rows), ("PARTIAL_CLOSED", usual)),
+            "PARTIAL_CLOSED": (("OPEN", cfg.open_rows), ("CLOSED", usual)),
+            "OPEN": (("CLOSED", slow), ("PARTIAL_CLOSED", slow)),
+        }
+
+    def kind(self, name: str | None, c: float) -> str | None:
         name = (name or "").lower()
         if "damage" in name:
-            found, least = "DAMAGE", cfg.closed_confidence
+            found, least = "DAMAGE", self.cfg.closed_confidence
         elif "partial" in name:
-            found, least = "PARTIAL_CLOSED", cfg.closed_confidence
+            found, least = "PARTIAL_CLOSED", self.cfg.closed_confidence
         elif "open" in name:
-            found, least = "OPEN", cfg.open_confidence
+            found, least = "OPEN", self.cfg.open_confidence
         elif "closed" in name or name == "other":
-            found, least = "CLOSED", cfg.closed_confidence
+            found, least = "CLOSED", self.cfg.closed_confidence
         else:
             return None
         return found if c >= least else None
 
+    def feed(self, name: str | None, c: float) -> str | None:
+        """DOOR_OPEN at the first opening, else None."""
+        k = self.kind(name, c)
+        self.streak = {k: self.streak.get(k, 0) + 1} if k else {s: max(0, n - 1) for s, n in self.streak.items()}
+        for target, least in self.follow[self.state]:
+            if self.streak.get(target, 0) >= least:
+                self.state = target
+                if target == "OPEN" and not self.opened:
+                    self.opened = True
+                    return "DOOR_OPEN"
+                break
+        return None
+
+
+def streak_states(df: DataFrame, group: Names, order: str | Names, label: str, confidence: str, cfg: StreakConfig = StreakConfig()) -> DataFrame:
+    """``(group, order, state, event)``: the state after each row, and DOOR_OPEN at the first opening; see ``Streaks``."""
+    order = [order] if isinstance(order, str) else order
+
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        state, streak, opened = "UNKNOWN", {}, False
+        door = Streaks(cfg)
         for name, c, *at in rows:
-            k, event = kind(name, c), None
-            streak = {k: streak.get(k, 0) + 1} if k else {s: max(0, n - 1) for s, n in streak.items()}
-            for target, least in follow[state]:
-                if streak.get(target, 0) >= least:
-                    state = target
-                    if state == "OPEN" and not opened:
-                        event, opened = "DOOR_OPEN", True
-                    break
-            yield *at, state, event
+            event = door.feed(name, c)
+            yield *at, door.state, event
 
     return _fold(df, group, order, [label, confidence, *order], {o: _kind(df, o) for o in order} | {"state": "string", "event": "string"}, work)
 

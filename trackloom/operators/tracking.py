@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trackloom.operators.graph import NotConverged, cut_lineage
-from trackloom.operators.stateful import MotionFilter, _fold, _iou, assign_optimal
+from trackloom.operators.stateful import MotionFilter, StreakConfig, Streaks, _fold, _iou, assign_optimal
 
 Names = Sequence[str]
 Box = tuple[float, float, float, float]
@@ -232,6 +232,53 @@ def track_boxes(boxes: DataFrame, group: Names, cfg: BoxConfig = BoxConfig()) ->
     return _fold(boxes, group, ["frame", "key"], ["frame", "x1", "y1", "x2", "y2", "look", "key"], kinds, work)
 
 
+def door_run(frames: DataFrame, group: Names, cfg: BoxConfig = BoxConfig(), streaks: StreakConfig = StreakConfig()) -> DataFrame:
+    """One row a track that was confirmed: ``(group, track, first_frame, last_frame, hits, state, opened_at, evidence_key, evidence_frame, evidence_confidence,
+    ended)`` over ``(step, frame, key, x1, y1, x2, y2, look, label, confidence)``.
+
+    ``step`` counts the frames that were looked at, and is the tracker's clock; ``frame`` is the absolute frame of a step, which is what is reported. A step without
+    any box has one row with a null ``key``, so that tracks age. Each track has a streak machine of its own; the evidence is its best row of the
+    state that it ends in (of equal confidence the earliest), null if it was in no row. ``ended`` is EXIT, LOST or OPEN_END.
+    """
+
+    def summary(t: dict, ended: str) -> tuple:
+        c, step, frame, key = t["best"].get(t["door"].state, (None, None, None, None))
+        return t["id"], t["first"], t["last"], t["hits"], t["door"].state, t["opened"], key, frame, None if c is None else -c, ended
+
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
+        tracker, doors = BoxTracker(cfg), {}
+        for step, seen in groupby(rows, itemgetter(0)):
+            seen = list(seen)
+            boxes = {r[2]: r for r in seen if r[2] is not None}
+            for key, track, event in tracker.step(step, [(k, *r[3:7], r[7]) for k, r in boxes.items()]):
+                if key is None:
+                    if event != "LOST" or not cfg.revive_frames:  # a lost one may come back
+                        t = doors.pop(track, None)
+                        if t and t["hits"] >= cfg.min_hits:
+                            yield summary(t, event)
+                elif track is not None:
+                    frame, label, confidence = boxes[key][1], *boxes[key][8:10]
+                    t = doors.setdefault(track, {"id": track, "first": frame, "hits": 0, "door": Streaks(streaks), "opened": None, "best": {}})
+                    if t["door"].feed(label, confidence):
+                        t["opened"] = frame
+                    kind = t["door"].kind(label, confidence)
+                    if kind:
+                        t["best"][kind] = min(t["best"].get(kind, (0.0, 0, 0, 0)), (-confidence, step, frame, key)) if kind in t["best"] else (-confidence, step, frame, key)
+                    t.update(last=frame, hits=t["hits"] + 1)
+            if cfg.revive_frames:
+                alive = {t["id"] for t in tracker.open} | {t["id"] for t in tracker.closed}
+                for track in [k for k in doors if k not in alive]:
+                    t = doors.pop(track)
+                    if t["hits"] >= cfg.min_hits:
+                        yield summary(t, "LOST")
+        for t in doors.values():
+            if t["hits"] >= cfg.min_hits:
+                yield summary(t, "OPEN_END")
+
+    kinds = {"track": "bigint", "first_frame": "bigint", "last_frame": "bigint", "hits": "bigint", "state": "string", "opened_at": "bigint", "evidence_key": "bigint", "evidence_frame": "bigint", "evidence_confidence": "double", "ended": "string"}
+    return _fold(frames, group, ["step", "key"], ["step", "frame", "key", "x1", "y1", "x2", "y2", "look", "label", "confidence"], kinds, work)
+
+
 def suppress_alike(tracks: DataFrame, group: Names, key: str = "track_id", near: float = 100.0, least_iou: float = 0.20, max_rounds: int = 200) -> DataFrame:
     """``(group, key, kept)`` over ``(group, class, x1, y1, x2, y2, confidence, hits)``: of tracks of a class whose centres are nearer than ``near``, or whose boxes
     overlap by ``least_iou`` (of at least one square pixel), the one of more confidence, then hits, then the lesser key stays.
