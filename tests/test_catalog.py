@@ -44,6 +44,36 @@ def test_query_matches_sql(spark, sql, name):
     assert plain(got) == plain(want)
 
 
+#: Columns that carry an operator: none may have one value only, or no query would notice a wrong branch.
+CARRYING = {
+    "ratio_vote": ["state"], "priority_pick": ["label"], "provenance": ["supporting", "missing"], "set_operations": ["present", "absent", "together"], "damage_camera_sets": ["cameras"],
+    "completion_rollup": ["idle", "partial"], "overall_status": ["status"], "assembled_units": ["fallback"], "roster_grid": ["n", "reason"], "missing_and_unexpected": ["problem"],
+    "snapshot_scores": ["edge", "score"], "camera_window_map": ["batch", "on_camera"], "match_costs": ["cost", "cost_by_sigma"], "usable_offsets": ["status", "delta"], "sequence_alignment": ["op", "residual"],
+    "offset_sweep": ["offset", "margin"], "alias_offsets": ["place"], "evidence_attach": ["op", "reason", "residual"], "evidence_times": ["n_support"], "class_dedup": ["kept"], "context_similarity": ["alike"],
+    "identity_looks": ["alike"], "track_look_summary": ["look_size", "opened"], "stream_ready_batches": ["kind", "names"], "inserted_boundaries": ["source"], "fused_units": ["how", "leading_source", "label"], "fusion_invariants": ["broken"],
+}
+LARGER = "/root/testdata/sf0.01"
+
+
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="the given tables are not here")
+@pytest.mark.parametrize("name", sorted(CARRYING))
+def test_no_carrying_column_is_constant(name):
+    con = duckdb.connect()
+    for file in os.listdir(LARGER):
+        con.sql(f"CREATE VIEW {file.split('.')[0]} AS SELECT * FROM '{LARGER}/{file}'")
+    rows = con.sql(catalog.oracle_sql()[name]).df()
+    assert [c for c in CARRYING[name] if rows[c].map(repr).nunique() < 2] == []
+
+
+def test_clock_offsets_are_resolved_and_refused(spark):
+    """``camera_offsets`` has no SQL: the search is tested against full sweeps, and here both outcomes must occur."""
+    rows = catalog.queries()["camera_offsets"](spark, LARGER if os.path.isdir(LARGER) else SF).collect()
+    assert {r.status for r in rows} == {"RESOLVED", "UNRESOLVED"} and all((r.usable == r.delta) if r.status == "RESOLVED" else r.usable == 0 for r in rows)
+    # The clock that the query gives to a sensor is found again wherever the search is certain.
+    found = [abs(r.delta + (r.sensor * 7 % 41 - 20)) for r in rows if r.status == "RESOLVED"]
+    assert sum(d < 1 for d in found) >= 0.95 * len(found)
+
+
 @pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(catalog.oracle_sql())))
 def test_fold_runs(spark, name):
     assert catalog.queries()[name](spark, SF).count() > 0

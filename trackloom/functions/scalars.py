@@ -50,6 +50,13 @@ def match_cost(dt: Column, c1: Column, c2: Column, gate: float, tolerance: float
     return F.when(dt <= gate, dt / max(tolerance, 1e-9) * (1 + weight * F.greatest(F.lit(0.0), 1 - (c1 + c2) / 2)))
 
 
+def match_cost_by_sigma(dt: Column, s1: Column, s2: Column, c1: Column, c2: Column, gate: float = 3.0, weight: float = 0.25) -> Column:
+    """The same with the distance in units of both spreads; null beyond so many of them, or without any spread."""
+    spread = F.sqrt(s1 * s1 + s2 * s2)
+    far = F.when(spread > 0, dt / spread)
+    return F.when(far <= gate, far / gate * (1 + weight * F.greatest(F.lit(0.0), 1 - (c1 + c2) / 2)))
+
+
 def local_frame(time: Column, offset: Column, fps: Column, total: Column) -> Column:
     """The camera's frame at a global instant; null outside its footage, never clamped."""
     f = F.bround((time - offset) * fps).cast("long")

@@ -31,11 +31,11 @@ def segment_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.segment_vote(e.select("sensor").distinct(), e.where("conf > 900"), "sensor", "label", "conf")
 
 
-@query(f"""WITH {EV}, c AS (SELECT sensor, count(*) AS used, count(*) FILTER (label = 'view') AS positive, count(*) FILTER (label = 'click') AS negative, avg(conf) FILTER (label = 'view') AS pw, avg(conf) FILTER (label = 'click') AS nw FROM ev GROUP BY sensor),
+@query(f"""WITH {EV}, c AS (SELECT sensor, batch, count(*) AS used, count(*) FILTER (label = 'view') AS positive, count(*) FILTER (label = 'click') AS negative, avg(conf) FILTER (label = 'view') AS pw, avg(conf) FILTER (label = 'click') AS nw FROM ev GROUP BY ALL),
 s AS (SELECT *, CASE WHEN positive::DOUBLE / used > 0.35 THEN 'LOADED' WHEN negative > 0 THEN 'EMPTY' ELSE 'NO_DATA' END AS state FROM c)
-SELECT sensor, state, CASE state WHEN 'LOADED' THEN pw WHEN 'EMPTY' THEN nw ELSE 0 END AS mean_weight, used, positive, negative FROM s""")
+SELECT sensor, batch, state, CASE state WHEN 'LOADED' THEN pw WHEN 'EMPTY' THEN nw ELSE 0 END AS mean_weight, used, positive, negative FROM s""")
 def ratio_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.ratio_vote(events(spark, sf_dir), ["sensor"], F.col("label") == "view", F.col("label") == "click", "conf")
+    return A.ratio_vote(events(spark, sf_dir), ["sensor", "batch"], F.col("label") == "view", F.col("label") == "click", "conf")
 
 
 @query(f"WITH {SESS} SELECT track_id, label, count(DISTINCT frame) AS frames, avg(conf) AS mean_weight, max(conf) AS max_weight FROM sess GROUP BY ALL")
@@ -55,9 +55,9 @@ def best_observation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.best_observation(sessions(spark, sf_dir), ["track_id"], "x", "conf", "frame", "event_id").select("track_id", "event_id", "label", "conf", "x", "frame")
 
 
-@query(f"WITH {EV} SELECT sensor, label, event_id, conf FROM ev QUALIFY row_number() OVER (PARTITION BY sensor ORDER BY list_position(['error', 'purchase', 'signup', 'click', 'view'], label), conf DESC, event_id) = 1")
+@query(f"WITH {EV} SELECT sensor, batch, label, event_id, conf FROM ev QUALIFY row_number() OVER (PARTITION BY sensor, batch ORDER BY list_position(['error', 'purchase', 'signup', 'click', 'view'], label), conf DESC, event_id) = 1")
 def priority_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.priority_pick(events(spark, sf_dir), ["sensor"], "label", STATES, [F.desc("conf"), F.asc("event_id")]).select("sensor", "label", "event_id", "conf")
+    return A.priority_pick(events(spark, sf_dir), ["sensor", "batch"], "label", STATES, [F.desc("conf"), F.asc("event_id")]).select("sensor", "batch", "label", "event_id", "conf")
 
 
 @query(f"WITH {EV} SELECT sensor, count(*) FILTER (conf > 500)::DOUBLE / count(*) AS fraction, count(*) AS n FROM ev GROUP BY sensor")
@@ -130,11 +130,11 @@ def number_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readings(spark, sf_dir).select("o_orderkey", F.array_join(S.number_errors(n), ",").alias("errors"), S.corrected_number(n).alias("corrected"), S.formatted_number(n).alias("formatted"))
 
 
-@query(f"""WITH {EV}, s AS (SELECT sensor, string_agg(DISTINCT label, ',' ORDER BY label) AS supporting, list(DISTINCT label) AS l FROM ev GROUP BY sensor)
-SELECT sensor, supporting, array_to_string(list_filter(['click', 'error', 'purchase', 'signup', 'view'], lambda u: NOT list_contains(l, u)), ',') AS missing FROM s""")
+@query(f"""WITH {SESS}, s AS (SELECT track_id, string_agg(DISTINCT label, ',' ORDER BY label) AS supporting, list(DISTINCT label) AS l FROM sess GROUP BY track_id)
+SELECT track_id, supporting, array_to_string(list_filter(['click', 'error', 'purchase', 'signup', 'view'], lambda u: NOT list_contains(l, u)), ',') AS missing FROM s""")
 def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = A.provenance(events(spark, sf_dir), "sensor", "label", sorted(STATES))
-    return out.select("sensor", F.array_join("supporting", ",").alias("supporting"), F.array_join("missing", ",").alias("missing"))
+    out = A.provenance(sessions(spark, sf_dir), "track_id", "label", sorted(STATES))
+    return out.select("track_id", F.array_join("supporting", ",").alias("supporting"), F.array_join("missing", ",").alias("missing"))
 
 
 @query("SELECT o_orderkey, CASE WHEN n > 0 THEN (a + b + c)::DOUBLE / n ELSE 0 END AS confidence FROM (SELECT o_orderkey, CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey % 100 END AS a, o_orderkey % 7 AS b, o_custkey % 2 AS c, (CASE WHEN o_custkey % 3 <> 0 AND o_custkey % 100 > 0 THEN 1 ELSE 0 END) + (CASE WHEN o_orderkey % 7 > 0 THEN 1 ELSE 0 END) + (o_custkey % 2) AS n FROM orders)")
@@ -295,17 +295,18 @@ def authority_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("doc_id", state.alias("state"), F.coalesce(F.col("labels.toxic") == 1, F.lit(False)).alias("anomalous"), F.col("bench").isNotNull().alias("listed"))
 
 
-@query(f"WITH {EV}, s AS (SELECT DISTINCT sensor FROM ev), h AS (SELECT sensor, label, count(*) AS n FROM ev GROUP BY ALL) SELECT s.sensor, c.camera, coalesce(h.n, 0) AS n, CASE WHEN h.n IS NULL THEN 'no footage' END AS reason FROM s CROSS JOIN (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS camera) c LEFT JOIN h ON h.sensor = s.sensor AND h.label = c.camera")
+@query(f"WITH {SESS}, s AS (SELECT DISTINCT track_id FROM sess), h AS (SELECT track_id, label, count(*) AS n FROM sess GROUP BY ALL) SELECT s.track_id, c.camera, coalesce(h.n, 0) AS n, CASE WHEN h.n IS NULL THEN 'no footage' END AS reason FROM s CROSS JOIN (SELECT unnest(['click', 'error', 'purchase', 'signup', 'view']) AS camera) c LEFT JOIN h ON h.track_id = s.track_id AND h.label = c.camera")
 def roster_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = events(spark, sf_dir)
-    grid = joins.roster_grid(e.select("sensor").distinct(), "sensor", sorted(STATES))
-    seen = e.groupBy("sensor", F.col("label").alias("camera")).agg(F.count("*").alias("n"))
-    return grid.join(seen, ["sensor", "camera"], "left").select("sensor", "camera", F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("n").isNull(), "no footage").alias("reason"))
+    e = sessions(spark, sf_dir)
+    grid = joins.roster_grid(e.select("track_id").distinct(), "track_id", sorted(STATES))
+    seen = e.groupBy("track_id", F.col("label").alias("camera")).agg(F.count("*").alias("n"))
+    return grid.join(seen, ["track_id", "camera"], "left").select("track_id", "camera", F.coalesce("n", F.lit(0)).alias("n"), F.when(F.col("n").isNull(), "no footage").alias("reason"))
 
 
-@query("SELECT c_custkey AS id, 'missing' AS problem FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') UNION ALL SELECT o_custkey, 'unexpected' FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' EXCEPT SELECT c_custkey FROM customer)")
+@query("SELECT c_custkey AS id, 'missing' AS problem FROM (SELECT c_custkey FROM customer WHERE c_acctbal >= 0 EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') UNION ALL SELECT o_custkey, 'unexpected' FROM (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' EXCEPT SELECT c_custkey FROM customer WHERE c_acctbal >= 0)")
 def missing_and_unexpected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    expected = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    """Customers in credit should have finished orders, and no one else."""
+    expected = table(spark, sf_dir, "customer").where("c_acctbal >= 0").select(F.col("c_custkey").alias("id"))
     return joins.missing_and_unexpected(expected, table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("id")), "id")
 
 
@@ -430,12 +431,12 @@ def loaded_suppression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuse.suppress_for_loaded(seen, loads, "l_orderkey", "l_returnflag", "state", "N").select("l_orderkey", "l_linenumber")
 
 
-@query(f"""WITH {EV}, s AS (SELECT sensor, list_sort(list_distinct(list(label))) AS seen FROM ev WHERE conf > 200 GROUP BY sensor)
-SELECT sensor, array_to_string(list_filter(seen, lambda u: u IN ('click', 'view', 'error')), ',') AS present, array_to_string(list_filter(['click', 'error', 'view'], lambda u: NOT list_contains(seen, u)), ',') AS absent, array_to_string(list_sort(list_distinct(list_concat(seen, ['audit']))), ',') AS together FROM s""")
+@query(f"""WITH {SESS}, s AS (SELECT track_id, list_sort(list_distinct(list(label))) AS seen FROM sess WHERE conf > 200 GROUP BY track_id)
+SELECT track_id, array_to_string(list_filter(seen, lambda u: u IN ('click', 'view', 'error')), ',') AS present, array_to_string(list_filter(['click', 'error', 'view'], lambda u: NOT list_contains(seen, u)), ',') AS absent, array_to_string(list_sort(list_distinct(list_concat(seen, ['audit']))), ',') AS together FROM s""")
 def set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = F.array(F.lit("click"), F.lit("error"), F.lit("view"))
-    s = events(spark, sf_dir).where("conf > 200").groupBy("sensor").agg(F.array_sort(F.collect_set("label")).alias("seen"))
-    return s.select("sensor", F.array_join(F.array_sort(F.array_intersect("seen", wanted)), ",").alias("present"), F.array_join(F.array_except(wanted, "seen"), ",").alias("absent"), F.array_join(F.array_sort(F.array_union("seen", F.array(F.lit("audit")))), ",").alias("together"))
+    s = sessions(spark, sf_dir).where("conf > 200").groupBy("track_id").agg(F.array_sort(F.collect_set("label")).alias("seen"))
+    return s.select("track_id", F.array_join(F.array_sort(F.array_intersect("seen", wanted)), ",").alias("present"), F.array_join(F.array_except(wanted, "seen"), ",").alias("absent"), F.array_join(F.array_sort(F.array_union("seen", F.array(F.lit("audit")))), ",").alias("together"))
 
 
 @query(f"WITH {EV} SELECT camera, event_id, conf, frame, row_number() OVER (PARTITION BY camera ORDER BY conf DESC, frame, event_id) AS rank FROM ev QUALIFY rank <= 5")
@@ -461,12 +462,12 @@ def roster_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.roster_problems(roster, GROUP)
 
 
-@query("WITH s AS (SELECT c.c_custkey, c.c_nationkey, count(o.o_orderkey) AS n FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY ALL) SELECT n.n_name AS nation, count(*) AS customers, sum(s.n)::BIGINT AS orders, count(*) FILTER (s.n = 0) AS idle, bool_or(s.n = 0) AS partial FROM s JOIN nation n ON n.n_nationkey = s.c_nationkey GROUP BY n.n_name")
+@query("WITH s AS (SELECT c.c_custkey, c.c_nationkey, c.c_mktsegment, count(o.o_orderkey) AS n FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey AND o.o_orderstatus = 'F' GROUP BY ALL) SELECT n.n_name AS nation, c_mktsegment AS segment, count(*) AS customers, sum(s.n)::BIGINT AS orders, count(*) FILTER (s.n = 0) AS idle, bool_or(s.n = 0) AS partial FROM s JOIN nation n ON n.n_nationkey = s.c_nationkey GROUP BY ALL")
 def completion_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
-    units = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").join(orders, "c_custkey", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
+    units = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("segment")).join(orders, "c_custkey", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nation"))
-    return units.join(nation, "c_nationkey").groupBy("nation").agg(F.count("*").alias("customers"), F.sum("n").alias("orders"), F.count_if(F.col("n") == 0).alias("idle"), F.bool_or(F.col("n") == 0).alias("partial"))
+    return units.join(nation, "c_nationkey").groupBy("nation", "segment").agg(F.count("*").alias("customers"), F.sum("n").alias("orders"), F.count_if(F.col("n") == 0).alias("idle"), F.bool_or(F.col("n") == 0).alias("partial"))
 
 
 @query("SELECT conv_id, role, count(*) AS turns, min(turn) AS first_turn, max(turn) AS last_turn FROM conversations GROUP BY ALL UNION ALL SELECT conv_id, 'all', count(*), min(turn), max(turn) FROM conversations GROUP BY conv_id")

@@ -11,9 +11,9 @@ from trackloom.operators import fuse, joins, stateful, validate
 from trackloom.operators import reports as R
 from trackloom.plans.ordered import _CASC, _ROLE, GROUP, cascaded, role
 from trackloom.plans.relational import _BOX, _UNITS, local_segments, master_units
-from trackloom.plans.stage import EV, READ, SESS, TRK, events, query, readings, sessions, table, tracks
+from trackloom.plans.stage import BATCH, EV, READ, SESS, TRK, events, query, readings, sessions, table, tracks
 
-_UNIT = """un AS (SELECT o_orderkey AS unit, o_custkey % 4 AS camera, o_custkey AS batch, CASE o_orderkey % 4 WHEN 0 THEN 'OPEN' WHEN 1 THEN 'PARTIAL_OPEN' WHEN 2 THEN 'DAMAGED' ELSE 'CLOSED' END AS l, CASE o_custkey % 3 WHEN 0 THEN 'OPEN' ELSE 'CLOSED' END AS r,
+_UNIT = """un AS (SELECT o_orderkey AS unit, o_custkey % 4 AS camera, o_custkey AS batch, year(o_orderdate) AS year, CASE o_orderkey % 4 WHEN 0 THEN 'OPEN' WHEN 1 THEN 'PARTIAL_OPEN' WHEN 2 THEN 'DAMAGED' ELSE 'CLOSED' END AS l, CASE o_custkey % 3 WHEN 0 THEN 'OPEN' ELSE 'CLOSED' END AS r,
   o_orderstatus = 'F' AS damaged, CASE WHEN o_custkey % 5 > 0 THEN 'x' END AS id, CASE WHEN o_custkey % 7 > 0 THEN 'LOADED' ELSE 'NO_DATA' END AS load FROM orders),
 it AS (SELECT unit, camera, batch, unnest(a) AS item, unnest(range(len(a))) AS place FROM (SELECT *, list_filter([CASE WHEN l IN ('OPEN', 'DAMAGED') THEN 'LEFT DOOR ' || l END, CASE WHEN r = 'OPEN' THEN 'RIGHT DOOR OPEN' END, CASE WHEN l = 'PARTIAL_OPEN' THEN 'PARTIAL DOOR' END, CASE WHEN damaged THEN 'DAMAGE' END, CASE WHEN id IS NULL THEN 'NO IDENTIFIER' END, CASE WHEN load = 'NO_DATA' THEN 'NO LOAD DATA' END], lambda x: x IS NOT NULL) AS a FROM un)),
 sv AS (SELECT *, CASE WHEN item = 'PARTIAL DOOR' THEN 'MEDIUM' WHEN item LIKE '%DAMAGE%' OR item LIKE '%OPEN%' THEN 'HIGH' ELSE 'LOW' END AS severity FROM it)"""
@@ -23,7 +23,7 @@ def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as wagons with the states of their doors, damage, identifier and load; a customer's orders are a batch."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     left = F.when(k % 4 == 0, "OPEN").when(k % 4 == 1, "PARTIAL_OPEN").when(k % 4 == 2, "DAMAGED").otherwise("CLOSED")
-    rows = table(spark, sf_dir, "orders").select(k.alias("unit"), (c % 4).alias("camera"), c.alias("batch"), left.alias("l"), F.when(c % 3 == 0, "OPEN").otherwise("CLOSED").alias("r"), (F.col("o_orderstatus") == "F").alias("damaged"), F.when(c % 5 > 0, "x").alias("id"), F.when(c % 7 > 0, "LOADED").otherwise("NO_DATA").alias("load"))
+    rows = table(spark, sf_dir, "orders").select(k.alias("unit"), (c % 4).alias("camera"), c.alias("batch"), F.year("o_orderdate").cast("long").alias("year"), left.alias("l"), F.when(c % 3 == 0, "OPEN").otherwise("CLOSED").alias("r"), (F.col("o_orderstatus") == "F").alias("damaged"), F.when(c % 5 > 0, "x").alias("id"), F.when(c % 7 > 0, "LOADED").otherwise("NO_DATA").alias("load"))
     return rows.withColumn("anomalies", fuse.unit_anomalies(F.lit("WAGON"), F.col("l"), F.col("r"), F.col("damaged"), F.col("id"), F.col("load")))
 
 
@@ -37,9 +37,9 @@ def anomalies_by_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.by_severity(R.report_items(units(spark, sf_dir), ["unit", "camera"], "anomalies"), ["camera"])
 
 
-@query(f"WITH {_UNIT} SELECT batch, CASE WHEN bool_or(EXISTS (SELECT 1 FROM it WHERE it.unit = un.unit)) THEN 'NOT OK' ELSE 'OK' END AS status, count(*) AS units FROM un GROUP BY batch")
+@query(f"WITH {_UNIT} SELECT batch, year, CASE WHEN bool_or(EXISTS (SELECT 1 FROM it WHERE it.unit = un.unit)) THEN 'NOT OK' ELSE 'OK' END AS status, count(*) AS units FROM un GROUP BY ALL")
 def overall_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.overall_status(units(spark, sf_dir), ["batch"], F.size("anomalies") > 0)
+    return R.overall_status(units(spark, sf_dir), ["batch", "year"], F.size("anomalies") > 0)
 
 
 @query(f"WITH {_UNIT} SELECT camera, state, count(*) AS n FROM (SELECT camera, unnest([l, r, CASE WHEN damaged THEN 'DAMAGE' ELSE 'OK' END]) AS state FROM un) GROUP BY ALL")
@@ -82,10 +82,10 @@ def camera_damage_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.own_tracks(tracks(spark, sf_dir).where("hits >= 2"), "camera", "conf_sum", "track_id").select(*GROUP, "track_id", "place")
 
 
-@query(f"WITH {TRK} SELECT batch, string_agg(DISTINCT camera::VARCHAR, ',' ORDER BY camera::VARCHAR) AS cameras FROM trk WHERE hits >= 3 GROUP BY batch")
+@query(f"WITH {TRK} SELECT start_frame // 60 AS hour, string_agg(DISTINCT camera::VARCHAR, ',' ORDER BY camera::VARCHAR) AS cameras FROM trk WHERE hits >= 3 GROUP BY hour")
 def damage_camera_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = F.array_sort(F.collect_set(F.col("camera").cast("string")))
-    return tracks(spark, sf_dir).where("hits >= 3").groupBy("batch").agg(F.array_join(seen, ",").alias("cameras"))
+    return tracks(spark, sf_dir).where("hits >= 3").groupBy(F.floor(F.col("start_frame") / 60).alias("hour")).agg(F.array_join(seen, ",").alias("cameras"))
 
 
 @query(f"WITH {TRK} SELECT batch, camera, arg_max(track_id, (conf_sum, -track_id)) FILTER (x_end > 300) AS track_id, count(*) FILTER (x_end > 300) AS with_snapshot FROM trk GROUP BY ALL")
@@ -193,7 +193,7 @@ def segment_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Clock offset, frames a second and frames of the cameras on which units are shown (fixed values of the example).
-CAMERAS = (("left", 0.0, 15.0, 1_200_000), ("right", 16.5, 15.0, 1_200_000), ("top", -3.5, 10.0, 300_000))
+CAMERAS = (("left", 0.0, 15.0, 38_880_000), ("right", 16.5, 15.0, 30_000_000), ("top", -3.5, 10.0, 17_280_000))
 
 
 @query(f"""WITH {_UNITS}, cams(cam, delta, fps, total) AS (VALUES {', '.join(f"('{n}', {d}::DOUBLE, {f}::DOUBLE, {t})" for n, d, f, t in CAMERAS)}),
@@ -205,19 +205,13 @@ def camera_window_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*GROUP, "unit_id", "on_camera", "start", "end")
 
 
-@query(f"WITH {TRK} SELECT track_id, CASE WHEN hits % 3 = 0 THEN x_start / 100.0::DOUBLE WHEN hits % 3 = 1 AND hits > 1 THEN x_start / 100.0::DOUBLE ELSE 0.0 END AS delta FROM trk")
-def usable_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = F.when(F.col("hits") % 3 == 0, "RESOLVED").when((F.col("hits") % 3 == 1) & (F.col("hits") > 1), "REFERENCE").otherwise("UNRESOLVED")
-    return tracks(spark, sf_dir).select("track_id", R.usable_offset(F.col("x_start") / 100, status).alias("delta"))
-
-
-@query(f"""WITH {_UNITS}, fu AS (SELECT batch, camera, unit_id FROM units QUALIFY count(*) OVER (PARTITION BY batch, camera) >= 5) SELECT batch, camera, unit_id, false AS fallback FROM fu
+@query(f"""WITH {_UNITS}, fu AS (SELECT batch, camera, unit_id FROM units QUALIFY min(us) OVER (PARTITION BY batch, camera) - batch * {BATCH} < 60) SELECT batch, camera, unit_id, false AS fallback FROM fu
 UNION ALL SELECT batch, camera, unit_id, true FROM units WHERE NOT EXISTS (SELECT 1 FROM fu WHERE fu.batch = units.batch AND fu.camera = units.camera)""")
 def assembled_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A camera's batch of at least five units counts as fused here; others fall back to the master's own."""
-    master = master_units(spark, sf_dir).select(*GROUP, "unit_id")
-    fused = master.withColumn("n", F.count("*").over(Window.partitionBy(*GROUP))).where("n >= 5").drop("n")
-    return R.assembled_or_master(fused, master, GROUP)
+    """A camera's batch whose first unit begins within an hour counts as fused here; others fall back to the master's own."""
+    master = master_units(spark, sf_dir)
+    fused = master.withColumn("first", F.min("unit_start").over(Window.partitionBy(*GROUP)) - F.col("batch") * BATCH).where("first < 60")
+    return R.assembled_or_master(fused.select(*GROUP, "unit_id"), master.select(*GROUP, "unit_id"), GROUP)
 
 
 @query("SELECT event_id, coalesce(CAST(json_extract(props, '$.window_start') AS BIGINT), CAST(json_extract(props, '$.start') AS BIGINT), CAST(json_extract(props, '$.k') AS BIGINT)) AS window_start FROM events")
@@ -278,23 +272,29 @@ def verifier_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracks(spark, sf_dir).select("track_id", S.verified(F.lit("OPEN"), evidence, F.col("hits") > 8).alias("state"))
 
 
-@query(f"""WITH {TRK}, p AS (SELECT a.track_id AS a, b.track_id AS b, abs(a.start_frame - b.start_frame)::DOUBLE AS d, a.conf_sum / 10000.0::DOUBLE AS ca, b.conf_sum / 10000.0::DOUBLE AS cb FROM trk a JOIN trk b ON a.sensor = b.sensor AND a.batch = b.batch AND a.track_id < b.track_id)
-SELECT a, b, CASE WHEN d <= 600 THEN round(d / 300.0::DOUBLE * (1 + 0.25::DOUBLE * greatest(0, 1 - (ca + cb) / 2)), 6) END AS cost FROM p""")
+@query(f"""WITH {TRK}, q AS (SELECT *, conf_sum / hits::DOUBLE / 1000 AS c, least(greatest((end_frame - start_frame) / 2 / 60.0::DOUBLE, 0.1), 1.0) AS s FROM trk),
+p AS (SELECT a.track_id AS a, b.track_id AS b, abs(a.start_frame - b.start_frame)::DOUBLE AS d, a.c AS ca, b.c AS cb, sqrt(a.s * a.s + b.s * b.s) AS s FROM q a JOIN q b ON a.camera = b.camera AND a.batch = b.batch AND a.track_id < b.track_id AND abs(a.start_frame - b.start_frame) <= 90)
+SELECT a, b, round(d / 30.0::DOUBLE * (1 + 0.25::DOUBLE * greatest(0, 1 - (ca + cb) / 2)), 9) AS cost, CASE WHEN d / 60 / s <= 3 THEN round(d / 60 / s / 3 * (1 + 0.25::DOUBLE * greatest(0, 1 - (ca + cb) / 2)), 9) END AS cost_by_sigma FROM p""")
 def match_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What it costs to take two tracks of a sensor's batch for one; null beyond the gate."""
-    t = tracks(spark, sf_dir).select("sensor", "batch", F.col("track_id").alias("a"), F.col("start_frame").alias("sa"), (F.col("conf_sum") / 10_000).alias("ca"))
-    pairs = t.join(t.withColumnsRenamed({"a": "b", "sa": "sb", "ca": "cb"}), ["sensor", "batch"]).where("a < b")
-    return pairs.select("a", "b", F.round(S.match_cost(F.abs(F.col("sa") - F.col("sb")).cast("double"), F.col("ca"), F.col("cb"), 600, 300), 6).alias("cost"))
-
-
-@query(f"""WITH {_BOX}, b AS (SELECT vec_id, 424 + x1 / 10 AS a1, 240 + y1 / 10 AS b1, 424 + x2 / 10 AS a2, 240 + y2 / 10 AS b2 FROM bx),
+    """What it costs to take two tracks of a camera's batch for one, for the pairs inside the gate of an hour and a half: by a fixed tolerance, and by how long the
+    tracks are (null beyond three sigmas)."""
+    t = tracks(spark, sf_dir).select(*GROUP, "track_id", "start_frame", "end_frame", (F.col("conf_sum") / F.col("hits") / 1000).alias("c"))
+    t = t.withColumn("s", S.sigma(F.col("start_frame"), F.col("end_frame"), F.lit(60.0)))
+    a = t.select(*GROUP, F.col("track_id").alias("a"), F.col("start_frame").alias("sa"), F.col("c").alias("ca"), F.col("s").alias("ga"), (F.col("start_frame") - 90).alias("lo"), (F.col("start_frame") + 90).alias("hi"))
+    b = t.select(*GROUP, F.col("track_id").alias("b"), F.col("start_frame").alias("sb"), F.col("c").alias("cb"), F.col("s").alias("gb"), F.col("start_frame").alias("at"))
+    pairs = joins.overlap_pairs(a, b, GROUP, ("lo", "hi"), ("sb", "at"), 180, inclusive=True).where("a < b")
+    d = F.abs(F.col("sa") - F.col("sb")).cast("double")
+    return pairs.select("a", "b", F.round(S.match_cost(d, F.col("ca"), F.col("cb"), 90, 30), 9).alias("cost"), F.round(S.match_cost_by_sigma(d / 60, F.col("ga"), F.col("gb"), F.col("ca"), F.col("cb")), 9).alias("cost_by_sigma"))
+
+
+@query(f"""WITH {_BOX}, b AS (SELECT vec_id, 424 + x1 AS a1, 240 + y1 AS b1, 424 + x2 AS a2, 240 + y2 AS b2 FROM bx),
 e AS (SELECT *, a1 <= 16.96 OR b1 <= 16.96 OR a2 >= 848 - 16.96 OR b2 >= 480 - 16.96 AS edge FROM b)
 SELECT vec_id, edge, trunc(a1 / 50)::INT || ':' || trunc(b1 / 50)::INT AS cell, round(least(greatest((a1 + a2) / 2 - (a2 - a1) * 1.5 / 2, 0), 848), 6) AS left,
   round((0.35 * least(greatest(a2 - a1, 0) * greatest(b2 - b1, 0) / (848.0 * 480) * 4, 1) + 0.25 * greatest(1 - (abs((a1 + a2) / 2 / 848 - 0.5) + abs((b1 + b2) / 2 / 480 - 0.5)), 0) + 0.25 * 0.8 + 0.15 * 0.5) * CASE WHEN edge THEN 0.5 ELSE 1 END, 6) AS score FROM e""")
 def snapshot_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes near the middle of the frame: whether they touch its edge, their cell, their grown left side, and their score as a snapshot."""
     at = lambda k: (F.col("embedding")[k].cast("double") * 1000).cast("long").cast("double")
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", (424 + F.least(at(0), at(1)) / 10).alias("a1"), (240 + F.least(at(2), at(3)) / 10).alias("b1"), (424 + F.greatest(at(0), at(1)) / 10).alias("a2"), (240 + F.greatest(at(2), at(3)) / 10).alias("b2"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", (424 + F.least(at(0), at(1))).alias("a1"), (240 + F.least(at(2), at(3))).alias("b1"), (424 + F.greatest(at(0), at(1))).alias("a2"), (240 + F.greatest(at(2), at(3))).alias("b2"))
     box = tuple(F.col(c) for c in ("a1", "b1", "a2", "b2"))
     return rows.select("vec_id", S.at_edge(box, 848, 480, 16.96).alias("edge"), S.spatial_cell(box[0], box[1]).alias("cell"), F.round(S.expanded(box, 1.5, 848, 480)[0], 6).alias("left"), F.round(S.snapshot_score(box, F.lit(0.8), F.lit(0.5), 848, 480), 6).alias("score"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from trackloom.operators import aggregates as A
 from trackloom.operators import evidence, stateful
+from trackloom.operators import reports as R
 from trackloom.plans.stage import EV, events, query
 
 ALIGN = stateful.AlignConfig(gate=32768.0, tolerance=32768.0)
@@ -92,6 +93,16 @@ def alias_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve.select("sensor", "k", "offset", "score", "n_match", place.alias("place"))
 
 
+@query(f"""WITH RECURSIVE {_SWEEP} SELECT sensor, CASE WHEN margin / greatest(abs(score), abs(score + margin), 1) >= 0.03 AND n_match >= ceil(0.3::DOUBLE * (n_match + least(n_missing, n_extra))) THEN 'RESOLVED' ELSE 'UNRESOLVED' END AS status,
+  CASE WHEN margin / greatest(abs(score), abs(score + margin), 1) >= 0.03 AND n_match >= ceil(0.3::DOUBLE * (n_match + least(n_missing, n_extra))) THEN "offset" ELSE 0 END AS delta FROM best""")
+def usable_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sweep's offsets where they are decided: enough matches, and by three hundredths better than the runner-up. Others are 0, never guessed."""
+    rival = F.col("score") + F.col("margin")
+    sure = (F.col("margin") / F.greatest(F.abs("score"), F.abs(rival), F.lit(1.0)) >= 0.03) & (F.col("n_match") >= F.ceil(0.3 * (F.col("n_match") + F.least("n_missing", "n_extra"))))
+    status = F.when(sure, "RESOLVED").otherwise("UNRESOLVED")
+    return offset_sweep(spark, sf_dir).select("sensor", status.alias("status"), R.usable_offset(F.col("offset"), status).alias("delta"))
+
+
 #: The support cameras of a sensor and how far their clocks are behind the master's, in seconds.
 DELTAS = {"signup": 7200.0, "click": -3600.0, "view": 0.0}
 
