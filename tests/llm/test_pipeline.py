@@ -76,7 +76,7 @@ def test_queries_are_registered():
 
     names = list(__spark_entry__.queries())
     assert "pipeline" in names and all(q in names for q in queries())
-    assert sorted(int(q[2:].split("_")[0]) for q in queries()) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries()) == list(range(1, 14))
 
 
 def test_copies_with_a_paragraph_more_go(spark):
