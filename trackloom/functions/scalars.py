@@ -137,6 +137,11 @@ def batch_time(name: Column) -> Column:
     return F.try_to_timestamp(F.nullif(F.regexp_extract(name, r"(\d{8}_\d{6})", 1), F.lit("")), F.lit("yyyyMMdd_HHmmss"))
 
 
+def age_seconds(name: Column, now: Column) -> Column:
+    """Whole seconds from the time in a name to ``now``; null without one."""
+    return F.unix_timestamp(now) - F.unix_timestamp(batch_time(name))
+
+
 def door_status(state: Column) -> Column:
     s = F.regexp_replace(F.upper(F.trim(state)), "_", " ")
     return F.when(state.isNull() | (F.trim(state) == ""), "UNKNOWN").when(s.isin("OPENED", "DOOR OPEN"), "OPEN").when(s.isin("SHUT", "DOOR CLOSED"), "CLOSED").otherwise(s)

@@ -289,14 +289,14 @@ def match_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_BOX}, b AS (SELECT vec_id, 424 + x1 AS a1, 240 + y1 AS b1, 424 + x2 AS a2, 240 + y2 AS b2 FROM bx),
 e AS (SELECT *, a1 <= 16.96 OR b1 <= 16.96 OR a2 >= 848 - 16.96 OR b2 >= 480 - 16.96 AS edge FROM b)
-SELECT vec_id, edge, trunc(a1 / 50)::INT || ':' || trunc(b1 / 50)::INT AS cell, round(least(greatest((a1 + a2) / 2 - (a2 - a1) * 1.5 / 2, 0), 848), 6) AS left,
+SELECT vec_id, edge, trunc(a1 / 50)::INT || ':' || trunc(b1 / 50)::INT AS cell, round(least(greatest((a1 + a2) / 2 - (a2 - a1) * 1.5 / 2, 0), 848), 6) AS left, round(least(greatest((b1 + b2) / 2 - (b2 - b1) * 1.5 / 2, 0), 480), 6) AS top, round(least(greatest((a1 + a2) / 2 + (a2 - a1) * 1.5 / 2, 0), 848), 6) AS "right", round(least(greatest((b1 + b2) / 2 + (b2 - b1) * 1.5 / 2, 0), 480), 6) AS bottom,
   round((0.35 * least(greatest(a2 - a1, 0) * greatest(b2 - b1, 0) / (848.0 * 480) * 4, 1) + 0.25 * greatest(1 - (abs((a1 + a2) / 2 / 848 - 0.5) + abs((b1 + b2) / 2 / 480 - 0.5)), 0) + 0.25 * 0.8 + 0.15 * 0.5) * CASE WHEN edge THEN 0.5 ELSE 1 END, 6) AS score FROM e""")
 def snapshot_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes near the middle of the frame: whether they touch its edge, their cell, their grown left side, and their score as a snapshot."""
     at = lambda k: (F.col("embedding")[k].cast("double") * 1000).cast("long").cast("double")
     rows = table(spark, sf_dir, "embeddings").select("vec_id", (424 + F.least(at(0), at(1))).alias("a1"), (240 + F.least(at(2), at(3))).alias("b1"), (424 + F.greatest(at(0), at(1))).alias("a2"), (240 + F.greatest(at(2), at(3))).alias("b2"))
     box = tuple(F.col(c) for c in ("a1", "b1", "a2", "b2"))
-    return rows.select("vec_id", S.at_edge(box, 848, 480, 16.96).alias("edge"), S.spatial_cell(box[0], box[1]).alias("cell"), F.round(S.expanded(box, 1.5, 848, 480)[0], 6).alias("left"), F.round(S.snapshot_score(box, F.lit(0.8), F.lit(0.5), 848, 480), 6).alias("score"))
+    return rows.select("vec_id", S.at_edge(box, 848, 480, 16.96).alias("edge"), S.spatial_cell(box[0], box[1]).alias("cell"), *[F.round(side, 6).alias(n) for n, side in zip(("left", "top", "right", "bottom"), S.expanded(box, 1.5, 848, 480))], F.round(S.snapshot_score(box, F.lit(0.8), F.lit(0.5), 848, 480), 6).alias("score"))
 
 
 @query("""WITH c AS (SELECT s_suppkey AS camera, (s_suppkey % 3) * 640.0::DOUBLE AS width, (s_suppkey % 4) * 10.0::DOUBLE AS fps FROM supplier), r AS (SELECT camera, CASE WHEN width > 0 THEN width ELSE 848 END AS w, CASE WHEN fps > 0 THEN fps ELSE 15 END AS f FROM c)
@@ -328,3 +328,22 @@ def overlay_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is drawn on each frame of a camera: its tracks there, and how many boxes."""
     ids = F.array_sort(F.collect_set(F.col("track_id").cast("string")))
     return sessions(spark, sf_dir).groupBy("camera", "frame").agg(F.array_join(ids, ",").alias("tracks"), F.count("*").alias("boxes"))
+
+
+@query(f"""WITH {TRK} SELECT a.track_id AS a, b.track_id AS b, round(greatest(least(a.end_frame, b.end_frame) - greatest(a.start_frame, b.start_frame) + 1, 0)::DOUBLE / greatest(least(a.end_frame - a.start_frame, b.end_frame - b.start_frame) + 1, 1), 6) AS share
+FROM trk a JOIN trk b ON a.camera = b.camera AND a.batch = b.batch AND a.track_id < b.track_id AND a.start_frame <= b.end_frame AND b.start_frame <= a.end_frame""")
+def span_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of the shorter of two tracks of a camera's batch the other covers, for those that are seen together."""
+    t = tracks(spark, sf_dir)
+    side = lambda n: t.select(*GROUP, F.col("track_id").alias(n), F.col("start_frame").alias(f"s_{n}"), F.col("end_frame").alias(f"e_{n}"))
+    pairs = joins.overlap_pairs(side("a"), side("b"), GROUP, ("s_a", "e_a"), ("s_b", "e_b"), 720, inclusive=True).where("a < b")
+    return pairs.select("a", "b", F.round(S.overlap_of_shorter(F.col("s_a"), F.col("e_a"), F.col("s_b"), F.col("e_b")), 6).alias("share"))
+
+
+@query("""WITH f AS (SELECT event_id, CASE WHEN event_type = 'error' THEN 'broken' ELSE 'cam' || user_id || '_' || strftime(ts, '%Y%m%d_%H%M%S') || '.mp4' END AS name FROM events)
+SELECT event_id, name, CASE WHEN name <> 'broken' THEN 1706745600 - epoch(strptime(regexp_extract(name, '([0-9]{8}_[0-9]{6})', 1), '%Y%m%d_%H%M%S'))::BIGINT END AS age FROM f""")
+def batch_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File names of recordings with the time in them, and how old each was at the end of the month; names without a time have no age."""
+    e = table(spark, sf_dir, "events")
+    name = F.when(F.col("event_type") == "error", "broken").otherwise(F.concat(F.lit("cam"), F.col("user_id").cast("string"), F.lit("_"), F.date_format("ts", "yyyyMMdd_HHmmss"), F.lit(".mp4")))
+    return e.select("event_id", name.alias("name")).withColumn("age", S.age_seconds(F.col("name"), F.timestamp_seconds(F.lit(1706745600))))
