@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from trackloom.plans import boxes, fused, ordered, relational, reports, streams, sync  # noqa: F401  they register their queries
+from trackloom.plans import boxes, fused, looks, ordered, relational, reports, streams, sync  # noqa: F401  they register their queries
 from trackloom.plans.stage import CATALOG
 
 
