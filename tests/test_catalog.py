@@ -50,7 +50,7 @@ CARRYING = {
     "completion_rollup": ["idle", "partial"], "overall_status": ["status"], "assembled_units": ["fallback"], "roster_grid": ["n", "reason"], "missing_and_unexpected": ["problem"],
     "snapshot_scores": ["edge", "score"], "camera_window_map": ["batch", "on_camera"], "match_costs": ["cost", "cost_by_sigma"], "usable_offsets": ["status", "delta"], "sequence_alignment": ["op", "residual"],
     "offset_sweep": ["offset", "margin"], "alias_offsets": ["place"], "evidence_attach": ["op", "reason", "residual"], "evidence_times": ["n_support"], "class_dedup": ["kept"], "context_similarity": ["alike"],
-    "static_lines": ["lines", "still", "reflection"], "gap_evolution": ["gap_trend", "gap_slope"], "structured_motion": ["structured_ratio", "directed_ratio", "motion"], "look_steadiness": ["steadiness", "drift"], "look_verdicts": ["reflection", "strength", "decision", "adjusted"],
+    "rejection_report": ["ref_kind", "motion_paused", "class", "train_state", "nearest_prev_s", "nearest_next_s", "recovery", "detail"], "static_lines": ["lines", "still", "reflection"], "gap_evolution": ["gap_trend", "gap_slope"], "structured_motion": ["structured_ratio", "directed_ratio", "motion"], "look_steadiness": ["steadiness", "drift"], "look_verdicts": ["reflection", "strength", "decision", "adjusted"],
     "identity_looks": ["alike"], "track_look_summary": ["look_size", "opened"], "stream_ready_batches": ["kind", "names"], "inserted_boundaries": ["source"], "fused_units": ["how", "leading_source", "label"], "fusion_invariants": ["broken"],
 }
 LARGER = "/root/testdata/sf0.01"

@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from trackloom.operators import graph
 from trackloom.operators import joins as J
 
@@ -72,3 +74,16 @@ def test_local_advance_takes_the_nearest_fragments(spark):
     for g, k, at in seams:
         near = sorted((abs(c - at), i, v) for h, i, c, v in fragments if h == g)[:5]
         assert got[g, k] == (statistics.median(v for _, _, v in near) if len(near) >= 3 else None)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_company_by_pairs(spark, seed):
+    rng = random.Random(seed)
+    rows = [(g, k, a, a + rng.randint(0, 12), rng.random() < 0.6 or None, f"{g}{k}") for g in "AB" for k in range(60) for a in [rng.randint(0, 200)]]
+    df = spark.createDataFrame(rows, "g string, k int, s int, e int, still boolean, more string")
+    got = {(r.g, r.k): r for r in J.with_company(df, ["g"], "s", "e", "k", "still", "paused", 3).collect()}
+    assert len(got) == len(rows)
+    for g, k, s, e, still, more in rows:
+        met = sum(1 for q in rows if q[0] == g and q[4] and q[2] <= e and s <= q[3])
+        assert (got[g, k].paused, got[g, k].more, got[g, k].still) == (bool(still) and met >= 3, more, still)
+    assert J.with_company(df.limit(0), ["g"], "s", "e", "k", "still", "paused").count() == 0

@@ -31,6 +31,23 @@ def test_stalled_tracks_need_company(spark):
     assert out[20] == (None, True) and out[21] == (None, True) and out[22] == ("STATIC", False)
 
 
+def test_rejected_rows_tell_all(spark):
+    tracks = {k: moving(40 * k) for k in range(1, 7)} | {10: [(400, 5), (401, 6)], 11: [(130 + k, 300) for k in range(12)], 12: [(145 + k, 900 + 40 * (k % 2) + 3 * k) for k in range(12)], 13: [(20 + k, 500) for k in range(12)]}
+    features = hits(spark, tracks).withColumn("min_confidence", F.col("confidence") - 0.25)
+    judged = V.cascade_tail(V.cascade(features, ["camera"], "track_id"), ["camera"], "track_id").withColumn("lo", F.lit(30)).withColumn("hi", F.lit(300))
+    back = spark.createDataFrame([("A", 12, True)], "camera string, track_id long, recovered boolean")
+    out = V.rejection_report(judged, back, ["camera"], "track_id", 10.0)
+    assert len(out.columns) == 26
+    rows = {r.track_id: r for r in out.collect()}
+    assert set(rows) == {10, 11, 12, 13}
+    assert [(rows[k].reason, rows[k]["class"], rows[k].train_state, rows[k].detail) for k in (10, 11, 13)] == [("TOO_SHORT", "HARD", "POST_WAGON", "track_frames=2"), ("STATIC", "HARD", "WAGON_ACTIVE", "displacement=0"), ("STATIC", "HARD", "PRE_WAGON", "displacement=0")]
+    assert (rows[12].reason, rows[12].train_state, rows[12].ref_kind) == ("INCONSISTENT_TRAJECTORY", "WAGON_ACTIVE", "-")
+    # Accepted tracks begin at 40, 80, ..., 240 frames, ten a second.
+    assert [(rows[k].nearest_prev_s, rows[k].nearest_next_s) for k in (10, 11, 12, 13)] == [(24.0, None), (12.0, 16.0), (12.0, 16.0), (None, 4.0)]
+    assert [rows[k].recovery for k in (10, 11, 13)] == ["-", "blocked: hard reason", "-"]
+    assert (rows[11].frames, rows[11].time_s, rows[11].duration_s, round(rows[11].min_conf, 2), rows[11].speed_px_s) == ("130-141", 13.0, 1.2, 0.65, 0.0)
+
+
 def test_recovery_never_lifts_hard_reasons(spark):
     rows = [(1, "A", "LOW_CONFIDENCE", "SOFT", 50, 60, 90.0, 0.9, 1, 0.9, 5, 0.4), (2, "A", "STATIC", "HARD", 50, 60, 90.0, 0.9, 1, 0.9, 5, 0.9), (3, "A", "LOW_MOTION", "SOFT", 500, 600, 90.0, 0.9, 1, 0.9, 5, 0.9), (4, "A", "LOW_MOTION", "SOFT", 50, 60, 2.0, 0.9, 1, 0.9, 5, 0.9)]
     df = spark.createDataFrame(rows, "track_id long, camera string, reason string, severity string, start_frame long, end_frame long, displacement double, path_efficiency double, direction int, monotonic double, n_steps long, confidence double")

@@ -99,10 +99,10 @@ def weighted_time(df: DataFrame, group: Names, time: str, weight: str) -> DataFr
     return df.groupBy(*group).agg((F.sum(F.col(time) * F.col(weight)) / F.sum(weight)).alias("weighted_time"))
 
 
-def motion_features(df: DataFrame, group: Names, frame: str, x: str, fps: float) -> DataFrame:
+def motion_features(df: DataFrame, group: Names, frame: str, x: str, fps: float, **extra: Column) -> DataFrame:
     """Per track of at least two hits: displacement, path, efficiency, direction, monotonic share, longest blind run, speeds.
 
-    Expects one row a hit. Steps without time are left out of speeds and signs.
+    Expects one row a hit. Steps without time are left out of speeds and signs. ``extra`` names further aggregates of a track's hits.
     """
     w = Window.partitionBy(*group).orderBy(frame)
     rows = df.withColumn("__f", F.lag(frame).over(w)).withColumn("__x", F.lag(x).over(w))
@@ -112,7 +112,7 @@ def motion_features(df: DataFrame, group: Names, frame: str, x: str, fps: float)
         F.min(frame).alias("start_frame"), F.max(frame).alias("end_frame"), F.count("*").alias("hits"),
         F.greatest(F.coalesce(F.max(df_ - 1), F.lit(0)), F.lit(0)).alias("max_missed"),
         F.min_by(x, frame).alias("x_start"), F.max_by(x, frame).alias("x_end"), F.coalesce(F.sum(F.abs(dx)), F.lit(0)).alias("path"),
-        F.count(moved).alias("n_steps"), F.count_if(moved > 0).alias("n_pos"), F.count_if(moved < 0).alias("n_neg"), F.median(moved).alias("step_speed"),
+        F.count(moved).alias("n_steps"), F.count_if(moved > 0).alias("n_pos"), F.count_if(moved < 0).alias("n_neg"), F.median(moved).alias("step_speed"), *[c.alias(n) for n, c in extra.items()],
     ).where("hits >= 2")
     track = F.greatest(F.lit(1), F.col("end_frame") - F.col("start_frame") + 1)
     displacement = F.col("x_end") - F.col("x_start")
@@ -120,7 +120,7 @@ def motion_features(df: DataFrame, group: Names, frame: str, x: str, fps: float)
         *group, "start_frame", "end_frame", "hits", track.alias("track_frames"), "max_missed", F.least(F.lit(1.0), F.col("hits") / track).alias("coverage"), "x_start", displacement.alias("displacement"),
         F.when(F.col("path") > 0, F.abs(displacement) / F.col("path")).otherwise(0.0).alias("path_efficiency"), (F.abs(displacement) / (track / fps)).alias("speed"), "n_steps",
         F.when(F.col("n_pos") > F.col("n_neg"), 1).when(F.col("n_neg") > F.col("n_pos"), -1).otherwise(0).alias("direction"),
-        F.when(F.col("n_steps") > 0, F.greatest("n_pos", "n_neg") / F.col("n_steps")).otherwise(0.0).alias("monotonic"), "step_speed",
+        F.when(F.col("n_steps") > 0, F.greatest("n_pos", "n_neg") / F.col("n_steps")).otherwise(0.0).alias("monotonic"), "step_speed", *extra,
     )
 
 

@@ -141,18 +141,37 @@ def missing_and_unexpected(expected: DataFrame, found: DataFrame, key: str) -> D
     return missing.unionByName(found.select(key).distinct().join(expected.select(key), key, "left_anti").withColumn("problem", F.lit("unexpected")))
 
 
-def stalled_together(tracks: DataFrame, group: Names, start: str, end: str, key: str, least: int = 2) -> DataFrame:
-    """Tracks whose inclusive frame ranges overlap those of at least ``least - 1`` others: ``(group, key, together)``.
+def _together(rows: DataFrame, group: Names, start: str, end: str, counted: Column) -> tuple[DataFrame, Column]:
+    """Rows once for each edge of a counted span, and the aggregate over a span's edges that tells how many spans it meets, itself included.
 
-    They are counted, not paired: those that have started up to a track's end, less those that had ended before its start.
+    They are counted, not paired: those that have started up to a span's end, less those that had ended before its start. Spans that are not
+    counted pass through as one row.
     """
-    edges = tracks.select(*group, key, F.explode(F.array(F.struct(F.col(start).alias("at"), F.lit(0).alias("ends")), F.struct(F.col(end).alias("at"), F.lit(1).alias("ends")))).alias("e")).select(*group, key, "e.*")
-    w = Window.partitionBy(*group).orderBy("at")
-    edges = edges.withColumn("__started", F.count_if(F.col("ends") == 0).over(w.rangeBetween(Window.unboundedPreceding, 0))).withColumn("__ended", F.coalesce(F.count_if(F.col("ends") == 1).over(w.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    together = F.max(F.when(F.col("ends") == 1, F.col("__started"))) - F.max(F.when(F.col("ends") == 0, F.col("__ended")))
+    edge = lambda at, kind: F.struct(F.col(at).alias("at"), F.lit(kind).alias("kind"))
+    edges = rows.withColumn("__e", F.explode(F.when(counted, F.array(edge(start, 0), edge(end, 1))).otherwise(F.array(edge(start, 2)))))
+    w = Window.partitionBy(*group).orderBy("__e.at")
+    kind = F.col("__e.kind")
+    edges = edges.withColumn("__started", F.count_if(kind == 0).over(w.rangeBetween(Window.unboundedPreceding, 0))).withColumn("__ended", F.coalesce(F.count_if(kind == 1).over(w.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return edges, F.max(F.when(kind == 1, F.col("__started"))) - F.max(F.when(kind == 0, F.col("__ended")))
+
+
+def stalled_together(tracks: DataFrame, group: Names, start: str, end: str, key: str, least: int = 2) -> DataFrame:
+    """Tracks whose inclusive frame ranges overlap those of at least ``least - 1`` others: ``(group, key, together)``."""
+    edges, together = _together(tracks.select(*group, key, start, end), group, start, end, F.lit(True))
     return edges.groupBy(*group, key).agg(together.alias("together")).where(F.col("together") >= least)
 
 
+def with_company(tracks: DataFrame, group: Names, start: str, end: str, key: str, counted: str, flag: str, least: int = 2) -> DataFrame:
+    """Adds ``flag``: whether a track is counted and overlaps at least ``least - 1`` other counted ones. Keys are unique in their group.
+
+    All columns travel along with a track's edges, so nothing is joined and the one shuffle is that of the group.
+    """
+    edges, together = _together(tracks, group, start, end, F.col(counted))
+    rest = [c for c in tracks.columns if c not in group and c != key]
+    out = edges.groupBy(*group, key).agg(*[F.any_value(c).alias(c) for c in rest], F.coalesce(together >= least, F.lit(False)).alias(flag))
+    return out.select(*tracks.columns, flag)
+
+
 def local_advance(fragments: DataFrame, seams: DataFrame, group: Names, at: str, seam: str, nearest: int = 5, least: int = 3) -> DataFrame:
     """Median advance per frame of the ``nearest`` reference fragments to each seam, null with fewer than ``least``.
 

@@ -87,13 +87,13 @@ def first_reason(l: Limits, paused: Column) -> Column:
 def paused_tracks(features: DataFrame, group: Names, key: str, l: Limits) -> DataFrame:
     """Adds ``paused``: tracks far slower than their group's median that overlap another such track in time."""
     median = F.median(F.when(F.col("speed") > 0, F.col("speed"))).over(Window.partitionBy(*group))
-    rows = features.withColumn("__stalled", F.coalesce(F.col("speed") <= median * l.stopped_fraction, F.lit(False)))
-    together = joins.stalled_together(rows.where("__stalled"), group, "start_frame", "end_frame", key, l.stop_tracks)
-    return rows.join(together.withColumn("paused", F.lit(True)), [*group, key], "left").withColumn("paused", F.coalesce("paused", F.lit(False))).drop("__stalled", "together")
+    stalled = F.coalesce(F.col("speed") <= F.col("__m") * l.stopped_fraction, F.lit(False))
+    rows = features.withColumn("__m", median).withColumn("__stalled", stalled).drop("__m")
+    return joins.with_company(rows, group, "start_frame", "end_frame", key, "__stalled", "paused", l.stop_tracks).drop("__stalled")
 
 
 def cascade(features: DataFrame, group: Names, key: str, l: Limits = Limits()) -> DataFrame:
-    """Adds ``reason`` (null: accepted), ``severity`` and ``paused`` to motion features with a ``confidence``.
+    """Adds ``reason`` (null: accepted), ``severity``, ``paused`` and the ``reference`` speed with its kind to motion features with a ``confidence``.
 
     After the tests of a track by itself come those against its group: a direction against the majority of at least ``least_tracks``
     survivors, and a speed outside the band around the local median of theirs, unless it is paused with others.
@@ -104,11 +104,12 @@ def cascade(features: DataFrame, group: Names, key: str, l: Limits = Limits()) -
     rows = rows.withColumn("__n", F.count_if(alive).over(p)).withColumn("__flow", F.signum(F.sum(F.when(alive, F.col("direction")).otherwise(0)).over(p)))
     against = alive & (F.col("__n") >= l.least_tracks) & (F.col("__flow") != 0) & (F.col("direction") != 0) & (F.col("direction") != F.col("__flow"))
     rows = rows.withColumn("reason", F.when(against, "WRONG_DIRECTION").otherwise(F.col("reason"))).drop("__n", "__flow")
-    survivors = rows.where("reason IS NULL").withColumn("__n", F.count("*").over(p))
-    survivors = windows.local_median(survivors, group, ["start_frame", key], "speed", l.reach, 2)
-    outside = (F.col("__n") >= l.least_tracks) & F.col("reference").isNotNull() & ~F.col("speed").between(F.col("reference") / l.speed_band, F.col("reference") * l.speed_band) & ~F.col("paused")
-    survivors = survivors.withColumn("reason", F.when(outside, "TRAIN_MOTION_MISMATCH")).drop("__n", "reference", "reference_kind")
-    out = survivors.unionByName(rows.where("reason IS NOT NULL"))
+    # Survivors are a part of their group's window, so nothing is read twice; the reference of a rejected row is not theirs.
+    own, alive = [*group, "__alive"], F.col("__alive")
+    rows = windows.local_median(rows.withColumn("__alive", F.col("reason").isNull()), own, ["start_frame", key], "speed", l.reach, 2)
+    rows = rows.withColumns({c: F.when(alive, F.col(c)) for c in ("reference", "reference_kind")}).withColumn("__n", F.count("*").over(Window.partitionBy(*own)))
+    outside = alive & (F.col("__n") >= l.least_tracks) & F.col("reference").isNotNull() & ~F.col("speed").between(F.col("reference") / l.speed_band, F.col("reference") * l.speed_band) & ~F.col("paused")
+    out = rows.withColumn("reason", F.when(outside, "TRAIN_MOTION_MISMATCH").otherwise(F.col("reason"))).drop("__n", "__alive")
     return out.withColumn("severity", F.when(F.col("reason").isin(*HARD), "HARD").when(F.col("reason").isin(*SOFT), "SOFT"))
 
 
@@ -150,6 +151,37 @@ def position_of(frame: Column, lo: Column, hi: Column) -> Column:
     return F.when(lo.isNull() | hi.isNull(), "UNKNOWN").when(frame < lo, "PRE").when(frame > hi, "POST").otherwise("ACTIVE")
 
 
+#: Column of a rejected row that tells why, by reason, and what it is multiplied by to be shown as a whole number.
+MEASURES = {"TOO_SHORT": ("track_frames", 1), "DETECTION_GAP": ("max_missed", 1), "LOW_CONFIDENCE": ("confidence", 1), "STATIC": ("displacement", 1), "LOW_MOTION": ("displacement", 1), "IMPLAUSIBLE_SPEED": ("speed", 1000), "INCONSISTENT_TRAJECTORY": ("monotonic", 1000), "WRONG_DIRECTION": ("direction", 1), "TRAIN_MOTION_MISMATCH": ("reference", 1000), "DUPLICATE": ("lost_to", 1)}
+
+
+def rejection_report(judged: DataFrame, recovered: DataFrame, group: Names, key: str, fps: float, l: Limits = Limits()) -> DataFrame:
+    """One flat row for each rejected track, with all that a reader needs to judge the rejection.
+
+    ``judged`` holds the rows of ``cascade_tail`` with the active span ``(lo, hi)``, ``recovered`` those of ``stateful.recover``. Beside the features there are the span as text and in
+    seconds, the reference speed (``-`` for its kind where that test was not reached), the class of the reason, where the track lies in the active span, the
+    nearest accepted tracks (the one before begins earlier, the next one not), what became of its recovery (``-``: not looked at) and the measure
+    that failed, in whole numbers (speeds and shares in thousandths).
+    """
+    w = Window.partitionBy(*group)
+    accepted = F.when(F.col("reason").isNull(), F.col("start_frame"))
+    back, ahead = w.orderBy("start_frame").rangeBetween(Window.unboundedPreceding, -1), w.orderBy(F.desc("start_frame")).rangeBetween(Window.unboundedPreceding, 0)
+    rows = judged.withColumn("__before", F.max(accepted).over(back)).withColumn("__after", F.min(accepted).over(ahead)).where("reason IS NOT NULL")
+    at = position_of(F.col("start_frame"), F.col("lo"), F.col("hi"))
+    rows = rows.withColumn("train_state", F.when(at == "ACTIVE", "WAGON_ACTIVE").when(at == "UNKNOWN", at).otherwise(F.concat(at, F.lit("_WAGON"))))
+    rows = recoverable(rows, None, group, l).join(recovered.select(*group, key, "recovered"), [*group, key], "left")
+    blocked = F.when(F.col("severity") == "HARD", "blocked: hard reason").otherwise("blocked: safety floor")
+    fate = F.when(F.col("outcome") == "BLOCKED", blocked).when(F.col("outcome") == "OUTSIDE", "-").when(F.col("recovered"), "recovered").otherwise("blocked: near an accepted track")
+    seconds = lambda frame: F.round(frame / fps, 2)
+    detail = F.lit("")
+    for reason, (column, scale) in MEASURES.items():
+        detail = F.when(F.col("reason") == reason, F.concat(F.lit(f"{column}="), F.floor(F.col(column) * scale).cast("string"))).otherwise(detail)
+    return rows.select(
+        *group, key, F.concat_ws("-", "start_frame", "end_frame").alias("frames"), F.col("start_frame").alias("frame_start"), seconds(F.col("start_frame")).alias("time_s"), seconds(F.col("track_frames")).alias("duration_s"), "hits", "coverage", "confidence",
+        F.col("min_confidence").alias("min_conf"), F.col("displacement").alias("displacement_px"), (F.col("speed") * fps).alias("speed_px_s"), (F.col("reference") * fps).alias("ref_speed_px_s"), F.coalesce("reference_kind", F.lit("-")).alias("ref_kind"), F.col("paused").alias("motion_paused"),
+        "direction", "monotonic", "path_efficiency", F.col("max_missed").alias("max_det_gap"), "reason", F.coalesce("severity", F.lit("?")).alias("class"), "train_state", seconds(F.col("__before")).alias("nearest_prev_s"), seconds(F.col("__after")).alias("nearest_next_s"), fate.alias("recovery"), detail.alias("detail"))
+
+
 def roster_problems(roster: DataFrame, group: Names, unit: str = "unit_id", index: str = "unit_index") -> DataFrame:
     """Violations of the roster's contract ``(group, unit, problem)``: ids are ``GW_<index>``, indexes are 1..n, spans do not run backwards."""
     w = Window.partitionBy(*group).orderBy(index, unit)

@@ -129,19 +129,23 @@ feat AS (SELECT camera, start_frame // 1440 AS batch, track_id, start_frame, end
   CASE WHEN n_steps > 0 THEN greatest(n_pos, n_neg)::DOUBLE / n_steps ELSE 0 END AS monotonic, step_speed, confidence FROM agg)"""
 
 
+def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a frame of a track. The sensor, which a track has one of, stays in the key: sessions are parted by it already."""
+    return sessions(spark, sf_dir).groupBy("sensor", "camera", "track_id", "frame").agg(F.min("x").alias("x"), F.max("conf").alias("conf"))
+
+
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sessions(spark, sf_dir).groupBy("camera", "track_id", "frame").agg(F.min("x").alias("x"), F.max("conf").alias("conf"))
+    return _hits(spark, sf_dir).drop("sensor")
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = hits(spark, sf_dir)
-    confidence = rows.groupBy("camera", "track_id").agg(F.avg("conf").alias("confidence"))
-    return A.motion_features(rows, ["camera", "track_id"], "frame", "x", 1.0).join(confidence, ["camera", "track_id"]).withColumn("batch", F.floor(F.col("start_frame") / BATCH))
+    rows = A.motion_features(_hits(spark, sf_dir), ["sensor", "camera", "track_id"], "frame", "x", 1.0, confidence=F.avg("conf"), min_confidence=F.min("conf"))
+    return rows.drop("sensor").withColumn("batch", F.floor(F.col("start_frame") / BATCH))
 
 
 @query(f"WITH {_FEAT} SELECT * FROM feat")
 def motion_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features(spark, sf_dir)
+    return features(spark, sf_dir).drop("min_confidence")
 
 
 LIMITS = validate.Limits(min_track_frames=30, min_hits=3, max_missed=600, min_coverage=0.001, min_confidence=180.0, static_motion=20.0, min_motion=60.0, min_speed=0.05, max_speed=20.0, min_monotonic=0.55, stopped_fraction=0.2, speed_band=4.0, recover_confidence=150.0)
@@ -277,6 +281,21 @@ def recovered_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accepted.unionByName(judged.join(back.where("recovered").select(*GROUP, "track_id"), [*GROUP, "track_id"]).select(*GROUP, "track_id", F.lit("RECOVERED").alias("origin"), "reason"))
 
 
+@query(f"""WITH RECURSIVE {_LIVE},
+mc AS (SELECT camera, track_id, min(conf) AS min_conf FROM hit GROUP BY ALL), ac AS (SELECT batch, camera, start_frame FROM tail WHERE reason IS NULL),
+rj AS (SELECT f.*, t.reason, t.severity, t.lost_to, t.paused, min_conf, rf.ref, CASE WHEN rf.track_id IS NULL THEN '-' WHEN c >= 2 THEN 'local' ELSE 'global' END AS ref_kind, lo, hi, recovered FROM tail t JOIN feat f USING (camera, track_id) JOIN mc USING (camera, track_id) JOIN act2 ON act2.batch = f.batch AND act2.camera = f.camera
+  LEFT JOIN rf ON rf.camera = t.camera AND rf.track_id = t.track_id LEFT JOIN recf ON recf.i > 0 AND recf.k = t.track_id WHERE t.reason IS NOT NULL)
+SELECT batch, camera, track_id, start_frame || '-' || end_frame AS frames, start_frame AS frame_start, round(start_frame / 60, 2) AS time_s, round(track_frames / 60, 2) AS duration_s, hits, coverage, confidence, min_conf, displacement AS displacement_px, speed * 60 AS speed_px_s, ref * 60 AS ref_speed_px_s, ref_kind, paused AS motion_paused,
+  direction, monotonic, path_efficiency, max_missed AS max_det_gap, reason, severity AS "class", CASE WHEN start_frame < lo THEN 'PRE_WAGON' WHEN start_frame > hi THEN 'POST_WAGON' ELSE 'WAGON_ACTIVE' END AS train_state,
+  round((SELECT max(a.start_frame) FROM ac a WHERE a.batch = rj.batch AND a.camera = rj.camera AND a.start_frame < rj.start_frame) / 60, 2) AS nearest_prev_s, round((SELECT min(a.start_frame) FROM ac a WHERE a.batch = rj.batch AND a.camera = rj.camera AND a.start_frame >= rj.start_frame) / 60, 2) AS nearest_next_s,
+  CASE WHEN NOT (round_even((start_frame + end_frame) / 2, 0) BETWEEN lo AND hi) THEN '-' WHEN severity = 'HARD' THEN 'blocked: hard reason' WHEN recovered IS NULL THEN 'blocked: safety floor' WHEN recovered THEN 'recovered' ELSE 'blocked: near an accepted track' END AS recovery,
+  CASE reason WHEN 'TOO_SHORT' THEN 'track_frames=' || track_frames WHEN 'DETECTION_GAP' THEN 'max_missed=' || max_missed WHEN 'LOW_CONFIDENCE' THEN 'confidence=' || floor(confidence)::BIGINT WHEN 'STATIC' THEN 'displacement=' || displacement WHEN 'LOW_MOTION' THEN 'displacement=' || displacement WHEN 'IMPLAUSIBLE_SPEED' THEN 'speed=' || floor(speed * 1000)::BIGINT
+    WHEN 'INCONSISTENT_TRAJECTORY' THEN 'monotonic=' || floor(monotonic * 1000)::BIGINT WHEN 'WRONG_DIRECTION' THEN 'direction=' || direction WHEN 'TRAIN_MOTION_MISMATCH' THEN 'reference=' || floor(ref * 1000)::BIGINT WHEN 'DUPLICATE' THEN 'lost_to=' || lost_to ELSE '' END AS detail FROM rj""")
+def rejection_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rejected track of the whole cascade as one flat row; a frame is a sixtieth."""
+    return validate.rejection_report(*_recovery(spark, sf_dir), GROUP, "track_id", 60.0, LIMITS)
+
+
 @query(f"""WITH {TRK}, r AS (SELECT batch, camera, abs(x_end - x_start)::DOUBLE AS v, row_number() OVER (PARTITION BY batch, camera ORDER BY start_frame, track_id) - 1 AS i, count(*) OVER (PARTITION BY batch, camera) AS n FROM trk),
 h AS (SELECT batch, camera, median(CASE WHEN i < n // 2 THEN v END) AS early, median(CASE WHEN i >= n - n // 2 THEN v END) AS late FROM r GROUP BY ALL)
 SELECT batch, camera, early, late, CASE WHEN early IS NULL OR early <= 0 THEN 'UNKNOWN' WHEN late > early * (1 + 0.15) THEN 'ACCELERATING' WHEN late < early * (1 - 0.15) THEN 'DECELERATING' ELSE 'CONSTANT' END AS state FROM h""")
