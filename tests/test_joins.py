@@ -87,3 +87,10 @@ def test_company_by_pairs(spark, seed):
         met = sum(1 for q in rows if q[0] == g and q[4] and q[2] <= e and s <= q[3])
         assert (got[g, k].paused, got[g, k].more, got[g, k].still) == (bool(still) and met >= 3, more, still)
     assert J.with_company(df.limit(0), ["g"], "s", "e", "k", "still", "paused").count() == 0
+
+
+def test_segments_without_spans_stay(spark):
+    local = spark.createDataFrame([("A", "x", 0, 10), ("A", "y", None, 10), ("A", "z", 50, 60), (None, "n", 0, 10)], "g string, local_id string, start int, end int")
+    units = spark.createDataFrame([("A", "u", 5, 20), ("A", "v", None, 70), (None, "w", 0, 10)], "g string, unit_id string, unit_start int, unit_end int")
+    got = {r.local_id: (r.unit_id, r.overlap, r.candidates, r.kind) for r in J.overlap_mapping(local, units, ["g"], 8).collect()}
+    assert got == {"x": ("u", 5, 1, "EXACT"), "y": (None, None, 0, "UNMATCHED"), "z": (None, None, 0, "UNMATCHED"), "n": (None, None, 0, "UNMATCHED")}

@@ -1,3 +1,5 @@
+import random
+
 import statistics
 
 import pytest
@@ -67,3 +69,15 @@ def test_interpolation_clamps_outside(spark):
     hits = spark.createDataFrame([(1, 10, 0.0), (1, 20, 100.0)], "g int, f int, v double")
     ask = spark.createDataFrame([(1, 5), (1, 10), (1, 15), (1, 30)], "g int, f int")
     assert rows(W.interpolate(hits, ask, ["g"], "f", "v").select("f", "v")) == [(5, 0.0), (10, 0.0), (15, 50.0), (30, 100.0)]
+
+
+def test_footage_is_cut_as_by_its_spans(spark):
+    rng = random.Random(5)
+    rows = [(g, rng.randint(0, 40) + 100 * g, rng.choice([True, False, None])) for g in range(12) for _ in range(rng.randint(1, 12))] + [(99, None, True)]
+    df = spark.createDataFrame(rows, "g int, f long, cut boolean")
+    spans = df.where("f IS NOT NULL").groupBy("g").agg(F.min("f").alias("f0"), (F.max("f") - F.min("f") + 1).alias("total_frames"))
+    cuts = df.where("cut AND f IS NOT NULL").join(spans, "g").select("g", (F.col("f") - F.col("f0")).alias("frame"))
+    want = W.segments(cuts, spans.drop("f0"), "g").join(spans.select("g", "f0"), "g").select("g", "segment_index", "start_frame", "end_frame", "f0")
+    got = W.footage_segments(df, "g", "f", F.col("cut"))
+    assert got.columns == want.columns and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert W.footage_segments(df.limit(0), "g", "f", F.col("cut")).count() == 0

@@ -34,6 +34,20 @@ def segments(boundaries: DataFrame, spans: DataFrame, group: str, frame: str = "
     return starts.select(group, (F.row_number().over(w) - 1).alias("segment_index"), "start_frame", end.alias("end_frame"))
 
 
+def footage_segments(rows: DataFrame, group: str, frame: str, boundary: Column) -> DataFrame:
+    """``segments`` of rows that are their own footage: ``(group, segment_index, start_frame, end_frame, f0)`` in one shuffle.
+
+    A group's footage runs from its first frame ``f0`` to its last; ``boundary`` tells which rows cut it (null: not). Frames are whole; rows without one are ignored.
+    """
+    every, w = Window.partitionBy(group), Window.partitionBy(group).orderBy(frame)
+    seen = rows.where(F.col(frame).isNotNull()).select(group, F.col(frame).alias("__f"), F.coalesce(boundary, F.lit(False)).alias("__cut"), F.min(frame).over(every).alias("f0"), F.max(frame).over(every).alias("__last"), F.row_number().over(w).alias("__n"))
+    # The first row opens the first segment, whether or not it is a boundary.
+    starts = seen.where("__cut OR __n = 1").groupBy(group, "f0", "__last", (F.col("__f") - F.col("f0")).alias("start_frame")).agg(F.count("*").alias("__n"))
+    w = Window.partitionBy(group).orderBy("start_frame")
+    end = F.coalesce(F.lead("start_frame").over(w), F.col("__last") - F.col("f0") + 1) - 1
+    return starts.select(group, (F.row_number().over(w) - 1).alias("segment_index"), "start_frame", end.alias("end_frame"), "f0")
+
+
 def islands(df: DataFrame, group: Names, order: Names, label: str) -> DataFrame:
     """Adds ``island``: the number, from 1, of each maximal run of equal labels (null equals null)."""
     w = Window.partitionBy(*group).orderBy(*order)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trackloom.operators import aggregates as A
 from trackloom.operators import fuse, graph, joins, stateful, validate
 from trackloom.operators import windows as W
-from trackloom.plans.stage import BATCH, EV, SESS, SPANS, TRK, events, query, sessions, spans, tracks
+from trackloom.plans.stage import BATCH, EV, SESS, SPANS, TRK, events, query, sessions, tracks
 
 #: A camera's rows are judged batch by batch.
 GROUP = ["batch", "camera"]
@@ -23,10 +23,13 @@ def role(label: str = "label"):
     return out
 
 
+def placed_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sensor's segments between its purchases, with the frame ``f0`` in which its footage begins."""
+    return W.footage_segments(events(spark, sf_dir), "sensor", "frame", F.col("label") == "purchase")
+
+
 def boundary_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = spans(spark, sf_dir)
-    b = events(spark, sf_dir).where("label = 'purchase'").join(s.select("sensor", "f0"), "sensor").select("sensor", (F.col("frame") - F.col("f0")).alias("frame"))
-    return W.segments(b, s, "sensor")
+    return placed_segments(spark, sf_dir).drop("f0")
 
 
 SEG = EV + ", " + SPANS + """,

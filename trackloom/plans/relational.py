@@ -9,7 +9,7 @@ from trackloom.functions import scalars as S
 from trackloom.operators import aggregates as A
 from trackloom.operators import fuse, graph, joins, stateful, validate
 from trackloom.operators import reports as R
-from trackloom.plans.ordered import _HITS, GROUP, SEG, boundary_segments, hits
+from trackloom.plans.ordered import _HITS, GROUP, SEG, boundary_segments, hits, placed_segments
 from trackloom.plans.stage import BATCH, EV, READ, SESS, SESSIONS, TRK, events, query, readings, sessions, table, tracks
 
 STATES = ("error", "purchase", "signup", "click", "view")
@@ -188,9 +188,7 @@ units AS (SELECT * FROM uni WHERE ue IS NOT NULL)"""
 
 def local_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Segments of every sensor on its camera's clock, cut where a batch ends, as its footage is."""
-    f0 = events(spark, sf_dir).groupBy("sensor").agg(F.min("frame").alias("f0"))
-    seg = boundary_segments(spark, sf_dir).join(f0, "sensor")
-    seg = seg.select((F.col("sensor") % 4).alias("camera"), S.local_id(F.col("sensor").cast("string"), F.col("segment_index")).alias("local_id"), (F.col("start_frame") + F.col("f0")).alias("s"), (F.col("end_frame") + F.col("f0") + 1).alias("e"))
+    seg = placed_segments(spark, sf_dir).select((F.col("sensor") % 4).alias("camera"), S.local_id(F.col("sensor").cast("string"), F.col("segment_index")).alias("local_id"), (F.col("start_frame") + F.col("f0")).alias("s"), (F.col("end_frame") + F.col("f0") + 1).alias("e"))
     seg = seg.withColumn("batch", F.explode(F.sequence(F.floor(F.col("s") / BATCH), F.floor((F.col("e") - 1) / BATCH))))
     return seg.select(*GROUP, "local_id", F.greatest(F.col("s"), F.col("batch") * BATCH).alias("start"), F.least(F.col("e"), (F.col("batch") + 1) * BATCH).alias("end"))
 
