@@ -40,3 +40,17 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.01]), (None, [1.0, 0.0])], "vec_id long, embedding array<float>")
     assert rows(N.near_vectors(df, "vec_id", "embedding")) == sorted([(1, 1, 1, True), (2, 1, 1, False), (None, 0, None, True)], key=repr)
     assert N.near_vectors(df.limit(0), "vec_id", "embedding").collect() == []
+
+
+def test_copies_cost_no_products(spark):
+    """A third of all rows are one vector: results are those of all pairs, and the tiles see it once."""
+    r = np.random.default_rng(3)
+    base = r.normal(size=(4, 8))
+    x = {k: (base[k % 4] + r.normal(size=8) * 0.1).tolist() for k in range(120)}
+    x |= {200 + k: [1.0, 0.0 if k % 2 else -0.0, 0.5] + [0.0] * 5 for k in range(60)}
+    x |= {300 + k: x[k] for k in range(0, 120, 5)} | {400: [1.0, 0.01, 0.5] + [0.0] * 5, 401: None}
+    df = spark.createDataFrame(list(x.items()), "vec_id long, embedding array<double>")
+    assert rows(N.near_vectors(df, "vec_id", "embedding", 0.95, 32, 4)) == sorted(brute(x, 0.95), key=repr)
+    many = spark.range(40_000).select(F.col("id").alias("vec_id"), F.when(F.col("id") % 40 == 0, F.array(F.lit(1.0), (F.col("id") / 40).cast("double"))).otherwise(F.array(F.lit(0.0), F.lit(-1.0))).alias("embedding"))
+    got = N.near_vectors(many, "vec_id", "embedding").where("id % 40 <> 0").groupBy("n_links", "component_id").count().collect()
+    assert [tuple(g) for g in got] == [(38_999, 1, 39_000)]

@@ -6,7 +6,8 @@ by more than that are dropped, pairs above it by more are links, and the rest ar
 
 Vectors are cut into blocks of at most ``block`` rows, and each pair of blocks is one task: its work and memory are
 bounded whatever the groups are, a group of near copies is spread over the grid, and only link counts and a spanning
-forest leave a task, never the pairs. Blocks that hold cells of nearby vectors are skipped as a pair where the distance of
+forest leave a task, never the pairs. Equal vectors are one row of a block with their number as weight, so exact copies cost no
+products, however many there are. Blocks that hold cells of nearby vectors are skipped as a pair where the distance of
 their centres proves that no pair can reach the threshold.
 """
 
@@ -20,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.llm.common import components, materialize
+from trackloom.llm.common import components, join_groups, materialize
 
 #: Side of the sub-tiles that are multiplied at once.
 TILE = 1024
@@ -84,11 +85,12 @@ def _block_pair(threshold: float):
             sides[1] = sides[0]
         elif not (len(sides[0]) and len(sides[1])):
             return pd.DataFrame({"id": [], "other": [], "n": []}).astype("int64")
-        ids, units = [], []
+        ids, units, sizes = [], [], []
         for s in sides:
             x = np.stack(s.vector.to_numpy()).astype(np.float64)
             x /= np.abs(x).max(axis=1)[:, None]
             ids.append(s.id.to_numpy())
+            sizes.append(s["size"].to_numpy())
             units.append(x / np.linalg.norm(x, axis=1)[:, None])
         cuts = [[slice(k, k + TILE) for k in range(0, len(u), TILE)] for u in units]
         quantised = [[quantise(u[c]) for c in cut] for u, cut in zip(units, cuts)]
@@ -102,9 +104,9 @@ def _block_pair(threshold: float):
                     np.fill_diagonal(hit, False)
                 if not hit.any():
                     continue
-                counts[0][ci] += hit.sum(axis=1)
+                counts[0][ci] += hit @ sizes[1][cj]
                 if not (same and i == j):
-                    counts[0 if same else 1][cj] += hit.sum(axis=0)
+                    counts[0 if same else 1][cj] += sizes[0][ci] @ hit
                 edges.append(forest(hit, ids[0][ci], ids[1][cj]))
         out = [pd.DataFrame({"id": ids[k], "other": ids[k], "n": counts[k]})[counts[k] > 0] for k in ((0,) if same else (0, 1))]
         if edges:
@@ -136,7 +138,7 @@ def near_vectors(df: DataFrame, id_col: str, vector_col: str, threshold: float =
 
     Vectors that are null, empty or zero, or that hold null or non-finite components, link with nothing; vectors of different
     lengths never link. Repeated rows of an id count once (of differing vectors the least is taken). A null id gives one row without
-    links and with a null component. Extra columns are ignored. ``pivots`` vectors, the least hashes of ids, shape the cells; they
+    links and with a null component. Extra columns are ignored. Equal vectors are linked for any threshold up to 1. ``pivots`` vectors, the least hashes of ids, shape the cells; they
     only affect which pairs of blocks can be skipped, never the links.
     """
     spark = df.sparkSession
@@ -144,7 +146,11 @@ def near_vectors(df: DataFrame, id_col: str, vector_col: str, threshold: float =
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("vector"))
     rows = rows.groupBy("id").agg(F.min("vector").alias("vector"))
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    good = materialize(rows.where(F.col("id").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 0)).where(~bad & F.exists("vector", lambda x: x != 0)).withColumn("dim", F.size("vector")))
+    sound = F.col("id").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 0) & ~bad & F.exists("vector", lambda x: x != 0)
+    rows = materialize(rows.withColumn("sound", F.coalesce(sound, F.lit(False))))
+    vectors, alone = rows.where("sound").drop("sound"), rows.where("NOT sound")
+    alone = alone.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    good = materialize(vectors.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("size")).withColumn("dim", F.size("vector")))
     parts = []
     # One dimension is the rule; each further one is a grid of its own. Their number is that of the models behind the table.
     for dim in [r.dim for r in good.select("dim").distinct().collect()]:
@@ -153,7 +159,7 @@ def near_vectors(df: DataFrame, id_col: str, vector_col: str, threshold: float =
         p = np.stack(sample.vector.to_numpy())
         p = p / np.abs(p).max(axis=1)[:, None]
         p /= np.linalg.norm(p, axis=1)[:, None]
-        celled = materialize(of.mapInPandas(_cells(p), f"id long, vector {kind}, cell int, angle double"))
+        celled = materialize(of.mapInPandas(_cells(p), f"vector {kind}, id long, size long, cell int, angle double"))
         # A cell is cut into blocks by hash; cells smaller than a block share one, so blocks follow the rows and not the cells.
         sizes = celled.groupBy("cell").agg(F.count("*").alias("n"), F.max("angle").alias("angle")).orderBy("cell").toPandas()
         blocks, small, load = [], [], 0
@@ -182,16 +188,19 @@ def near_vectors(df: DataFrame, id_col: str, vector_col: str, threshold: float =
         table = F.broadcast(spark.createDataFrame(meets, "cell int, own int, own_parts int, other int, other_parts int"))
         mine = F.col("own") + F.pmod(F.xxhash64("id", F.lit(7)), F.col("own_parts")).cast("int")
         spread = celled.join(table, "cell").withColumn("mine", mine).withColumn("their", F.explode(F.sequence(F.col("other"), F.col("other") + F.col("other_parts") - 1)))
-        spread = spread.select(F.least("mine", "their").alias("i"), F.greatest("mine", "their").alias("j"), (F.col("mine") > F.col("their")).cast("int").alias("side"), "id", "vector")
+        spread = spread.select(F.least("mine", "their").alias("i"), F.greatest("mine", "their").alias("j"), (F.col("mine") > F.col("their")).cast("int").alias("side"), "id", "size", "vector")
         parts.append(spread.groupBy("i", "j").applyInPandas(_block_pair(threshold), "id long, other long, n long"))
     if not parts:
-        return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+        return alone
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
     found = materialize(found)
-    counts = found.where("n > 0").groupBy("id").agg(F.sum("n").alias("n_links"))
+    counts = found.where("n > 0").groupBy("id").agg(F.sum("n").alias("n"))
     joined = components(found.where("id <> other").select(F.col("id").alias("a"), F.col("other").alias("b")))
-    out = rows.select("id").join(counts, "id", "left").join(joined.withColumnRenamed("node", "id"), "id", "left")
-    component = F.coalesce("component", "id")
-    return out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+    classes = good.join(counts, "id", "left").join(joined.withColumnRenamed("node", "id"), "id", "left")
+    # The copies of a vector are linked with each other and with what it is linked with.
+    classes = materialize(classes.select("vector", "size", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
+    total = classes.agg(F.sum("size")).first()[0]
+    out = join_groups(vectors, classes, ["vector"], "size", total)
+    return out.select("id", F.col("n_links").cast("long").alias("n_links"), "component_id", (F.col("component_id") == F.col("id")).alias("kept")).unionByName(alone)
