@@ -147,7 +147,7 @@ def near_vectors(df: DataFrame, id_col: str, vector_col: str, threshold: float =
     rows = rows.groupBy("id").agg(F.min("vector").alias("vector"))
     bad = F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     sound = F.col("id").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 0) & ~bad & F.exists("vector", lambda x: x != 0)
-    rows = materialize(rows.withColumn("sound", F.coalesce(sound, F.lit(False))))
+    rows = rows.withColumn("sound", F.coalesce(sound, F.lit(False)))
     vectors, alone = rows.where("sound").drop("sound"), rows.where("NOT sound")
     alone = alone.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     good = materialize(vectors.groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("size")).withColumn("dim", F.size("vector")))
@@ -200,7 +200,9 @@ def near_vectors(df: DataFrame, id_col: str, vector_col: str, threshold: float =
     joined = components(found.where("id <> other").select(F.col("id").alias("a"), F.col("other").alias("b")))
     classes = good.join(counts, "id", "left").join(joined.withColumnRenamed("node", "id"), "id", "left")
     # The copies of a vector are linked with each other and with what it is linked with.
-    classes = materialize(classes.select("vector", "size", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
-    total = classes.agg(F.sum("size")).first()[0]
-    out = join_groups(vectors, classes, ["vector"], "size", total)
-    return out.select("id", F.col("n_links").cast("long").alias("n_links"), "component_id", (F.col("component_id") == F.col("id")).alias("kept")).unionByName(alone)
+    classes = materialize(classes.select("id", "vector", "size", (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
+    answer = lambda of: of.select("id", F.col("n_links").cast("long").alias("n_links"), "component_id", (F.col("component_id") == F.col("id")).alias("kept"))
+    out, several = answer(classes.where("size = 1")).unionByName(alone), classes.where("size > 1").drop("id")
+    total = several.agg(F.sum("size")).first()[0]
+    # Only what has copies is looked up by its vector.
+    return out.unionByName(answer(join_groups(vectors, several, ["vector"], "size", total))) if total else out
