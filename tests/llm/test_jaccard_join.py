@@ -110,3 +110,12 @@ def test_kept_sets_are_bounded_in_bytes(monkeypatch):
 
     (out,) = J._verify(3, 75, Sketch)(iter([batch]))
     assert out.to_pydict() == {"a": [1, 1], "b": [1, 2]}
+
+
+def test_the_filter_of_texts_goes_out_as_bits(spark, monkeypatch):
+    sizes, texts_ = [], J._texts
+    monkeypatch.setattr(J, "_texts", lambda width, bits: sizes.append(bits.value.nbytes) or texts_(width, bits))
+    texts = corpus(5, 60)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert rows(J.jaccard_components(df)) == sorted(brute(texts), key=repr)
+    assert sizes and max(sizes) <= J.FILTER_BITS // 8

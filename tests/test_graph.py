@@ -46,6 +46,16 @@ def test_too_few_rounds_raise(spark):
         G.components(spark.createDataFrame(path(random.Random(3), 300), "a long, b long"), max_rounds=2)
 
 
+@pytest.mark.parametrize("pairs, rounds", [([(5, k) for k in range(6, 40)] + [(1, 2)], 0), ([(9, k) for k in range(1, 9)] + [(20, 9)], 2), ([], 0)])
+def test_no_round_is_spent_on_settled_edges(spark, monkeypatch, pairs, rounds):
+    """Each round takes shuffles, and each of those a thread of the driver for a while."""
+    made, cut = [], G.cut_lineage
+    monkeypatch.setattr(G, "cut_lineage", lambda df: made.append(df) or cut(df))
+    got = {x.node: x.component for x in G.components(spark.createDataFrame(pairs, "a long, b long"), max_rounds=rounds).collect()}
+    assert got == roots(pairs)
+    assert len(made) <= 1 + rounds
+
+
 def test_a_temporary_folder_only_for_local_masters(spark):
     class Other:
         conf = spark.conf

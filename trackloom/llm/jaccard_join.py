@@ -181,7 +181,8 @@ def _texts(width: int, bits):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, codec, seen = bits.value, pa.Codec("zstd", 3), set()
         for batch in batches:
-            texts = batch.column("text").filter(pa.array(wanted[batch.column("spot").to_numpy()]))
+            spot = batch.column("spot").to_numpy()
+            texts = batch.column("text").filter(pa.array((wanted[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)))
             keys, packed = [], []
             for text, s in zip(texts, shingle_sets(texts, width)):
                 key = int(set_key(s))
@@ -244,10 +245,9 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int
     keys = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     spots = classes.join(keys, "class", "left_semi").select("spot")
     maps = spots.groupBy(F.floor(F.col("spot") / 32768).alias("bucket")).agg(F.expr("bitmap_construct_agg(spot % 32768)").alias("bits"))
-    wanted = np.zeros(FILTER_BITS, bool)
+    wanted = np.zeros(FILTER_BITS // 8, np.uint8)  # a bit for each spot, as it comes
     for row in maps.collect():  # at most FILTER_BITS / 32768 rows of 4 kB
-        bits = np.unpackbits(np.frombuffer(bytes(row.bits), np.uint8), bitorder="little")
-        wanted[row.bucket * 32768 : row.bucket * 32768 + len(bits)] = bits
+        wanted[row.bucket * 4096 : row.bucket * 4096 + len(row.bits)] = np.frombuffer(bytes(row.bits), np.uint8)
     if not wanted.any():
         return pairs
     texts = docs.select(_spot(F.col("doc_id")).alias("spot"), "text").mapInArrow(_texts(width, spark.sparkContext.broadcast(wanted)), "class long, packed binary")
