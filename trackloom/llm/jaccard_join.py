@@ -290,9 +290,9 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     rows = materialize(docs.mapInArrow(_signatures(width), f"doc_id long, n long, class long, {', '.join(f'{b} long' for b in _BITS)}, sketch binary"))
-    counted = rows.where("sketch IS NOT NULL").select("sketch").mapInArrow(_counters, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    counted = rows.where("sketch IS NOT NULL").select("sketch").mapInArrow(_counters, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # a row object for each would take 140 MB
     counts = np.zeros(SKETCH_SLOTS, np.float64)  # bounded by SKETCH_SLOTS, whatever the input
-    counts[counted.slot.to_numpy(np.int64)] = counted.n.to_numpy(np.float64)
+    counts[counted["slot"].to_numpy()] = counted["n"].to_numpy()
     signed = rows.where("sketch IS NULL").drop("sketch")
     firsts = [F.first(c).alias(c) for c in ("n", *_BITS)]
     names = [F.min("doc_id").alias("least"), F.count("*").alias("rows"), F.min(_spot(F.col("doc_id"))).alias("spot")]
