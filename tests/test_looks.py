@@ -1,5 +1,8 @@
 """Evidence of looks against plain versions over random windows."""
 
+import random
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +159,21 @@ def test_no_looks(given):
     none = df.limit(0)
     assert L.reflections(none, ["g"], ["i"], "profile", "texture", "centre").count() == 0 and L.gap_evolution(none, ["g"], ["i"], "widths", "darkness").count() == 0
     assert L.structured_motion(none, ["g"], ["i"], "profile").count() == 0 and L.steadiness(none, ["g"], ["i"], "profile").count() == 0
+
+
+def test_slopes_on_the_limit_are_not_beyond_it(spark):
+    """Windows of whole widths whose true slope is three tenths, up or down: it is given as that, in whatever order the frames come."""
+    r, rows, want = random.Random(3), [], {}
+    while len(want) < 40:
+        n = r.choice([9, 11])
+        w = [[r.randint(0, 9) for _ in range(3)] for _ in range(n)]
+        slope = sum((Fraction(i) - Fraction(n - 1, 2)) * Fraction(sum(v), 3) for i, v in enumerate(w)) / sum((Fraction(i) - Fraction(n - 1, 2)) ** 2 for i in range(n)) * Fraction(n, n - 1)
+        if slope.denominator <= 160 and abs(slope) == Fraction(3, 10) or slope.denominator == 128:
+            rows += [(len(want), i, [float(x) for x in v], 0.5) for i, v in enumerate(w)]
+            want[len(want)] = float(slope)
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "g int, i int, widths array<double>, darkness double").repartition(3)
+    got = L.gap_evolution(df, ["g"], ["i"], "widths", "darkness", L.LookLimits(least_gap=1.0, slack=99.0)).collect()
+    assert {x.g: x.gap_slope for x in got} == want
+    on = {g for g, b in want.items() if abs(b) == 0.3}
+    assert len(on) > 20 and {x.gap_trend for x in got if x.g in on} == {"STABLE"}

@@ -84,6 +84,16 @@ def darkness_of(profile: Column) -> Column:
     return F.when(F.size(profile) < 6, 1.0).otherwise(_let(outer, lambda o: F.when(o < 1e-6, 1.0).otherwise(part(third + 1, third) / o)))
 
 
+def _slope(value: Column, place: Column, parts: Column) -> Column:
+    """The aggregate slope of ``value / parts`` by place, with the spread of a sample over that of all rows; null for one place only.
+
+    Sums and one division: for whole numbers it is the double nearest to the true slope, in whatever order the rows come, so a slope that lies on a limit is not beyond it.
+    """
+    x, y = F.when(value.isNotNull(), place).cast("double"), value.cast("double")
+    n = F.count(y).cast("double")
+    return F.try_divide((n * F.sum(x * y) - F.sum(x) * F.sum(y)) * F.count("*"), (n * F.sum(x * x) - F.sum(x) * F.sum(x)) * (F.count("*") - 1) * parts)
+
+
 def _frames(looks: DataFrame, group: Names, order: Names, column: str) -> DataFrame:
     """Rows that are frames, with their place ``__i`` from 0."""
     return looks.where(F.size(column) > 0).withColumn("__i", F.row_number().over(Window.partitionBy(*group).orderBy(*order)) - 1)
@@ -123,10 +133,10 @@ def gap_evolution(looks: DataFrame, group: Names, order: Names, widths: str, dar
     the least or where the gap is as bright as what is beside it, and STABLE for fewer than three frames. Slopes are by frame, with the spread of a sample over that of all frames.
     """
     rows = _frames(looks, group, order, widths)
-    scale = F.count("*") / (F.count("*") - 1)
-    slices = rows.select(*group, "__i", F.posexplode(widths).alias("__s", "__w")).groupBy(*group, "__s").agg((F.regr_slope("__w", "__i") * scale).alias("__b"))
-    spread = slices.groupBy(*group).agg(F.stddev_pop("__b").alias("slice_spread"))
-    whole = rows.withColumn("__w", mean_of(F.col(widths))).groupBy(*group).agg(F.count("*").alias("__n"), F.max("__w").alias("__most"), (F.regr_slope("__w", "__i") * scale).alias("gap_slope"), F.avg(darkness).alias("gap_darkness"))
+    at = F.col("__i")
+    slices = rows.select(*group, "__i", F.posexplode(widths).alias("__s", "__w")).groupBy(*group, "__s").agg(_slope(F.col("__w"), at, F.lit(1)).alias("__b"))
+    spread = slices.groupBy(*group).agg(deviation_of(F.array_sort(F.collect_list("__b"))).alias("slice_spread"))
+    whole = rows.groupBy(*group).agg(F.count("*").alias("__n"), F.max(mean_of(F.col(widths))).alias("__most"), _slope(_total(F.col(widths)), at, F.max(F.size(widths))).alias("gap_slope"), F.avg(darkness).alias("gap_darkness"))
     out = whole.join(spread, list(group))
     some = (F.col("__n") >= 3) & (F.col("__most") >= l.least_gap)
     out = out.withColumn("gap_slope", F.when(some, F.col("gap_slope")).otherwise(0.0))

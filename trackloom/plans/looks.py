@@ -72,7 +72,9 @@ def static_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_LOOK}{_GAPS} SELECT label, part, gap_trend, round(gap_slope, 6) AS gap_slope, round(slice_spread, 6) AS slice_spread, round(gap_darkness, 6) AS gap_darkness FROM gap")
 def gap_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether the gap between the strongest edges widens over a window, slice by slice."""
-    return _rounded(L.gap_evolution(looks(spark, sf_dir), WINDOW, ["vec_id"], "widths", "darkness", LIMITS), "gap_slope", "slice_spread", "gap_darkness")
+    out = L.gap_evolution(looks(spark, sf_dir), WINDOW, ["vec_id"], "widths", "darkness", LIMITS)
+    # The slices of a single look have no slopes and no spread, which SQL shows as not a number.
+    return _rounded(out.withColumn("slice_spread", F.coalesce("slice_spread", F.lit(float("nan")))), "gap_slope", "slice_spread", "gap_darkness")
 
 
 @query(f"WITH {_LOOK}{_MOVES} SELECT label, part, changes, round(structured_ratio, 6) AS structured_ratio, round(directed_ratio, 6) AS directed_ratio, motion FROM mot")
