@@ -94,3 +94,23 @@ def test_segments_without_spans_stay(spark):
     units = spark.createDataFrame([("A", "u", 5, 20), ("A", "v", None, 70), (None, "w", 0, 10)], "g string, unit_id string, unit_start int, unit_end int")
     got = {r.local_id: (r.unit_id, r.overlap, r.candidates, r.kind) for r in J.overlap_mapping(local, units, ["g"], 8).collect()}
     assert got == {"x": ("u", 5, 1, "EXACT"), "y": (None, None, 0, "UNMATCHED"), "z": (None, None, 0, "UNMATCHED"), "n": (None, None, 0, "UNMATCHED")}
+
+
+def test_nearest_match_by_brute_force(spark):
+    """Short spans on a coarse clock, many of them equal, against every pair."""
+    r = random.Random(8)
+    span = lambda: (s := r.randint(0, 40), s + r.choice([0, 1, 5, 12]))
+    support, master = [(g, k, *span()) for g in range(3) for k in range(60)], [(g, 1000 + k, *span()) for g in range(2) for k in range(60)]
+
+    def best(g, s0, s1):
+        found = []
+        for h, k, m0, m1 in master:
+            iou = max(min(s1, m1) - max(s0, m0), 0) / (max(s1, m1) - min(s0, m0)) if s1 > s0 and m1 > m0 else 0.0
+            dt = abs((s0 + s1) / 2 - (m0 + m1) / 2)
+            if g == h and (iou >= 0.2 or dt <= 1.5):
+                found.append((-max(iou, max(0.0, 1 - dt / 1.5)), m0, k))
+        return (min(found)[2], -min(found)[0]) if found else (None, None)
+
+    a, b = spans(spark, support, "g int, support_id long, s_start long, s_end long"), spans(spark, master, "g int, master_id long, m_start long, m_end long")
+    got = {(x.g, x.support_id): (x.master_id, x.score) for x in J.nearest_match(a, b, ["g"], 1.5).collect()}
+    assert got == {(g, k): best(g, s0, s1) for g, k, s0, s1 in support}

@@ -79,19 +79,29 @@ def nearest_match(support: DataFrame, master: DataFrame, group: Names, window: f
     A pair qualifies by an intersection over union of at least ``least_iou`` or by centres within ``window``; its score is the greater of
     the union ratio and the closeness ``1 - dt / window``. Ties go to the earlier master, then the lesser id. Inputs hold
     ``support_id, s_start, s_end`` and ``master_id, m_start, m_end``.
+
+    Equal spans are asked once. Pairs are met twice and never held: first for the best score, a number that is kept by hashing, then for those that reach it.
     """
     center = lambda p: (F.col(f"{p}_start") + F.col(f"{p}_end")) / 2
-    # Any pair that qualifies overlaps once the support interval is widened by the window.
-    wide = support.withColumn("__lo", F.col("s_start") - window).withColumn("__hi", F.col("s_end") + window)
-    pairs = overlap_pairs(wide, master, group, ("__lo", "__hi"), ("m_start", "m_end"), max(window * 4, 1), inclusive=True)
+    span = [*group, "s_start", "s_end"]
+    asked = support.select(*span).distinct()
+    known = master.groupBy(*group, "m_start", "m_end").agg(F.min("master_id").alias("master_id"))
     inter = overlap_length(F.col("s_start"), F.col("s_end"), F.col("m_start"), F.col("m_end"))
     union = F.greatest("s_end", "m_end") - F.least("s_start", "m_start")
     iou = F.when((F.col("s_end") > F.col("s_start")) & (F.col("m_end") > F.col("m_start")) & (union > 0), inter / union).otherwise(0.0)
     dt = F.abs(center("s") - center("m"))
-    pairs = pairs.withColumn("iou", iou).withColumn("dt", dt).where((F.col("iou") >= least_iou) | (F.col("dt") <= window))
     score = F.greatest(F.col("iou"), F.greatest(F.lit(0.0), 1 - F.col("dt") / max(window, 1e-3)))
-    top = pairs.groupBy(*group, "support_id").agg(F.min(F.struct((-score).alias("s"), "m_start", "master_id")).alias("top"))
-    return support.select(*group, "support_id").join(top, [*group, "support_id"], "left").select(*group, "support_id", F.col("top.master_id").alias("master_id"), (-F.col("top.s")).alias("score"))
+
+    def scored(spans: DataFrame) -> DataFrame:
+        # Any pair that qualifies overlaps once the support interval is widened by the window.
+        wide = spans.withColumn("__lo", F.col("s_start") - window).withColumn("__hi", F.col("s_end") + window)
+        pairs = overlap_pairs(wide, known, group, ("__lo", "__hi"), ("m_start", "m_end"), max(window * 4, 1), inclusive=True)
+        return pairs.withColumn("iou", iou).withColumn("dt", dt).where((F.col("iou") >= least_iou) | (F.col("dt") <= window)).withColumn("score", score)
+
+    best = scored(asked).groupBy(*span).agg(F.max("score").alias("__best"))
+    tied = scored(best).where("score = __best")
+    top = tied.groupBy(*span).agg(F.max("__best").alias("score"), F.min(F.struct("m_start", "master_id")).alias("top"))
+    return support.select(*span, "support_id").join(top, span, "left").select(*group, "support_id", F.col("top.master_id").alias("master_id"), "score")
 
 
 def asof_neighbours(points: DataFrame, known: DataFrame, group: Names, time: str, key: str) -> DataFrame:
