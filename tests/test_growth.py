@@ -39,7 +39,7 @@ def joined(df):
 
 
 @pytest.mark.parametrize("name", [
-    "match_counts", "nearest_match_with_leftovers",
+    "match_counts", "nearest_match_with_leftovers", "pattern_penalty",
 ])
 def test_joins_grow_with_the_rows(spark, copies, name):
     query = catalog.queries()[name]
