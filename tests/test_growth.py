@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from trackloom.plans import catalog
 
-SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables are not here")
 TIMES = 8
 
@@ -39,7 +39,7 @@ def joined(df):
 
 
 @pytest.mark.parametrize("name", [
-    "match_counts", "nearest_match_with_leftovers", "pattern_penalty",
+    "match_counts", "nearest_match_with_leftovers", "pattern_penalty", "point_in_interval_label",
 ])
 def test_joins_grow_with_the_rows(spark, copies, name):
     query = catalog.queries()[name]

@@ -114,3 +114,24 @@ def test_nearest_match_by_brute_force(spark):
     a, b = spans(spark, support, "g int, support_id long, s_start long, s_end long"), spans(spark, master, "g int, master_id long, m_start long, m_end long")
     got = {(x.g, x.support_id): (x.master_id, x.score) for x in J.nearest_match(a, b, ["g"], 1.5).collect()}
     assert got == {(g, k): best(g, s0, s1) for g, k, s0, s1 in support}
+
+
+def test_label_at_by_brute_force(spark):
+    """Nested, equal and empty spans against every span for each point."""
+    r = random.Random(9)
+    rows = [(g, s := r.randint(0, 60), s + r.choice([0, 1, 4, 9, 30]), r.choice("abc")) for g in range(3) for _ in range(25)] + [(0, None, 9, "n"), (0, 9, None, "n")]
+    points = [(g, 100 * g + t, t) for g in range(4) for t in range(-2, 95)]
+
+    def label(g, t):
+        mine = [x[1:] for x in rows if x[0] == g]
+        inside = sorted((s, e, n) for s, e, n in mine if s is not None and e is not None and s <= t < e)
+        before, after = [(e, n) for _, e, n in mine if e is not None and e <= t], [(s, n) for s, _, n in mine if s is not None and s >= t]
+        if inside:
+            return inside[0][2], "inside"
+        if not before and not after:
+            return "UNKNOWN", "none"
+        a, b = max(before, default=None), min(after, default=None)
+        return (a if b is None or a and t - a[0] <= b[0] - t else b)[1], "nearest"
+
+    got = {x.k: (x.label, x.how) for x in J.label_at(spans(spark, points, "g int, k long, t long"), spans(spark, rows, "g int, start long, end long, label string"), ["g"], "t", "k").collect()}
+    assert got == {k: label(g, t) for g, k, t in points}

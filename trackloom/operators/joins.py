@@ -115,23 +115,30 @@ def asof_neighbours(points: DataFrame, known: DataFrame, group: Names, time: str
     return rows.where("__ask = 1").select(*group, key, time, "previous", "next")
 
 
-def label_at(points: DataFrame, spans: DataFrame, group: Names, time: str, key: str, width: float, default: str = "UNKNOWN") -> DataFrame:
+def label_at(points: DataFrame, spans: DataFrame, group: Names, time: str, key: str, width: float | None = None, default: str = "UNKNOWN") -> DataFrame:
     """Each point's label: of the first half-open span that holds it, else of the span with the nearest end, else the default.
 
-    The nearest end is the last end before or the first start after the point, found by two as-of lookups instead of a product.
+    The span that holds it, the last end before and the first start after the point are found by as-of lookups instead of products, so ``width``, that of
+    the buckets of an earlier form, has no effect.
     """
-    at = points.select(*group, key, F.col(time).alias("__t")).withColumn("__u", F.col("__t"))
-    inside = overlap_pairs(at, spans.select(*group, "start", "end", "label"), group, ("__t", "__u"), ("start", "end"), width, inclusive=True).where("__t < end")
-    inside = inside.groupBy(*group, key).agg(F.min_by("label", F.struct("start", "end", "label")).alias("held"))
-    rows = at.select(*group, key, "__t", F.lit(2).alias("__ask"), F.lit(None).cast("string").alias("label")).unionByName(spans.select(*group, F.lit(None).cast(points.schema[key].dataType).alias(key), F.col("end").alias("__t"), F.lit(0).alias("__ask"), "label"))
-    rows = rows.unionByName(spans.select(*group, F.lit(None).cast(points.schema[key].dataType).alias(key), F.col("start").alias("__t"), F.lit(1).alias("__ask"), "label"))
+    none = F.lit(None).cast(points.schema[key].dataType).alias(key)
+    at = points.select(*group, key, F.col(time).alias("__t"), F.lit(2).alias("__ask"), F.lit(None).cast("string").alias("label"))
+    ends = spans.select(*group, none, F.col("end").alias("__t"), F.lit(0).alias("__ask"), "label")
+    starts = spans.select(*group, none, F.col("start").alias("__t"), F.lit(1).alias("__ask"), "label")
+    # In order of start, end and label a span is the first to hold a point only beyond the ends of all before it, and what is left of the spans is disjoint.
+    before = Window.partitionBy(*group).orderBy("start", "end", "label").rowsBetween(Window.unboundedPreceding, -1)
+    first = spans.where("start < end").select(*group, "start", "end", "label", F.max("end").over(before).alias("__m")).where("__m IS NULL OR end > __m")
+    first = first.select(*group, none, F.greatest("start", "__m").alias("__t"), F.lit(3).alias("__ask"), "label", F.col("end").alias("__end"))
+    rows = at.unionByName(ends).unionByName(starts).unionByName(first, allowMissingColumns=True)
     back = Window.partitionBy(*group).orderBy("__t").rangeBetween(Window.unboundedPreceding, 0)
     ahead = Window.partitionBy(*group).orderBy(F.desc("__t")).rangeBetween(Window.unboundedPreceding, 0)
     edge = F.struct(F.col("__t").alias("t"), "label")
+    rows = rows.withColumn("__h", F.max(F.when(F.col("__ask") == 3, F.struct(F.col("__t").alias("t"), F.col("__end").alias("end"), "label"))).over(back))
     rows = rows.withColumn("__a", F.max(F.when(F.col("__ask") == 0, edge)).over(back)).withColumn("__b", F.min(F.when(F.col("__ask") == 1, edge)).over(ahead)).where("__ask = 2")
-    before, after = F.col("__t") - F.col("__a.t"), F.col("__b.t") - F.col("__t")
-    near = F.when(F.col("__b").isNull() | (before <= after), F.col("__a.label")).otherwise(F.col("__b.label"))
-    return rows.join(inside, [*group, key], "left").select(*group, key, F.coalesce("held", near, F.lit(default)).alias("label"), F.when(F.col("held").isNotNull(), "inside").when(near.isNotNull(), "nearest").otherwise("none").alias("how"))
+    held = F.when(F.col("__h.end") > F.col("__t"), F.col("__h.label"))
+    to_a, to_b = F.col("__t") - F.col("__a.t"), F.col("__b.t") - F.col("__t")
+    near = F.when(F.col("__b").isNull() | (to_a <= to_b), F.col("__a.label")).otherwise(F.col("__b.label"))
+    return rows.select(*group, key, F.coalesce(held, near, F.lit(default)).alias("label"), F.when(held.isNotNull(), "inside").when(near.isNotNull(), "nearest").otherwise("none").alias("how"))
 
 
 def authority_merge(roster: DataFrame, key: str, features: dict[str, DataFrame]) -> DataFrame:

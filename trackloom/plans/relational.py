@@ -281,7 +281,7 @@ def point_in_interval_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when(F.col("track_id") % 3 == 0, "A").when(F.col("track_id") % 3 == 1, "B").otherwise("C")
     held = tracks(spark, sf_dir).where("hits >= 4").select("camera", "start_frame", "end_frame", name.alias("label"), F.explode(F.sequence(F.floor(F.col("start_frame") / BATCH), F.floor(F.col("end_frame") / BATCH))).alias("batch"))
     held = held.select(*GROUP, F.greatest(F.col("start_frame"), F.col("batch") * BATCH).alias("start"), F.least(F.col("end_frame"), (F.col("batch") + 1) * BATCH).alias("end"), "label")
-    return joins.label_at(events(spark, sf_dir).where("label = 'signup'"), held, GROUP, "frame", "event_id", 720)
+    return joins.label_at(events(spark, sf_dir).where("label = 'signup'"), held, GROUP, "frame", "event_id")
 
 
 @query("""WITH q AS (SELECT doc_id, min(quality) AS quality FROM labels GROUP BY doc_id), u AS (SELECT d.doc_id, d.source, l.quality, l.toxic, b.item_id FROM documents d LEFT JOIN (SELECT doc_id, (min((quality, toxic)))[1] AS quality, (min((quality, toxic)))[2] AS toxic FROM labels GROUP BY doc_id) l USING (doc_id) LEFT JOIN benchmark b ON b.item_id = d.doc_id)
