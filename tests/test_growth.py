@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from trackloom.operators import joins
 from trackloom.plans import catalog
 
 SF = "/root/testdata/sf0.01"
@@ -44,3 +45,12 @@ def joined(df):
 def test_joins_grow_with_the_rows(spark, copies, name):
     query = catalog.queries()[name]
     assert joined(query(spark, copies)) <= 1.5 * TIMES * joined(query(spark, SF))
+
+
+def test_equal_segments_meet_the_units_once(spark):
+    """A thousand segments of one span and a thousand units are a thousand pairs, each met twice, not a million."""
+    local = spark.range(1000).selectExpr("1 AS g", "concat('L', id) AS local_id", "0L AS start", "2000L AS end")
+    units = spark.range(1000).selectExpr("1 AS g", "concat('U', id) AS unit_id", "2 * id AS unit_start", "2 * id + 1 AS unit_end")
+    out = joins.overlap_mapping(local, units, ["g"], 720)
+    assert joined(out) <= 10_000
+    assert {(r.unit_id, r.overlap, r.candidates, r.kind) for r in out.collect()} == {("U0", 1, 1000, "MANY_TO_ONE")}

@@ -16,19 +16,9 @@ from trackloom.operators.windows import median_of
 Names = Sequence[str]
 
 
-def _bucketed(df: DataFrame, start: Column, end: Column, width: float, keep: bool = False) -> DataFrame:
+def _bucketed(df: DataFrame, start: Column, end: Column, width: float) -> DataFrame:
     first, last = F.floor(start / width), F.floor(end / width)
-    each = F.explode_outer if keep else F.explode
-    return df.withColumn("__first", first).withColumn("__bucket", each(F.sequence(first, F.greatest(first, last))))
-
-
-def _meeting(left: DataFrame, right: DataFrame, group: Names, left_span: tuple[str, str], right_span: tuple[str, str], width: float, inclusive: bool, how: str) -> tuple[DataFrame, Column]:
-    """The join on buckets, and the test that its rows are pairs of overlapping spans, each in the first bucket that both touch."""
-    (ls, le), (rs, re_) = left_span, right_span
-    a = _bucketed(left, F.col(ls), F.col(le), width, how == "left").withColumnRenamed("__first", "__first_a")
-    b = _bucketed(right, F.col(rs), F.col(re_), width).withColumnRenamed("__first", "__first_b")
-    meet = ((F.col(ls) <= F.col(re_)) & (F.col(rs) <= F.col(le))) if inclusive else ((F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le)))
-    return a.join(b, [*group, "__bucket"], how), meet & (F.col("__bucket") == F.greatest("__first_a", "__first_b"))
+    return df.withColumn("__first", first).withColumn("__bucket", F.explode(F.sequence(first, F.greatest(first, last))))
 
 
 def overlap_pairs(left: DataFrame, right: DataFrame, group: Names, left_span: tuple[str, str], right_span: tuple[str, str], width: float, inclusive: bool = False) -> DataFrame:
@@ -36,8 +26,12 @@ def overlap_pairs(left: DataFrame, right: DataFrame, group: Names, left_span: tu
 
     ``width`` should be about the typical span: rows are copied once a bucket that they touch.
     """
-    pairs, meet = _meeting(left, right, group, left_span, right_span, width, inclusive, "inner")
-    return pairs.where(meet).drop("__bucket", "__first_a", "__first_b")
+    (ls, le), (rs, re_) = left_span, right_span
+    a = _bucketed(left, F.col(ls), F.col(le), width).withColumnRenamed("__first", "__first_a")
+    b = _bucketed(right, F.col(rs), F.col(re_), width).withColumnRenamed("__first", "__first_b")
+    pairs = a.join(b, [*group, "__bucket"])
+    meet = ((F.col(ls) <= F.col(re_)) & (F.col(rs) <= F.col(le))) if inclusive else ((F.col(ls) < F.col(re_)) & (F.col(rs) < F.col(le)))
+    return pairs.where(meet & (F.col("__bucket") == F.greatest("__first_a", "__first_b"))).drop("__bucket", "__first_a", "__first_b")
 
 
 def overlap_length(ls: Column, le: Column, rs: Column, re_: Column) -> Column:
@@ -49,18 +43,23 @@ def overlap_mapping(local: DataFrame, units: DataFrame, group: Names, width: flo
 
     ``local(group, local_id, start, end)`` and ``units(group, unit_id, unit_start, unit_end)`` on one clock; spans are half-open. Ties
     go to the lesser unit id as a string. Kinds: UNRESOLVED_OFFSET where ``resolved`` is false, ONE_TO_MANY with several units of at least
-    ``least_share`` of the segment, MANY_TO_ONE where several otherwise EXACT segments share a unit, UNMATCHED without any. Each side is read once: segments
-    without a unit come out of the join too. Repeated rows of a segment are one, segments without a start or an end UNMATCHED.
+    ``least_share`` of the segment, MANY_TO_ONE where several otherwise EXACT segments share a unit, UNMATCHED without any. Repeated rows of a segment are one,
+    segments without a start or an end UNMATCHED. Equal spans meet the units once. Pairs are met twice and never held: first for the most overlap and the counts, numbers that are
+    kept by hashing, then for those that share the most.
     """
-    spans = local.select(*group, "local_id", "start", "end", (F.lit(True) if resolved is None else resolved).alias("resolved"))
-    pairs, meet = _meeting(spans, units, group, ("start", "end"), ("unit_start", "unit_end"), width, False, "left")
+    spans = local.select(*group, "local_id", "start", "end", (F.lit(True) if resolved is None else resolved).alias("resolved")).distinct()
+    span = [*group, "start", "end"]
     shared = overlap_length(F.col("start"), F.col("end"), F.col("unit_start"), F.col("unit_end"))
-    pairs = pairs.withColumn("__meet", F.coalesce(meet, F.lit(False))).withColumn("overlap", shared).withColumn("fraction", shared / F.greatest(F.col("end") - F.col("start"), F.lit(1e-9)))
-    # One row a segment: the winner by struct order (most overlap, then least id), and counts.
-    best = F.struct((-F.col("overlap")).alias("o"), F.col("unit_id").cast("string").alias("unit_id"), "fraction")
-    out = pairs.groupBy(*spans.columns).agg(F.min(F.when(F.col("__meet"), best)).alias("top"), F.count_if("__meet").alias("candidates"), F.count_if(F.col("__meet") & (F.col("fraction") >= least_share)).alias("significant"))
-    kind = F.when(F.col("top").isNull(), "UNMATCHED").when(~F.col("resolved"), "UNRESOLVED_OFFSET").when(F.col("significant") > 1, "ONE_TO_MANY").otherwise("EXACT")
-    out = out.select(*group, "local_id", "start", "end", F.col("top.unit_id").alias("unit_id"), (-F.col("top.o")).alias("overlap"), F.col("top.fraction").alias("fraction"), "candidates", kind.alias("kind"))
+
+    def shares(rows: DataFrame) -> DataFrame:
+        return overlap_pairs(rows, units, group, ("start", "end"), ("unit_start", "unit_end"), width).withColumn("overlap", shared).withColumn("fraction", shared / F.greatest(F.col("end") - F.col("start"), F.lit(1e-9)))
+
+    most = shares(spans.select(*span).distinct()).groupBy(*span).agg(F.max("overlap").alias("__most"), F.count("*").alias("candidates"), F.count_if(F.col("fraction") >= least_share).alias("significant"))
+    # Of the units that share the most, the least id.
+    tops = shares(most).where("overlap = __most").groupBy(*span, "overlap", "fraction", "candidates", "significant").agg(F.min(F.col("unit_id").cast("string")).alias("unit_id"))
+    out = spans.join(tops, span, "left")
+    kind = F.when(F.col("candidates").isNull(), "UNMATCHED").when(~F.col("resolved"), "UNRESOLVED_OFFSET").when(F.col("significant") > 1, "ONE_TO_MANY").otherwise("EXACT")
+    out = out.select(*group, "local_id", "start", "end", "unit_id", "overlap", "fraction", F.coalesce("candidates", F.lit(0)).alias("candidates"), kind.alias("kind"))
     sharing = F.count("unit_id").over(Window.partitionBy(*group, "unit_id"))
     return out.withColumn("kind", F.when((F.col("kind") == "EXACT") & (sharing > 1), "MANY_TO_ONE").otherwise(F.col("kind")))
 
