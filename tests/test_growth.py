@@ -54,3 +54,9 @@ def test_equal_segments_meet_the_units_once(spark):
     out = joins.overlap_mapping(local, units, ["g"], 720)
     assert joined(out) <= 10_000
     assert {(r.unit_id, r.overlap, r.candidates, r.kind) for r in out.collect()} == {("U0", 1, 1000, "MANY_TO_ONE")}
+
+
+def test_kinds_count_the_segments(spark, copies):
+    """Copies of the sensors share their units: every camera has its segments as often, and what each overlaps."""
+    count = lambda folder: {c: (n, o) for c, n, o in catalog.queries()["overlap_mapping_kinds"](spark, folder).groupBy("camera").agg(F.sum("n"), F.sum("overlap")).collect()}
+    assert count(copies) == {c: (TIMES * n, TIMES * o) for c, (n, o) in count(SF).items()}
