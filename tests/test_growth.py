@@ -1,12 +1,13 @@
 """Copies of all sensors under other ids: what joins give must grow with the rows, not with their square."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from trackloom.operators import joins
-from trackloom.plans import catalog
+from trackloom.plans import catalog, relational
 
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables are not here")
@@ -40,7 +41,7 @@ def joined(df):
 
 
 @pytest.mark.parametrize("name", [
-    "match_counts", "nearest_match_with_leftovers", "pattern_penalty", "point_in_interval_label",
+    "identity_components", "match_counts", "nearest_match_with_leftovers", "pattern_penalty", "point_in_interval_label",
 ])
 def test_joins_grow_with_the_rows(spark, copies, name):
     query = catalog.queries()[name]
@@ -60,3 +61,24 @@ def test_kinds_count_the_segments(spark, copies):
     """Copies of the sensors share their units: every camera has its segments as often, and what each overlaps."""
     count = lambda folder: {c: (n, o) for c, n, o in catalog.queries()["overlap_mapping_kinds"](spark, folder).groupBy("camera").agg(F.sum("n"), F.sum("overlap")).collect()}
     assert count(copies) == {c: (TIMES * n, TIMES * o) for c, (n, o) in count(SF).items()}
+
+
+def test_cores_are_parts_of_identities(spark):
+    """Random crowded tracks: every two of a core are linked through pairs, by plain union."""
+    r = random.Random(5)
+    rows = [(c, 1000 * c + k, s := r.randint(0, 400), s + r.choice([0, 0, 3, 40, 200]), r.randint(0, 300)) for c in range(2) for k in range(150)]
+    t = spark.createDataFrame(rows, "camera int, track_id long, start_frame long, end_frame long, x_start long").withColumn("hour", F.floor(F.col("start_frame") / 60))
+    root = {x[1]: x[1] for x in rows}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for p in relational.identity_pairs(t).collect():
+        a, b = sorted((find(p.track_id), find(p.track_id_b)))
+        root[b] = a
+    cores = relational.identity_cores(t).collect()
+    assert len({c.core for c in cores}) < len(cores) == len(rows)
+    assert all(find(c.track_id) == find(c.core) for c in cores)
+    assert all(c.cored == sum(d.core == c.core for d in cores) for c in cores)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trackloom.functions import scalars as S
 from trackloom.operators import tracking
 from trackloom.operators.stateful import StreakConfig
-from trackloom.plans.relational import _SAME, identity_pairs
+from trackloom.plans.relational import _SAME, identity_pairs, identity_tracks
 from trackloom.plans.stage import BATCH, EV, SESS, events, query, sessions, table
 from trackloom.streaming import streams as T
 from trackloom.streaming import trackers
@@ -117,10 +117,9 @@ def track_look_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT p.a, p.b, round({_LOOK_SQL.format(a="ea.embedding", b="eb.embedding")}, 6) AS alike FROM p JOIN summ sa ON sa.track_id = p.a JOIN summ sb ON sb.track_id = p.b LEFT JOIN embeddings ea ON ea.vec_id = sa.snapshot LEFT JOIN embeddings eb ON eb.vec_id = sb.snapshot""")
 def identity_looks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How alike the looks of tracks are that may be one; 0.5 where one of them has none."""
-    looks = track_looks(spark, sf_dir)
-    side = lambda n: looks.select(F.col("track_id").alias(n), F.col("look").alias(f"look_{n}"))
-    pairs = identity_pairs(spark, sf_dir).select(F.col("track_id").alias("a"), F.col("track_id_b").alias("b")).join(side("a"), "a").join(side("b"), "b")
-    return pairs.select("a", "b", F.round(S.alike(F.col("look_a"), F.col("look_b")), 6).alias("alike"))
+    # A track takes its look along, so the pairs, as many as there are, go out as they are met.
+    t = identity_tracks(spark, sf_dir).join(track_looks(spark, sf_dir).select("track_id", "look"), "track_id")
+    return identity_pairs(t).select(F.col("track_id").alias("a"), F.col("track_id_b").alias("b"), F.round(S.alike(F.col("look"), F.col("look_b")), 6).alias("alike"))
 
 
 LABELS = ("click", "error", "purchase", "signup", "view")

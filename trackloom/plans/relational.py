@@ -322,19 +322,43 @@ _SAME = TRK + """, p AS (SELECT a.track_id AS a, b.track_id AS b FROM trk a JOIN
 e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p), r(node, root) AS (SELECT DISTINCT a, a FROM e UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.root), comp AS (SELECT node, min(root) AS root FROM r GROUP BY node)"""
 
 
-def identity_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tracks of a camera that begin within an hour of each other and are similar enough in place and time; hours meet their neighbours."""
-    t = tracks(spark, sf_dir).select("camera", "track_id", "start_frame", "end_frame", "x_start", F.floor(F.col("start_frame") / 60).alias("hour"))
-    names = {c: f"{c}_b" for c in ("track_id", "start_frame", "end_frame", "x_start")}
-    other = t.withColumn("hour", F.explode(F.array(F.col("hour") - 1, F.col("hour"), F.col("hour") + 1))).withColumnsRenamed(names)
-    near = (F.col("track_id") < F.col("track_id_b")) & (F.abs(F.col("start_frame") - F.col("start_frame_b")) < 60) & (F.abs(F.col("x_start") - F.col("x_start_b")) <= 80)
+def identity_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tracks(spark, sf_dir).select("camera", "track_id", "start_frame", "end_frame", "x_start", F.floor(F.col("start_frame") / 60).alias("hour"))
+
+
+def identity_pairs(t: DataFrame, key: str = "track_id") -> DataFrame:
+    """Rows of a camera that begin within an hour of each other and are similar enough in place and time, the lesser key first; hours meet their neighbours.
+
+    All columns come along, those of the other row with ``_b``, so nothing has to be joined to the pairs.
+    """
+    other = t.withColumn("hour", F.explode(F.array(F.col("hour") - 1, F.col("hour"), F.col("hour") + 1))).withColumnsRenamed({c: f"{c}_b" for c in t.columns if c not in ("camera", "hour")})
+    near = (F.col(key) < F.col(f"{key}_b")) & (F.abs(F.col("start_frame") - F.col("start_frame_b")) < 60) & (F.abs(F.col("x_start") - F.col("x_start_b")) <= 80)
     alike = 0.5 * S.spatial_similarity(F.abs(F.col("x_start") - F.col("x_start_b")), F.lit(80.0)) + 0.5 * S.temporal_similarity(F.col("start_frame"), F.col("end_frame"), F.col("start_frame_b"), F.col("end_frame_b"), 60)
-    return t.join(other, ["camera", "hour"]).where(near & (alike >= 0.6)).select("track_id", "track_id_b")
+    return t.join(other, ["camera", "hour"]).where(near & (alike >= 0.6))
+
+
+def identity_cores(t: DataFrame) -> DataFrame:
+    """Adds ``core``, the least of the tracks that are one for certain, and ``cored``, how many they are.
+
+    Tracks that begin in the same hour and the same 40 of place and share a frame are alike by 0.5 * (1 - 39 / 80) + 0.5 * 0.7 at least. One that shares a frame with
+    any before it does so with the one that goes on longest, so a sweep finds them.
+    """
+    cell = ["camera", "hour", F.floor(F.col("x_start") / 40)]
+    w = Window.partitionBy(*cell).orderBy("start_frame", "track_id")
+    before = F.max("end_frame").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    t = t.withColumn("__new", F.when(F.col("start_frame") <= before, 0).otherwise(1))
+    t = t.withColumn("__n", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    core = Window.partitionBy(*cell, "__n")
+    return t.withColumn("core", F.min("track_id").over(core)).withColumn("cored", F.count("*").over(core)).drop("__new", "__n")
 
 
 @query(f"WITH RECURSIVE {_SAME} SELECT * FROM comp")
 def identity_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.least_member(identity_pairs(spark, sf_dir), "track_id", "track_id_b")
+    """Cores of tracks are nodes, so that pairs of equal tracks are not met, and pairs of cores that have several pairs of tracks are one by hashing."""
+    t = identity_cores(identity_tracks(spark, sf_dir))
+    spans = t.select("camera", "hour", "start_frame", "end_frame", "x_start", "core").distinct()
+    roots = graph.least_member(identity_pairs(spans, "core").select("core", "core_b").distinct(), "core", "core_b").withColumnRenamed("node", "core")
+    return t.join(roots, "core", "left").where("cored > 1 OR root IS NOT NULL").select(F.col("track_id").alias("node"), F.coalesce("root", "core").alias("root"))
 
 
 @query(f"""WITH RECURSIVE {_SAME}, st AS (SELECT trk.*, coalesce(root, track_id) AS root, CASE WHEN x_end > 500 THEN 'OPEN' ELSE 'CLOSED' END AS state FROM trk LEFT JOIN comp ON node = track_id)
