@@ -82,3 +82,9 @@ def test_cores_are_parts_of_identities(spark):
     assert len({c.core for c in cores}) < len(cores) == len(rows)
     assert all(find(c.track_id) == find(c.core) for c in cores)
     assert all(c.cored == sum(d.core == c.core for d in cores) for c in cores)
+
+
+def test_looks_are_not_joined_to_pairs(spark, copies):
+    """The pairs themselves grow with the square, so nothing but the join that makes them may give as many rows."""
+    df = catalog.queries()["identity_looks"](spark, copies)
+    assert joined(df) <= 2 * df.count()
