@@ -41,7 +41,7 @@ def joined(df):
 
 
 @pytest.mark.parametrize("name", [
-    "identity_components", "match_counts", "nearest_match_with_leftovers", "pattern_penalty", "point_in_interval_label",
+    "identity_components", "match_counts", "merged_identities", "nearest_match_with_leftovers", "pattern_penalty", "point_in_interval_label",
 ])
 def test_joins_grow_with_the_rows(spark, copies, name):
     query = catalog.queries()[name]
