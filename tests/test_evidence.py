@@ -144,3 +144,19 @@ def test_bounds_hold(spark):
     curve = E._score(E._sides(m, s, ["g"], "camera"), bounds, ["g", "camera"], CFG).join(bounds, ["g", "camera", "offset"])
     assert curve.count() == 6 * 49 and curve.where(F.col("score") < F.col("bound") - 1e-9).count() == 0
     assert curve.where("NOT voted AND abs(score - bound) > 1e-9").count() == 0
+
+
+def test_votes_by_every_pair():
+    r = random.Random(4)
+    for _ in range(60):
+        rows = sorted((round(r.uniform(0, 25), 1), r.choice("MS"), 1.0, k) for k in range(r.randint(1, 25)))
+        steps = [{(side, k) for t, side, _, k in rows for u, other, *_ in rows if side != other and abs((u - t if side == "S" else t - u) - (n * CFG.step - CFG.search)) <= CFG.align.gate + 1e-9} for n in range(49)]
+        m, s = E._votes(rows, CFG)
+        assert (m, s) == tuple([sum(x[0] == side for x in found) for found in steps] for side in "MS")
+
+
+def test_neither_votes_nor_candidates_are_rows(spark):
+    """The search of the named query is one fold over the rows: nothing is written between, and no row is multiplied."""
+    masters, supports = spark.range(0).selectExpr("1 AS g", "id AS key", "0.5D AS time", "1D AS confidence"), spark.range(0).selectExpr("1 AS g", "'c' AS camera", "id AS key", "0.5D AS time", "1D AS confidence")
+    plan = E.estimate_offsets(masters, supports, ["g"], cfg=CFG)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan and "Generate" not in plan

@@ -5,14 +5,18 @@ Master rows are ``(group, key, time, confidence)``, support rows ``(group, camer
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections import deque
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
+from operator import itemgetter
+from statistics import median
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackloom.operators import aggregates, joins, reports, stateful
-from trackloom.operators.graph import cut_lineage
+from trackloom.operators import reports, stateful
 from trackloom.operators.stateful import AlignConfig
 
 Names = Sequence[str]
@@ -90,42 +94,96 @@ class OffsetConfig:
     first: int = 8
 
 
+def _votes(rows: Iterable[tuple], cfg: OffsetConfig) -> tuple[list[int], list[int]]:
+    """How many masters, and how many supports, an offset of the search can bring into the gate of another; rows are ``(time, side, ...)`` in order of time.
+
+    The steps that a pair votes for move one way as a row's partners go by, so what is new of them is what reaches beyond those it has.
+    """
+    steps, gate = int(round(2 * cfg.search / cfg.step)), cfg.align.gate
+    counts = {"M": [0] * (steps + 2), "S": [0] * (steps + 2)}
+    open_: dict[str, deque] = {"M": deque(), "S": deque()}
+    for t, side, *_ in rows:
+        own = [t, steps + 1 if side == "M" else -1]
+        for waiting in open_.values():
+            while waiting and waiting[0][0] < t - cfg.search - gate - cfg.step:
+                waiting.popleft()
+        for other in open_["S" if side == "M" else "M"]:
+            m, s = (own, other) if side == "M" else (other, own)
+            far = m[0] - s[0]
+            low = max(math.ceil((far - gate + cfg.search) / cfg.step - 1e-9), 0)
+            high = min(math.floor((far + gate + cfg.search) / cfg.step + 1e-9), steps)
+            if low > high:
+                continue
+            for row, name, first, last in ((m, "M", low, min(high, m[1] - 1)), (s, "S", max(low, s[1] + 1), high)):
+                if first <= last:
+                    counts[name][first] += 1
+                    counts[name][last + 1] -= 1
+            m[1], s[1] = min(m[1], low), max(s[1], high)
+        open_[side].append(own)
+    return list(accumulate(counts["M"]))[: steps + 1], list(accumulate(counts["S"]))[: steps + 1]
+
+
+def _bounds(rows: Sequence[tuple], cfg: OffsetConfig) -> tuple[list[tuple[float, float, bool]], int, int]:
+    """``(offset, bound, voted)`` of each step, and how many masters and supports there are."""
+    nm = sum(r[1] == "M" for r in rows)
+    ns = len(rows) - nm
+    most = [min(pair) for pair in zip(*_votes(rows, cfg))]
+    return [(k * cfg.step - cfg.search, float((nm - n) * cfg.align.missing + (ns - n) * cfg.align.extra), n > 0) for k, n in enumerate(most)], nm, ns
+
+
 def offset_bounds(masters: DataFrame, supports: DataFrame, on: Names, group: Names, cfg: OffsetConfig) -> DataFrame:
-    """``(group, camera, step, offset, bound)`` for every offset of the search: no alignment there can score less than ``bound``.
+    """``(group, camera, step, offset, bound, voted)`` for every offset of the search: no alignment there can score less than ``bound``.
 
     The time differences of all pairs within reach vote for the offsets that bring them into the gate; masters and supports that no pair
     reaches stay unmatched, and each costs its full price. An offset without votes scores exactly its bound.
     """
-    a = cfg.align
-    steps = int(round(2 * cfg.search / cfg.step))
-    m = masters.select(*group, F.col("key").alias("__mk"), F.col("time").cast("double").alias("__m"))
-    s = supports.select(*on, F.col("key").alias("__sk"), F.col("time").cast("double").alias("__s"))
-    reach = cfg.search + a.gate
-    m = m.withColumn("__from", F.col("__m") - reach).withColumn("__to", F.col("__m") + reach)
-    # The supports of all cameras meet their group's masters in buckets of the reach.
-    pairs = joins.overlap_pairs(m, s.withColumn("__at", F.col("__s")), group, ("__from", "__to"), ("__s", "__at"), 2 * reach, inclusive=True)
-    far = F.col("__m") - F.col("__s")
-    low = F.greatest(F.ceil((far - a.gate + cfg.search) / cfg.step - 1e-9), F.lit(0)).cast("int")
-    high = F.least(F.floor((far + a.gate + cfg.search) / cfg.step + 1e-9), F.lit(steps)).cast("int")
-    votes = pairs.select(*on, "__mk", "__sk", low.alias("__l"), high.alias("__h")).where("__l <= __h").withColumn("step", F.explode(F.sequence("__l", "__h")))
-    # Distinct members by two plain aggregations each; the votes of one offset are not gathered.
-    count = lambda key: votes.groupBy(*on, "step", key).agg(F.lit(1).alias("__1")).groupBy(*on, "step").agg(F.count("*").alias(f"n{key}"))
-    sizes = s.groupBy(*on).agg(F.count("*").alias("__ns")).join(m.groupBy(*group).agg(F.count("*").alias("__nm")), list(group))
-    every = sizes.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(steps))))
-    every = every.join(count("__mk"), [*on, "step"], "left").join(count("__sk"), [*on, "step"], "left")
-    most = F.coalesce(F.least("n__mk", "n__sk"), F.lit(0))
-    bound = (F.col("__nm") - most) * a.missing + (F.col("__ns") - most) * a.extra
-    return every.select(*on, "step", (F.col("step") * cfg.step - cfg.search).alias("offset"), bound.cast("double").alias("bound"), (most > 0).alias("voted"), "__nm", "__ns")
+
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
+        found, nm, _ = _bounds(list(rows), cfg)
+        if nm:
+            yield from ((k, *row) for k, row in enumerate(found))
+
+    (camera,) = [c for c in on if c not in group]
+    return stateful._fold(_sides(masters, supports, group, camera), on, ["time", "side", "key"], ["time", "side"], {"step": "int", "offset": "double", "bound": "double", "voted": "boolean"}, work)
 
 
 def _score(sides: DataFrame, offsets: DataFrame, on: Names, cfg: OffsetConfig) -> DataFrame:
+    """The scores of given offsets, each a group of its own."""
     return stateful.offset_curve(sides.join(offsets.select(*on, "offset").distinct(), list(on)), on, "offset", cfg.align)
 
 
-def _first(df: DataFrame, on: Names, order: Sequence[Column]) -> DataFrame:
-    """The first row of each camera."""
-    fields = [c for c in df.columns if c not in on]
-    return df.groupBy(*on).agg(F.min_by(F.struct(*fields), F.struct(*[o.alias(f"o{k}") for k, o in enumerate(order)])).alias("r")).select(*on, "r.*")
+def _search(rows: list[tuple], cfg: OffsetConfig) -> tuple | None:
+    """The search of ``estimate_offsets`` over one camera's rows ``(time, side, confidence, key)`` in order of time."""
+    bounds, nm, ns = _bounds(rows, cfg)
+    if not nm:
+        return None
+
+    def scored(offset: float) -> tuple:
+        moved = sorted(((t + (offset if side == "S" else 0.0), side, c, t, k) for t, side, c, k in rows), key=lambda r: (r[0], r[1], r[4]))
+        return stateful.curve_score(moved, cfg.align)
+
+    # Without votes nothing can match, so those offsets need no alignment.
+    known = {o: (b, 0, nm, ns) for o, b, voted in bounds if not voted}
+    order = lambda o: (known[o][0], abs(o), o)
+    times = [t for t, side, *_ in rows if side == "M"]
+    positive = [b - a for a, b in zip(times, times[1:]) if b > a]
+    spacing = median(positive) if positive else 0.0
+    apart = max((cfg.separation or spacing or 1.0) * 0.75, 2 * cfg.align.gate)
+    wave = [o for _, _, o in sorted((b, abs(o), o) for o, b, voted in bounds if voted)[: cfg.first]]
+    while True:
+        known |= {o: scored(o) for o in wave}
+        best = min(known, key=order)
+        rival = min((o for o in known if abs(o - best) >= apart), key=order, default=None)
+        limit = math.inf if rival is None else known[rival][0]
+        wave = [o for o, b, voted in bounds if voted and b <= limit and o not in known]
+        if not wave:
+            break
+    # The fine pass takes the first strictly better score; then the winner is shifted by whole spacings.
+    low = best - cfg.fine_window
+    tried = [(*scored(o), o) for o in (low + k * cfg.fine_step for k in range(int(round(2 * cfg.fine_window / cfg.fine_step)) + 1))]
+    score, n_match, n_missing, n_extra, offset = min([(*known[best], best), *tried], key=itemgetter(0))
+    alias = min(((scored(offset + k * spacing)[0], abs(k), k) for k in (-1, 0, 1)), default=None) if spacing > 0 else (None, None, None)
+    return offset, score, n_match, n_missing, n_extra, rival, None if rival is None else known[rival][0], alias[2], alias[0], nm, ns
 
 
 def estimate_offsets(masters: DataFrame, supports: DataFrame, group: Names, camera: str = "camera", cfg: OffsetConfig = OffsetConfig()) -> DataFrame:
@@ -136,37 +194,18 @@ def estimate_offsets(masters: DataFrame, supports: DataFrame, group: Names, came
     most promising, then, wave by wave, those that could still win or be the rival. A fine pass of ``fine_step`` around the winner takes the first strictly better
     score. UNRESOLVED are TOO_FEW matches, an ALIAS (a shift by one median spacing of the masters scores better) and an AMBIGUOUS margin between winner
     and rival; NO_MASTERS where a group has none. ``usable`` is the offset where it is resolved, else 0.
+
+    A camera's rows of a group are dealt once and searched where they are, so they have to fit a task; neither votes nor candidates are rows.
     """
     on = [*group, camera]
-    sides = _sides(masters, supports, group, camera)
-    period = aggregates.median_spacing(masters.withColumn("time", F.col("time").cast("double")), group, "time")
-    apart = F.lit(cfg.separation) if cfg.separation > 0 else F.when(F.col("spacing") > 0, F.col("spacing")).otherwise(1.0)
-    bounds = cut_lineage(offset_bounds(masters, supports, on, group, cfg).join(period, list(group)).withColumn("apart", F.greatest(apart * 0.75, F.lit(2 * cfg.align.gate))))
-    # Without votes nothing can match, so those offsets need no alignment.
-    zero = F.lit(0).cast("long")
-    known = bounds.where("NOT voted").select(*on, "offset", F.col("bound").alias("score"), zero.alias("n_match"), F.col("__nm").alias("n_missing"), F.col("__ns").alias("n_extra"))
-    order = [F.col("score"), F.abs("offset"), F.col("offset")]
-    head = bounds.where("voted").groupBy(*on).agg(F.slice(F.array_sort(F.collect_list(F.struct("bound", F.abs("offset").alias("shift"), "offset"))), 1, cfg.first).alias("head"))
-    wave = head.select(*on, F.explode("head").alias("h")).select(*on, "h.offset")
-    while True:
-        known = cut_lineage(known.unionByName(_score(sides, wave, on, cfg)))
-        best = _first(known, on, order)
-        rivals = known.select(*on, F.col("offset").alias("runner_up"), F.col("score").alias("rival")).join(best.select(*on, "offset"), on).join(bounds.select(*on, "apart").distinct(), on)
-        rival = _first(rivals.where("abs(runner_up - offset) >= apart").select(*on, "runner_up", "rival"), on, [F.col("rival"), F.abs("runner_up"), F.col("runner_up")])
-        limit = best.select(*on, "score").join(rival, on, "left").select(*on, F.coalesce("rival", F.lit(float("inf"))).alias("limit"))
-        wave = cut_lineage(bounds.where("voted").join(limit, on).where("bound <= limit").select(*on, "offset").join(known.select(*on, "offset"), [*on, "offset"], "left_anti"))
-        if wave.isEmpty():
-            break
-    # The fine pass, then the winner shifted by whole spacings.
-    w = int(round(2 * cfg.fine_window / cfg.fine_step))
-    fine = best.select(*on, (F.col("offset") - cfg.fine_window).alias("__low")).withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(w)))).select(*on, "__k", (F.col("__low") + F.col("__k") * cfg.fine_step).alias("offset"))
-    tried = _score(sides, fine, on, cfg).join(fine, [*on, "offset"])
-    best = cut_lineage(_first(tried.unionByName(best.withColumn("__k", F.lit(-1))), on, [F.col("score"), F.col("__k")]).drop("__k"))
-    shifts = best.join(bounds.select(*on, "spacing").distinct(), on).where("spacing > 0").withColumn("k", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-    shifts = shifts.select(*on, "k", (F.col("offset") + F.col("k") * F.col("spacing")).alias("offset"))
-    alias = _first(_score(sides, shifts, on, cfg).join(shifts, [*on, "offset"]).select(*on, "k", F.col("score").alias("alias_score")), on, [F.col("alias_score"), F.abs("k"), F.col("k")])
-    sizes = bounds.select(*on, "__nm", "__ns").distinct()
-    out = best.join(rival, on, "left").join(alias, on, "left").join(sizes, on)
+
+    def work(rows: Iterator[tuple]) -> Iterator[tuple]:
+        found = _search(list(rows), cfg)
+        if found:
+            yield found
+
+    kinds = {"offset": "double", "score": "double", "n_match": "bigint", "n_missing": "bigint", "n_extra": "bigint", "runner_up": "double", "rival": "double", "k": "int", "alias_score": "double", "__nm": "bigint", "__ns": "bigint"}
+    out = stateful._fold(_sides(masters, supports, group, camera), on, ["time", "side", "key"], ["time", "side", "confidence", "key"], kinds, work)
     margin = F.when(F.col("rival").isNull(), F.lit(float("inf"))).otherwise((F.col("rival") - F.col("score")) / F.greatest(F.abs("score"), F.abs("rival"), F.lit(1.0)))
     least = F.greatest(F.ceil(cfg.min_match * F.least("__nm", "__ns")), F.lit(1))
     reason = F.when(F.col("n_match") < least, "TOO_FEW").when((F.col("k") != 0) & (F.col("alias_score") < F.col("score")), "ALIAS").when(margin < cfg.min_margin, "AMBIGUOUS")

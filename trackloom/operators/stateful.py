@@ -508,6 +508,24 @@ def align(df: DataFrame, group: Names, cfg: AlignConfig = AlignConfig()) -> Data
     return _fold(rows, group, ["time", "side", "key"], ["time", "side", "confidence", "key"], kinds, work)
 
 
+def curve_score(rows: Iterable[tuple], cfg: AlignConfig) -> tuple[float, int, int, int]:
+    """``(score, n_match, n_missing, n_extra)`` of rows ``(at, side, confidence, time)`` in order of ``at``, the time on the common clock."""
+    cost = penalty = 0.0
+    n_match = n_missing = n_extra = 0
+    last = None
+    for part, masters, supports, pairs in _aligned(iter(rows), cfg):
+        cost += part
+        n_match, n_missing, n_extra = n_match + len(pairs), n_missing + len(masters) - len(pairs), n_extra + len(supports) - len(pairs)
+        for i, j in pairs:
+            here = masters[i][0], supports[j][3]
+            if last:
+                dm, ds = here[0] - last[0], here[1] - last[1]
+                if dm > 0 and ds > 0:
+                    penalty += abs(dm - ds) / max(dm, ds)
+            last = here
+    return float(cost + cfg.pattern_weight * penalty), n_match, n_missing, n_extra
+
+
 def offset_curve(df: DataFrame, group: Names, offset: str, cfg: AlignConfig = AlignConfig()) -> DataFrame:
     """Score of each candidate clock offset: alignment cost plus how much the spacings of matched pairs disagree.
 
@@ -516,20 +534,7 @@ def offset_curve(df: DataFrame, group: Names, offset: str, cfg: AlignConfig = Al
     """
 
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
-        cost = penalty = 0.0
-        n_match = n_missing = n_extra = 0
-        last = None
-        for part, masters, supports, pairs in _aligned(rows, cfg):
-            cost += part
-            n_match, n_missing, n_extra = n_match + len(pairs), n_missing + len(masters) - len(pairs), n_extra + len(supports) - len(pairs)
-            for i, j in pairs:
-                here = masters[i][0], supports[j][3]
-                if last:
-                    dm, ds = here[0] - last[0], here[1] - last[1]
-                    if dm > 0 and ds > 0:
-                        penalty += abs(dm - ds) / max(dm, ds)
-                last = here
-        yield float(cost + cfg.pattern_weight * penalty), n_match, n_missing, n_extra
+        yield curve_score(rows, cfg)
 
     kinds = {"score": "double", "n_match": "bigint", "n_missing": "bigint", "n_extra": "bigint"}
     shifted = df.withColumn("__at", F.col("time").cast("double") + F.when(F.col("side") == "S", F.col(offset).cast("double")).otherwise(0.0))
