@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -320,3 +321,25 @@ def test_tracks_come_back_and_new_ids_wait(spark):
         0: (None, "PENDING"), 1: (None, "PENDING"), 2: (1, "NEW"), 3: (1, "MATCH"), 12: (1, "REVIVED"), 13: (1, "MATCH"),
         30: (None, "PENDING"), 32: (None, "PENDING"), 36: (None, "PENDING"), 37: (None, "PENDING"), 38: (2, "NEW"),
     }
+
+
+def test_transport_is_the_assignment_of_its_units():
+    """Small flows, gated in places, against the assignment of single units."""
+    r = np.random.default_rng(7)
+    for _ in range(300):
+        n, m = r.integers(1, 6, 2)
+        cost = np.where(r.random((n, m)) < 0.3, np.inf, r.integers(0, 12, (n, m)).astype(float))
+        supply, capacity = r.integers(1, 5, n), r.integers(1, 5, m)
+        units = np.repeat(np.repeat(cost, supply, axis=0), capacity, axis=1)
+        got, want = S.transport(cost, supply, capacity), S.assign_optimal(units)
+        assert all(k > 0 and np.isfinite(cost[i, j]) for i, j, k in got)
+        assert all(sum(k for i, _, k in got if i == x) <= supply[x] for x in range(n)) and all(sum(k for _, j, k in got if j == x) <= capacity[x] for x in range(m))
+        assert (sum(k for *_, k in got), sum(k * cost[i, j] for i, j, k in got)) == (len(want), sum(units[i, j] for i, j in want))
+
+
+def test_crowded_frames_are_assigned_by_place(spark):
+    """Frames of 4000 detections on 40 places: single units would need a matrix of 16 million distances for each frame."""
+    df = spark.range(4 * 4000).selectExpr("1 AS g", "id DIV 4000 AS frame", "CAST(id % 40 * 7 + id DIV 4000 AS double) AS x", "0D AS y", "id AS key")
+    start = time.time()
+    got = S.track_optimal(df, ["g"], 60.0, 5, 2).collect()
+    assert len({x.track for x in got}) == 4000 and time.time() - start < 30

@@ -571,19 +571,91 @@ def assign_optimal(cost: np.ndarray) -> list[tuple[int, int]]:
     return sorted((int(match[j]) - 1, j - 1) for j in range(1, m + 1) if match[j] and np.isfinite(cost[match[j] - 1, j - 1]))
 
 
+def transport(cost: np.ndarray, supply: Sequence[int], capacity: Sequence[int]) -> list[tuple[int, int, int]]:
+    """``(row, column, units)`` of the least-cost flow of as many units as can be; infinite entries are never used. With units of one this is ``assign_optimal``.
+
+    Each row fills its cheapest columns first; what is left goes by shortest augmenting paths, as many units at once as a path can take.
+    """
+    n, m = cost.shape
+    left, room = np.array(supply, int), np.array(capacity, int)
+    if left.sum() > room.sum():
+        return sorted((i, j, k) for j, i, k in transport(cost.T, capacity, supply))
+    finite = np.isfinite(cost)
+    if not finite.any():
+        return []
+    c = np.where(finite, cost, (np.max(cost[finite]) + 1) * (left.sum() + 1))
+    u, v, flow = c.min(axis=1), np.zeros(m), np.zeros((n, m), int)
+
+    def push(i: int, j: int, k: int) -> None:
+        flow[i, j] += k
+        left[i] -= k
+        room[j] -= k
+
+    for i in range(n):
+        for j in np.flatnonzero(c[i] == u[i]):
+            push(i, j, min(left[i], room[j]))
+    for i in range(n):
+        while left[i]:
+            least, way, done = np.full(m, np.inf), np.zeros(m, int), np.zeros(m, bool)
+            came, far, fresh = {i: (-1, 0.0)}, 0.0, [i]  # rows reached: by which column, and how far
+            while True:
+                for r in fresh:
+                    slack = c[r] - u[r] - v + far
+                    better = ~done & (slack < least)
+                    least[better], way[better] = slack[better], r
+                j = int(np.argmin(np.where(done, np.inf, least)))
+                far, done[j] = least[j], True
+                if room[j]:
+                    break
+                fresh = [r for r in np.flatnonzero(flow[:, j]).tolist() if r not in came]
+                came |= {r: (j, far) for r in fresh}
+            for r, (_, d) in came.items():
+                u[r] += far - d
+            v[done] -= far - least[done]
+            path, r, k = [], int(way[j]), min(left[i], room[j])
+            end = j
+            while True:
+                back = came[r][0]
+                path.append((r, end, back))
+                if back < 0:
+                    break
+                k = min(k, flow[r, back])
+                end, r = back, int(way[back])
+            for r, end, back in path:
+                flow[r, end] += k
+                if back >= 0:
+                    flow[r, back] -= k
+            left[i] -= k
+            room[j] -= k
+    return [(i, j, int(flow[i, j])) for i, j in np.argwhere((flow > 0) & finite).tolist()]
+
+
 def track_optimal(detections: DataFrame, group: Names, gate: float = 200.0, max_missed: int = 30, min_hits: int = 3, tentative: int = 3) -> DataFrame:
     """Tracks ``(group, key, track)`` over ``(frame, x, y, key)`` by optimal assignment of each frame to the open tracks, within a gate.
 
-    A track is tentative until ``min_hits`` hits, and then dies after ``tentative`` missed frames, a confirmed one after ``max_missed``.
+    A track is tentative until ``min_hits`` hits, and then dies after ``tentative`` missed frames, a confirmed one after ``max_missed``. Detections of one place are
+    alike to the assignment, and so are tracks, so it is between different places.
     """
 
+    def placed(places: Iterable[tuple[float, float]]) -> tuple[np.ndarray, list[list[int]]]:
+        """The different places, and who is at each."""
+        at: dict[tuple[float, float], list[int]] = {}
+        for i, place in enumerate(places):
+            at.setdefault(place, []).append(i)
+        return np.array(list(at), float).reshape(len(at), 2), list(at.values())
+
+    def assigned(seen: list[tuple], open_: list[dict]) -> dict[int, int]:
+        (points, mine), (places, theirs) = placed((float(x), float(y)) for _, x, y, _ in seen), placed(t["at"] for t in open_)
+        cost = np.hypot(points[:, None, 0] - places[None, :, 0], points[:, None, 1] - places[None, :, 1])
+        rows, columns = [iter(w) for w in mine], [iter(w) for w in theirs]
+        return {next(rows[i]): next(columns[j]) for i, j, k in transport(np.where(cost > gate, np.inf, cost), [len(w) for w in mine], [len(w) for w in theirs]) for _ in range(k)}
+
     def work(rows: Iterator[tuple]) -> Iterator[tuple]:
         open_, new = [], 0
         for f, seen in groupby(rows, itemgetter(0)):
             seen = list(seen)
             open_ = [t for t in open_ if f - t["last"] - 1 < (max_missed if t["hits"] >= min_hits else tentative)]
-            cost = np.array([[float(np.hypot(x - t["at"][0], y - t["at"][1])) for t in open_] for _, x, y, _ in seen]).reshape(len(seen), len(open_))
-            chosen = dict(assign_optimal(np.where(cost > gate, np.inf, cost))) if open_ else {}
+            chosen = assigned(seen, open_) if open_ else {}
             for i, (_, x, y, key) in enumerate(seen):
                 if i in chosen:
                     t = open_[chosen[i]]
