@@ -195,14 +195,32 @@ def verified(current: Column, evidence: Mapping[str, Column], confirms: Column,
     return F.when(confirms, current).when(F.round(strength, 6) >= least, "REJECTED").otherwise(current)
 
 
+def _sum(x: Column) -> Column:
+    return F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
+
+
+def _dot(x: Column, y: Column) -> Column:
+    return _sum(F.zip_with(x, y, lambda s, t: s * t))
+
+
+def _let(value: Column, then) -> Column:
+    """Names a value, so that it is worked out once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def look_of(a: Column) -> Column:
+    """A histogram as ``alike_looks`` takes it: its values less their mean, so that sums of products of like values lose no digits, and the sum of their squares."""
+    centred = _let(F.transform(a, lambda v: v.cast("double")), lambda p: _let(_sum(p) / F.size(p), lambda m: F.transform(p, lambda v: v - m)))
+    return F.when(F.size(a) > 0, _let(centred, lambda c: F.struct(c.alias("c"), _dot(c, c).alias("q"))))
+
+
+def alike_looks(a: Column, b: Column) -> Column:
+    """``alike`` of histograms that were prepared by ``look_of``, once each and not once a pair."""
+    spread = a["q"] * b["q"]
+    near = (F.when(spread > 2.0**-52, _dot(a["c"], b["c"]) / F.sqrt(spread)).otherwise(1.0) + 1) / 2
+    return F.when(F.coalesce(F.size(a["c"]) == F.size(b["c"]), F.lit(False)) & a.isNotNull() & b.isNotNull(), near).otherwise(0.5)
+
+
 def alike(a: Column, b: Column) -> Column:
     """Correlation of two histograms (arrays of numbers) from 0 to 1; 0.5 where one is null or empty or their sizes differ, 1 where one does not vary."""
-    total = lambda x: F.aggregate(x, F.lit(0.0), lambda s, v: s + v)
-    #: Names a value, so that it is worked out once.
-    let = lambda value, then: F.get(F.transform(F.array(value), then), F.lit(0))
-    # The mean is taken off first, so that sums of products of like values lose no digits.
-    centred = lambda x: let(F.transform(x, lambda v: v.cast("double")), lambda p: let(total(p) / F.size(p), lambda m: F.transform(p, lambda v: v - m)))
-    dot = lambda x, y: total(F.zip_with(x, y, lambda s, t: s * t))
-    near = lambda ca, cb: let(dot(ca, ca) * dot(cb, cb), lambda spread: (F.when(spread > 2.0**-52, dot(ca, cb) / F.sqrt(spread)).otherwise(1.0) + 1) / 2)
-    both = let(centred(a), lambda ca: let(centred(b), lambda cb: near(ca, cb)))
-    return F.when(F.coalesce((F.size(a) > 0) & (F.size(a) == F.size(b)), F.lit(False)), both).otherwise(0.5)
+    return _let(look_of(a), lambda x: _let(look_of(b), lambda y: alike_looks(x, y)))
