@@ -185,3 +185,17 @@ def test_door_runs_from_the_whole_history(spark, cfg):
     told = lambda rows: sorted((row[:-1] if cfg.revive_frames else row for row in rows), key=repr)
     assert told(got) == told(want) and len(want) > 20 and {"OPEN", "CLOSED"} <= {w[5] for w in want}
     assert K.door_run(df.limit(0), ["g"], cfg, streaks).collect() == []
+
+
+def test_alike_within_by_every_pair(spark):
+    """Crowded places, looks of several sizes, flat, empty, missing and with what is no number, in blocks of seven, against every pair."""
+    r = random.Random(11)
+    look = lambda: r.choice([None, [], [1.0, 1.0, 1.0], [1.0, float("nan"), 2.0], [r.random() for _ in range(3)], [r.random() for _ in range(5)]])
+    rows = [(k, r.randint(-60, 60), r.randint(-60, 60), look()) for k in range(150)] + [(900, None, 3, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "id long, x long, y long, e array<double>").withColumn("look", scalars.look_of(F.col("e")))
+    got = {(p.a, p.b): p.alike for p in K.alike_within(df, "id", "x", "y", "look", 30, block=7).collect()}
+    near = [(a, b) for a in rows[:150] for b in rows[:150] if a[0] < b[0] and (a[1] - b[1]) ** 2 + (a[2] - b[2]) ** 2 <= 900]
+    assert set(got) == {(a[0], b[0]) for a, b in near} and len(near) > 1000
+    sides = spark.createDataFrame([(a[0], b[0], a[3], b[3]) for a, b in near], "a long, b long, ea array<double>, eb array<double>")
+    want = {(p.a, p.b): p.alike for p in sides.select("a", "b", scalars.alike(F.col("ea"), F.col("eb")).alias("alike")).collect()}
+    assert all(got[k] == pytest.approx(v, nan_ok=True) for k, v in want.items())

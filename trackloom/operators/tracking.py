@@ -10,6 +10,7 @@ from itertools import groupby
 from operator import itemgetter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -330,3 +331,58 @@ def suppress_alike(tracks: DataFrame, group: Names, key: str = "track_id", near:
     for part in kept:
         ids = ids.unionByName(part)
     return tracks.select(*group, key).join(ids.withColumn("kept", F.lit(True)), [*group, key], "left").select(*group, key, F.coalesce("kept", F.lit(False)).alias("kept"))
+
+
+def alike_within(looks: DataFrame, key: str, x: str, y: str, look: str, reach: int, block: int = 1024) -> DataFrame:
+    """``(a, b, alike)``: all pairs of rows that lie within ``reach`` of each other, the lesser key first, and how alike their looks (``look_of``) are.
+
+    A row goes to its own cell and to the four after it, so that a pair of cells meets once. A task holds the rows of one cell and takes those that come to it block by
+    block; pairs go out as they are found.
+    """
+    to = lambda i, j: F.struct((F.floor(F.col(x) / reach) + i).alias("cx"), (F.floor(F.col(y) / reach) + j).alias("cy"), F.lit(0 if i == j == 0 else 1).alias("away"))
+    cells = F.explode(F.array(*[to(i, j) for i, j in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))]))
+    rows = looks.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(key).cast("long").alias("key"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), F.col(f"{look}.c").alias("c"), F.col(f"{look}.q").alias("q"), cells.alias("to"))
+    rows = rows.select("to.*", "key", "x", "y", "c", "q")
+
+    def arrays(part: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """Keys, places, looks filled up with zeros, their sizes (-1 without any) and squares."""
+        lists = part.column("c").to_pylist()
+        size = np.array([-1 if c is None else len(c) for c in lists])
+        values = np.zeros((len(lists), max(size.max(initial=0), 1)))
+        for i, c in enumerate(lists):
+            if c:
+                values[i, : len(c)] = c
+        column = lambda n: part.column(n).to_numpy(zero_copy_only=False)
+        return column("key"), column("x"), column("y"), values, size, column("q").astype(float)
+
+    def pairs(home: tuple[np.ndarray, ...], come: tuple[np.ndarray, ...], own: bool) -> Iterator[pa.RecordBatch]:
+        near = (home[1][:, None] - come[1]) ** 2 + (home[2][:, None] - come[2]) ** 2 <= reach * reach
+        near &= (home[0][:, None] < come[0]) if own else (home[0][:, None] != come[0])
+        i, j = np.nonzero(near)
+        wide = min(home[3].shape[1], come[3].shape[1])
+        for at in range(0, len(i), 65_536):
+            a, b = i[at : at + 65_536], j[at : at + 65_536]
+            spread, same = home[5][a] * come[5][b], (home[4][a] == come[4][b]) & (home[4][a] > 0)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                alike = np.where(spread <= 2.0**-52, 1.0, np.einsum("ij,ij->i", home[3][a, :wide], come[3][b, :wide]) / np.sqrt(spread))
+            alike = np.where(same, (alike + 1) / 2, 0.5)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(home[0][a], come[0][b])), pa.array(np.maximum(home[0][a], come[0][b])), pa.array(alike)], ["a", "b", "alike"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, home = None, []
+        for batch in batches:
+            cx, cy, away = (batch.column(n).to_numpy() for n in ("cx", "cy", "away"))
+            cuts = np.flatnonzero((np.diff(cx) != 0) | (np.diff(cy) != 0) | (np.diff(away) != 0)) + 1
+            for low, high in zip([0, *cuts], [*cuts, len(cx)]):
+                if (cx[low], cy[low]) != cell:
+                    cell, home = (cx[low], cy[low]), []
+                for at in range(low, high, block):
+                    come = arrays(batch.slice(at, min(block, high - at)))
+                    for part in home:
+                        # Rows of the cell itself meet those before them, in either order of their keys.
+                        yield from pairs(part, come, False)
+                    if not away[low]:
+                        yield from pairs(come, come, True)
+                        home.append(come)
+
+    return rows.repartition("cx", "cy").sortWithinPartitions("cx", "cy", "away").mapInArrow(run, "a long, b long, alike double")

@@ -84,18 +84,10 @@ _LOOK_SQL = """CASE WHEN len({a}) > 0 AND len({a}) = len({b}) THEN (list_inner_p
 @query(f"""WITH v AS (SELECT vec_id, embedding AS e, trunc(embedding[1]::DOUBLE * 1000)::BIGINT AS x, trunc(embedding[2]::DOUBLE * 1000)::BIGINT AS y FROM embeddings)
 SELECT a.vec_id AS a, b.vec_id AS b, round({_LOOK_SQL.format(a="a.e", b="b.e")}, 6) AS alike FROM v a JOIN v b ON a.vec_id < b.vec_id AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 900""")
 def context_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs that lie within 30 of each other, found by neighbouring cells, and how alike their histograms are.
-
-    A row goes to its own cell and to the four after it, so that a pair of cells meets once; what a histogram needs is worked out once a row.
-    """
+    """Pairs that lie within 30 of each other, found by neighbouring cells, and how alike their histograms are; what a histogram needs is worked out once a row."""
     at = lambda k: (F.col("embedding")[k].cast("double") * 1000).cast("long")
-    v = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding"), at(0).alias("x"), at(1).alias("y"))
-    v = v.withColumn("cx", F.floor(F.col("x") / 30)).withColumn("cy", F.floor(F.col("y") / 30)).repartition("cx", "cy").withColumn("look", S.look_of(F.col("embedding"))).drop("embedding")
-    cell = lambda i, j: F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy"), F.lit(i == j == 0).alias("own"))
-    near = F.explode(F.array(*[cell(i, j) for i, j in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))]))
-    other = v.select(F.col("vec_id").alias("b"), F.col("look").alias("look_b"), F.col("x").alias("xb"), F.col("y").alias("yb"), near.alias("to")).select("b", "look_b", "xb", "yb", "to.*")
-    pairs = v.join(other, ["cx", "cy"]).where("IF(own, vec_id < b, vec_id <> b) AND (x - xb) * (x - xb) + (y - yb) * (y - yb) <= 900")
-    return pairs.select(F.least("vec_id", "b").alias("a"), F.greatest("vec_id", "b").alias("b"), F.round(S.alike_looks(F.col("look"), F.col("look_b")), 6).alias("alike"))
+    v = table(spark, sf_dir, "embeddings").select("vec_id", at(0).alias("x"), at(1).alias("y"), S.look_of(F.col("embedding")).alias("look"))
+    return tracking.alike_within(v, "vec_id", "x", "y", "look", 30).withColumn("alike", F.round("alike", 6))
 
 
 _SUMMARY = SESS + """, summ AS (SELECT track_id, min(frame) AS first_frame, max(frame) AS last_frame, count(*) AS total_hits, arg_max(label, (t, event_id)) AS final_state, round(avg(conf), 4) AS confidence, bool_or(label = 'purchase') AS opened,
