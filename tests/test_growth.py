@@ -88,3 +88,15 @@ def test_looks_are_not_joined_to_pairs(spark, copies):
     """The pairs themselves grow with the square, so nothing but the join that makes them may give as many rows."""
     df = catalog.queries()["identity_looks"](spark, copies)
     assert joined(df) <= 2 * df.count()
+
+
+def test_costs_half_way_are_rounded_as_in_sql(spark, tmp_path):
+    """Two tracks whose cost ends in half a unit of the ninth digit, in a double just below it: found among the given rows of two such tracks."""
+    import duckdb
+
+    e = spark.read.parquet("/root/testdata/sf0.1/events.parquet").where("user_id IN (1, 157, 1020, 1244, 1054, 1222)")
+    e.write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    want = sorted(con.sql(catalog.oracle_sql()["match_costs"]).fetchall())
+    assert sorted(map(tuple, catalog.queries()["match_costs"](spark, str(tmp_path)).collect())) == want and want
